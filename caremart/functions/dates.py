@@ -2,18 +2,17 @@
 
 Trying formatter after formatter costs one caught exception per failed form and row. Here the
 text is rewritten once to ISO order by its shape (day-first reading, then month-first reading)
-and cast once per reading, which stays in generated code and never throws.
+and cast once per reading, which never throws.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from caremart.functions.text import strip
-
 # Years a lenient parse may yield, and the date that stands in for an unreadable one.
 PLAUSIBLE_YEARS = (2020, 2030)
 FALLBACK_DATE = dt.date(2025, 1, 1)
@@ -37,30 +36,58 @@ _SECOND_READING = (
     (rf"^(\d{{1,2}})(\.)(\d{{1,2}})\2(\d{{4}}){_TIME}$", "$4-$3-$1$5"),
     (rf"^{_DAY}{_MONTH}(\d{{4}})$", "$3-$2-$1"),
 )
-# Month names, read last.
-_NAMED = r"\p{L}{3}"
-_NAMED_FORMS = ("MMM d, yyyy", "MMMM d, yyyy", "MMM d yyyy", "MMMM d yyyy", "d MMM yyyy", "d MMMM yyyy")
+# English month names, whole or in short, read last as (shape, year, month, day groups).
+_MONTH_NAMES = "janfebmaraprmayjunjulaugsepoctnovdec"
+_NAME = (r"(jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sep(?:t(?:ember)?)?"
+         r"|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)")
+_NAMED_SHAPES = (
+    (rf"(?i)^{_NAME}\.? (\d{{1,2}}),? (\d{{4}})$", 3, 1, 2),
+    (rf"(?i)^(\d{{1,2}})[- ]{_NAME}\.?[- ](\d{{4}})$", 3, 2, 1),
+)
 
 # Written forms read by the strict parse: seconds only after year-first, none after day-first.
 _STRICT_YEAR_FIRST = r"^\d{4}-\d{1,2}-\d{1,2}( \d{1,2}:\d{1,2}:\d{1,2})?$"
 _STRICT_DAY_FIRST = (r"^(\d{1,2})([-/])(\d{1,2})\2(\d{4})( \d{1,2}:\d{1,2})?$", "$4-$3-$1$5")
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once.
+
+    Written out, each use would repeat the expression, and so would every filter Catalyst pushes
+    below it.
+    """
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def _clean(text: Column) -> Column:
-    return F.regexp_replace(strip(text), r"\s+", " ")
+    return F.trim(F.regexp_replace(text, r"(?U)\s+", " "))
 
 
-def _rewrite(text: Column, shapes: tuple[tuple[str, str], ...], otherwise: Column) -> Column:
-    chain = otherwise
-    for shape, iso in reversed(shapes):
-        chain = F.when(text.rlike(shape), F.regexp_replace(text, shape, iso)).otherwise(chain)
+def _rewrite(text: Column, shapes: tuple[tuple[str, str], ...], first: Column | None = None) -> Column:
+    """ISO order of the text by the first shape that fits, NULL if none does."""
+    chain = first
+    for shape, iso in shapes:
+        fits, value = text.rlike(shape), F.regexp_replace(text, shape, iso)
+        chain = F.when(fits, value) if chain is None else chain.when(fits, value)
     return chain
 
 
-def _within(iso: Column, years: tuple[int, int] | None) -> Column:
+def _as_timestamp(iso: Column, years: tuple[int, int] | None) -> Column:
     if years is None:
-        return iso
-    return F.when(F.substring(iso, 1, 4).between(*[f"{y:04d}" for y in years]), iso)
+        return iso.try_cast("timestamp")
+    window = [f"{y:04d}" for y in years]
+    return _let(iso, lambda text: F.when(F.substring(text, 1, 4).between(*window), text.try_cast("timestamp")))
+
+
+def _named(text: Column) -> Column:
+    """ISO order of a text with a month name, NULL for other texts."""
+    chain = F.lit(None).cast("string")
+    for shape, year, month, day in _NAMED_SHAPES:
+        part = {g: F.regexp_extract(text, shape, g) for g in (year, month, day)}
+        place = F.position(F.lower(F.substring(part[month], 1, 3)), F.lit(_MONTH_NAMES))
+        number = F.floor((place + 2) / 3).cast("string")
+        chain = F.when(text.rlike(shape), F.concat_ws("-", part[year], number, part[day])).otherwise(chain)
+    return chain
 
 
 def parse_date(text: Column, years: tuple[int, int] | None = PLAUSIBLE_YEARS) -> Column:
@@ -68,19 +95,16 @@ def parse_date(text: Column, years: tuple[int, int] | None = PLAUSIBLE_YEARS) ->
 
     A reading outside the window does not end the search, the next one is tried.
     """
-    clean = _clean(text)
-    year_first = F.when(clean.rlike(_YEAR_FIRST), F.replace(clean, F.lit("/"), F.lit("-")))
-    first = _rewrite(clean, _FIRST_READING, year_first)
-    second = _rewrite(clean, _SECOND_READING, F.lit(None).cast("string"))
-    name = F.initcap(clean)
-    named = F.coalesce(*[F.try_to_timestamp(name, F.lit(form)) for form in _NAMED_FORMS])
-    if years:
-        named = F.when(F.year(named).between(*years), named)
-    return F.coalesce(
-        _within(first, years).try_cast("timestamp"),
-        _within(second, years).try_cast("timestamp"),
-        F.when(clean.rlike(_NAMED), named),
-    )
+
+    def read(clean: Column) -> Column:
+        year_first = F.when(clean.rlike(_YEAR_FIRST), F.replace(clean, F.lit("/"), F.lit("-")))
+        return F.coalesce(
+            _as_timestamp(_rewrite(clean, _FIRST_READING, year_first), years),
+            _as_timestamp(_rewrite(clean, _SECOND_READING), years),
+            _as_timestamp(_named(clean), years),
+        )
+
+    return _let(_clean(text), read)
 
 
 def parse_date_or(
@@ -92,9 +116,12 @@ def parse_date_or(
 
 def parse_date_strict(text: Column) -> Column:
     """Few written forms, any year, no tolerant reading, no stand-in."""
-    clean = _clean(text)
-    year_first = F.when(clean.rlike(_STRICT_YEAR_FIRST), clean)
-    return _rewrite(clean, (_STRICT_DAY_FIRST,), year_first).try_cast("timestamp")
+
+    def read(clean: Column) -> Column:
+        year_first = F.when(clean.rlike(_STRICT_YEAR_FIRST), clean)
+        return _rewrite(clean, (_STRICT_DAY_FIRST,), year_first).try_cast("timestamp")
+
+    return _let(_clean(text), read)
 
 
 def date_key(day: Column) -> Column:

@@ -4,10 +4,14 @@ Lenient mode gives unresolved keys a default key; strict mode drops rows whose d
 unresolved. The date key is a function of the date, so it needs no join; rows that a missing date
 removes go before any lookup. Lookups onto small dimensions stay in the scan's stage, the patient
 lookup shuffles only when the patient dimension is too large to broadcast.
+
+The events are read by several dimensions and by their fact: pass written (``materialise``d)
+sources, so that dates are parsed once.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -56,17 +60,23 @@ def _name(column: str) -> Column:
     return F.lower(strip(F.col(column)))
 
 
+def _inside_calendar(date_column: str, settings: LoadSettings) -> Column:
+    """Comparison with the raw timestamp, so that it can be pushed into a file scan."""
+    end = settings.calendar_end + dt.timedelta(days=1)
+    bounds = [F.lit(d).cast("timestamp") for d in (settings.calendar_start, end)]
+    return (F.col(date_column) >= bounds[0]) & (F.col(date_column) < bounds[1])
+
+
 def with_date_key(events: DataFrame, date_column: str, settings: LoadSettings) -> DataFrame:
     """``temps_sk`` of events inside the calendar, NULL for all others."""
-    day = F.to_date(date_column)
-    inside = day.between(F.lit(settings.calendar_start), F.lit(settings.calendar_end))
-    return events.withColumn("temps_sk", F.when(inside, date_key(day)))
+    inside = _inside_calendar(date_column, settings)
+    return events.withColumn("temps_sk", F.when(inside, date_key(F.to_date(date_column))))
 
 
 def _dated(events: DataFrame, source: str, options: FactOptions, drop_unknown: bool) -> DataFrame:
-    dated = with_date_key(events, EVENT_DATES[source], options.settings)
     if drop_unknown or options.strict:
-        return dated.where(F.col("temps_sk").isNotNull())
+        events = events.where(_inside_calendar(EVENT_DATES[source], options.settings))
+    dated = with_date_key(events, EVENT_DATES[source], options.settings)
     return dated.fillna({"temps_sk": options.unknown_key})
 
 
