@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import numpy as np
 
-# Autoregressive order after one difference, Fourier orders, prior scales, interval.
+# Autoregressive order after one difference, Fourier orders, seasonal prior scale, interval.
 AR_ORDER = 5
 YEARLY = (365.25, 10)
 WEEKLY = (7.0, 3)
 SEASONAL_PRIOR = 10.0
-TREND_PRIOR = 5.0
 INTERVAL_Z = 1.2815515655446004  # 80 % of a normal distribution lies within +- z
+# Share of the series scale below which noise is not resolved; keeps short series solvable.
+NOISE_FLOOR = 1e-3
 
 
 def fit_autoregressive(y: np.ndarray, horizon: int, order: int = AR_ORDER) -> np.ndarray:
@@ -51,10 +52,12 @@ def fit_seasonal(days: np.ndarray, y: np.ndarray, horizon: int) -> tuple[np.ndar
     target = y_known / scale
     trend = design[:, :2]
     noise = np.std(target - trend @ np.linalg.lstsq(trend, target, rcond=None)[0])
-    prior = np.full(design.shape[1], SEASONAL_PRIOR)
-    prior[:2] = TREND_PRIOR
-    penalty = np.diag((max(noise, 1e-6) / prior) ** 2)
-    weights = np.linalg.solve(design.T @ design + penalty, design.T @ target)
+    # Only the seasonal terms are held back by their prior; the trend is free.
+    penalty = np.full(design.shape[1], max(noise, NOISE_FLOOR) / SEASONAL_PRIOR)
+    penalty[: trend.shape[1]] = 0.0
+    weights = np.linalg.lstsq(
+        np.vstack([design, np.diag(penalty)]), np.concatenate([target, np.zeros(len(penalty))]), rcond=None
+    )[0]
     spread = INTERVAL_Z * np.std(target - design @ weights) * scale
     ahead = _seasonal_design(days[-1] + np.arange(1.0, horizon + 1), origin, span) @ weights * scale
     return ahead, ahead - spread, ahead + spread

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +21,7 @@ from caremart.operators.keys import POSITION, dense_key, keep_first, number_memb
 from caremart.operators.lookup import resolve
 from caremart.plans.settings import LoadSettings
 from caremart.plans.standardise import PSEUDONYM
-from caremart.session import materialise
+from caremart.session import materialise, together
 
 Sources = dict[str, DataFrame]
 
@@ -64,6 +63,12 @@ def default_member(spark: SparkSession, table: str, tail: dict[str, Column] | No
     return spark.range(1).select(*[v.alias(n) for n, v in {**values, **(tail or {})}.items()])
 
 
+def with_unknown_member(dim: DataFrame, surrogate: str, key: int = -1) -> DataFrame:
+    """The dimension plus a member for unresolved keys: the key, and NULL in every other column."""
+    blank = [F.lit(key if c.name == surrogate else None).cast(c.dataType).alias(c.name) for c in dim.schema]
+    return dim.unionByName(dim.sparkSession.range(1).select(*blank))
+
+
 def _with_default(members: DataFrame, table: str, tail: dict[str, Column] | None = None) -> DataFrame:
     return default_member(members.sparkSession, table, tail).unionByName(members)
 
@@ -83,7 +88,9 @@ def _rank(name: str, start: int) -> Column:
 
 def _members(source: DataFrame, columns: Sequence[str], required: Sequence[str], name: str, start: int = 1) -> DataFrame:
     """Distinct rows with the required columns present, numbered in first-seen order."""
-    return number_members(source.dropna(subset=list(required)), columns, name, start)
+    # Plain IS NOT NULL reaches the file scan; dropna() would not.
+    known = source.where(" AND ".join(f"`{c}` IS NOT NULL" for c in required))
+    return number_members(known, columns, name, start)
 
 
 def dim_temps(spark: SparkSession, settings: LoadSettings = LoadSettings()) -> DataFrame:
@@ -223,7 +230,7 @@ def dim_medecin(consultations: DataFrame, settings: LoadSettings = LoadSettings(
 def dim_gravite(visits: DataFrame) -> DataFrame:
     """Default level and the distinct urgency levels in ascending order."""
     level = truncate_int(F.col("Niveau_Urgence"))
-    levels = visits.select(level.alias("niveau_urgence")).dropna().distinct()
+    levels = visits.where("Niveau_Urgence IS NOT NULL").select(level.alias("niveau_urgence")).distinct()
     members = _project(
         dense_key(levels, ["niveau_urgence"], "gravite_sk", AFTER_DEFAULT),
         {
@@ -396,11 +403,9 @@ def build_dimensions(
     settings: LoadSettings = LoadSettings(),
     tables: Sequence[str] | None = None,
     store: Callable[[DataFrame, str], DataFrame] = materialise,
-    concurrent_jobs: int = 6,
+    strip_service: bool = True,
 ) -> dict[str, DataFrame]:
     """The dimensions, each written once by ``store`` and read back.
-
-    Independent dimensions are submitted together, so their small jobs share the cluster.
     """
     builders = dimension_builders(sources, settings)
     wanted = [t for t in builders if tables is None or t in tables]
@@ -408,8 +413,7 @@ def build_dimensions(
     beds = (tables is None or "dim_lit" in tables) and "Numero_Lit" in stays.columns
     if beds and "dim_service" not in wanted:
         wanted.append("dim_service")
-    with ThreadPoolExecutor(concurrent_jobs) as jobs:
-        built = dict(zip(wanted, jobs.map(lambda t: store(builders[t](), t), wanted)))
+    built = together(lambda table: store(builders[table](), table), wanted)
     if beds:
-        built["dim_lit"] = store(dim_lit(stays, built["dim_service"], settings), "dim_lit")
+        built["dim_lit"] = store(dim_lit(stays, built["dim_service"], settings, strip_service), "dim_lit")
     return built

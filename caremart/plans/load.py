@@ -17,8 +17,8 @@ from caremart.plans.forecast import (
     service_series,
 )
 from caremart.plans.settings import LoadSettings
-from caremart.plans.standardise import EVENT_DATES, LENIENT, date_rejects, standardise
-from caremart.session import materialise
+from caremart.plans.standardise import EVENT_DATES, LENIENT, STRICT, date_rejects, standardise
+from caremart.session import materialise, together
 from caremart.sources.delimited import EXTRACT_FILES, read_extracts
 from caremart.sources.tables import (
     ALERT_TABLE,
@@ -71,22 +71,25 @@ def load_sources(
 ) -> dict[str, int]:
     """``load_warehouse`` from sources already read."""
     options = replace(options or FactOptions(), mode=mode, settings=settings)
-    typed = standardise(sources, mode)
+    lazy = standardise(sources, mode)
     # Parsed once: the dimensions and facts read the typed columns they need.
-    typed = {name: materialise(df, f"typed-{name}") for name, df in typed.items()}
-    rows: dict[str, int] = {}
+    typed = together(lambda name: materialise(lazy[name], f"typed-{name}"), lazy)
 
-    def store(df: DataFrame, name: str) -> DataFrame:
+    def store_dimension(df: DataFrame, name: str) -> DataFrame:
         casts = {"id_patient_anonyme": "varchar(128)"} if name == "dim_patient" else None
         rows[name] = write_table(df, root, name, "overwrite", casts)
         return read_table(spark, root, name)
 
-    dims = build_dimensions(typed, settings, store=store)
-    for name, fact in build_facts(typed, dims, options).items():
-        rows[name] = write_fact(fact, root, name, "overwrite")
-    for source in EVENT_DATES:
+    def write_rejects(source: str) -> int:
         rejected = date_rejects(sources[source], source, mode)
-        rows[f"{REJECTS_TABLE}/{source}"] = write_table(rejected, f"{root}/{REJECTS_TABLE}", source, "overwrite")
+        return write_table(rejected, f"{root}/{REJECTS_TABLE}", source, "overwrite")
+
+    rows: dict[str, int] = {}
+    dims = build_dimensions(typed, settings, store=store_dimension, strip_service=mode != STRICT)
+    facts = build_facts(typed, dims, options)
+    rows.update(together(lambda name: write_fact(facts[name], root, name, "overwrite"), facts))
+    rejects = together(write_rejects, EVENT_DATES)
+    rows.update({f"{REJECTS_TABLE}/{source}": n for source, n in rejects.items()})
     return rows
 
 

@@ -9,8 +9,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from caremart.sources.tables import spread_small_scan
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
+# Keys that spread the rows of a table evenly.
+SPREAD = {
+    "customer": ("c_custkey",),
+    "orders": ("o_orderkey",),
+    "lineitem": ("l_orderkey", "l_linenumber"),
+    "events": ("event_id",),
+}
+
 
 def _date_text(day: str, form: str, years: int) -> str:
     """The day written in one of nine forms chosen by ``form``, shifted by whole ``years``.
@@ -178,7 +188,11 @@ class Fixtures:
         return self.spark.sql(text, **used)
 
     def source(self, name: str) -> DataFrame:
-        return self.select(SOURCES[name])
+        """A hospital source. Its text is costly to parse, so a small table is spread first."""
+        text = SOURCES[name]
+        used = {t: self.table(t) for t in TABLES if "{" + t + "}" in text}
+        spread = {t: spread_small_scan(df, *SPREAD[t]) if t in SPREAD else df for t, df in used.items()}
+        return self.spark.sql(text, **spread)
 
     def sources(self) -> dict[str, DataFrame]:
         return {name: self.source(name) for name in SOURCES}

@@ -229,8 +229,8 @@ def default_members(f: Fixtures) -> DataFrame:
         "dim_issue": ("issue_sk", "type_issue"),
         "dim_gravite": ("gravite_sk", "categorie"),
     }
-    typed = standardise.standardise(f.sources())
-    typed["urgence"] = materialise(typed["urgence"], "typed-urgence")
+    typed = f.sources()
+    typed["urgence"] = materialise(_events(f, "urgence"), "typed-urgence")
     members = dims.build_dimensions(typed, SETTINGS, tuple(labels))
     parts = [members[table].select(*columns) for table, columns in labels.items()]
     first, *rest = [p.toDF("sk", "label").where("sk = 1") for p in parts]
@@ -439,9 +439,10 @@ _BUILD = {
 def _fact(f: Fixtures, name: str, **options) -> DataFrame:
     """One fact table with the dimensions it needs, each written once."""
     chosen = facts.FactOptions(settings=SETTINGS, **options)
-    typed = standardise.standardise(f.sources(), chosen.mode)
-    # Parsed once; the other sources only give a few untouched columns to the dimensions.
-    typed[name] = materialise(typed[name], f"typed-{name}")
+    # Parsed once; the other event sources only give untouched text columns to the dimensions.
+    typed = f.sources()
+    typed["patient"] = standardise.standardise_patients(typed["patient"])
+    typed[name] = materialise(standardise.standardise_events(typed[name], name, chosen.mode), f"typed-{name}")
     members = dims.build_dimensions(typed, SETTINGS, FACT_DIMENSIONS[name])
     return _BUILD[name](typed[name], members, chosen)
 
@@ -580,7 +581,10 @@ def _quality_oracle() -> str:
 @register(_quality_oracle())
 def quality_report(f: Fixtures) -> DataFrame:
     """Every declared constraint of three dimensions, the calendar and the consultation facts."""
-    typed = standardise.standardise(f.sources())
+    typed = f.sources()
+    typed["patient"] = standardise.standardise_patients(typed["patient"])
+    for name in ("consultation", "urgence"):
+        typed[name] = materialise(_events(f, name), f"typed-{name}")
     wanted = {*FACT_DIMENSIONS["consultation"], "dim_decision", "dim_temps"}
     members = dims.build_dimensions(typed, SETTINGS, wanted)
     fact = facts.fact_consultations(typed["consultation"], members, facts.FactOptions(settings=SETTINGS))

@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Independent tables written at the same time; their small jobs share the cluster.
+CONCURRENT_WRITES = 6
+
 #: Dimensions up to this many rows are broadcast; larger ones take the salted shuffle join.
 #: A lookup row is a short key and a 4-byte number, so the build side stays below ~100 MB.
 BROADCAST_ROW_LIMIT = 500_000
@@ -60,3 +66,14 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> bool:
     """Whether ``df`` has at most ``limit`` rows (footer counts only, for a written table)."""
     return df.count() <= limit
+
+
+Item = TypeVar("Item")
+Result = TypeVar("Result")
+
+
+def together(work: Callable[[Item], Result], items: Iterable[Item]) -> dict[Item, Result]:
+    """Results of independent jobs submitted side by side; the first failure is raised."""
+    items = list(items)
+    with ThreadPoolExecutor(CONCURRENT_WRITES) as threads:
+        return dict(zip(items, threads.map(work, items)))

@@ -13,6 +13,7 @@ from caremart.sources.tables import (
     read_jdbc,
     read_query,
     read_table,
+    spread_small_scan,
     write_fact,
     write_jdbc,
     write_run,
@@ -29,6 +30,7 @@ __all__ = [
     "read_jdbc",
     "read_query",
     "read_table",
+    "spread_small_scan",
     "stage_source",
     "write_fact",
     "write_jdbc",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from caremart.functions.text import as_missing
 from caremart.operators.keys import POSITION
-from caremart.session import materialise
+from caremart.session import materialise, together
 
 # Separators considered, in order of preference.
 DELIMITERS = (",", ";", "\t", "|", ":")
@@ -112,7 +112,7 @@ def read_extracts(
     spark: SparkSession, folder: str, files: Mapping[str, str] = EXTRACT_FILES, **options: str
 ) -> dict[str, DataFrame]:
     """The five sources by name, scanned, staged and numbered."""
-    return {
-        name: stage_source(read_delimited(spark, f"{folder}/{file}", with_origin=True, **options), name)
-        for name, file in files.items()
-    }
+    return together(
+        lambda name: stage_source(read_delimited(spark, f"{folder}/{files[name]}", with_origin=True, **options), name),
+        files,
+    )

@@ -30,6 +30,16 @@ def read_table(spark: SparkSession, root: str, name: str, columns: Sequence[str]
     return table.select(*columns) if columns else table
 
 
+def spread_small_scan(table: DataFrame, *keys: str) -> DataFrame:
+    """Spread a table over the cores by key when its files give fewer splits than there are cores.
+
+    One row group is one task; costly parsing of a small table would run on one core. A table with
+    enough splits is left alone.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores, *keys) if table.rdd.getNumPartitions() < cores else table
+
+
 def read_query(spark: SparkSession, query: str, **tables: DataFrame) -> DataFrame:
     """The result of a SQL query; ``{name}`` in the text stands for a given DataFrame."""
     return spark.sql(query, **tables)
