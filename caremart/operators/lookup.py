@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caremart.session import fits_broadcast
+from caremart.session import fits_broadcast, materialise
 
 #: Key given to rows whose natural key is unknown.
 DEFAULT_KEY = 1
@@ -27,20 +27,25 @@ def lookup_table(dim: DataFrame, keys: dict[str, Column], surrogate: str) -> Dat
     )
 
 
+def hot_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The key values that hold more than 1/``HOT_PARTS`` of the rows, written once.
+
+    One pre-aggregated count serves the threshold and the filter; fewer than ``HOT_PARTS`` values
+    can pass it.
+    """
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n")).scalar()
+    return materialise(counts.where(F.col("_n") * HOT_PARTS > total).select(*keys), "hot-keys")
+
+
 def salted_left_join(rows: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left shuffle join that spreads NULL keys and hot keys over ``SALTS`` buckets.
 
-    Hot keys are found exactly by a pre-aggregated count; there are fewer than ``HOT_PARTS`` of
-    them, so that set may be broadcast. Only their rows of ``table`` are repeated per salt.
+    The hot keys are few enough to broadcast to both sides. Only their rows of ``table`` are
+    repeated per salt.
     """
     keys = list(keys)
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
-    hot = F.broadcast(
-        counts.where(F.col("_n") * HOT_PARTS > total)
-        .where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
-        .select(*keys, F.lit(True).alias("_hot"))
-    )
+    hot = F.broadcast(hot_keys(rows, keys).withColumn("_hot", F.lit(True)))
     unknown = F.lit(False)
     for k in keys:
         unknown = unknown | F.col(k).isNull()

@@ -31,7 +31,7 @@ def merge_versions(
     Closed versions and active rows that are unchanged or absent from the extract stay as they
     are; a changed member's active row is closed on ``run_date`` and gets a next version; new
     members get version 1. New rows take fresh keys above the highest one, ordered by natural key.
-    ``incoming`` holds one row per natural key.
+    ``incoming`` holds one row per natural key; a NULL key is a member like any other.
     """
     today = F.lit(run_date).cast("date")
     columns = [surrogate, natural, *attributes, *VERSION_COLUMNS]
@@ -39,9 +39,13 @@ def merge_versions(
     history = current.where(~F.col("est_actif"))
     pairs = (
         current.where("est_actif").alias("c")
-        .join(incoming.select(natural, *attributes).alias("n"), F.col(f"c.{natural}") == F.col(f"n.{natural}"), "full")
+        .join(
+            incoming.select(natural, *attributes, F.lit(True).alias("_in")).alias("n"),
+            F.col(f"c.{natural}").eqNullSafe(F.col(f"n.{natural}")),
+            "full",
+        )
         .withColumn("_known", F.col(f"c.{surrogate}").isNotNull())
-        .withColumn("_sent", F.col(f"n.{natural}").isNotNull())
+        .withColumn("_sent", F.col("_in").isNotNull())
         .withColumn(
             "_changed",
             F.col("_known") & F.col("_sent")

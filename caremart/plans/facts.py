@@ -23,6 +23,7 @@ from caremart.operators.keys import POSITION, dense_key
 from caremart.operators.lookup import DEFAULT_KEY, resolve
 from caremart.plans.settings import LoadSettings
 from caremart.plans.standardise import EVENT_DATES, LENIENT, PSEUDONYM, STRICT
+from caremart.session import together
 
 Dims = dict[str, DataFrame]
 
@@ -262,9 +263,15 @@ def fact_births(births: DataFrame, dims: Dims, options: FactOptions = FactOption
 
 def build_facts(sources: dict[str, DataFrame], dims: Dims, options: FactOptions = FactOptions()) -> dict[str, DataFrame]:
     """The four fact tables from standardised sources and written dimensions."""
-    return {
-        "faits_accueil": fact_visits(sources["urgence"], dims, options),
-        "faits_consultation": fact_consultations(sources["consultation"], dims, options),
-        "faits_hospitalisation": fact_stays(sources["hospitalisation"], dims, options),
-        "faits_maternite": fact_births(sources["maternite"], dims, options),
+    builders = {
+        "faits_accueil": (fact_visits, "urgence"),
+        "faits_consultation": (fact_consultations, "consultation"),
+        "faits_hospitalisation": (fact_stays, "hospitalisation"),
+        "faits_maternite": (fact_births, "maternite"),
     }
+
+    def build(table: str) -> DataFrame:
+        builder, source = builders[table]
+        return builder(sources[source], dims, options)
+
+    return together(build, builders)

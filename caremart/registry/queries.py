@@ -713,12 +713,11 @@ def ensemble_combine(f: Fixtures) -> DataFrame:
     return _rounded(_forecast_rows(f), "occupation_predite", "intervalle_inf", "intervalle_sup")
 
 
-@register("SELECT service_sk, k, round(lower, 6) AS lower, round(upper, 6) AS upper FROM combined WHERE k % 3 = 0")
+@register("SELECT service_sk, k, k % 3 = 0 AS fallback, round(lower, 6) AS lower, round(upper, 6) AS upper FROM combined")
 def interval_fallback(f: Fixtures) -> DataFrame:
-    """Forecast days without a seasonal interval: a fixed share of the rate stands in."""
-    stand_ins = _stand_ins(f)
-    bare = forecast.combine(stand_ins.where(F.col("lower").isNull()))
-    return _rounded(bare.select("service_sk", "k", "lower", "upper"), "lower", "upper")
+    """Intervals: the seasonal model's, or a fixed share of the rate where it gave none."""
+    combined = forecast.combine(_stand_ins(f).withColumn("fallback", F.col("lower").isNull()))
+    return _rounded(combined.select("service_sk", "k", "fallback", "lower", "upper"), "lower", "upper")
 
 
 @register("SELECT service_sk, d AS date_alerte, round(rate * 100, 6) AS seuil_atteint, "

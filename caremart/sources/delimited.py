@@ -99,6 +99,7 @@ def stage_source(scanned: DataFrame, label: str, position: str = POSITION) -> Da
         .join(files, file)
         .select(file, block, (F.col("_file_base") + F.col("_block_base") - F.col("_first")).alias("_shift"))
     )
+    # The windows above see one row per file, and one per block of a file, never the data.
     # One row per file block. Written, so Catalyst knows its size and broadcasts only if it fits.
     index = materialise(index, f"blocks-{label}")
     return (

@@ -180,10 +180,10 @@ def test_alert_levels(spark):
 def test_versions(spark):
     current = spark.createDataFrame(
         [(1, "a", "x", dt.date(2024, 1, 1), dt.date(2024, 2, 1), False, 1), (2, "a", "y", dt.date(2024, 2, 1), None, True, 2),
-         (3, "b", None, dt.date(2024, 1, 1), None, True, 1), (4, "c", "z", dt.date(2024, 1, 1), None, True, 1)],
+         (3, "b", None, dt.date(2024, 1, 1), None, True, 1), (4, None, "z", dt.date(2024, 1, 1), None, True, 1)],
         "sk int, nk string, attr string, date_debut_validite date, date_fin_validite date, est_actif boolean, version_ligne int",
     )
-    incoming = spark.createDataFrame([("a", "w"), ("b", None), ("n", "q")], "nk string, attr string")
+    incoming = spark.createDataFrame([("a", "w"), ("b", None), ("n", "q"), (None, "z")], "nk string, attr string")
     today = dt.date(2024, 6, 30)
     rows = {r.sk: r for r in versions.merge_versions(current, incoming, "sk", "nk", ["attr"], today).collect()}
     assert len(rows) == 6
