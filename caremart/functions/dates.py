@@ -13,6 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from caremart.functions.text import strip
+
 # Years a lenient parse may yield, and the date that stands in for an unreadable one.
 PLAUSIBLE_YEARS = (2020, 2030)
 FALLBACK_DATE = dt.date(2025, 1, 1)
@@ -60,7 +62,9 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def _clean(text: Column) -> Column:
-    return F.trim(F.regexp_replace(text, r"(?U)\s+", " "))
+    """Trimmed, with single blanks inside; most texts have no run of white space to shorten."""
+    runs = F.contains(text, F.lit("  ")) | F.contains(text, F.lit("\t"))
+    return F.when(runs, F.trim(F.regexp_replace(text, r"(?U)\s+", " "))).otherwise(strip(text))
 
 
 def _rewrite(text: Column, shapes: tuple[tuple[str, str], ...], first: Column | None = None) -> Column:

@@ -38,7 +38,7 @@ def clamp_weight(weight: Column) -> Column:
 
 def clamp_unit(rate: Column) -> Column:
     """Clip a known rate to [0, 1]; NULL stays NULL."""
-    return F.when(rate < 0, F.lit(0.0)).when(rate > 1, F.lit(1.0)).otherwise(rate)
+    return F.when(rate.isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), rate)))
 
 
 def guarded_ratio(numerator: Column, denominator: Column) -> Column:
@@ -48,10 +48,14 @@ def guarded_ratio(numerator: Column, denominator: Column) -> Column:
 
 def mean_of_valid(*values: Column, default: float) -> Column:
     """Mean over the non-missing values, ``default`` when all are missing."""
-    known = [F.when(v.isNotNull() & ~F.isnan(v), v) for v in values]
-    total = sum((F.coalesce(v, F.lit(0.0)) for v in known), F.lit(0.0))
-    count = sum((v.isNotNull().cast("int") for v in known), F.lit(0))
-    return F.when(count > 0, total / count).otherwise(F.lit(default))
+    known = F.filter(F.array(*values), lambda v: v.isNotNull() & ~F.isnan(v))
+    start = F.struct(F.lit(0.0).alias("total"), F.lit(0).alias("n"))
+    return F.aggregate(
+        known,
+        start,
+        lambda acc, v: F.struct((acc["total"] + v).alias("total"), (acc["n"] + 1).alias("n")),
+        lambda acc: F.when(acc["n"] > 0, acc["total"] / acc["n"]).otherwise(F.lit(default)),
+    )
 
 
 def round_half_even(number: Column, digits: int = 2) -> Column:

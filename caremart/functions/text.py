@@ -11,6 +11,12 @@ MISSING_TOKENS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
+# The characters that count as white space.
+WHITE_SPACE = (
+    " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009"
+    "\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
 # Age band labels with the first age that no longer belongs to the band.
 AGE_BANDS = (("0-5 ans", 6), ("6-15 ans", 16), ("16-30 ans", 31), ("31-60 ans", 61))
 AGE_BAND_ABOVE = "60 ans et +"
@@ -28,7 +34,7 @@ def as_missing(col: Column) -> Column:
 
 def strip(col: Column) -> Column:
     """Trim every kind of surrounding white space (``trim`` alone removes blanks only)."""
-    return F.regexp_replace(col, r"(?U)^\s+|\s+$", "")
+    return F.trim(col, F.lit(WHITE_SPACE))
 
 
 def pseudonymise(col: Column) -> Column:

@@ -38,14 +38,17 @@ def hot_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return materialise(counts.where(F.col("_n") * HOT_PARTS > total).select(*keys), "hot-keys")
 
 
-def salted_left_join(rows: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
+def salted_left_join(
+    rows: DataFrame, table: DataFrame, keys: Sequence[str], counted: DataFrame | None = None
+) -> DataFrame:
     """Left shuffle join that spreads NULL keys and hot keys over ``SALTS`` buckets.
 
     The hot keys are few enough to broadcast to both sides. Only their rows of ``table`` are
-    repeated per salt.
+    repeated per salt. They are counted in ``counted`` (``rows`` unless given): a cheaper DataFrame
+    with the same keys, such as the source the rows were derived from.
     """
     keys = list(keys)
-    hot = F.broadcast(hot_keys(rows, keys).withColumn("_hot", F.lit(True)))
+    hot = F.broadcast(hot_keys(rows if counted is None else counted, keys).withColumn("_hot", F.lit(True)))
     unknown = F.lit(False)
     for k in keys:
         unknown = unknown | F.col(k).isNull()
@@ -75,12 +78,14 @@ def resolve(
     default: int | None = DEFAULT_KEY,
     alias: str | None = None,
     small: bool | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Add the surrogate key of ``dim`` to ``rows``; NULL and unknown keys get ``default``.
 
     ``small`` says whether the dimension fits a broadcast. Left out, its rows are counted; beyond
     the limit the join shuffles with salted hot keys, so neither size nor skew decides the result.
-    ``default=None`` keeps NULL for unresolved rows.
+    ``default=None`` keeps NULL for unresolved rows. ``counted`` may name a cheaper DataFrame with
+    the columns of ``row_keys`` to find hot keys in.
     """
     names = [f"_k{i}" for i in range(len(row_keys))]
     table = lookup_table(dim, dict(zip(names, dim_keys)), surrogate).withColumnRenamed(surrogate, "_sk")
@@ -88,6 +93,8 @@ def resolve(
     if fits_broadcast(dim) if small is None else small:
         joined = keyed.join(F.broadcast(table), names, "left")
     else:
-        joined = salted_left_join(keyed, table, names)
+        if counted is not None:
+            counted = counted.select(*[expr.alias(name) for name, expr in zip(names, row_keys)])
+        joined = salted_left_join(keyed, table, names, counted)
     key = F.col("_sk") if default is None else F.coalesce("_sk", F.lit(default))
     return joined.withColumn(alias or surrogate, key.cast("int")).drop(*names, "_sk")

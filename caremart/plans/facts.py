@@ -98,12 +98,18 @@ def _named(events: DataFrame, dims: Dims, table: str, surrogate: str, column: st
     return _resolve(events, dims, table, surrogate, [column], *keys, options)
 
 
-def _with_patient(events: DataFrame, dims: Dims, options: FactOptions) -> DataFrame:
-    """The patient key; strict mode drops rows without one."""
+def _with_patient(events: DataFrame, source: DataFrame, dims: Dims, options: FactOptions) -> DataFrame:
+    """The patient key; strict mode drops rows without one.
+
+    Resolved last, so that a shuffle moves the other keys as numbers instead of text. Hot patients
+    are counted in the source, without the lookups before.
+    """
     pseudonym = F.upper(strip(F.col(PSEUDONYM)))
     member = F.upper(strip(F.col("id_patient_anonyme")))
     default = None if options.strict else options.unknown_key
-    found = resolve(events, dims["dim_patient"], "patient_sk", [pseudonym], [member], default=default)
+    found = resolve(
+        events, dims["dim_patient"], "patient_sk", [pseudonym], [member], default=default, counted=source
+    )
     return found.where(F.col("patient_sk").isNotNull()) if options.strict else found
 
 
@@ -131,7 +137,7 @@ def fact_visits(visits: DataFrame, dims: Dims, options: FactOptions = FactOption
                     options)
     rows = _named(rows, dims, "dim_decision", "decision_sk", "Decision_Medicale", "type_decision", options)
     rows = _named(rows, dims, "dim_motif", "motif_sk", "Motif_Consultation", "libelle_motif", options)
-    rows = _with_patient(rows, dims, options)
+    rows = _with_patient(rows, visits, dims, options)
     unknown = F.lit(options.unknown_key)
     return _fact(
         rows,
@@ -160,7 +166,7 @@ def fact_consultations(consultations: DataFrame, dims: Dims, options: FactOption
     rows = _named(rows, dims, "dim_service", "service_sk", "Specialite_Medecin", "nom_service", options)
     rows = _named(rows, dims, "dim_pathologie", "pathologie_sk", "Pathologie", "libelle", options)
     rows = _named(rows, dims, "dim_medecin", "medecin_sk", "Medecin", "code_medecin", options)
-    rows = _with_patient(rows, dims, options)
+    rows = _with_patient(rows, consultations, dims, options)
     unknown = F.lit(options.unknown_key)
     fact = _fact(
         rows,
@@ -196,7 +202,7 @@ def fact_stays(stays: DataFrame, dims: Dims, options: FactOptions = FactOptions(
         bed = [strip(F.col("Numero_Lit"))] if "Numero_Lit" in rows.columns else []
         rows = _resolve(rows, dims, "dim_lit", "lit_sk", ["Numero_Lit"], bed, [strip(F.col("numero_lit"))], options)
     rows = _named(rows, dims, "dim_admission", "admission_sk", "Type_Admission", "type_admission", options)
-    rows = _with_patient(rows, dims, options)
+    rows = _with_patient(rows, stays, dims, options)
     unknown = F.lit(options.unknown_key)
     return _fact(
         rows,
@@ -233,7 +239,7 @@ def fact_births(births: DataFrame, dims: Dims, options: FactOptions = FactOption
     member = ["poids_naissance", "taille_naissance", "score_apgar"]
     rows = _resolve(rows, dims, "dim_nouveaune", "bebe_sk", newborn, [F.col(c) for c in newborn],
                     [F.col(c).cast("double") for c in member], options)
-    rows = _with_patient(rows, dims, options)
+    rows = _with_patient(rows, births, dims, options)
     unknown = F.lit(options.unknown_key)
     weight = F.col("Poids_Nouveau_Ne")
     complication = "Complication_Type" in rows.columns
@@ -261,7 +267,9 @@ def fact_births(births: DataFrame, dims: Dims, options: FactOptions = FactOption
     return _numbered(fact, "id_accouchement") if options.strict else fact
 
 
-def build_facts(sources: dict[str, DataFrame], dims: Dims, options: FactOptions = FactOptions()) -> dict[str, DataFrame]:
+def build_facts(
+    sources: dict[str, DataFrame], dims: Dims, options: FactOptions = FactOptions()
+) -> dict[str, DataFrame]:
     """The four fact tables from standardised sources and written dimensions."""
     builders = {
         "faits_accueil": (fact_visits, "urgence"),

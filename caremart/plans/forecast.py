@@ -52,8 +52,8 @@ def occupancy_history(stays: DataFrame, calendar: DataFrame, services: DataFrame
 def daily_occupancy(history: DataFrame, how: str = "mean") -> DataFrame:
     """Observed days per service.
 
-    ``mean`` averages the stays of a day, as the reference results require; as each stay holds one
-    bed, its rate is 1/capacity. ``sum`` adds them up, which is the occupancy an alert can act on.
+    ``mean`` averages the stays of a day; as each stay holds one bed, its rate is 1/capacity.
+    ``sum`` adds them up, which is the occupancy an alert can act on.
     """
     combine = {"mean": F.avg, "sum": F.sum}[how]
     measured = history.groupBy("service_sk", "date_complete").agg(
@@ -193,11 +193,11 @@ def alert_class(rate: Column) -> Column:
 
 def alert_rows(combined: DataFrame) -> DataFrame:
     """The alert table: forecast days at or above the warning level."""
-    return combined.withColumn("type_alerte", alert_class(F.col("rate"))).where("type_alerte IS NOT NULL").select(
+    return combined.where(F.col("rate") >= WARNING_LEVEL).select(
         "service_sk",
         F.col("d").alias("date_alerte"),
         (F.col("rate") * 100).alias("seuil_atteint"),
-        "type_alerte",
+        alert_class(F.col("rate")).alias("type_alerte"),
         F.lit(0).alias("resolu"),
     )
 
@@ -209,6 +209,9 @@ def summary(forecasts: DataFrame) -> DataFrame:
 
 
 def combined_forecast(series: DataFrame, horizon: int = HORIZON) -> DataFrame:
-    """All models of all services, joined per forecast day (``horizon`` rows per service) and combined."""
+    """All models of all services, joined per forecast day (``horizon`` rows per service) and combined.
+
+    The series is read by each model: pass a written one, so that the stays are aggregated once.
+    """
     fitted = model_forecasts(series, horizon).join(linear_forecast(series, horizon), ["service_sk", "k"])
     return combine(horizon_frame(series, horizon).join(fitted, ["service_sk", "k"]))

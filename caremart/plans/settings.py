@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 
 @dataclass(frozen=True)
 class LoadSettings:
-    """What the reference fixes in code or takes from the clock is a parameter here.
+    """Dates, site names and the seed of a load.
 
     ``run_date`` opens the validity of dimension rows, so a rerun of the same day gives the same
     tables. ``zone_sante`` names the health zone of the site (NULL unless set).

@@ -352,9 +352,9 @@ CTES.update({
         FROM (SELECT *, greatest(0, least(1, coalesce(list_avg([x FOR x IN [ar, seasonal, linear] IF x IS NOT NULL]),
                                                       0.5))) AS rate FROM stand_ins)""",
     "forecasts": """
-        SELECT d AS date_prevision, service_sk, round(rate * 100, 6) AS occupation_predite,
+        SELECT d AS date_prevision, service_sk, round(rate * 100 + 1e-9, 6) AS occupation_predite,
           CAST(trunc(round(rate * capacity, 9)) AS INTEGER) AS nb_lits_occupes_predits,
-          round(lower * 100, 6) AS intervalle_inf, round(upper * 100, 6) AS intervalle_sup, 'Ensemble' AS modele,
+          round(lower * 100 + 1e-9, 6) AS intervalle_inf, round(upper * 100 + 1e-9, 6) AS intervalle_sup, 'Ensemble' AS modele,
           k AS horizon_jours
         FROM combined""",
 })

@@ -613,7 +613,8 @@ def _stay_facts(f: Fixtures, text: str = fx.OCCUPANCY) -> DataFrame:
 
 
 def _rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
-    return df.withColumns({c: F.round(c, digits) for c in columns})
+    """Rounded measures. The nudge keeps exact ties from depending on the order of summation."""
+    return df.withColumns({c: F.round(F.col(c) + 1e-9, digits) for c in columns})
 
 
 def _series(f: Fixtures) -> DataFrame:
@@ -622,31 +623,31 @@ def _series(f: Fixtures) -> DataFrame:
 
 
 @register("SELECT d AS date_complete, event_type AS nom_service, service_sk, beds AS nb_lits_occupes, capacite_lits, "
-          "round(beds / capacite_lits, 6) AS taux_occupation FROM occupancy WHERE capacite_lits > 0")
+          "round(beds / capacite_lits + 1e-9, 6) AS taux_occupation FROM occupancy WHERE capacite_lits > 0")
 def occupancy_history(f: Fixtures) -> DataFrame:
     return _rounded(_history(f), "taux_occupation")
 
 
-@register("SELECT service_sk, d, round(rate, 6) AS rate, round(beds, 6) AS beds, capacity FROM observed")
+@register("SELECT service_sk, d, round(rate + 1e-9, 6) AS rate, round(beds + 1e-9, 6) AS beds, capacity FROM observed")
 def daily_mean(f: Fixtures) -> DataFrame:
     return _rounded(forecast.daily_occupancy(_history(f), "mean"), "rate", "beds")
 
 
-@register("SELECT service_sk, d, round(sum(beds / capacite_lits), 6) AS rate, round(sum(beds), 6) AS beds, "
+@register("SELECT service_sk, d, round(sum(beds / capacite_lits) + 1e-9, 6) AS rate, round(sum(beds) + 1e-9, 6) AS beds, "
           "avg(CAST(capacite_lits AS DOUBLE)) AS capacity FROM occupancy WHERE capacite_lits > 0 GROUP BY ALL")
 def daily_sum(f: Fixtures) -> DataFrame:
     observed = forecast.observed_occupancy(_stay_facts(f), dims.dim_temps(f.spark, SETTINGS), _services(f), "sum")
     return _rounded(observed, "rate", "beds")
 
 
-@register("SELECT service_sk, d, CAST(i AS INTEGER) AS i, round(rate, 6) AS rate, round(beds, 6) AS beds, capacity "
+@register("SELECT service_sk, d, CAST(i AS INTEGER) AS i, round(rate + 1e-9, 6) AS rate, round(beds + 1e-9, 6) AS beds, capacity "
           "FROM series")
 def densify_ffill(f: Fixtures) -> DataFrame:
     return _rounded(series.with_index(_series(f), ["service_sk"], "d"), "rate", "beds")
 
 
 @register("""
-    SELECT event_type, d, round(avg(beds), 6) AS beds
+    SELECT event_type, d, round(avg(beds) + 1e-9, 6) AS beds
     FROM (SELECT event_type, max(d) OVER (PARTITION BY event_type) - min(d) OVER (PARTITION BY event_type) + 1 AS n,
             d, beds FROM short_occupancy)
     WHERE n >= 30 GROUP BY ALL""")
@@ -659,8 +660,8 @@ def min_history(f: Fixtures) -> DataFrame:
 
 
 @register("""
-    SELECT service_sk, d, round(dz, 6) AS dz, round(lag(dz, 1) OVER w, 6) AS dz_1, round(lag(dz, 2) OVER w, 6) AS dz_2,
-      round(lag(dz, 3) OVER w, 6) AS dz_3, round(lag(dz, 4) OVER w, 6) AS dz_4, round(lag(dz, 5) OVER w, 6) AS dz_5
+    SELECT service_sk, d, round(dz + 1e-9, 6) AS dz, round(lag(dz, 1) OVER w + 1e-9, 6) AS dz_1, round(lag(dz, 2) OVER w + 1e-9, 6) AS dz_2,
+      round(lag(dz, 3) OVER w + 1e-9, 6) AS dz_3, round(lag(dz, 4) OVER w + 1e-9, 6) AS dz_4, round(lag(dz, 5) OVER w + 1e-9, 6) AS dz_5
     FROM (SELECT service_sk, d, rate - lag(rate) OVER (PARTITION BY service_sk ORDER BY d) AS dz FROM series)
     WINDOW w AS (PARTITION BY service_sk ORDER BY d)""")
 def difference_lags(f: Fixtures) -> DataFrame:
@@ -668,7 +669,7 @@ def difference_lags(f: Fixtures) -> DataFrame:
     return _rounded(series.lagged(_series(f), ["service_sk"], "d", "rate", 5), *lags).select("service_sk", "d", *lags)
 
 
-@register("SELECT service_sk, k, round(linear, 6) AS linear FROM linear")
+@register("SELECT service_sk, k, round(linear + 1e-9, 6) AS linear FROM linear")
 def linear_forecast(f: Fixtures) -> DataFrame:
     return _rounded(forecast.linear_forecast(_series(f)), "linear")
 
@@ -686,12 +687,12 @@ def seasonal_forecast(f: Fixtures) -> DataFrame:
 @register()
 def ensemble_forecast(f: Fixtures) -> DataFrame:
     """The whole forecast: three models of every service, combined."""
-    return forecast.forecast_rows(forecast.combined_forecast(_series(f)))
+    return forecast.forecast_rows(forecast.combined_forecast(materialise(_series(f), "series")))
 
 
 def _stand_ins(f: Fixtures) -> DataFrame:
     """Forecast days with model values derived from the trend, missing by rule."""
-    daily_series = _series(f)
+    daily_series = materialise(_series(f), "series")
     days = forecast.horizon_frame(daily_series).join(forecast.linear_forecast(daily_series), ["service_sk", "k"])
     k, y = F.col("k"), F.col("linear")
     return days.select(
@@ -713,14 +714,14 @@ def ensemble_combine(f: Fixtures) -> DataFrame:
     return _rounded(_forecast_rows(f), "occupation_predite", "intervalle_inf", "intervalle_sup")
 
 
-@register("SELECT service_sk, k, k % 3 = 0 AS fallback, round(lower, 6) AS lower, round(upper, 6) AS upper FROM combined")
+@register("SELECT service_sk, k, k % 3 = 0 AS fallback, round(lower + 1e-9, 6) AS lower, round(upper + 1e-9, 6) AS upper FROM combined")
 def interval_fallback(f: Fixtures) -> DataFrame:
     """Intervals: the seasonal model's, or a fixed share of the rate where it gave none."""
     combined = forecast.combine(_stand_ins(f).withColumn("fallback", F.col("lower").isNull()))
     return _rounded(combined.select("service_sk", "k", "fallback", "lower", "upper"), "lower", "upper")
 
 
-@register("SELECT service_sk, d AS date_alerte, round(rate * 100, 6) AS seuil_atteint, "
+@register("SELECT service_sk, d AS date_alerte, round(rate * 100 + 1e-9, 6) AS seuil_atteint, "
           "CASE WHEN rate >= 0.85 THEN 'Critique' ELSE 'Avertissement' END AS type_alerte, 0 AS resolu "
           "FROM combined WHERE rate >= 0.75")
 def alerts(f: Fixtures) -> DataFrame:
@@ -779,21 +780,21 @@ def _kpi(fact: str, measures: str) -> str:
 
 @register(_kpi("fact_visits", "CAST(sum(nb_arrivees) AS BIGINT) AS arrivees, "
                "CAST(sum(nb_non_pris_en_charge) AS BIGINT) AS non_pris_en_charge, "
-               "round(avg(temps_attente_tri), 6) AS attente_tri_moyenne, "
-               "round(avg(temps_attente_orientation), 6) AS attente_orientation_moyenne"))
+               "round(avg(temps_attente_tri) + 1e-9, 6) AS attente_tri_moyenne, "
+               "round(avg(temps_attente_orientation) + 1e-9, 6) AS attente_orientation_moyenne"))
 def mart_kpis(f: Fixtures) -> DataFrame:
     kpis = marts.indicators(_fact(f, "urgence"), "faits_accueil")
     return _rounded(kpis, "attente_tri_moyenne", "attente_orientation_moyenne")
 
 
 @register(_kpi("fact_consultations", "CAST(sum(nb_consultations) AS BIGINT) AS consultations, "
-               "round(avg(duree_consultation), 6) AS duree_moyenne, CAST(sum(nb_medicaments) AS BIGINT) AS medicaments"))
+               "round(avg(duree_consultation) + 1e-9, 6) AS duree_moyenne, CAST(sum(nb_medicaments) AS BIGINT) AS medicaments"))
 def mart_consultations(f: Fixtures) -> DataFrame:
     return _rounded(marts.indicators(_fact(f, "consultation"), "faits_consultation"), "duree_moyenne")
 
 
 @register(_kpi("fact_stays", "CAST(sum(nb_hospitalisations) AS BIGINT) AS hospitalisations, "
-               "round(avg(duree_sejour), 6) AS duree_sejour_moyenne, CAST(sum(nb_deces) AS BIGINT) AS deces, "
+               "round(avg(duree_sejour) + 1e-9, 6) AS duree_sejour_moyenne, CAST(sum(nb_deces) AS BIGINT) AS deces, "
                "CAST(sum(nb_sorties) AS BIGINT) AS sorties"))
 def mart_stays(f: Fixtures) -> DataFrame:
     return _rounded(marts.indicators(_fact(f, "hospitalisation"), "faits_hospitalisation"), "duree_sejour_moyenne")
@@ -802,7 +803,7 @@ def mart_stays(f: Fixtures) -> DataFrame:
 @register("""
     SELECT annee, mois, CAST(grouping(annee, mois) AS INTEGER) AS niveau,
       CAST(sum(nb_accouchements) AS BIGINT) AS accouchements, CAST(sum(nb_cesariennes) AS BIGINT) AS cesariennes,
-      CAST(sum(nb_complications) AS BIGINT) AS complications, round(avg(poids_naissance), 6) AS poids_moyen
+      CAST(sum(nb_complications) AS BIGINT) AS complications, round(avg(poids_naissance) + 1e-9, 6) AS poids_moyen
     FROM (SELECT *, CAST(temps_sk // 10000 AS INTEGER) AS annee, CAST(temps_sk // 100 % 100 AS INTEGER) AS mois
           FROM fact_births)
     GROUP BY ROLLUP (annee, mois)""")
@@ -857,10 +858,10 @@ def fact_partition_pruning(f: Fixtures) -> DataFrame:
     return fact.where("annee = 2025")
 
 
-@register("SELECT c_mktsegment AS segment, count(*) AS n, round(avg(c_acctbal), 4) AS balance FROM customer GROUP BY 1")
+@register("SELECT c_mktsegment AS segment, count(*) AS n, round(avg(c_acctbal) + 1e-9, 4) AS balance FROM customer GROUP BY 1")
 def sql_query_scan(f: Fixtures) -> DataFrame:
     """A SQL text over a table."""
-    text = "SELECT c_mktsegment AS segment, count(*) AS n, round(avg(c_acctbal), 4) AS balance FROM {t} GROUP BY 1"
+    text = "SELECT c_mktsegment AS segment, count(*) AS n, round(avg(c_acctbal) + 1e-9, 4) AS balance FROM {t} GROUP BY 1"
     return tables.read_query(f.spark, text, t=f.table("customer"))
 
 

@@ -190,6 +190,20 @@ def test_birth_facts(loaded):
         (3, 20260204, 1, 3, 1, 3, 2, 0, 1, 3200.0)]
 
 
+def test_facts_are_the_same_when_no_dimension_fits_a_broadcast(spark, folder, loaded, monkeypatch):
+    from caremart.operators import lookup
+    from caremart.plans.facts import build_facts
+    from caremart.plans.standardise import standardise
+
+    warehouse, rows = loaded
+    monkeypatch.setattr(lookup, "fits_broadcast", lambda dim: False)
+    dims = {table: warehouse.table(table) for table in rows if table.startswith("dim_")}
+    facts = build_facts(standardise(read_extracts(spark, folder)), dims, FactOptions(settings=SETTINGS))
+    for table, fact in facts.items():
+        stored = warehouse.table(table).drop("annee").select(*fact.columns)
+        assert fact.count() == stored.count() and fact.exceptAll(stored).isEmpty()
+
+
 def test_strict_load_drops_unresolved_rows(spark, folder, tmp_path):
     rows = load_warehouse(spark, folder, str(tmp_path), SETTINGS, mode=STRICT)
     assert {t: rows[t] for t in rows if t.startswith("faits_")} == {
