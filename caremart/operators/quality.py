@@ -44,7 +44,9 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str
     key) never reaches the shuffle as more than one row per input partition.
     """
     values = (
-        child.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n_rows"))
+        child.where(F.col(column).isNotNull())
+        .groupBy(F.col(column).alias("value"))
+        .agg(F.count(F.lit(1)).alias("n_rows"))
     )
     return values.join(parent.select(F.col(parent_column).alias("value")), "value", "left_anti")
 

@@ -86,7 +86,9 @@ def _rank(name: str, start: int) -> Column:
     return F.col(name) - F.lit(start - 1)
 
 
-def _members(source: DataFrame, columns: Sequence[str], required: Sequence[str], name: str, start: int = 1) -> DataFrame:
+def _members(
+    source: DataFrame, columns: Sequence[str], required: Sequence[str], name: str, start: int = 1
+) -> DataFrame:
     """Distinct rows with the required columns present, numbered in first-seen order."""
     # Plain IS NOT NULL reaches the file scan; dropna() would not.
     known = source.where(" AND ".join(f"`{c}` IS NOT NULL" for c in required))

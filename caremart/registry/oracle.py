@@ -354,7 +354,8 @@ CTES.update({
     "forecasts": """
         SELECT d AS date_prevision, service_sk, round(rate * 100 + 1e-9, 6) AS occupation_predite,
           CAST(trunc(round(rate * capacity, 9)) AS INTEGER) AS nb_lits_occupes_predits,
-          round(lower * 100 + 1e-9, 6) AS intervalle_inf, round(upper * 100 + 1e-9, 6) AS intervalle_sup, 'Ensemble' AS modele,
+          round(lower * 100 + 1e-9, 6) AS intervalle_inf, round(upper * 100 + 1e-9, 6) AS intervalle_sup,
+          'Ensemble' AS modele,
           k AS horizon_jours
         FROM combined""",
 })

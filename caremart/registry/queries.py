@@ -633,15 +633,16 @@ def daily_mean(f: Fixtures) -> DataFrame:
     return _rounded(forecast.daily_occupancy(_history(f), "mean"), "rate", "beds")
 
 
-@register("SELECT service_sk, d, round(sum(beds / capacite_lits) + 1e-9, 6) AS rate, round(sum(beds) + 1e-9, 6) AS beds, "
-          "avg(CAST(capacite_lits AS DOUBLE)) AS capacity FROM occupancy WHERE capacite_lits > 0 GROUP BY ALL")
+@register("SELECT service_sk, d, round(sum(beds / capacite_lits) + 1e-9, 6) AS rate, "
+          "round(sum(beds) + 1e-9, 6) AS beds, avg(CAST(capacite_lits AS DOUBLE)) AS capacity "
+          "FROM occupancy WHERE capacite_lits > 0 GROUP BY ALL")
 def daily_sum(f: Fixtures) -> DataFrame:
     observed = forecast.observed_occupancy(_stay_facts(f), dims.dim_temps(f.spark, SETTINGS), _services(f), "sum")
     return _rounded(observed, "rate", "beds")
 
 
-@register("SELECT service_sk, d, CAST(i AS INTEGER) AS i, round(rate + 1e-9, 6) AS rate, round(beds + 1e-9, 6) AS beds, capacity "
-          "FROM series")
+@register("SELECT service_sk, d, CAST(i AS INTEGER) AS i, round(rate + 1e-9, 6) AS rate, "
+          "round(beds + 1e-9, 6) AS beds, capacity FROM series")
 def densify_ffill(f: Fixtures) -> DataFrame:
     return _rounded(series.with_index(_series(f), ["service_sk"], "d"), "rate", "beds")
 
@@ -660,8 +661,9 @@ def min_history(f: Fixtures) -> DataFrame:
 
 
 @register("""
-    SELECT service_sk, d, round(dz + 1e-9, 6) AS dz, round(lag(dz, 1) OVER w + 1e-9, 6) AS dz_1, round(lag(dz, 2) OVER w + 1e-9, 6) AS dz_2,
-      round(lag(dz, 3) OVER w + 1e-9, 6) AS dz_3, round(lag(dz, 4) OVER w + 1e-9, 6) AS dz_4, round(lag(dz, 5) OVER w + 1e-9, 6) AS dz_5
+    SELECT service_sk, d, round(dz + 1e-9, 6) AS dz, round(lag(dz, 1) OVER w + 1e-9, 6) AS dz_1,
+      round(lag(dz, 2) OVER w + 1e-9, 6) AS dz_2, round(lag(dz, 3) OVER w + 1e-9, 6) AS dz_3,
+      round(lag(dz, 4) OVER w + 1e-9, 6) AS dz_4, round(lag(dz, 5) OVER w + 1e-9, 6) AS dz_5
     FROM (SELECT service_sk, d, rate - lag(rate) OVER (PARTITION BY service_sk ORDER BY d) AS dz FROM series)
     WINDOW w AS (PARTITION BY service_sk ORDER BY d)""")
 def difference_lags(f: Fixtures) -> DataFrame:
@@ -714,7 +716,8 @@ def ensemble_combine(f: Fixtures) -> DataFrame:
     return _rounded(_forecast_rows(f), "occupation_predite", "intervalle_inf", "intervalle_sup")
 
 
-@register("SELECT service_sk, k, k % 3 = 0 AS fallback, round(lower + 1e-9, 6) AS lower, round(upper + 1e-9, 6) AS upper FROM combined")
+@register("SELECT service_sk, k, k % 3 = 0 AS fallback, round(lower + 1e-9, 6) AS lower, "
+          "round(upper + 1e-9, 6) AS upper FROM combined")
 def interval_fallback(f: Fixtures) -> DataFrame:
     """Intervals: the seasonal model's, or a fixed share of the rate where it gave none."""
     combined = forecast.combine(_stand_ins(f).withColumn("fallback", F.col("lower").isNull()))
@@ -788,7 +791,8 @@ def mart_kpis(f: Fixtures) -> DataFrame:
 
 
 @register(_kpi("fact_consultations", "CAST(sum(nb_consultations) AS BIGINT) AS consultations, "
-               "round(avg(duree_consultation) + 1e-9, 6) AS duree_moyenne, CAST(sum(nb_medicaments) AS BIGINT) AS medicaments"))
+               "round(avg(duree_consultation) + 1e-9, 6) AS duree_moyenne, "
+               "CAST(sum(nb_medicaments) AS BIGINT) AS medicaments"))
 def mart_consultations(f: Fixtures) -> DataFrame:
     return _rounded(marts.indicators(_fact(f, "consultation"), "faits_consultation"), "duree_moyenne")
 
@@ -858,10 +862,13 @@ def fact_partition_pruning(f: Fixtures) -> DataFrame:
     return fact.where("annee = 2025")
 
 
-@register("SELECT c_mktsegment AS segment, count(*) AS n, round(avg(c_acctbal) + 1e-9, 4) AS balance FROM customer GROUP BY 1")
+@register("SELECT c_mktsegment AS segment, count(*) AS n, round(avg(c_acctbal) + 1e-9, 4) AS balance "
+          "FROM customer GROUP BY 1")
 def sql_query_scan(f: Fixtures) -> DataFrame:
     """A SQL text over a table."""
-    text = "SELECT c_mktsegment AS segment, count(*) AS n, round(avg(c_acctbal) + 1e-9, 4) AS balance FROM {t} GROUP BY 1"
+    text = """
+        SELECT c_mktsegment AS segment, count(*) AS n, round(avg(c_acctbal) + 1e-9, 4) AS balance
+        FROM {t} GROUP BY 1"""
     return tables.read_query(f.spark, text, t=f.table("customer"))
 
 
