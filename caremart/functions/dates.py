@@ -61,10 +61,17 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
-def _clean(text: Column) -> Column:
-    """Trimmed, with single blanks inside; most texts have no run of white space to shorten."""
-    runs = F.contains(text, F.lit("  ")) | F.contains(text, F.lit("\t"))
-    return F.when(runs, F.trim(F.regexp_replace(text, r"(?U)\s+", " "))).otherwise(strip(text))
+def _cleaned(text: Column, read: Callable[[Column], Column]) -> Column:
+    """``read`` of the trimmed text with single blanks inside.
+
+    Most texts have no run of white space to shorten, so the pattern only runs on those that do.
+    """
+
+    def shorten(trimmed: Column) -> Column:
+        runs = F.contains(trimmed, F.lit("  ")) | F.contains(trimmed, F.lit("\t"))
+        return F.when(runs, F.regexp_replace(trimmed, r"(?U)\s+", " ")).otherwise(trimmed)
+
+    return _let(strip(text), lambda trimmed: _let(shorten(trimmed), read))
 
 
 def _rewrite(text: Column, shapes: tuple[tuple[str, str], ...], first: Column | None = None) -> Column:
@@ -108,7 +115,7 @@ def parse_date(text: Column, years: tuple[int, int] | None = PLAUSIBLE_YEARS) ->
             _as_timestamp(_named(clean), years),
         )
 
-    return _let(_clean(text), read)
+    return _cleaned(text, read)
 
 
 def parse_date_or(
@@ -125,7 +132,7 @@ def parse_date_strict(text: Column) -> Column:
         year_first = F.when(clean.rlike(_STRICT_YEAR_FIRST), clean)
         return _rewrite(clean, (_STRICT_DAY_FIRST,), year_first).try_cast("timestamp")
 
-    return _let(_clean(text), read)
+    return _cleaned(text, read)
 
 
 def date_key(day: Column) -> Column:
