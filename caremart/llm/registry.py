@@ -7,12 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caremart.llm import pivots, topk
+from caremart.llm import lines, mixing, pivots, topk
 from caremart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that stand on ten sites or more."""
+    out = lines.flagged(table(spark, sf_dir, "documents"), min_sites=10, min_chars=10, max_share=0.5)
+    return out.select("row.doc_id", "n_lines", "n_removed", F.col("clean_text").alias("text"))
+
+
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every reading of every document under the mix of the pipeline."""
+    out = mixing.readings(table(spark, sf_dir, "documents"), mixing.Mix())
+    return out.select("row.doc_id", "row.source", mixing.tokens(F.col("row.text")).alias("n_tokens"), "block", "epoch", "block_key")
+
+
 def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best partners of every fiftieth vector among all other vectors."""
     return topk.search(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5, scale=256)
@@ -24,8 +36,50 @@ def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op4_exact_topk, op8_embedding_near_dedup)}
+    return {f.__name__: f for f in (op1_line_dedup, op3_source_mixing, op4_exact_topk, op8_embedding_near_dedup)}
+
+
+_OP1 = """
+WITH bare AS (SELECT source, trim(unnest(string_split(text, chr(10))), ' ' || chr(9) || chr(13)) AS line FROM documents),
+wide AS (SELECT line FROM bare WHERE length(line) >= 10 GROUP BY line HAVING count(DISTINCT source) >= 10),
+bad AS (SELECT coalesce(list(line), []) AS bad FROM wide),
+cut AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines, list_filter(string_split(text, chr(10)),
+        lambda x: NOT list_contains(bad, trim(x, ' ' || chr(9) || chr(13)))) AS kept FROM documents, bad),
+judged AS (SELECT *, length(array_to_string(kept, chr(10))) >= length(text) * 0.5 AS cuts FROM cut)
+SELECT doc_id, CAST(coalesce(len(lines), 0) AS INTEGER) AS n_lines,
+       CAST(CASE WHEN cuts THEN len(lines) - len(kept) ELSE 0 END AS INTEGER) AS n_removed,
+       CASE WHEN cuts THEN array_to_string(kept, chr(10)) ELSE text END AS text
+FROM judged
+"""
 
+_OP3 = r"""
+WITH RECURSIVE t AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS n,
+    CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS digits FROM documents),
+s AS (SELECT source, CAST(sum(n) AS BIGINT) AS tokens, CAST(sum(n) AS DOUBLE) / (SELECT sum(n) FROM t) AS share FROM t GROUP BY source),
+p AS (SELECT list(share) AS p, max(share) AS most, min(share) AS least, count(*) AS n FROM s WHERE tokens > 0),
+aim AS (SELECT *, h + 0.25 * (ln(n) - h) AS target FROM (SELECT *, -list_sum(list_transform(p, lambda x: x * ln(x))) AS h FROM p)),
+bisect AS (SELECT 0 AS step, 0.0::DOUBLE AS low, 1.0::DOUBLE AS high UNION ALL
+    SELECT step + 1, CASE WHEN met THEN low ELSE mid END, CASE WHEN met THEN mid ELSE high END FROM (
+        SELECT step, low, high, mid, ln(z) - mid * y / z <= target AND pow(most / least, 1 - mid) <= 2.0 AS met FROM (
+            SELECT step, low, high, (low + high) / 2 AS mid, target, most, least,
+                list_sum(list_transform(p, lambda x: pow(x, (low + high) / 2))) AS z,
+                list_sum(list_transform(p, lambda x: pow(x, (low + high) / 2) * ln(x))) AS y
+            FROM bisect, aim WHERE step < 24))),
+found AS (SELECT round(high, 6) AS a FROM bisect WHERE step = 24),
+passes AS (SELECT source, tokens, CASE WHEN tokens > 0 THEN pow(most / share, 1 - a) ELSE 1 END AS passes,
+    CAST(greatest(64, ceil(tokens / 65536)) AS BIGINT) AS blocks FROM s, p, found),
+wanted AS (SELECT *, CAST(floor(passes + 1e-9) AS INTEGER) AS epochs,
+    floor((passes - floor(passes + 1e-9)) * tokens + 0.5) AS rest FROM passes),
+placed AS (SELECT t.*, w.epochs, w.rest, t.digits % w.blocks AS block FROM t JOIN wanted w ON t.source IS NOT DISTINCT FROM w.source),
+keyed AS (SELECT *, md5(concat_ws('|', coalesce(source, ''), block, epochs, 42)) AS key FROM placed),
+running AS (SELECT source, key, sum(sum(n)) OVER (PARTITION BY source ORDER BY key) AS cum, any_value(rest) AS rest
+    FROM keyed GROUP BY source, key),
+bars AS (SELECT source, max(key) AS bar FROM running WHERE cum <= rest AND rest > 0 GROUP BY source),
+times AS (SELECT k.*, k.epochs + CASE WHEN bar IS NOT NULL AND key <= bar THEN 1 ELSE 0 END AS times
+    FROM keyed k LEFT JOIN bars b ON k.source IS NOT DISTINCT FROM b.source),
+read AS (SELECT *, CAST(unnest(range(times)) AS INTEGER) AS epoch FROM times)
+SELECT doc_id, source, n AS n_tokens, block, epoch, md5(concat_ws('|', coalesce(source, ''), block, epoch, 42)) AS block_key FROM read
+"""
 
 _OP4 = """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS terms FROM embeddings
@@ -53,4 +107,4 @@ FROM least_of LEFT JOIN degree ON a = node
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_topk": _OP4, "op8_embedding_near_dedup": _OP8}
+    return {"op1_line_dedup": _OP1, "op3_source_mixing": _OP3, "op4_exact_topk": _OP4, "op8_embedding_near_dedup": _OP8}
