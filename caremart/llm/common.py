@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,7 +33,7 @@ def text_slices(batch: pa.RecordBatch, name: str, limit: int = 4_000_000) -> Ite
     """The batch in slices of about ``limit`` bytes of text, at least one row each, so that memory
     depends on the longest text and not on the number of rows."""
     column = batch.column(name)
-    lengths = pa.compute.fill_null(pa.compute.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    lengths = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
     part = np.cumsum(lengths) // limit
     edges = np.flatnonzero(np.diff(part)) + 1
     for a, b in zip([0, *edges], [*edges, len(batch)], strict=True):

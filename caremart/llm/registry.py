@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caremart.llm import lines, mixing, pivots, topk
+from caremart.llm import language, lines, mixing, packing, pivots, topk, toxicity
 from caremart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,13 +30,48 @@ def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5, scale=256)
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    """A public tokenizer file; installed beside Python on every machine."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op5_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 2048 tokens, one row a piece."""
+    out = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=1, length=2048)
+    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def _remainder(divisor: int, column: str = "doc_id") -> Column:
+    return F.crc32(F.col(column).cast("string")) % divisor
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main language of every document, learned from three quarters of them."""
+    docs = table(spark, sf_dir, "documents")
+    model = language.learn(docs, _remainder(4) != 2)
+    held_out = F.coalesce(_remainder(4) == 2, F.lit(False)).alias("held_out")
+    return language.predict(docs, model).select("doc_id", held_out, "lang_pred", "score", "languages", "shares")
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document, learned from two thirds of the labelled ones."""
+    docs = table(spark, sf_dir, "documents")
+    weights = toxicity.learn(docs, table(spark, sf_dir, "labels"), _remainder(3, "id") != 1)
+    held_out = F.coalesce(_remainder(3) == 1, F.lit(False)).alias("held_out")
+    return toxicity.scored(docs, weights).select(
+        "doc_id", held_out, "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), "sentences")
+
+
 def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links of cosine 0.98 or more within a label, as counts and components."""
     return pivots.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.98)
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_line_dedup, op3_source_mixing, op4_exact_topk, op8_embedding_near_dedup)}
+    return {f.__name__: f for f in (op1_line_dedup, op3_source_mixing, op4_exact_topk, op5_curve_packing,
+                                   op7_language_id, op8_embedding_near_dedup, op9_toxicity)}
 
 
 _OP1 = """
