@@ -7,9 +7,9 @@ sequences have no padding at all, and the rest at the very end is cut at powers
 
 Token ids are computed once, kept as 16- or 32-bit numbers in a written table, and meet their places by a join on the row's number.
 
-Tokenizing: words recur, so each distinct word is given to the tokenizer once per worker and its ids are kept (a bounded table). That
-path is taken for texts of common Latin characters only, where splitting by a pattern equals what the tokenizer file declares; any other
-text goes to the tokenizer whole. tests/llm holds both against the tokenizer.
+Tokenizing: words recur, so each distinct word is given to the tokenizer's model once per worker and its ids are kept (a bounded
+table). That path is taken for texts of common Latin characters only, and only if the tokenizer file declares the steps that the
+path takes (lower case, splitting by a pattern, bytes as characters); any other text goes to the tokenizer whole. tests/llm holds both against the tokenizer.
 
 Defined results: a null or empty text is its end id alone. A row is a document even if its id
 repeats or is null. An empty table gives no rows. Other columns are ignored.
@@ -17,6 +17,7 @@ repeats or is null. An empty table gives no rows. Other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable, Iterator
 from itertools import chain
@@ -38,6 +39,25 @@ RANGES_PER_PARTITION = 4
 #: Latin letters, common punctuation. Left out are other digits, combining marks and letters with special cases.
 _UNSAFE = re.compile("[^\t\n\r\x20-\x7e\xa1-\xa9\xab-\xb1\xb4\xb6-\xb8\xbb\xbf-įĴ-ňŊ-ž–—‘-„…€]")
 _PIECES = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
+#: Fixed value: the pattern of the tokenizer files for which the path by words is right.
+_DECLARED = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def _byte_characters() -> dict[int, str]:
+    """Byte-level vocabularies write printable Latin-1 bytes as themselves and the others from U+0100 on."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+def _by_words(tokenizer) -> bool:
+    """Whether the file's steps are those of the path by words."""
+    steps = json.loads(tokenizer.to_str())
+    kinds = lambda part, key: [x["type"] for x in (steps[part] or {}).get(key, [])]
+    if kinds("normalizer", "normalizers") != ["NFC", "Replace", "Lowercase"] or kinds("pre_tokenizer", "pretokenizers") != ["Split", "ByteLevel"]:
+        return False
+    split, level = steps["pre_tokenizer"]["pretokenizers"]
+    return split["pattern"] == {"Regex": _DECLARED} and split["invert"] and not level["add_prefix_space"] and not level["use_regex"]
 
 
 class _Words(dict):
@@ -45,12 +65,13 @@ class _Words(dict):
 
     def __init__(self, tokenizer, dtype: str):
         super().__init__()
-        self.tokenizer, self.dtype = tokenizer, dtype
+        self.model, self.dtype, self.characters = tokenizer.model, dtype, _byte_characters()
 
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= KEPT_WORDS:
             self.clear()
-        ids = np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, self.dtype).tobytes()
+        plain = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.characters)
+        ids = np.array([t.id for t in self.model.tokenize(plain)], self.dtype).tobytes()
         self[piece] = ids
         return ids
 
@@ -62,12 +83,13 @@ def encoder(path: str, end_id: int) -> tuple[Callable[[str | None], np.ndarray],
     tokenizer = Tokenizer.from_file(path)
     dtype = "<u2" if tokenizer.get_vocab_size() < 65536 and end_id < 65536 else "<u4"
     words, end = _Words(tokenizer, dtype), np.array([end_id], dtype).tobytes()
+    by_words = _by_words(tokenizer)
     specials = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
 
     def encode(text: str | None) -> np.ndarray:
         if not text:
             return np.frombuffer(end, dtype)
-        if _UNSAFE.search(text) or any(s in text for s in specials):
+        if not by_words or _UNSAFE.search(text) or any(s in text for s in specials):
             return np.array(tokenizer.encode(text, add_special_tokens=False).ids + [end_id], dtype)
         return np.frombuffer(b"".join(chain(map(words.__getitem__, _PIECES.findall(text.lower())), [end])), dtype)
 
