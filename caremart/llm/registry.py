@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caremart.llm import language, lines, mixing, packing, pivots, topk, toxicity
+from caremart.llm import chunks, language, lines, minhash, mixing, packing, pivots, topk, toxicity
 from caremart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,16 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", "n_lines", "n_removed", F.col("clean_text").alias("text"))
 
 
+def op2_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the chunks that an earlier place has."""
+    return chunks.dedup(table(spark, sf_dir, "documents"), min_run=chunks.LEAST)
+
+
+def op6_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of four-word shingles overlap by 80 percent."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80)
+
+
 def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every reading of every document under the mix of the pipeline."""
     out = mixing.readings(table(spark, sf_dir, "documents"), mixing.Mix())
@@ -70,8 +80,8 @@ def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_line_dedup, op3_source_mixing, op4_exact_topk, op5_curve_packing,
-                                   op7_language_id, op8_embedding_near_dedup, op9_toxicity)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_chunk_dedup, op3_source_mixing, op4_exact_topk, op5_curve_packing,
+                                   op6_minmax_near_dedup, op7_language_id, op8_embedding_near_dedup, op9_toxicity)}
 
 
 _OP1 = """
