@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caremart.llm import chunks, language, lines, minhash, mixing, packing, pivots, topk, toxicity
+from caremart.llm import chunks, language, lines, minhash, mixing, packing, pivots, suffixes, topk, toxicity
 from caremart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,9 +79,16 @@ def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivots.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.98)
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of 50-byte strings that a smaller document has."""
+    out = suffixes.dedup(table(spark, sf_dir, "documents"), length=50)
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_line_dedup, op2_chunk_dedup, op3_source_mixing, op4_exact_topk, op5_curve_packing,
-                                   op6_minmax_near_dedup, op7_language_id, op8_embedding_near_dedup, op9_toxicity)}
+                                   op6_minmax_near_dedup, op7_language_id, op8_embedding_near_dedup, op9_toxicity, op10_suffix_dedup)}
 
 
 _OP1 = """
