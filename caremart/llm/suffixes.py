@@ -147,7 +147,9 @@ def _packed(row: np.ndarray, records: np.ndarray, ids: np.ndarray, tags: np.ndar
             ("spans", done, mix64(ids[row[done]].astype(np.uint64)) % np.uint64(parts))):
         by = np.lexsort((row[which], part))
         which, part = which[by], part[by]
-        edges = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(part) else np.zeros(0, np.int64)
+        if not len(part):
+            continue
+        edges = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
         for a, b in zip(edges, [*edges[1:], len(part)], strict=True):
             own = row[which[a:b]]
             heads = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
