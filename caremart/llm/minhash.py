@@ -5,12 +5,12 @@ independent signature values for one evaluation. Values are banded, ``ROWS`` to
 candidates, and candidates are confirmed on their full shingle sets. At the threshold of 0.8 a pair misses all bands
 with a probability of about 3 in a million.
 
-Groups never become pairs. Documents with equal sets are one class with one representative. Within a band, members are first
-tested against one pivot, then against two; whoever is linked needs no further test inside its component. What is
-still apart in a band after that is compared across components only: small bands by a join, large ones in a grid of blocks of at most ``BLOCK``
-members whose compact signatures rule out most pairs (the estimate must lie six standard errors below the threshold), and the
-rest is confirmed in growing samples of the pairs, the last of which is all of them. So no candidate link is lost, and components come
-from sums over links in rounds (:func:`caremart.llm.common.components`).
+Groups never become pairs. Documents with equal sets are one class with one representative. A document is first tested against the
+smallest pivot of its bands, then against the largest; whoever is linked needs no further test inside its component. What is
+still apart in a band after that is compared across components: bands of at most ``SMALL`` members by a join, larger ones in a grid of blocks of
+about ``BLOCK`` members that are given their full sets and emit a spanning forest of links. There, compact signatures rule out most
+pairs (the estimate must lie six standard errors below the threshold), and each pair is looked at in the first band that it
+shares. Components come from the links in rounds (:func:`caremart.llm.common.components`).
 
 Words are what stands between white space bytes, A-Z in lower case; a shingle is ``words`` words in a row, a shorter text one shingle.
 
@@ -36,10 +36,7 @@ from caremart.session import materialise
 HASHES, ROWS = 80, 5
 BANDS = 2 * HASHES // ROWS
 #: Members of a band that one task compares at a time, and up to which a plain join compares them.
-BLOCK, SMALL = 2048, 32
-#: Shares of the pairs still apart that are confirmed before components are renewed.
-TIERS = (1 / 64, 1 / 4, 1.0)
-
+BLOCK, SMALL = 1024, 8
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -185,32 +182,37 @@ def _alike(a: str, b: str, percent: int) -> F.Column:
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def _possible(percent: int, low: float, high: float):
-    """Pairs of one cell of a large band that are apart and not ruled out by their signatures."""
+def _linked_in_cell(percent: int):
+    """A spanning forest of the links between members of one cell of a large band that are still apart."""
     level = percent / 100
     needed = (level - 6 * (level * (1 - level) / (2 * HASHES)) ** 0.5) * 2 * HASHES
 
-    def pairs(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        _, first, second = key
-        ids, root, n = pdf["id"].to_numpy(), pdf["root"].to_numpy(), pdf["n"].to_numpy()
+    def links(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        band, first, second = key
+        ids, n, block = pdf["id"].to_numpy(), pdf["n"].to_numpy(), pdf["block"].to_numpy()
+        root = pdf["root"].to_numpy().copy()
         signs = np.frombuffer(b"".join(pdf["signs"]), np.uint8).reshape(len(pdf), -1)
-        block = pdf["block"].to_numpy()
+        bands = np.stack(pdf["bands"].to_list())
+        place = np.argmax(bands == band, axis=1)
+        own = [np.frombuffer(x, np.uint64) for x in pdf["own"]]
         left, right = np.flatnonzero(block == first), np.flatnonzero(block == second)
         found = []
         for i in left:
             others = right[(root[right] != root[i]) & ((first != second) | (ids[right] > ids[i]))]
             others = others[100 * np.minimum(n[others], n[i]) >= percent * np.maximum(n[others], n[i])]
-            if len(others):
-                a, b = np.minimum(ids[others], ids[i]), np.maximum(ids[others], ids[i])
-                part = (mix64(a.astype(np.uint64) * _ODD + b.astype(np.uint64)) >> np.uint64(11)).astype(np.float64) / 2.0 ** 53
-                others = others[(part >= low) & (part < high)]
-                others = others[(signs[others] == signs[i]).sum(axis=1) >= needed]
-                if len(others):
-                    found.append(np.stack([np.minimum(ids[others], ids[i]), np.maximum(ids[others], ids[i])]))
-        both = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
-        return pd.DataFrame({"a": both[0], "b": both[1]})
+            # A pair belongs to the first band that it shares.
+            others = others[np.argmax(bands[others] == bands[i], axis=1) == place[i]] if len(others) else others
+            alike = (signs[others] == signs[i]).sum(axis=1)
+            for j in others[np.argsort(-alike, kind="stable")][:int((alike >= needed).sum())]:
+                if root[j] == root[i]:
+                    continue
+                both = len(np.intersect1d(own[i], own[j], assume_unique=True))
+                if 100 * both >= percent * (len(own[i]) + len(own[j]) - both):
+                    found.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+                    root[root == root[j]] = root[i]
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    return pairs
+    return links
 
 
 def clusters(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -233,19 +235,14 @@ def clusters(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "
         return active.where((F.col("id") != F.col(pivot)["id"])).where(_alike("n", f"{pivot}.n", percent)).select(
             F.least("id", f"{pivot}.id").alias("a"), F.greatest("id", f"{pivot}.id").alias("b"), "id")
 
-    # One pivot for each document: the smallest among those of its bands.
+    # One pivot for each document at a time: the smallest among those of its bands, then the largest.
     nearest = star("low").groupBy("id").agg(F.min(F.struct("a", "b")).alias("p")).select("p.*").distinct()
     links = materialise(_confirmed(nearest, sets, percent), "links")
-    tested = materialise(nearest, "tested")
-    root = roots(links)
-    apart = _apart_pairs(star("low").union(star("high")).select("a", "b").distinct(), root).join(tested, ["a", "b"], "left_anti")
+    farthest = star("high").groupBy("id").agg(F.max(F.struct("b", "a")).alias("p")).select("p.a", "p.b").distinct()
+    apart = _apart_pairs(farthest, roots(links))
     links = links.union(materialise(_confirmed(apart, sets, percent), "links"))
-    for low, high in zip((0.0, *TIERS), TIERS, strict=False):
-        root = roots(links)
-        more = materialise(_remaining(active, root, every, percent, low, high), "remaining")
-        if more.isEmpty():
-            continue
-        links = links.union(materialise(_confirmed(more, sets, percent), "links"))
+    small, large = _remaining(active, roots(links), every, sets, percent)
+    links = links.union(materialise(_confirmed(small, sets, percent), "links")).union(materialise(large, "links"))
     root = roots(links).withColumnRenamed("id", "rep")
     return members.join(root, "rep", "left").select(
         "id", F.col("n").alias("n_shingles"), F.coalesce("root", "rep", "id").alias("component"))
@@ -257,24 +254,22 @@ def _apart_pairs(pairs: DataFrame, root: DataFrame) -> DataFrame:
         F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
 
 
-def _remaining(active: DataFrame, root: DataFrame, every: DataFrame, percent: int, low: float, high: float) -> DataFrame:
-    """Pairs that share a band and lie in different components: those of small bands at once, of large bands by tier."""
+def _remaining(active: DataFrame, root: DataFrame, every: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(pairs of small bands to confirm, links of large bands) between members that lie in different components."""
     placed = active.select("band", "id", "n", "c").join(root, "id", "left").withColumn("root", F.coalesce("root", "id"))
     mixed = placed.groupBy("band").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("band")
     left = materialise(placed.join(mixed, "band", "left_semi"), "apart")
-    small = left.where(F.col("c") <= SMALL)
-    side = lambda x: small.select("band", F.col("id").alias(x), F.col("n").alias("n" + x), F.col("root").alias("r" + x))
-    found = side("a").join(side("b"), "band").where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb"))).where(
-        _alike("na", "nb", percent)).select("a", "b")
-    if low > 0:
-        found = found.limit(0)
-    signs = every.select("id", "n", "signs").dropDuplicates(["id", "n"])
-    large = left.where(F.col("c") > SMALL).join(signs, ["id", "n"]).withColumn("blocks", F.ceil(F.col("c") / BLOCK).cast("int"))
-    cells = large.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumn(
+    few = left.where(F.col("c") <= SMALL)
+    side = lambda x: few.select("band", F.col("id").alias(x), F.col("n").alias("n" + x), F.col("root").alias("r" + x))
+    pairs = side("a").join(side("b"), "band").where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb"))).where(
+        _alike("na", "nb", percent)).select("a", "b").distinct()
+    known = every.select("id", "n", "signs", "bands").dropDuplicates(["id", "n"]).join(sets, "id")
+    many = left.where(F.col("c") > SMALL).join(known, ["id", "n"]).withColumn("blocks", F.ceil(F.col("c") / BLOCK).cast("int"))
+    cells = many.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "band", "id", "n", "root", "signs", "block", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"))
-    hot = cells.groupBy("band", "first", "second").applyInPandas(_possible(percent, low, high), "a long, b long")
-    return found.union(hot).distinct()
+        "band", "id", "n", "root", "signs", "bands", "own", "block", F.least("block", "other").alias("first"),
+        F.greatest("block", "other").alias("second"))
+    return pairs, cells.groupBy("band", "first", "second").applyInPandas(_linked_in_cell(percent), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text: str = "text") -> DataFrame:
