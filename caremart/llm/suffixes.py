@@ -13,7 +13,7 @@ sort goes digit by digit, and only groups with more than one document go to the
 
 Runs are packed as arrays, so the shuffle moves about 17 bytes a run, and a content that a smaller document of the same
 slice of input has is settled before it: a passage of a third of all documents costs one row for each slice. Hashes have
-96 bits in all at either depth. The texts themselves move once.
+96 bits in all at either depth. The texts themselves move once, compressed.
 
 Defined results: a null text is empty; texts below ``length`` bytes lose nothing. Rows that share an id never match each
 other, and each is compared by its own text. Rows with a null id come back as they are. An empty table gives no rows.
@@ -27,6 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,15 +36,16 @@ from caremart.session import materialise
 
 DIGIT, SLICE = 20, 2_000_000
 #: Bytes of text whose runs one group sorts.
-TEXT_OF_GROUP = 12_000_000
+TEXT_OF_GROUP = 16_000_000
 _TABLES = tuple(mix64(np.arange(k, k + 256, dtype=np.uint64)) for k in (5001, 9001))
 _FACTORS = (0xD1342543DE82EF95, 0x2545F4914F6CDD1D)
-_DOC = np.dtype([("id", "<i8"), ("tag", "<i8"), ("rows", "<u4")])
-_RUN = np.dtype([("digit", "<u8"), ("content", "<u4"), ("at", "<u4"), ("windows", "u1")])
+_DOC = np.dtype([("id", "<i8"), ("tag", "<i4"), ("rows", "<u4")])
+#: The digit has 48 bits beside those that choose the part; ``left`` and ``right`` go with it 15 bytes on to either side.
+_RUN = np.dtype([("digit", "<u4"), ("more", "<u2"), ("content", "<u4"), ("left", "u1"), ("right", "u1"), ("at", "<u4"), ("windows", "u1")])
 _SPAN = np.dtype([("start", "<u4"), ("end", "<u4")])
 _SETTLED, _OPEN = 0, 1
 _PACKED = "part int, docs binary, runs binary, spans binary"
-_FOUND = "id long, tag long, kind int, data binary"
+_FOUND = "id long, tag int, kind int, data binary"
 
 
 class _Prefix:
@@ -70,6 +72,14 @@ def _smallest(values: np.ndarray, width: int) -> np.ndarray:
     return place
 
 
+def _digit(out: np.ndarray, hashes: np.ndarray) -> None:
+    out["digit"], out["more"] = hashes >> np.uint64(32), hashes & np.uint64(0xFFFF)
+
+
+def _digits(records: np.ndarray) -> np.ndarray:
+    return (records["digit"].astype(np.uint64) << np.uint64(16)) | records["more"]
+
+
 def runs(raw: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """(row of each run, its record): all windows of the texts between the places ``at``."""
     none = np.zeros(0, np.int64), np.zeros(0, _RUN)
@@ -90,7 +100,13 @@ def runs(raw: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np.n
     count = np.diff(np.concatenate([first, [len(start)]]))
     low = start[first]
     out = np.zeros(len(first), _RUN)
-    out["digit"], out["windows"], out["at"] = hashes[best[first]], count, low - at[row[low]]
+    _digit(out, hashes[best[first]])
+    out["windows"], out["at"] = count, low - at[row[low]]
+    # Equal windows agree on half of the other bytes at least, all on one side of the digit.
+    half = (length - digit + 1) // 2
+    here, to = best[first], best[first] + digit
+    out["left"] = prefix.of(np.maximum(here - half, at[row[low]]), to) >> np.uint64(56)
+    out["right"] = prefix.of(here, np.minimum(to + half, at[row[low] + 1])) >> np.uint64(56)
     shape = mix64(((best[first] - low) * 256 + count).astype(np.uint64))
     out["content"] = mix64(prefix.of(low, low + count - 1 + length) ^ shape) >> np.uint64(32)
     return row[low], out
@@ -107,24 +123,32 @@ def windows(raw: np.ndarray, at: np.ndarray, open_runs: list[np.ndarray], length
     begin += np.arange(len(begin)) - np.repeat(np.cumsum(each) - each, each)
     own = at[row] + begin
     out = np.zeros(len(row), _RUN)
-    out["digit"], out["content"] = _Prefix(raw, 0).of(own, own + length), _Prefix(raw, 1).of(own, own + length) >> np.uint64(32)
+    _digit(out, _Prefix(raw, 0).of(own, own + length))
+    out["content"] = _Prefix(raw, 1).of(own, own + length) >> np.uint64(32)
     out["at"], out["windows"] = begin, 1
     return row, out
 
 
 def _settle(ids: np.ndarray, records: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(order, settled, open) along the sorted records: content that a smaller id has, and first contents of a shared digit."""
-    order = np.lexsort((ids, records["content"], records["digit"]))
-    digit, content, own = records["digit"][order], records["content"][order], ids[order]
-    new_digit = np.concatenate([[True], digit[1:] != digit[:-1]])
-    new_content = new_digit | np.concatenate([[True], content[1:] != content[:-1]])
-    smallest = own[np.flatnonzero(new_content)][np.cumsum(new_content) - 1]
-    settled = own > smallest
-    heads = np.flatnonzero(new_digit)
-    group = np.cumsum(new_digit) - 1
-    several = np.add.reduceat(new_content.astype(np.int64), heads)[group] > 1
-    apart = (np.minimum.reduceat(own, heads) < np.maximum.reduceat(own, heads))[group]
-    return order, settled, ~settled & several & apart
+    """(order, settled, open) along the sorted records: content that a smaller id has, and first contents that share the
+    digit and the bytes on one side of it with another id."""
+    digits = _digits(records)
+    order = np.lexsort((ids, records["content"], digits))
+    digit, content, own = digits[order], records["content"][order], ids[order]
+    new = np.concatenate([[True], (digit[1:] != digit[:-1]) | (content[1:] != content[:-1])])
+    settled = own > own[np.flatnonzero(new)][np.cumsum(new) - 1]
+    several = np.zeros(len(order), bool)
+    for side in ("left", "right"):
+        key = (digits << np.uint64(8)) | records[side]
+        by = np.argsort(key, kind="stable")
+        heads = np.flatnonzero(np.concatenate([[True], key[by][1:] != key[by][:-1]]))
+        least, most = (f.reduceat(ids[by], heads) for f in (np.minimum, np.maximum))
+        # One content alone has nothing left to settle.
+        c0, c1 = (f.reduceat(records["content"][by], heads) for f in (np.minimum, np.maximum))
+        apart = np.zeros(len(order), bool)
+        apart[by] = np.repeat((least < most) & (c0 < c1), np.diff([*heads, len(by)]))
+        several |= apart
+    return order, settled, ~settled & several[order]
 
 
 def _spans(records: np.ndarray, length: int) -> np.ndarray:
@@ -134,6 +158,10 @@ def _spans(records: np.ndarray, length: int) -> np.ndarray:
     return out
 
 
+def _part(key: np.ndarray, parts: int) -> np.ndarray:
+    return mix64(key) % np.uint64(parts)
+
+
 def _packed(row: np.ndarray, records: np.ndarray, ids: np.ndarray, tags: np.ndarray, parts: int, length: int) -> pa.RecordBatch | None:
     """One row a part: its runs with their documents, and the spans that this slice settles."""
     if not len(row):
@@ -143,8 +171,8 @@ def _packed(row: np.ndarray, records: np.ndarray, ids: np.ndarray, tags: np.ndar
     rest = order[~settled]
     out = {}
     for kind, which, part in (
-            ("runs", rest, (records["digit"][rest] >> np.uint64(20)) % np.uint64(parts)),
-            ("spans", done, mix64(ids[row[done]].astype(np.uint64)) % np.uint64(parts))):
+            ("runs", rest, _part(_digits(records[rest]), parts)),
+            ("spans", done, _part(ids[row[done]].astype(np.uint64), parts))):
         by = np.lexsort((row[which], part))
         which, part = which[by], part[by]
         if not len(part):
@@ -208,7 +236,7 @@ def dedup(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text: str =
     if not 1 <= length <= 128:
         raise ValueError("length must be between 1 and 128")
     body = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), body.alias("text"), F.xxhash64(body).alias("tag"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), body.alias("text"), F.hash(body).alias("tag"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), total // TEXT_OF_GROUP + 1)
 
@@ -223,7 +251,7 @@ def dedup(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text: str =
 
     def all_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text_slices(batch, "text", SLICE):
+            for part in text_slices(_restored(batch), "text", SLICE):
                 raw, at, _ = utf8_buffers(part.column("text"))
                 still = [np.frombuffer(b"".join(x), _RUN) for x in part.column("open").to_pylist()]
                 row, records = windows(raw, at, still, length)
@@ -234,17 +262,32 @@ def dedup(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text: str =
     sortable = rows.where(F.col("doc_id").isNotNull())
     one = sortable.mapInArrow(first_digit, _PACKED).groupBy("part").applyInPandas(_sorted_group(length, False), _FOUND)
     one = materialise(one, "first-digit")
-    texts = lambda: sortable.select(F.col("doc_id").alias("id"), "tag", "text")
-    unsure = texts().join(_by_document(one, _OPEN, "open"), ["id", "tag"])
-    two = unsure.select("id", "tag", "text", "open").mapInArrow(all_bytes, _PACKED).groupBy("part").applyInPandas(
+    texts = sortable.select(F.col("doc_id").alias("id"), "tag", "text").mapInArrow(_squeezed, "id long, tag int, body binary")
+    unsure = texts.join(_by_document(one, _OPEN, "open"), ["id", "tag"])
+    two = unsure.select("id", "tag", "body", "open").mapInArrow(all_bytes, _PACKED).groupBy("part").applyInPandas(
         _sorted_group(length, True), _FOUND)
     settled = _by_document(one.unionByName(two), _SETTLED, "spans")
-    final = texts().join(settled, ["id", "tag"], "left").select(F.col("id").alias("doc_id"), "text", "spans")
-    lost = rows.where(F.col("doc_id").isNull()).select("doc_id", "text", F.lit(None).cast("array<binary>").alias("spans"))
+    final = texts.join(settled, ["id", "tag"], "left").select(F.col("id").alias("doc_id"), "body", "spans")
+    lost = rows.where(F.col("doc_id").isNull()).select("doc_id", "tag", "text").mapInArrow(
+        _squeezed, "doc_id long, tag int, body binary").select("doc_id", "body", F.lit(None).cast("array<binary>").alias("spans"))
     return final.union(lost).mapInArrow(
         _cut, "doc_id long, n_bytes long, n_removed long, spans array<struct<start:int,end:int>>, kept binary")
 
 
+def _squeezed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as compressed bytes, which is what moves."""
+    press = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        body = pa.array([press.compress(t.encode()) for t in batch.column("text").to_pylist()], pa.binary())
+        yield pa.RecordBatch.from_arrays([*batch.columns[:2], body], [*batch.schema.names[:2], "body"])
+
+
+def _restored(batch: pa.RecordBatch) -> pa.RecordBatch:
+    press, k = zstandard.ZstdDecompressor(), batch.schema.get_field_index("body")
+    texts = pa.array([press.decompress(x).decode() for x in batch.column("body").to_pylist()], pa.string())
+    return batch.set_column(k, "text", texts)
+
+
 def merged(spans: np.ndarray) -> np.ndarray:
     """Maximal runs of covered bytes."""
     if not len(spans):
@@ -259,7 +302,7 @@ def merged(spans: np.ndarray) -> np.ndarray:
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-    for batch in batches:
+    for batch in map(_restored, batches):
         sizes, gone, spans, kept = [], [], [], []
         for body, found in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True):
             raw = body.encode()
