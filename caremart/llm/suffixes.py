@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from caremart.llm.common import mix64, text_slices, utf8_buffers
 from caremart.session import materialise
 
-DIGIT, SLICE = 20, 2_000_000
+DIGIT, SLICE = 20, 600_000
 #: Bytes of text whose runs one group sorts.
 TEXT_OF_GROUP = 16_000_000
 _TABLES = tuple(mix64(np.arange(k, k + 256, dtype=np.uint64)) for k in (5001, 9001))
