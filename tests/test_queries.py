@@ -3,7 +3,7 @@
 import compare
 import pytest
 
-import __spark_entry__ as entry
+from caremart.registry import queries as entry
 
 SF_DIR = "/root/testdata/sf0.001"
 QUERIES = entry.queries()
