@@ -3,11 +3,12 @@
 import compare
 import pytest
 
-from caremart.registry import queries as entry
+import __spark_entry__ as entry
+from caremart.registry import queries as registry
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = registry.queries()
+ORACLE = registry.oracle_sql()
 # Model fits that SQL does not express; tests of the operators check them against numpy.
 ROWS_ONLY = {"ar_forecast", "seasonal_forecast", "ensemble_forecast"}
 
