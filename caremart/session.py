@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,15 +53,44 @@ def scratch_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+#: The session setting by which a query's shuffle files go when it ends, and the writes that hold it now.
+_FREES_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_holding = 0
+_held_by_user: str | None = None
+_hold = threading.Lock()
+
+
+@contextmanager
+def _shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of queries that start inside are removed as each ends; the session's own setting comes back after."""
+    global _holding, _held_by_user
+    with _hold:
+        if not _holding:
+            _held_by_user = spark.conf.get(_FREES_SHUFFLES, None)
+            spark.conf.set(_FREES_SHUFFLES, "true")
+        _holding += 1
+    try:
+        yield
+    finally:
+        with _hold:
+            _holding -= 1
+            if not _holding and _held_by_user is None:
+                spark.conf.unset(_FREES_SHUFFLES)
+            elif not _holding:
+                spark.conf.set(_FREES_SHUFFLES, _held_by_user)
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the scratch area and read it back.
 
     This cuts the lineage in a way that survives lost executors, fixes one physical layout for
-    every later use, and gives Catalyst the true byte size for its join choice.
+    every later use, and gives Catalyst the true byte size for its join choice. The shuffle files
+    of the write are needed no more once it is done and are removed then.
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/caremart/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with _shuffles_freed(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
