@@ -266,6 +266,8 @@ def dedup(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text: str =
     unsure = texts.join(_by_document(one, _OPEN, "open"), ["id", "tag"])
     two = unsure.select("id", "tag", "body", "open").mapInArrow(all_bytes, _PACKED).groupBy("part").applyInPandas(
         _sorted_group(length, True), _FOUND)
+    # Written, so that the files of this shuffle are gone before the texts move once more.
+    two = materialise(two, "all-bytes")
     settled = _by_document(one.unionByName(two), _SETTLED, "spans")
     final = texts.join(settled, ["id", "tag"], "left").select(F.col("id").alias("doc_id"), "body", "spans")
     lost = rows.where(F.col("doc_id").isNull()).select("doc_id", "tag", "text").mapInArrow(
