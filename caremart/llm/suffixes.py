@@ -12,8 +12,9 @@ sort goes digit by digit, and only groups with more than one document go to the
    all ``length`` bytes and sorted again.
 
 Runs are packed as arrays, so the shuffle moves about 17 bytes a run, and a content that a smaller document of the same
-slice of input has is settled before it: a passage of a third of all documents costs one row for each slice. Hashes have
-96 bits in all at either depth. The texts themselves move once, compressed.
+slice of input has is settled before it: a passage of a third of all documents costs one run for each slice. What a group finds
+is packed by buckets of documents too, and becomes one row a document there. Hashes have 96 bits in all at either depth. The texts
+themselves move compressed, once for the windows and once for the cut. Very long texts are read in pieces that overlap by a window.
 
 Defined results: a null text is empty; texts below ``length`` bytes lose nothing. Rows that share an id never match each
 other, and each is compared by its own text. Rows with a null id come back as they are. An empty table gives no rows.
@@ -34,9 +35,11 @@ from pyspark.sql import functions as F
 from caremart.llm.common import mix64, text_slices, utf8_buffers
 from caremart.session import materialise
 
-DIGIT, SLICE = 20, 600_000
+DIGIT = 20
+#: Bytes of text whose runs are found at a time; a longer text comes in overlapping pieces.
+SLICE = 300_000
 #: Bytes of text whose runs one group sorts.
-TEXT_OF_GROUP = 16_000_000
+TEXT_OF_GROUP = 8_000_000
 _TABLES = tuple(mix64(np.arange(k, k + 256, dtype=np.uint64)) for k in (5001, 9001))
 _FACTORS = (0xD1342543DE82EF95, 0x2545F4914F6CDD1D)
 _DOC = np.dtype([("id", "<i8"), ("tag", "<i4"), ("rows", "<u4")])
@@ -45,7 +48,8 @@ _RUN = np.dtype([("digit", "<u4"), ("more", "<u2"), ("content", "<u4"), ("left",
 _SPAN = np.dtype([("start", "<u4"), ("end", "<u4")])
 _SETTLED, _OPEN = 0, 1
 _PACKED = "part int, docs binary, runs binary, spans binary"
-_FOUND = "id long, tag int, kind int, data binary"
+_FOUND = "bucket int, kind int, docs binary, data binary"
+_OF_DOCUMENT = "id long, tag int, data binary"
 
 
 class _Prefix:
@@ -63,7 +67,7 @@ class _Prefix:
 
 def _smallest(values: np.ndarray, width: int) -> np.ndarray:
     """Place of the smallest of each ``width`` consecutive values, the leftmost on ties."""
-    place, have = np.arange(len(values), dtype=np.int64), 1
+    place, have = np.arange(len(values), dtype=np.int32), 1
     while have < width:
         step = min(have, width - have)
         left, right = place[:len(place) - step], place[step:]
@@ -112,8 +116,8 @@ def runs(raw: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np.n
     return row[low], out
 
 
-def windows(raw: np.ndarray, at: np.ndarray, open_runs: list[np.ndarray], length: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, record) of each single window of the open runs of each text."""
+def windows(raw: np.ndarray, at: np.ndarray, open_runs: list[np.ndarray], length: int, low: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """(row, record) of each single window of the open runs of each text; ``raw`` begins at the byte ``low`` of its text."""
     counts = [r["windows"].astype(np.int64) for r in open_runs]
     row = np.repeat(np.arange(len(open_runs)), [c.sum() for c in counts])
     if not len(row):
@@ -121,7 +125,7 @@ def windows(raw: np.ndarray, at: np.ndarray, open_runs: list[np.ndarray], length
     each = np.concatenate(counts)
     begin = np.repeat(np.concatenate([r["at"].astype(np.int64) for r in open_runs]), each)
     begin += np.arange(len(begin)) - np.repeat(np.cumsum(each) - each, each)
-    own = at[row] + begin
+    own = at[row] + begin - low
     out = np.zeros(len(row), _RUN)
     _digit(out, _Prefix(raw, 0).of(own, own + length))
     out["content"] = _Prefix(raw, 1).of(own, own + length) >> np.uint64(32)
@@ -162,73 +166,107 @@ def _part(key: np.ndarray, parts: int) -> np.ndarray:
     return mix64(key) % np.uint64(parts)
 
 
-def _packed(row: np.ndarray, records: np.ndarray, ids: np.ndarray, tags: np.ndarray, parts: int, length: int) -> pa.RecordBatch | None:
+def _bucket(docs: np.ndarray, parts: int) -> np.ndarray:
+    """Where the findings of a document meet."""
+    return _part(docs["id"].astype(np.uint64) ^ mix64(docs["tag"].astype(np.uint64)), parts)
+
+
+def _folded(part: np.ndarray, docs: np.ndarray, data: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(part, its documents with their numbers of records, the records), from one document and record a row."""
+    if not len(part):
+        return
+    by = np.lexsort((docs["tag"], docs["id"], part))
+    part, docs, data = part[by], docs[by], data[by]
+    new = (part[1:] != part[:-1]) | (docs["id"][1:] != docs["id"][:-1]) | (docs["tag"][1:] != docs["tag"][:-1])
+    heads = np.flatnonzero(np.concatenate([[True], new]))
+    ends = np.append(heads, len(part))
+    docs, part = docs[heads], part[heads]
+    docs["rows"] = np.diff(ends)
+    edges = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+    for a, b in zip(edges, [*edges[1:], len(part)], strict=True):
+        yield int(part[a]), docs[a:b], data[ends[a]:ends[b]]
+
+
+def _unfolded(docs: pd.Series, data: pd.Series, dtype: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    """One document and record a row."""
+    docs = np.frombuffer(b"".join(docs), _DOC)
+    return np.repeat(docs, docs["rows"]), np.frombuffer(b"".join(data), dtype)
+
+
+def _packed(docs: np.ndarray, records: np.ndarray, parts: int, length: int) -> pa.RecordBatch | None:
     """One row a part: its runs with their documents, and the spans that this slice settles."""
-    if not len(row):
+    if not len(docs):
         return None
-    order, settled, _ = _settle(ids[row], records)
-    done = order[settled]
-    rest = order[~settled]
-    out = {}
-    for kind, which, part in (
-            ("runs", rest, _part(_digits(records[rest]), parts)),
-            ("spans", done, _part(ids[row[done]].astype(np.uint64), parts))):
-        by = np.lexsort((row[which], part))
-        which, part = which[by], part[by]
-        if not len(part):
-            continue
-        edges = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-        for a, b in zip(edges, [*edges[1:], len(part)], strict=True):
-            own = row[which[a:b]]
-            heads = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-            docs = np.zeros(len(heads), _DOC)
-            docs["id"], docs["tag"], docs["rows"] = ids[own[heads]], tags[own[heads]], np.diff([*heads, len(own)])
-            data = records[which[a:b]]
-            data = data.tobytes() if kind == "runs" else _spans(data, length).tobytes()
-            out[int(part[a]), kind] = (docs.tobytes(), data)
-    cols = [(p, d, x if k == "runs" else None, x if k == "spans" else None) for (p, k), (d, x) in out.items()]
-    part, docs, run, span = zip(*cols, strict=True)
+    order, settled, _ = _settle(docs["id"], records)
+    done, rest = order[settled], order[~settled]
+    runs = list(_folded(_part(_digits(records[rest]), parts), docs[rest], records[rest]))
+    spans = list(_folded(_bucket(docs[done], parts), docs[done], _spans(records[done], length)))
+    none = pa.nulls
     return pa.RecordBatch.from_arrays(
-        [pa.array(part, pa.int32()), pa.array(docs, pa.binary()), pa.array(run, pa.binary()), pa.array(span, pa.binary())],
+        [pa.array([p for p, _, _ in runs + spans], pa.int32()),
+         pa.array([d.tobytes() for _, d, _ in runs + spans], pa.binary()),
+         pa.concat_arrays([pa.array([x.tobytes() for _, _, x in runs], pa.binary()), none(len(spans), pa.binary())]),
+         pa.concat_arrays([none(len(runs), pa.binary()), pa.array([x.tobytes() for _, _, x in spans], pa.binary())])],
         ["part", "docs", "runs", "spans"])
 
 
-def _sorted_group(length: int, last: bool):
+def _pieces(part: pa.RecordBatch, overlap: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, int, int]]:
+    """(first row, bytes, starts of the texts in them, low, high): whole texts, or the piece of one long text for the windows
+    that start at low or later and before high."""
+    raw, at, _ = utf8_buffers(part.column("text"))
+    last = 0
+    for row in [*np.flatnonzero(np.diff(at) > 2 * SLICE), len(part)]:
+        if row > last:
+            yield last, raw[at[last]:at[row]], at[last:row + 1] - at[last], 0, 1 << 32
+        if row < len(part):
+            body = raw[at[row]:at[row + 1]]
+            for low in range(0, len(body), SLICE):
+                piece = body[low:low + SLICE + overlap]
+                yield row, piece, np.array([0, len(piece)]), low, low + SLICE
+        last = row + 1
+
+
+def _documents(part: pa.RecordBatch) -> np.ndarray:
+    out = np.zeros(len(part), _DOC)
+    out["id"], out["tag"] = part.column("id").to_numpy(), part.column("tag").to_numpy()
+    return out
+
+
+def _sorted_group(length: int, last: bool, parts: int):
     """Sort one part and tell each document what is settled and, unless this is the last digit, what stays open."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         found = []
 
         def tell(docs: np.ndarray, data: np.ndarray, kind: int) -> None:
-            # Arrays in parallel, any order of documents.
-            by = np.lexsort((docs["tag"], docs["id"]))
-            docs, data = docs[by], data[by]
-            heads = np.flatnonzero(np.concatenate([[True], (docs["id"][1:] != docs["id"][:-1]) | (docs["tag"][1:] != docs["tag"][:-1])]))
-            found.extend((int(docs["id"][a]), int(docs["tag"][a]), kind, data[a:b].tobytes()) for a, b in zip(heads, [*heads[1:], len(docs)], strict=True))
-
-        for name, dtype in (("spans", _SPAN), ("runs", _RUN)):
-            rows = pdf[pdf[name].notna()]
-            if rows.empty:
-                continue
-            docs = np.frombuffer(b"".join(rows["docs"]), _DOC)
-            docs = np.repeat(docs[["id", "tag"]], docs["rows"])
-            data = np.frombuffer(b"".join(rows[name]), dtype)
-            if name == "spans":
-                tell(docs, data, _SETTLED)
-                continue
+            found.extend((b, kind, d.tobytes(), x.tobytes()) for b, d, x in _folded(_bucket(docs, parts), docs, data))
+
+        ready = pdf[pdf["spans"].notna()]
+        if len(ready):
+            tell(*_unfolded(ready["docs"], ready["spans"], _SPAN), _SETTLED)
+        rows = pdf[pdf["runs"].notna()]
+        if len(rows):
+            docs, data = _unfolded(rows["docs"], rows["runs"], _RUN)
             order, settled, still = _settle(docs["id"], data)
-            if settled.any():
-                tell(docs[order[settled]], _spans(data[order[settled]], length), _SETTLED)
-            if still.any() and not last:
+            tell(docs[order[settled]], _spans(data[order[settled]], length), _SETTLED)
+            if not last:
                 tell(docs[order[still]], data[order[still]], _OPEN)
-        return pd.DataFrame(found, columns=["id", "tag", "kind", "data"])
+        return pd.DataFrame(found, columns=["bucket", "kind", "docs", "data"])
 
     return run
 
 
-def _by_document(found: DataFrame, kind: int, name: str) -> DataFrame:
-    own = found.where(F.col("kind") == kind)
-    return own.groupBy("id", "tag").agg(F.collect_list("data").alias(name))
+def _by_document(found: DataFrame, kind: int, dtype: np.dtype) -> DataFrame:
+    """(id, tag, data): all that was found of a document, in one row."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        docs, data = _unfolded(pdf["docs"], pdf["data"], dtype)
+        (_, docs, data), = _folded(np.zeros(len(docs), np.uint8), docs, data)
+        ends = np.cumsum(docs["rows"].astype(np.int64))
+        each = [data[a:b].tobytes() for a, b in zip(ends - docs["rows"], ends, strict=True)]
+        return pd.DataFrame({"id": docs["id"].astype(np.int64), "tag": docs["tag"].astype(np.int32), "data": each})
+
+    return found.where(F.col("kind") == kind).groupBy("bucket").applyInPandas(run, _OF_DOCUMENT)
 
 
 def dedup(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -243,35 +281,39 @@ def dedup(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text: str =
     def first_digit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch, "text", SLICE):
-                raw, at, _ = utf8_buffers(part.column("text"))
-                row, records = runs(raw, at, length)
-                out = _packed(row, records, part.column("doc_id").to_numpy(), part.column("tag").to_numpy(), parts, length)
-                if out is not None:
-                    yield out
+                docs = _documents(part)
+                for first, raw, at, low, _ in _pieces(part, length - 1):
+                    row, records = runs(raw, at, length)
+                    records["at"] += low
+                    out = _packed(docs[first + row], records, parts, length)
+                    if out is not None:
+                        yield out
 
     def all_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in text_slices(_restored(batch), "text", SLICE):
-                raw, at, _ = utf8_buffers(part.column("text"))
-                still = [np.frombuffer(b"".join(x), _RUN) for x in part.column("open").to_pylist()]
-                row, records = windows(raw, at, still, length)
-                out = _packed(row, records, part.column("id").to_numpy(), part.column("tag").to_numpy(), parts, length)
-                if out is not None:
-                    yield out
-
-    sortable = rows.where(F.col("doc_id").isNotNull())
-    one = sortable.mapInArrow(first_digit, _PACKED).groupBy("part").applyInPandas(_sorted_group(length, False), _FOUND)
+        for batch in map(_restored, batches):
+            for part in text_slices(batch, "text", SLICE):
+                docs = _documents(part)
+                still = [np.frombuffer(x, _RUN) for x in part.column("open").to_pylist()]
+                for first, raw, at, low, high in _pieces(part, 255 + length):
+                    own = [r[(r["at"] >= low) & (r["at"] < high)] for r in still[first:first + len(at) - 1]]
+                    row, records = windows(raw, at, own, length, low)
+                    out = _packed(docs[first + row], records, parts, length)
+                    if out is not None:
+                        yield out
+
+    sortable = rows.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("id"), "tag", "text")
+    one = sortable.mapInArrow(first_digit, _PACKED).groupBy("part").applyInPandas(_sorted_group(length, False, parts), _FOUND)
     one = materialise(one, "first-digit")
-    texts = sortable.select(F.col("doc_id").alias("id"), "tag", "text").mapInArrow(_squeezed, "id long, tag int, body binary")
-    unsure = texts.join(_by_document(one, _OPEN, "open"), ["id", "tag"])
+    texts = sortable.mapInArrow(_squeezed, "id long, tag int, body binary")
+    unsure = texts.join(_by_document(one, _OPEN, _RUN).withColumnRenamed("data", "open"), ["id", "tag"])
     two = unsure.select("id", "tag", "body", "open").mapInArrow(all_bytes, _PACKED).groupBy("part").applyInPandas(
-        _sorted_group(length, True), _FOUND)
+        _sorted_group(length, True, parts), _FOUND)
     # Written, so that the files of this shuffle are gone before the texts move once more.
     two = materialise(two, "all-bytes")
-    settled = _by_document(one.unionByName(two), _SETTLED, "spans")
+    settled = _by_document(one.unionByName(two), _SETTLED, _SPAN).withColumnRenamed("data", "spans")
     final = texts.join(settled, ["id", "tag"], "left").select(F.col("id").alias("doc_id"), "body", "spans")
     lost = rows.where(F.col("doc_id").isNull()).select("doc_id", "tag", "text").mapInArrow(
-        _squeezed, "doc_id long, tag int, body binary").select("doc_id", "body", F.lit(None).cast("array<binary>").alias("spans"))
+        _squeezed, "doc_id long, tag int, body binary").select("doc_id", "body", F.lit(None).cast("binary").alias("spans"))
     return final.union(lost).mapInArrow(
         _cut, "doc_id long, n_bytes long, n_removed long, spans array<struct<start:int,end:int>>, kept binary")
 
@@ -308,7 +350,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes, gone, spans, kept = [], [], [], []
         for body, found in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True):
             raw = body.encode()
-            own = merged(np.frombuffer(b"".join(found or []), _SPAN))
+            own = merged(np.frombuffer(found or b"", _SPAN))
             pieces, last = [], 0
             for a, b in own.tolist():
                 pieces.append(raw[last:a])
