@@ -137,16 +137,35 @@ def test_toxicity_locates_sentences(spark):
     assert toxicity.scored(docs, toxicity.learn(docs, labels.limit(0))).where("score <> 0").count() == 0
 
 
-def test_suffixes_against_brute_force(docs):
+def _without_repeats(texts):
+    """SHA-256 by document of what is left of (doc_id, text), in plain Python."""
     seen, want = {}, {}
-    for r in sorted({(r.doc_id, r.text or "") for r in docs.where("doc_id is not null").collect()}):
-        body, mask = r[1].encode(), bytearray(len(r[1].encode()))
+    for doc_id, text in sorted(texts):
+        body = text.encode()
+        mask = bytearray(len(body))
         for k in range(len(body) - 49):
-            if seen.get(body[k:k + 50], r[0]) < r[0]:
+            if seen.get(body[k:k + 50], doc_id) < doc_id:
                 mask[k:k + 50] = b"\1" * 50
-            seen.setdefault(body[k:k + 50], r[0])
-        want[r[0]] = hashlib.sha256(bytes(b for b, m in zip(body, mask, strict=True) if not m)).hexdigest()
+            seen.setdefault(body[k:k + 50], doc_id)
+        want[doc_id] = hashlib.sha256(bytes(b for b, m in zip(body, mask, strict=True) if not m)).hexdigest()
+    return want
+
+
+def test_suffixes_against_brute_force(docs):
+    want = _without_repeats({(r.doc_id, r.text or "") for r in docs.where("doc_id is not null").collect()})
     got = suffixes.dedup(docs, 50).collect()
     assert len(got) == docs.count()
     assert all(hashlib.sha256(r.kept).hexdigest() == want[r.doc_id] for r in got if r.doc_id is not None)
     assert suffixes.dedup(docs.limit(0)).count() == 0
+
+
+def test_suffixes_of_very_long_texts(spark):
+    """Texts that come in several pieces, with shared passages across the borders of the pieces."""
+    rng = np.random.default_rng(11)
+    own = lambda n: "".join(map(chr, rng.integers(97, 110, n)))
+    shared = own(450_000)
+    texts = [(1, own(350_017) + shared), (2, own(90_001) + shared[:400_123] + own(250_000) + shared[:77]), (3, shared[299_980:300_090]), (4, "x")]
+    want = _without_repeats(texts)
+    got = suffixes.dedup(spark.createDataFrame(texts, "doc_id long, text string"), 50).collect()
+    assert max(len(t) for _, t in texts) > 2 * suffixes.SLICE
+    assert {r.doc_id: hashlib.sha256(r.kept).hexdigest() for r in got} == want
