@@ -39,7 +39,7 @@ _SECOND_READING = (
     (rf"^{_DAY}{_MONTH}(\d{{4}})$", "$3-$2-$1"),
 )
 # English month names, whole or in short, read last as (shape, year, month, day groups).
-_MONTH_NAMES = "janfebmaraprmayjunjulaugsepoctnovdec"
+_MONTH_NAMES = "".join(("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"))
 _NAME = (r"(jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sep(?:t(?:ember)?)?"
          r"|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)")
 _NAMED_SHAPES = (

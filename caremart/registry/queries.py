@@ -247,15 +247,16 @@ def default_members(f: Fixtures) -> DataFrame:
       CAST(year(date_complete) AS INTEGER) AS annee, CAST(week(date_complete) AS INTEGER) AS semaine,
       dayname(date_complete) AS jour_semaine,
       CASE WHEN isodow(date_complete) >= 6 THEN 'Weekend' ELSE 'Ouvrable' END AS type_jour, 0 AS heure,
-      'Matin' AS periode_journee, CAST(n AS BIGINT) AS n_visits
-    FROM calendar JOIN (SELECT CAST(Date_Arrivee AS DATE) AS d, count(*) AS n FROM std_urgence GROUP BY 1)
+      'Matin' AS periode_journee, CAST(coalesce(n, 0) AS BIGINT) AS n_visits
+    FROM calendar LEFT JOIN (SELECT CAST(Date_Arrivee AS DATE) AS d, count(*) AS n FROM std_urgence GROUP BY 1)
       ON d = date_complete""")
 def calendar_dim(f: Fixtures) -> DataFrame:
-    """Calendar days with the number of visits on each."""
+    """All calendar days with the number of visits on each, which may be none."""
     visits = _events(f, "urgence").groupBy(F.to_date("Date_Arrivee").alias("date_complete")).agg(
         F.count(F.lit(1)).alias("n_visits")
     )
-    return dims.dim_temps(f.spark, SETTINGS).join(visits, "date_complete")
+    days = dims.dim_temps(f.spark, SETTINGS).join(visits, "date_complete", "left")
+    return days.fillna(0, ["n_visits"])
 
 
 @register("SELECT * FROM dim_patient")

@@ -108,14 +108,26 @@ def write_jdbc(df: DataFrame, options: Mapping[str, str], mode: str = "append")
     df.write.format("jdbc").options(**options, truncate="true").mode(mode).save()
 
 
+def _is_listed(spark: SparkSession, root: str, run_id: str) -> bool:
+    try:
+        runs = spark.read.schema("run_id string").parquet(f"{root}/complete_runs")
+    except AnalysisException as reason:
+        if reason.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return not runs.where(F.col("run_id") == run_id).isEmpty()
+
+
 def write_run(tables: Mapping[str, DataFrame], root: str, run_id: str) -> dict[str, int]:
     """Write several outputs as one run; readers see all of them or none.
 
-    The run is listed only after every table is written, and a listed run is never changed.
-    ``run_id`` must sort after earlier runs (a timestamp does).
+    The run is listed only after every table is written, and a listed run is never changed: its id
+    is refused. ``run_id`` must sort after earlier runs (a timestamp does).
     """
-    rows = {name: write_table(df, f"{root}/run_id={run_id}", name, mode="overwrite") for name, df in tables.items()}
     spark = next(iter(tables.values())).sparkSession
+    if _is_listed(spark, root, run_id):
+        raise ValueError(f"run {run_id} is complete under {root}")
+    rows = {name: write_table(df, f"{root}/run_id={run_id}", name, mode="overwrite") for name, df in tables.items()}
     listed = spark.range(1).select(F.lit(run_id).alias("run_id"))
     listed.write.mode("append").parquet(f"{root}/complete_runs")
     return rows

@@ -287,3 +287,11 @@ def test_connector_options():
     options = jdbc_options("jdbc:sqlserver://host;databaseName=dw", "dim_temps", batch_rows=500, user="u")
     assert options == {"url": "jdbc:sqlserver://host;databaseName=dw", "dbtable": "dim_temps", "batchsize": "500",
                        "numPartitions": "8", "user": "u"}
+
+
+def test_a_listed_run_is_refused(spark, tmp_path):
+    root = str(tmp_path / "runs")
+    write_run({"t": spark.range(3)}, root, "a")
+    with pytest.raises(ValueError, match="run a is complete"):
+        write_run({"t": spark.range(9)}, root, "a")
+    assert latest_run(spark, root, "t").count() == 3
