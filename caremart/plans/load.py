@@ -19,7 +19,7 @@ from caremart.plans.forecast import (
 from caremart.plans.settings import LoadSettings
 from caremart.plans.standardise import EVENT_DATES, LENIENT, STRICT, date_rejects, standardise
 from caremart.session import materialise, together
-from caremart.sources.delimited import EXTRACT_FILES, read_extracts
+from caremart.sources.delimited import EXTRACT_FILES, number_rows, rejected_rows, scan_extracts
 from caremart.sources.tables import (
     ALERT_TABLE,
     FORECAST_TABLE,
@@ -30,6 +30,7 @@ from caremart.sources.tables import (
 )
 
 REJECTS_TABLE = "rejets_dates"
+ROW_REJECTS_TABLE = "lignes_rejetees"
 
 
 @dataclass(frozen=True)
@@ -55,10 +56,15 @@ def load_warehouse(
     """Read the five extracts and replace all warehouse tables; returns rows per table.
 
     Every table is overwritten as a whole, so a repeated load gives the same warehouse. Dimensions
-    are written before the facts that use them and are read back with their true sizes.
+    are written before the facts that use them and are read back with their true sizes. Rows with more
+    fields than their header go to a table of rejected rows, by source.
     """
-    sources = read_extracts(spark, folder, files)
-    return load_sources(spark, sources, root, settings, mode, options)
+    stored = scan_extracts(spark, folder, files)
+    rejected = together(
+        lambda name: write_table(rejected_rows(stored[name]), f"{root}/{ROW_REJECTS_TABLE}", name, "overwrite"), stored)
+    sources = together(lambda name: number_rows(stored[name], name), stored)
+    rows = load_sources(spark, sources, root, settings, mode, options)
+    return rows | {f"{ROW_REJECTS_TABLE}/{name}": n for name, n in rejected.items()}
 
 
 def load_sources(

@@ -818,12 +818,12 @@ def mart_rollup(f: Fixtures) -> DataFrame:
 
 # ---- sources and sinks -----------------------------------------------------------------------
 
-def _written_text(df: DataFrame, sep: str, encoding: str) -> str:
-    """The rows as delimited files in key order, several files in the scratch folder."""
-    path = f"{scratch_dir(df.sparkSession)}/caremart/extract-{uuid.uuid4().hex}"
+def _written_text(df: DataFrame, sep: str, encoding: str, path: str | None = None) -> str:
+    """The rows as delimited files in key order, several files in the scratch folder; added to ``path`` if that is given."""
+    path = path or f"{scratch_dir(df.sparkSession)}/caremart/extract-{uuid.uuid4().hex}"
     ordered = df.repartitionByRange(4, "src_row").sortWithinPartitions("src_row")
     ordered.write.csv(
-        path, header=True, sep=sep, encoding=encoding, emptyValue="", nullValue="N/A",
+        path, mode="append", header=True, sep=sep, encoding=encoding, emptyValue="", nullValue="N/A", escape='"',
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
     )
     return path
@@ -853,6 +853,48 @@ def csv_scan_latin1(f: Fixtures) -> DataFrame:
     return _extract(f, "\t", "ISO-8859-1")
 
 
+@register("""SELECT src_row, CAST(src_row AS VARCHAR) AS row_text, Service,
+    CASE WHEN src_row % 3 = 0 THEN Motif_Consultation || chr(10) || 'dit "urgent", ' || Service
+         ELSE Motif_Consultation END AS Motif_Consultation FROM raw_urgence""")
+def csv_scan_multiline(f: Fixtures) -> DataFrame:
+    """Visits with line breaks, quotes and separators inside quoted fields."""
+    broken = F.concat("Motif_Consultation", F.lit('\ndit "urgent", '), "Service")
+    rows = f.source("urgence").select(
+        "src_row", F.col("src_row").cast("string").alias("row_text"), "Service",
+        F.when(F.col("src_row") % 3 == 0, broken).otherwise(F.col("Motif_Consultation")).alias("Motif_Consultation"))
+    path = _written_text(rows, ",", "UTF-8")
+    scanned = delimited.read_delimited(f.spark, path, with_origin=True).drop("src_row")
+    return delimited.stage_source(scanned, "multiline")
+
+
+@register("SELECT CAST(src_row AS VARCHAR) AS row_text, Service || ' é' AS Service FROM raw_urgence")
+def csv_scan_mixed_encoding(f: Fixtures) -> DataFrame:
+    """Visits in one folder, some files in UTF-8 and some in Latin-1: each file is read by its own encoding."""
+    rows = f.source("urgence").select(
+        "src_row", F.col("src_row").cast("string").alias("row_text"), F.concat("Service", F.lit(" é")).alias("Service"))
+    path = _written_text(rows.where("src_row % 2 = 0"), ";", "UTF-8")
+    _written_text(rows.where("src_row % 2 = 1"), ";", "ISO-8859-1", path)
+    return delimited.read_delimited(f.spark, path).select("row_text", "Service")
+
+
+@register("""SELECT CASE WHEN src_row % 5 <> 0 THEN CAST(src_row AS VARCHAR) END AS row_text,
+    CASE WHEN src_row % 5 > 1 THEN Service END AS Service,
+    CASE WHEN src_row % 5 = 0 THEN concat(src_row, ';', coalesce(Service, 'N/A'), ';"a;b";EXTRA') END AS ligne FROM raw_urgence""")
+def csv_rejects(f: Fixtures) -> DataFrame:
+    """Visits of which a fifth has a field too many and a fifth ends early: the first are rejected as text, the others are kept."""
+    row, turn = F.col("src_row").cast("string"), F.col("src_row") % 5
+    whole = F.concat_ws(";", row, F.coalesce("Service", F.lit("N/A")), F.lit('"a;b"'))
+    line = F.when(turn == 0, F.concat(whole, F.lit(";EXTRA"))).when(turn == 1, row).otherwise(whole)
+    path = f"{scratch_dir(f.spark)}/caremart/extract-{uuid.uuid4().hex}"
+    # One column whose name is the header line; quoting is left to the lines themselves.
+    f.source("urgence").select(line.alias("row_text;Service;note")).write.csv(
+        path, header=True, sep="|", escapeQuotes=False, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    stored = materialise(delimited.read_delimited(f.spark, path, with_origin=True), "over-wide")
+    kept = delimited.number_rows(stored, "over-wide").select("row_text", "Service", F.lit(None).cast("string").alias("ligne"))
+    none = F.lit(None).cast("string")
+    return kept.union(delimited.rejected_rows(stored).select(none.alias("row_text"), none.alias("Service"), "ligne"))
+
+
 @register("SELECT temps_sk, nb_arrivees, patient_sk, CAST(temps_sk // 10000 AS INTEGER) AS annee FROM fact_visits "
           "WHERE temps_sk BETWEEN 20250101 AND 20251231")
 def fact_partition_pruning(f: Fixtures) -> DataFrame:

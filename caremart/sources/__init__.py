@@ -1,9 +1,14 @@
 """Readers for delimited extracts and warehouse tables, and the writers of results."""
 
 from caremart.sources.delimited import (
+    FileKind,
     detect_delimiter,
+    file_kinds,
+    number_rows,
     read_delimited,
     read_extracts,
+    rejected_rows,
+    scan_extracts,
     stage_source,
 )
 from caremart.sources.tables import (
@@ -21,15 +26,20 @@ from caremart.sources.tables import (
 )
 
 __all__ = [
+    "FileKind",
     "detect_delimiter",
     "empty_warehouse",
+    "file_kinds",
     "jdbc_options",
     "latest_run",
+    "number_rows",
     "read_delimited",
     "read_extracts",
     "read_jdbc",
     "read_query",
     "read_table",
+    "rejected_rows",
+    "scan_extracts",
     "spread_small_scan",
     "stage_source",
     "write_fact",

@@ -11,13 +11,18 @@ from caremart.plans.facts import FactOptions
 from caremart.plans.load import Warehouse, load_forecast, load_warehouse
 from caremart.plans.settings import LoadSettings
 from caremart.plans.standardise import STRICT
+from caremart.session import materialise
 from caremart.sources import (
+    FileKind,
     detect_delimiter,
     empty_warehouse,
+    file_kinds,
     jdbc_options,
     latest_run,
+    number_rows,
     read_delimited,
     read_extracts,
+    rejected_rows,
     stage_source,
     write_run,
 )
@@ -103,6 +108,33 @@ def test_missing_file_fails_when_planned(spark, folder):
         read_delimited(spark, f"{folder}/nowhere.csv")
 
 
+def test_each_file_has_its_own_encoding_and_line_breaks_stay_in_fields(spark, tmp_path):
+    (tmp_path / "a b.csv").write_bytes("id,txt,z\n1,Élise,x\n".encode())
+    (tmp_path / "b.csv").write_bytes("id,txt,z\n2,Élise,x\n".encode("latin-1"))
+    (tmp_path / "c.csv").write_bytes('id,txt,z\n3,"line one\nline ""two"", end",x\n4,short\n'.encode())
+    assert {k: len(v) for k, v in file_kinds(spark, str(tmp_path)).items()} == {
+        FileKind("UTF-8", False): 1, FileKind("ISO-8859-1", False): 1, FileKind("UTF-8", True): 1}
+    rows = {tuple(r) for r in read_delimited(spark, str(tmp_path)).collect()}
+    assert rows == {("1", "Élise", "x"), ("2", "Élise", "x"), ("3", 'line one\nline "two", end', "x"), ("4", "short", None)}
+
+
+def test_rows_with_too_many_fields_are_rejected_whole(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,txt,z\n1,a,b\n2,"c,d",y\n3,c,y,EXTRA\n4,"e,f"\n5,"g,h",y,,LAST\n6,i,j\n')
+    stored = materialise(read_delimited(spark, str(tmp_path), with_origin=True), "wide")
+    assert [r.ligne for r in rejected_rows(stored).orderBy("ligne").collect()] == ["3,c,y,EXTRA", '5,"g,h",y,,LAST']
+    kept = number_rows(stored, "wide").orderBy("src_row").collect()
+    assert [(r.id, r.txt, r.z, r.src_row) for r in kept] == [
+        ("1", "a", "b", 0), ("2", "c,d", "y", 1), ("4", "e,f", None, 3), ("6", "i", "j", 5)]
+    assert read_delimited(spark, str(tmp_path)).count() == 4
+
+
+def test_files_with_another_header_are_not_read_by_position(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,txt\n1,a\n")
+    (tmp_path / "b.csv").write_text("txt,id\nb,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_delimited(spark, str(tmp_path)).collect()
+
+
 def test_rows_are_numbered_in_file_order_over_uneven_files(spark, tmp_path):
     n = 0
     for part, size in enumerate((5, 3000, 1, 700)):
