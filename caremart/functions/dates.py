@@ -19,7 +19,7 @@ from caremart.functions.text import strip
 PLAUSIBLE_YEARS = (2020, 2030)
 FALLBACK_DATE = dt.date(2025, 1, 1)
 
-_TIME = r"( \d{1,2}:\d{1,2}(?::\d{1,2})?)?"
+_TIME = r"([ T]\d{1,2}:\d{1,2}(?::\d{1,2})?)?"
 
 # Written forms read by the lenient parse, as (shape, ISO order). Day-first wins over month-first;
 # run-together digits are read year-month-day before day-month-year. Fields may lack their zero.
@@ -31,20 +31,30 @@ _FIRST_READING = (
     (rf"^(\d{{1,2}})([-/.])(\d{{1,2}})\2(\d{{2}}){_TIME}$", "20$4-$1-$3$5"),
     (rf"^(\d{{1,2}})(\.)(\d{{1,2}})\2(\d{{4}}){_TIME}$", "$4-$1-$3$5"),
     (rf"^(\d{{4}}){_MONTH}{_DAY}$", "$1-$2-$3"),
+    (rf"^(\d{{4}})\.(\d{{1,2}})\.(\d{{1,2}}){_TIME}$", "$1-$2-$3$4"),
+    (r"^(\d{4})(\d\d)(\d\d)[ T]?(\d\d):?(\d\d)$", "$1-$2-$3 $4:$5"),
+    (r"^(\d{4})(\d\d)(\d\d)[ T]?(\d\d):?(\d\d):?(\d\d)$", "$1-$2-$3 $4:$5:$6"),
+    (r"^(\d{1,2})[-/](\d{4})$", "$2-$1"),
 )
+# A time with an offset is read as the local time that is written: the day must not move.
+_OFFSET = (r"^(\d{4}[-/]\d{1,2}[-/]\d{1,2}[ T]\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d+)?)?) ?(?:[zZ]|[+-]\d\d(?::?\d\d)?)$", "$1")
+_HALF_DAY = r"(?i) ?[ap]m$"
 _SECOND_READING = (
     (rf"^(\d{{1,2}})([-/])(\d{{1,2}})\2(\d{{4}}){_TIME}$", "$4-$1-$3$5"),
     (rf"^(\d{{1,2}})([-/.])(\d{{1,2}})\2(\d{{2}}){_TIME}$", "20$4-$3-$1$5"),
     (rf"^(\d{{1,2}})(\.)(\d{{1,2}})\2(\d{{4}}){_TIME}$", "$4-$3-$1$5"),
     (rf"^{_DAY}{_MONTH}(\d{{4}})$", "$3-$2-$1"),
+    (r"^(\d{4})[-/](\d{1,2})[-/](\d{1,2}) (\d{1,2})h(\d\d)$", "$1-$2-$3 $4:$5"),
 )
-# English month names, whole or in short, read last as (shape, year, month, day groups).
-_MONTH_NAMES = "".join(("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"))
+# English month names, whole or in short, read last as (shape, year, month, day, time groups).
+_MONTH_NAMES = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
 _NAME = (r"(jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sep(?:t(?:ember)?)?"
          r"|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)")
+_WEEKDAY = r"(?:(?:mon|tues?|wed(?:nes)?|thu(?:rs?)?|fri|sat(?:ur)?|sun)(?:day)?,? )?"
 _NAMED_SHAPES = (
-    (rf"(?i)^{_NAME}\.? (\d{{1,2}}),? (\d{{4}})$", 3, 1, 2),
-    (rf"(?i)^(\d{{1,2}})[- ]{_NAME}\.?[- ](\d{{4}})$", 3, 2, 1),
+    (rf"(?i)^{_WEEKDAY}{_NAME}\.? (\d{{1,2}}),? (\d{{4}}|\d\d){_TIME}$", 3, 1, 2, 4),
+    (rf"(?i)^{_WEEKDAY}(\d{{1,2}})[- ]{_NAME}\.?,?[- ](\d{{4}}|\d\d){_TIME}$", 3, 2, 1, 4),
+    (rf"(?i)^(){_NAME}\.?,?[- ](\d{{4}})$", 3, 2, 1, 1),
 )
 
 # Written forms read by the strict parse: seconds only after year-first, none after day-first.
@@ -93,11 +103,15 @@ def _as_timestamp(iso: Column, years: tuple[int, int] | None) -> Column:
 def _named(text: Column) -> Column:
     """ISO order of a text with a month name, NULL for other texts."""
     chain = F.lit(None).cast("string")
-    for shape, year, month, day in _NAMED_SHAPES:
-        part = {g: F.regexp_extract(text, shape, g) for g in (year, month, day)}
-        place = F.position(F.lower(F.substring(part[month], 1, 3)), F.lit(_MONTH_NAMES))
+    for shape, year, month, day, time in _NAMED_SHAPES:
+        part = {g: F.regexp_extract(text, shape, g) for g in (year, month, day, time)}
+        place = F.position(F.lower(F.substring(part[month], 1, 3)), F.lit("".join(_MONTH_NAMES)))
         number = F.floor((place + 2) / 3).cast("string")
-        chain = F.when(text.rlike(shape), F.concat_ws("-", part[year], number, part[day])).otherwise(chain)
+        century = F.when(F.length(part[year]) == 2, F.lit("20")).otherwise(F.lit(""))
+        # A month alone is its first day.
+        first = F.when(part[day] == "", F.lit("1")).otherwise(part[day])
+        iso = F.concat(F.concat_ws("-", F.concat(century, part[year]), number, first), part[time])
+        chain = F.when(text.rlike(shape), iso).otherwise(chain)
     return chain
 
 
@@ -108,14 +122,28 @@ def parse_date(text: Column, years: tuple[int, int] | None = PLAUSIBLE_YEARS) ->
     """
 
     def read(clean: Column) -> Column:
-        year_first = F.when(clean.rlike(_YEAR_FIRST), F.replace(clean, F.lit("/"), F.lit("-")))
+        local = F.when(clean.rlike(_OFFSET[0]), F.regexp_replace(clean, *_OFFSET)).otherwise(clean)
+        year_first = F.when(clean.rlike(_YEAR_FIRST), F.replace(local, F.lit("/"), F.lit("-")))
         return F.coalesce(
             _as_timestamp(_rewrite(clean, _FIRST_READING, year_first), years),
             _as_timestamp(_rewrite(clean, _SECOND_READING), years),
             _as_timestamp(_named(clean), years),
         )
 
-    return _cleaned(text, read)
+    def read_half_day(clean: Column) -> Column:
+        twelve, late = F.expr("INTERVAL 12 HOURS"), F.lower(F.right(clean, F.lit(2))) == "pm"
+
+        def shift(at: Column) -> Column:
+            hour = F.hour(at)
+            # Hours above 12 say the half of the day themselves.
+            return F.when(late & (hour < 12), at + twelve).when(~late & (hour == 12), at - twelve).otherwise(at)
+
+        return _let(_let(F.regexp_replace(clean, _HALF_DAY, ""), read), shift)
+
+    def read_any(clean: Column) -> Column:
+        return F.when(F.lower(F.right(clean, F.lit(2))).isin("am", "pm"), read_half_day(clean)).otherwise(read(clean))
+
+    return _cleaned(text, read_any)
 
 
 def parse_date_or(

@@ -156,3 +156,19 @@ def test_seeded_attributes_repeat(spark):
     low, high, n_low, n_high = made.agg(F.min("u"), F.max("u"), F.min("n"), F.max("n")).first()
     assert (1 <= low < 1.1) and (19.9 < high <= 20) and (n_low, n_high) == (10, 59)
     assert {r[0] for r in made.select("s").distinct().collect()} == {"M", "F"}
+
+
+def test_tolerant_dates_keep_the_local_time(spark):
+    said = {
+        "2026.05.31": "2026-05-31 00:00", "2026-05-31 08:55 PM": "2026-05-31 20:55", "31/05/2026 08:55 PM": "2026-05-31 20:55",
+        "05/31/2026 8:55 AM": "2026-05-31 08:55", "May 31, 2026 10:00": "2026-05-31 10:00", "31 May 2026 08:55": "2026-05-31 08:55",
+        "05/2026": "2026-05-01 00:00", "May 2026": "2026-05-01 00:00", "20260531 0855": "2026-05-31 08:55",
+        "20260531085500": "2026-05-31 08:55", "2026-05-31 08h55": "2026-05-31 08:55", "31-May-26": "2026-05-31 00:00",
+        "31/05/2026T08:55:00": "2026-05-31 08:55", "Sunday, May 31, 2026": "2026-05-31 00:00",
+        "2026-05-31T01:55:00+02:00": "2026-05-31 01:55", "2026-05-31 23:55:00-0500": "2026-05-31 23:55",
+        "2026-05-31T00:55:00.250Z": "2026-05-31 00:55", "2026-05-31 12:05 am": "2026-05-31 00:05", "2026-05-31 12:05 PM": "2026-05-31 12:05",
+        "31 Program": None, "2026-13-40 08:55 PM": None,
+    }
+    df = spark.createDataFrame([(k,) for k in said], "t string")
+    rows = df.select("t", F.date_format(fn.parse_date(F.col("t")), "yyyy-MM-dd HH:mm").alias("d")).collect()
+    assert {r.t: r.d for r in rows} == said
