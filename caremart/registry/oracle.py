@@ -12,7 +12,7 @@ from caremart.registry import fixtures as fx
 
 RUN_DATE = "DATE '2024-06-30'"
 
-# Written forms in the order they are tried.
+# Written forms in the order they are tried.
 _LENIENT = ("%Y-%m-%d %H:%M:%S", "%Y-%m-%d %H:%M", "%Y-%m-%d", "%d/%m/%Y %H:%M:%S", "%d/%m/%Y %H:%M", "%d/%m/%Y",
             "%d-%m-%Y %H:%M:%S", "%d-%m-%Y %H:%M", "%d-%m-%Y", "%m/%d/%Y %H:%M:%S", "%m/%d/%Y %H:%M", "%m/%d/%Y",
             "%Y%m%d", "%d%m%Y", "%Y-%m-%dT%H:%M:%S")
