@@ -6,8 +6,10 @@ least ``SHARED`` points, and each candidate pair is verified once by its cosine
 smallest shared point. Lists longer than ``BLOCK`` are cut into a grid of blocks, so no task holds a whole hot list.
 A task never emits pairs: it emits, per vector, the number of its links and a spanning forest of the links.
 
-The reference points are a bounded sample: ``sqrt(rows)`` vectors, 64 at least and ``MAX_PIVOTS`` at most, those with the
-smallest hash of their id. All rows are indexed. Recall against brute force is measured in tests/llm.
+The reference points come from a bounded sample: ``sqrt(rows)`` vectors, 64 at least and ``MAX_PIVOTS`` at most, those with the
+smallest hash of their id. Of points within a cosine of ``APART`` only the first stays: a group of near copies, whatever its share of
+the rows, has one point, so its members name the same points and its lists are verified whole. All rows are indexed. Recall
+against brute force is measured in tests/llm.
 
 Defined results: a vector that is null, empty, zero or holds a null or non-finite component, or whose label
 is null, links with nothing; so does a vector of another length. Rows that share an id stand as one, with
@@ -28,6 +30,8 @@ from caremart.llm.common import components
 from caremart.session import materialise
 
 MAX_PIVOTS, LIST, SHARED, BLOCK = 4096, 8, 2, 1024
+#: Cosine above which a sampled vector is no reference point beside an earlier one.
+APART = 0.9
 
 
 def _described(vectors: DataFrame, pivots: np.ndarray) -> DataFrame:
@@ -51,8 +55,21 @@ def _described(vectors: DataFrame, pivots: np.ndarray) -> DataFrame:
     return vectors.mapInPandas(describe, "id long, label string, unit array<double>, near array<int>")
 
 
-def _linked(threshold: float):
-    """Links of one cell of a list: counts per vector and a spanning forest."""
+def _spread(sample: list[list[float]]) -> np.ndarray:
+    """Unit reference points, in the order of the sample, no two of them within ``APART``; shorter ones end in zeros."""
+    width = max(map(len, sample))
+    points = np.stack([np.pad(np.array(v) / np.abs(v).max(), (0, width - len(v))) for v in sample])
+    points /= np.sqrt((points * points).sum(axis=1, keepdims=True))
+    kept = 0
+    for point in points:
+        if not (points[:kept] @ point > APART).any():
+            points[kept] = point
+            kept += 1
+    return points[:kept]
+
+
+def _linked(threshold: float, needed: int):
+    """Links of one cell of a list: counts per vector and a spanning forest. Candidates share ``needed`` points."""
 
     def links(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         _, pivot, first, second = key
@@ -77,7 +94,7 @@ def _linked(threshold: float):
                 own = a[start:start + 256]
                 shared = named[own] @ named[b].T
                 before = named[own][:, :below] @ named[b][:, :below].T
-                candidate = (shared >= SHARED) & (before == 0)
+                candidate = (shared >= needed) & (before == 0)
                 if first == second:
                     candidate &= ids[own][:, None] < ids[b][None, :]
                 u = np.stack(pdf["unit"].iloc[own].to_list())
@@ -124,9 +141,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, id_col: str = "
     if not sample:
         return rows.select(F.col("id").alias("vec_id"), F.lit(0).cast("long").alias("n_links"),
                            F.col("id").alias("component_id"), F.lit(True).alias("kept"))
-    width = max(map(len, sample))
-    pivots = np.stack([np.pad(np.array(v) / np.abs(v).max(), (0, width - len(v))) for v in sample])
-    pivots /= np.sqrt((pivots * pivots).sum(axis=1, keepdims=True))
+    pivots = _spread(sample)
     described = materialise(_described(usable_rows, pivots), "described")
     lists = described.select("id", "label", "unit", "near", F.explode("near").alias("pivot"))
     sizes = lists.groupBy("label", "pivot").agg(F.count("*").alias("n")).where("n > 1").withColumn(
@@ -138,7 +153,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, id_col: str = "
         "id", "unit", "near", "label", "pivot", "block",
         F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"))
     found = materialise(cells.groupBy("label", "pivot", "first", "second").applyInPandas(
-        _linked(threshold), "a long, b long, links long"), "links")
+        _linked(threshold, min(SHARED, len(pivots))), "a long, b long, links long"), "links")
     counts = found.where("a = b").groupBy(F.col("a").alias("id")).agg(F.sum("links").alias("n_links"))
     groups = components(found.where("a <> b").select("a", "b")).withColumnRenamed("node", "id")
     component = F.coalesce("component", "id")
