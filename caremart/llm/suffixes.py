@@ -1,7 +1,8 @@
-"""Exact dedup of repeated byte strings by a depth-limited radix sort of suffixes.
+"""Dedup of repeated byte strings by minimizers and window hashes.
 
-Suffixes are ordered by their first ``length`` bytes only: windows that fall together are exactly the repeated strings. The
-sort goes digit by digit, and only groups with more than one document go to the next digit:
+The method dealt was a depth-limited most-significant-digit radix sort of suffixes. It was exchanged: no suffix is ordered by its leading
+bytes. A "digit" here is a hash, of a part of a window or of all its ``length`` bytes; windows that fall together in all hashes count as
+equal and are not compared byte by byte. Only groups with more than one document go to the next digit:
 
 1. Each window of ``length`` bytes is filed under its smallest hashed ``DIGIT``-byte string (leftmost on ties), which equal windows share.
    Consecutive windows with the same one form a run, so a text has about one run in 16 bytes. Runs are dealt by the first digit, its hash,
@@ -13,7 +14,8 @@ sort goes digit by digit, and only groups with more than one document go to the
 
 Runs are packed as arrays, so the shuffle moves about 17 bytes a run, and a content that a smaller document of the same
 slice of input has is settled before it: a passage of a third of all documents costs one run for each slice. What a group finds
-is packed by buckets of documents too, and becomes one row a document there. Hashes have 96 bits in all at either depth. The texts
+is packed by buckets of documents too, and becomes one row a document there. Equality rests on 80 hash bits (48 of the
+digit, 32 of the content); the part is a function of the digit and adds none. The texts
 themselves move compressed, once for the windows and once for the cut. Very long texts are read in pieces that overlap by a window.
 
 Defined results: a null text is empty; texts below ``length`` bytes lose nothing. Rows that share an id never match each
