@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caremart.llm import chunks, language, lines, minhash, mixing, packing, pivots, suffixes, topk, toxicity
+from caremart.llm import (
+    chunks,
+    divergence,
+    fertility,
+    interaction,
+    language,
+    lines,
+    minhash,
+    mixing,
+    packing,
+    pivots,
+    suffixes,
+    topk,
+    toxicity,
+)
 from caremart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,9 +100,30 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_filter_interaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes at each step of each order, by language."""
+    return interaction.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of a language use its words differently, and the words each overuses most."""
+    return divergence.audit(table(spark, sf_dir, "documents"), min_docs=10, top=10)
+
+
+def op13_tokenizer_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its base counts and the verdict of the fertility bands."""
+    import public_tokenizers
+
+    out = fertility.judged(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"), tokenizer_path("byte_bpe_50k.tiktoken"),
+                           public_tokenizers.PATTERN)
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+                      *fertility.MEASURES, "outside")
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_line_dedup, op2_chunk_dedup, op3_source_mixing, op4_exact_topk, op5_curve_packing,
-                                   op6_minmax_near_dedup, op7_language_id, op8_embedding_near_dedup, op9_toxicity, op10_suffix_dedup)}
+                                   op6_minmax_near_dedup, op7_language_id, op8_embedding_near_dedup, op9_toxicity, op10_suffix_dedup,
+                                   op11_filter_interaction, op12_source_divergence, op13_tokenizer_fertility)}
 
 
 _OP1 = """
@@ -158,5 +193,64 @@ FROM least_of LEFT JOIN degree ON a = node
 """
 
 
+_OP11 = r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+judged AS (SELECT part, CAST(len(w) < 200 AS INTEGER) + 2 * CAST(100 * len(list_distinct(w)) < 50 * len(w) AS INTEGER)
+    + 4 * CAST(100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) AS INTEGER)
+    + 8 * CAST(regexp_matches(text, '[#$%&*|]') AS INTEGER)
+    + 16 * CAST(coalesce(d.doc_id > min(d.doc_id) OVER (PARTITION BY text), false) AS INTEGER) AS fails,
+    coalesce(good, false) AS good, coalesce(toxic, false) AS toxic FROM d LEFT JOIN l ON d.doc_id = l.doc_id),
+masks AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM judged GROUP BY ALL),
+bits AS (SELECT chr(65 + CAST(k AS INTEGER)) AS f, 1 << CAST(k AS INTEGER) AS bit FROM range(5) r(k)),
+orders AS (SELECT [a.f, b.f, c.f, d.f, e.f] AS fs, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bs FROM bits a, bits b, bits c, bits d, bits e
+    WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+steps AS (SELECT array_to_string(fs, '') AS filter_order, CAST(k AS INTEGER) AS step, bs[k] AS bit,
+    CAST(coalesce(list_sum(bs[1:k - 1]), 0) AS INTEGER) AS before FROM orders, range(1, 6) r(k)),
+sizes AS (SELECT part, filter_order, step, bit,
+    CAST(sum(n) FILTER ((fails & (before | bit)) = 0) AS BIGINT) AS kept,
+    CAST(sum(n) FILTER ((fails & bit) > 0 AND (fails & before) = 0) AS BIGINT) AS removed,
+    CAST(sum(n) FILTER ((fails & bit) > 0 AND (fails & before) > 0) AS BIGINT) AS redundant,
+    CAST(sum(n) FILTER (fails = bit) AS BIGINT) AS unique_fails,
+    CAST(sum(good) FILTER ((fails & bit) > 0 AND (fails & before) = 0) AS BIGINT) AS good_lost,
+    CAST(sum(toxic) FILTER ((fails & bit) > 0 AND (fails & before) = 0) AS BIGINT) AS toxic_lost
+    FROM masks, steps GROUP BY ALL)
+SELECT part, filter_order, step, coalesce(kept, 0) AS kept, coalesce(removed, 0) AS removed, coalesce(redundant, 0) AS redundant,
+    coalesce(unique_fails, 0) AS unique_fails, coalesce(good_lost, 0) AS good_lost, coalesce(toxic_lost, 0) AS toxic_lost,
+    CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM sizes
+"""
+
+_OP12 = r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+said AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term FROM said GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+held AS (SELECT lang, source, term, count(*) AS c FROM said SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+groups AS (SELECT DISTINCT lang, source FROM d),
+n AS (SELECT lang, source, sum(c) AS n FROM held GROUP BY ALL),
+grid AS (SELECT g.lang, g.source, k.term, coalesce(h.c, 0) AS c,
+    1 + 1000000000::HUGEINT * (coalesce(h.c, 0) + 2) // (coalesce(n.n, 0) + 2 * v.v) AS p
+    FROM groups g JOIN kept k ON g.lang = k.lang JOIN v ON g.lang = v.lang
+    LEFT JOIN held h ON g.lang = h.lang AND g.source = h.source AND k.term = h.term
+    LEFT JOIN n ON g.lang = n.lang AND g.source = n.source),
+whole AS (SELECT lang, term, 1 + 1000000000::HUGEINT * (sum(c) + 2) // (sum(sum(c)) OVER (PARTITION BY lang) + 2 * any_value(v.v)) AS q
+    FROM held JOIN v USING (lang) GROUP BY lang, term),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS BIGINT) AS value
+    FROM grid a JOIN grid b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+    UNION ALL
+    SELECT a.lang, a.source, 'pair', b.source, 0 FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    WHERE a.lang NOT IN (SELECT lang FROM v)),
+over AS (SELECT g.lang, g.source, 'term' AS part, g.term AS item, CAST((p - q) * (p - q) // (p + q) AS BIGINT) AS value
+    FROM grid g JOIN whole w ON g.lang = w.lang AND g.term = w.term WHERE c > 0 AND p > q)
+SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM (SELECT * FROM pairs UNION ALL SELECT * FROM over) QUALIFY part = 'pair' OR rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": _OP1, "op3_source_mixing": _OP3, "op4_exact_topk": _OP4, "op8_embedding_near_dedup": _OP8}
+    return {"op11_filter_interaction": _OP11, "op12_source_divergence": _OP12,
+            "op1_line_dedup": _OP1, "op3_source_mixing": _OP3, "op4_exact_topk": _OP4, "op8_embedding_near_dedup": _OP8}
