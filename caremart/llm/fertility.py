@@ -1,7 +1,7 @@
 """Quality rules by tokeniser fertility.
 
-Public vocabularies measure each text by its words: characters per token under a byte-level and under a byte-fallback vocabulary, the share
-of tokens that are single bytes for want of a better one, and the entropy of its tokens. Text of the kind a language's other texts are
+Public vocabularies measure each text by its words: characters and letters per token under a byte-fallback vocabulary, letters per token under
+a byte-level one, the share of tokens that are single bytes for want of a better one, and the entropy of its tokens. Text of the kind a language's other texts are
 made of splits into tokens as those do; runs of symbols, shouting, keyboard noise, encoded data and repeated words do not. A text
 is kept if each measure lies in the band of its language, taken at its own length: ``len_class`` is the doubling of the number of tokens.
 
@@ -50,12 +50,13 @@ WIDTH = 3.0
 #: Bin and least distance between the quartiles of each measure.
 MEASURES = {
     "chars_per_piece": (0.01, 0.08),
-    "chars_per_rank": (0.01, 0.08),
+    "letters_per_piece": (0.01, 0.08),
+    "letters_per_rank": (0.01, 0.08),
     "fallback_share": (0.002, 0.01),
     "token_entropy": (0.02, 0.25),
 }
 
-# Scripts by ranges of code points.
+# Scripts by ranges of code points. A character of a script counts as a letter.
 SCRIPTS = {
     "Latin": ((0x41, 0x5A), (0x61, 0x7A), (0xC0, 0x24F), (0x1E00, 0x1EFF)),
     "Greek": ((0x370, 0x3FF), (0x1F00, 0x1FFF)),
@@ -77,7 +78,7 @@ SYMBOLS = "#*$%&|<>"
 
 _SPACE = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
 _SYMBOL = np.isin(np.arange(256), list(SYMBOLS.encode()))
-_MEASURED = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, script string, n_pieces long, "
+_MEASURED = ("n_words long, word_chars long, n_letters long, n_symbols long, n_dup_lines long, n_repeat_words long, script string, n_pieces long, "
              "n_ranks long, n_fallback long, token_entropy double")
 
 
@@ -219,7 +220,7 @@ def _measure(texts: list[str | None], tokens: Tokens, scripts: np.ndarray) -> di
     n = len(texts)
     count = lambda mask: np.array([np.count_nonzero(mask[a:b]) for a, b in spans], np.int64)
     out = {
-        "n_words": np.bincount(doc, minlength=n), "word_chars": count(inside), "n_symbols": count(symbol),
+        "n_words": np.bincount(doc, minlength=n), "word_chars": count(inside), "n_letters": count(script), "n_symbols": count(symbol),
         "n_dup_lines": np.array([len(x) - len(set(x)) for x in lines], np.int64),
         "script": [names[int(m.argmax()) + 1] if m.any() else NO_SCRIPT for m in most],
     }
@@ -265,12 +266,13 @@ def measured(docs: DataFrame, pieces: str, ranks: str, pattern: str, id_col: str
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     out = rows.mapInArrow(run, f"doc_id {kind}, lang string, {_MEASURED}")
-    per_token = lambda column: F.col("word_chars") / F.nullif(column, F.lit(0))
+    per_token = lambda what, column: F.col(what) / F.nullif(column, F.lit(0))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
     return out.withColumns({
-        "chars_per_piece": per_token("n_pieces"),
-        "chars_per_rank": per_token("n_ranks"),
-        "fallback_share": F.col("n_fallback") / F.nullif("n_pieces", F.lit(0)),
+        "chars_per_piece": per_token("word_chars", "n_pieces"),
+        "letters_per_piece": per_token("n_letters", "n_pieces"),
+        "letters_per_rank": per_token("n_letters", "n_ranks"),
+        "fallback_share": per_token("n_fallback", "n_pieces"),
         "len_class": F.floor(F.log2(F.greatest("n_pieces", F.lit(1)))).cast("int"),
         "base_failed": failed,
     })
