@@ -1,14 +1,15 @@
 """Dates in many written forms, and date keys.
 
-Trying formatter after formatter costs one caught exception per failed form and row. Here the
-text is rewritten once to ISO order by its shape (day-first reading, then month-first reading)
-and cast once per reading, which never throws.
+Trying formatter after formatter costs one caught exception per failed form and row. Here the digits of a text are masked once;
+the common forms are told apart by comparing the mask with a few constants, put into ISO order by position and cast, all in
+generated code. Only a text that no mask fits goes through patterns.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from itertools import product
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -19,42 +20,67 @@ from caremart.functions.text import strip
 PLAUSIBLE_YEARS = (2020, 2030)
 FALLBACK_DATE = dt.date(2025, 1, 1)
 
-_TIME = r"([ T]\d{1,2}:\d{1,2}(?::\d{1,2})?)?"
+Years = tuple[int, int] | None
 
-# Written forms read by the lenient parse, as (shape, ISO order). Day-first wins over month-first;
-# run-together digits are read year-month-day before day-month-year. Fields may lack their zero.
-_YEAR_FIRST = r"^\d{4}([-/]\d{1,2}([-/]\d{1,2}([ T]\d.*)?)?)?$"
-_DAY = r"(3[01]|[12]\d|0[1-9]|[1-9])"
-_MONTH = r"(1[0-2]|0[1-9]|[1-9])"
-_FIRST_READING = (
-    (rf"^(\d{{1,2}})([-/])(\d{{1,2}})\2(\d{{4}}){_TIME}$", "$4-$3-$1$5"),
-    (rf"^(\d{{1,2}})([-/.])(\d{{1,2}})\2(\d{{2}}){_TIME}$", "20$4-$1-$3$5"),
-    (rf"^(\d{{1,2}})(\.)(\d{{1,2}})\2(\d{{4}}){_TIME}$", "$4-$1-$3$5"),
-    (rf"^(\d{{4}}){_MONTH}{_DAY}$", "$1-$2-$3"),
-    (rf"^(\d{{4}})\.(\d{{1,2}})\.(\d{{1,2}}){_TIME}$", "$1-$2-$3$4"),
-    (r"^(\d{4})(\d\d)(\d\d)[ T]?(\d\d):?(\d\d)$", "$1-$2-$3 $4:$5"),
-    (r"^(\d{4})(\d\d)(\d\d)[ T]?(\d\d):?(\d\d):?(\d\d)$", "$1-$2-$3 $4:$5:$6"),
-    (r"^(\d{1,2})[-/](\d{4})$", "$2-$1"),
-)
-# A time with an offset is read as the local time that is written: the day must not move.
-_OFFSET = (r"^(\d{4}[-/]\d{1,2}[-/]\d{1,2}[ T]\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d+)?)?) ?(?:[zZ]|[+-]\d\d(?::?\d\d)?)$", "$1")
-_HALF_DAY = r"(?i) ?[ap]m$"
-_SECOND_READING = (
-    (rf"^(\d{{1,2}})([-/])(\d{{1,2}})\2(\d{{4}}){_TIME}$", "$4-$1-$3$5"),
-    (rf"^(\d{{1,2}})([-/.])(\d{{1,2}})\2(\d{{2}}){_TIME}$", "20$4-$3-$1$5"),
-    (rf"^(\d{{1,2}})(\.)(\d{{1,2}})\2(\d{{4}}){_TIME}$", "$4-$3-$1$5"),
-    (rf"^{_DAY}{_MONTH}(\d{{4}})$", "$3-$2-$1"),
-    (r"^(\d{4})[-/](\d{1,2})[-/](\d{1,2}) (\d{1,2})h(\d\d)$", "$1-$2-$3 $4:$5"),
-)
-# English month names, whole or in short, read last as (shape, year, month, day, time groups).
+# ---- common forms, by mask -----------------------------------------------------------------------------------------------------
+
+_CLOCKS = ("00:00", "0:00", "00:00:00", "0:00:00")
+_EXACT_CLOCKS = (*_CLOCKS, "00:00:00.000", "00:00:00.000000")
+
+
+def _masks(dates: tuple[str, ...], joints: tuple[str, ...], clocks: tuple[str, ...]) -> list[str]:
+    """The masks of some dates, alone and with a time behind."""
+    return [*dates, *(f"{d}{j}{c}" for d, j, c in product(dates, joints, clocks))]
+
+
+_ISO_MASKS = _masks(("0000-00-00", "0000-0-00", "0000-00-0", "0000-0-0"), (" ", "T"), _EXACT_CLOCKS)
+_DAY_FIRST_MASKS = [
+    m for sep in "/-"
+    for m in _masks(tuple(f"{d}{sep}{m}{sep}0000" for d, m in product(("00", "0"), repeat=2)), (" ",), _CLOCKS)
+]
+_COMPACT_MASK = "00000000"
+
+# ---- other forms, by pattern, in lower case ------------------------------------------------------------------------------------
+
+# English month names, whole or in short.
 _MONTH_NAMES = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
 _NAME = (r"(jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sep(?:t(?:ember)?)?"
          r"|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)")
-_WEEKDAY = r"(?:(?:mon|tues?|wed(?:nes)?|thu(?:rs?)?|fri|sat(?:ur)?|sun)(?:day)?,? )?"
+_WEEKDAY = r"(?:mon|tues?|wed(?:nes)?|thu(?:rs?)?|fri|sat(?:ur)?|sun)(?:day)?"
+_TH = r"(?:st|nd|rd|th)?"
+
+#: What a readable text is made of; anything else is given up at its first other word.
+_WORDS = rf"(?Ui)^(?>[\d\s:.,/+-]|{_NAME}|{_WEEKDAY}|st|nd|rd|th|of|[ap]m|[htz])++$"
+
+_CLOCK = r"(\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d{1,6})?)?)"
+_ZONE = r"(?: ?(?:z|[+-]\d\d(?::?\d\d)?))?"
+_TIME = rf"(?:[ t]{_CLOCK}{_ZONE})?"
+_PLAIN_TIME = r"(?: (\d{1,2}:\d{1,2}(?::\d{1,2})?))?"
+_DAY = r"(3[01]|[12]\d|0[1-9]|[1-9])"
+_MONTH = r"(1[0-2]|0[1-9]|[1-9])"
+
+# In these forms the month comes before the day where the text leaves it open; the other reading is tried next.
+# (shape, readings in ISO order)
+_SHAPES = (
+    (rf"^(\d{{4}})([-/.])(\d{{1,2}})\2(\d{{1,2}}){_TIME}$", ("$1-$3-$4 $5",)),
+    (rf"^(\d{{4}}) (\d{{1,2}}) (\d{{1,2}}){_TIME}$", ("$1-$2-$3 $4",)),
+    (r"^(\d{4})[-/](\d{1,2})$", ("$1-$2-1",)),
+    (r"^(\d{4})$", ("$1-1-1",)),
+    (rf"^(\d{{1,2}})([-/. ])(\d{{1,2}})\2(\d{{4}}){_TIME}$", ("$4-$1-$3 $5", "$4-$3-$1 $5")),
+    (rf"^(\d{{1,2}})([-/.])(\d{{1,2}})\2(\d{{2}}){_TIME}$", ("20$4-$1-$3 $5", "20$4-$3-$1 $5")),
+    (r"^(\d{1,2})[-/](\d{4})$", ("$2-$1-1",)),
+    (r"^(\d{4})(\d\d)(\d\d)[ t]?(\d\d):?(\d\d)$", ("$1-$2-$3 $4:$5",)),
+    (r"^(\d{4})(\d\d)(\d\d)[ t]?(\d\d):?(\d\d):?(\d\d)$", ("$1-$2-$3 $4:$5:$6",)),
+)
+# A plain date with an unusual time or blanks, day first; and digits with a missing zero, year first.
+_PLAIN = (rf"^(\d{{1,2}})([-/])(\d{{1,2}})\2(\d{{4}}){_PLAIN_TIME}$", ("$4-$3-$1 $5", "$4-$1-$3 $5"))
+_RUN_TOGETHER = ((rf"^(\d{{4}}){_MONTH}{_DAY}$", "$1-$2-$3"), (rf"^{_DAY}{_MONTH}(\d{{4}})$", "$3-$2-$1"))
+# (shape, groups of year, month name, day and time); a missing day is the first.
 _NAMED_SHAPES = (
-    (rf"(?i)^{_WEEKDAY}{_NAME}\.? (\d{{1,2}}),? (\d{{4}}|\d\d){_TIME}$", 3, 1, 2, 4),
-    (rf"(?i)^{_WEEKDAY}(\d{{1,2}})[- ]{_NAME}\.?,?[- ](\d{{4}}|\d\d){_TIME}$", 3, 2, 1, 4),
-    (rf"(?i)^(){_NAME}\.?,?[- ](\d{{4}})$", 3, 2, 1, 1),
+    (rf"^(?:{_WEEKDAY},? )?{_NAME}\.?[ -](\d{{1,2}}){_TH},?[ -](\d{{4}}|\d\d){_TIME}$", (3, 1, 2, 4)),
+    (rf"^(?:{_WEEKDAY},? )?(\d{{1,2}}){_TH}[- ](?:of )?{_NAME}\.?,?[- ](\d{{4}}|\d\d){_TIME}$", (3, 2, 1, 4)),
+    (rf"^(\d{{4}})[- ]{_NAME}[- ](\d{{1,2}}){_TIME}$", (1, 2, 3, 4)),
+    (rf"^(){_NAME}\.?,?[- ](\d{{4}})$", (3, 2, 1, 1)),
 )
 
 # Written forms read by the strict parse: seconds only after year-first, none after day-first.
@@ -62,105 +88,108 @@ _STRICT_YEAR_FIRST = r"^\d{4}-\d{1,2}-\d{1,2}( \d{1,2}:\d{1,2}:\d{1,2})?$"
 _STRICT_DAY_FIRST = (r"^(\d{1,2})([-/])(\d{1,2})\2(\d{4})( \d{1,2}:\d{1,2})?$", "$4-$3-$1$5")
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once.
+def _as_timestamp(iso: Column, years: Years) -> Column:
+    """The timestamp of a text in ISO order, NULL if it is no date or outside the years."""
+    if years is None:
+        return iso.try_cast("timestamp")
+    low, high = (f"{y:04d}" for y in years)
+    return F.when(F.substring(iso, 1, 4).between(low, high), iso.try_cast("timestamp"))
 
-    Written out, each use would repeat the expression, and so would every filter Catalyst pushes
-    below it.
-    """
-    return F.get(F.transform(F.array(value), body), 0)
 
+def _day_first(text: Column, years: Years) -> Column:
+    """Day, month and year with equal separators, read in this order and else month first."""
+    parts = F.translate(text, "/", "-")
+    one, two = F.substring_index(parts, "-", 1), F.substring_index(F.substring_index(parts, "-", 2), "-", -1)
+    rest = F.substring_index(parts, "-", -1)
+    year, time = F.substring(rest, 1, 4), F.substring(rest, 5, 99)
+    return F.coalesce(*[_as_timestamp(F.concat(year, F.lit("-"), month, F.lit("-"), day, time), years) for month, day in ((two, one), (one, two))])
 
-def _cleaned(text: Column, read: Callable[[Column], Column]) -> Column:
-    """``read`` of the trimmed text with single blanks inside.
 
-    Most texts have no run of white space to shorten, so the pattern only runs on those that do.
-    """
+def _compact(text: Column, years: Years) -> Column:
+    """Eight digits, year first and else day first."""
+    cut = lambda *places: F.concat_ws("-", *[F.substring(text, a, n) for a, n in places])
+    return F.coalesce(_as_timestamp(cut((1, 4), (5, 2), (7, 2)), years), _as_timestamp(cut((5, 4), (3, 2), (1, 2)), years))
 
-    def shorten(trimmed: Column) -> Column:
-        runs = F.contains(trimmed, F.lit("  ")) | F.contains(trimmed, F.lit("\t"))
-        return F.when(runs, F.regexp_replace(trimmed, r"(?U)\s+", " ")).otherwise(trimmed)
 
-    return _let(strip(text), lambda trimmed: _let(shorten(trimmed), read))
+def _named_iso(text: Column, shape: str, groups: tuple[int, int, int, int]) -> Column:
+    """ISO order of a text with a month name."""
+    year, month, day, time = (F.regexp_extract(text, shape, g) for g in groups)
+    place = F.position(F.substring(month, 1, 3), F.lit("".join(_MONTH_NAMES)))
+    century = F.when(F.length(year) == 2, F.lit("20")).otherwise(F.lit(""))
+    first = F.when(F.length(day).isin(1, 2), day).otherwise(F.lit("1"))
+    clock = F.when(F.contains(time, F.lit(":")), time).otherwise(F.lit(""))
+    return F.concat(century, year, F.lit("-"), F.floor((place + 2) / 3).cast("string"), F.lit("-"), first, F.lit(" "), clock)
 
 
-def _rewrite(text: Column, shapes: tuple[tuple[str, str], ...], first: Column | None = None) -> Column:
-    """ISO order of the text by the first shape that fits, NULL if none does."""
-    chain = first
-    for shape, iso in shapes:
-        fits, value = text.rlike(shape), F.regexp_replace(text, shape, iso)
-        chain = F.when(fits, value) if chain is None else chain.when(fits, value)
-    return chain
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once. A lambda is interpreted, which keeps its patterns out of the generated code."""
+    return F.get(F.transform(F.array(value), body), 0)
 
 
-def _as_timestamp(iso: Column, years: tuple[int, int] | None) -> Column:
-    if years is None:
-        return iso.try_cast("timestamp")
-    window = [f"{y:04d}" for y in years]
-    return _let(iso, lambda text: F.when(F.substring(text, 1, 4).between(*window), text.try_cast("timestamp")))
-
-
-def _named(text: Column) -> Column:
-    """ISO order of a text with a month name, NULL for other texts."""
-    chain = F.lit(None).cast("string")
-    for shape, year, month, day, time in _NAMED_SHAPES:
-        part = {g: F.regexp_extract(text, shape, g) for g in (year, month, day, time)}
-        place = F.position(F.lower(F.substring(part[month], 1, 3)), F.lit("".join(_MONTH_NAMES)))
-        number = F.floor((place + 2) / 3).cast("string")
-        century = F.when(F.length(part[year]) == 2, F.lit("20")).otherwise(F.lit(""))
-        # A month alone is its first day.
-        first = F.when(part[day] == "", F.lit("1")).otherwise(part[day])
-        iso = F.concat(F.concat_ws("-", F.concat(century, part[year]), number, first), part[time])
-        chain = F.when(text.rlike(shape), iso).otherwise(chain)
+def _iso_reading(text: Column, plain: Column, nth: int) -> Column:
+    """The first or second reading of a text in ISO order, by the first shape that fits and has one; NULL if none does."""
+    chain = F.when(plain & text.rlike(_PLAIN[0]), F.regexp_replace(text, _PLAIN[0], _PLAIN[1][nth]))
+    for shape, readings in _SHAPES:
+        if nth < len(readings):
+            chain = chain.when(text.rlike(shape), F.regexp_replace(text, shape, readings[nth]))
+    shape, reading = _RUN_TOGETHER[nth]
+    chain = chain.when(text.rlike(shape), F.regexp_replace(text, shape, reading))
+    if nth == 0:
+        for shape, groups in _NAMED_SHAPES:
+            chain = chain.when(text.rlike(shape), _named_iso(text, shape, groups))
     return chain
 
 
-def parse_date(text: Column, years: tuple[int, int] | None = PLAUSIBLE_YEARS) -> Column:
-    """The first reading of the text that is a real date within the plausible years, else NULL.
-
-    A reading outside the window does not end the search, the next one is tried.
-    """
+def _by_pattern(text: Column, years: Years) -> Column:
+    """The reading of a trimmed text of any other form."""
 
-    def read(clean: Column) -> Column:
-        local = F.when(clean.rlike(_OFFSET[0]), F.regexp_replace(clean, *_OFFSET)).otherwise(clean)
-        year_first = F.when(clean.rlike(_YEAR_FIRST), F.replace(local, F.lit("/"), F.lit("-")))
-        return F.coalesce(
-            _as_timestamp(_rewrite(clean, _FIRST_READING, year_first), years),
-            _as_timestamp(_rewrite(clean, _SECOND_READING), years),
-            _as_timestamp(_named(clean), years),
-        )
+    def read(blanks: Column, turned: Column) -> Column:
+        # Written as day and month and nothing unusual: the day comes first.
+        plain = blanks == turned
+        return F.coalesce(*[_let(_iso_reading(turned, plain, nth), lambda iso: _as_timestamp(iso, years)) for nth in (0, 1)])
 
-    def read_half_day(clean: Column) -> Column:
-        twelve, late = F.expr("INTERVAL 12 HOURS"), F.lower(F.right(clean, F.lit(2))) == "pm"
+    def of_blanks(blanks: Column) -> Column:
+        half = F.right(blanks, F.lit(2))
+        whole = F.when(half.isin("am", "pm"), F.regexp_replace(blanks, " ?[ap]m$", "")).otherwise(blanks)
+        # "8h55" is a time, and a time may come first.
+        spoken = F.regexp_replace(whole, r"(\d)h(\d\d)", "$1:$2")
+        turned = F.regexp_replace(spoken, rf"^{_CLOCK} (.*\d)$", "$2 $1")
+        # Hours above 12 say the half of the day themselves.
+        hour = F.regexp_extract(whole, r"(\d{1,2})[:h]\d\d(?::\d\d)?$", 1).try_cast("int")
+        shift = F.when((half == "pm") & (hour < 12), F.expr("INTERVAL 12 HOURS")).when(
+            (half == "am") & (hour == 12), F.expr("INTERVAL -12 HOURS")).otherwise(F.expr("INTERVAL 0 HOURS"))
+        return _let(turned, lambda t: read(blanks, t)) + shift
 
-        def shift(at: Column) -> Column:
-            hour = F.hour(at)
-            # Hours above 12 say the half of the day themselves.
-            return F.when(late & (hour < 12), at + twelve).when(~late & (hour == 12), at - twelve).otherwise(at)
+    return F.when(text.rlike(_WORDS), _let(F.lower(F.regexp_replace(text, r"(?U)\s+", " ")), of_blanks))
 
-        return _let(_let(F.regexp_replace(clean, _HALF_DAY, ""), read), shift)
 
-    def read_any(clean: Column) -> Column:
-        return F.when(F.lower(F.right(clean, F.lit(2))).isin("am", "pm"), read_half_day(clean)).otherwise(read(clean))
+def parse_date(text: Column, years: Years = PLAUSIBLE_YEARS) -> Column:
+    """The first reading of the text that is a real date within the plausible years, else NULL.
 
-    return _cleaned(text, read_any)
+    A reading outside the window does not end the search, the next one is tried. A time with an offset is read as the local
+    time that is written: the day must not move.
+    """
+    trimmed = strip(text)
+    mask = F.translate(trimmed, "123456789", "000000000")
+    return (
+        F.when(mask.isin(_ISO_MASKS), _as_timestamp(trimmed, years))
+        .when(mask.isin(_DAY_FIRST_MASKS), _day_first(trimmed, years))
+        .when(mask == _COMPACT_MASK, _compact(trimmed, years))
+        .otherwise(_by_pattern(trimmed, years))
+    )
 
 
-def parse_date_or(
-    text: Column, default: dt.date = FALLBACK_DATE, years: tuple[int, int] | None = PLAUSIBLE_YEARS
-) -> Column:
+def parse_date_or(text: Column, default: dt.date = FALLBACK_DATE, years: Years = PLAUSIBLE_YEARS) -> Column:
     """``parse_date`` with a stand-in for unreadable dates."""
     return F.coalesce(parse_date(text, years), F.lit(default).cast("timestamp"))
 
 
 def parse_date_strict(text: Column) -> Column:
     """Few written forms, any year, no tolerant reading, no stand-in."""
-
-    def read(clean: Column) -> Column:
-        year_first = F.when(clean.rlike(_STRICT_YEAR_FIRST), clean)
-        return _rewrite(clean, (_STRICT_DAY_FIRST,), year_first).try_cast("timestamp")
-
-    return _cleaned(text, read)
+    clean = F.regexp_replace(strip(text), r"(?U)\s+", " ")
+    day_first = F.regexp_replace(clean, *_STRICT_DAY_FIRST)
+    return F.when(clean.rlike(_STRICT_YEAR_FIRST), clean.try_cast("timestamp")).when(
+        clean.rlike(_STRICT_DAY_FIRST[0]), day_first.try_cast("timestamp"))
 
 
 def date_key(day: Column) -> Column:

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 
 def _bucket(keys: tuple[Column, ...], buckets: int, seed: int) -> Column:
-    return F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(buckets))
+    """The first 32 bits of the MD5 of the key's texts and the seed: a number any database can check."""
+    digest = F.md5(F.concat_ws("|", *[F.coalesce(k.cast("string"), F.lit("")) for k in keys], F.lit(str(seed))))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % buckets
 
 
 def seeded_uniform(low: float, high: float, *keys: Column, seed: int = 0, digits: int = 2) -> Column:

@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from caremart.operators.versions import version_at, version_table
 from caremart.session import fits_broadcast, materialise
 
 #: Key given to rows whose natural key is unknown.
 DEFAULT_KEY = 1
 
-#: A key is hot when it holds more than 1/HOT_PARTS of the rows, so fewer than HOT_PARTS are.
+#: A key is hot when it holds more than 1/HOT_PARTS of the rows, so fewer than HOT_PARTS are. Each is spread over
+#: so many salts that none holds more than that share.
 HOT_PARTS = 1000
-SALTS = 64
 
 
 def lookup_table(dim: DataFrame, keys: dict[str, Column], surrogate: str) -> DataFrame:
@@ -27,45 +30,40 @@ def lookup_table(dim: DataFrame, keys: dict[str, Column], surrogate: str) -> Dat
     )
 
 
+def _known(keys: Sequence[str]) -> Column:
+    """Whether all key columns have a value."""
+    return reduce(and_, [F.col(k).isNotNull() for k in keys])
+
+
 def hot_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The key values that hold more than 1/``HOT_PARTS`` of the rows, written once.
+    """(keys, _salts): the keys that hold more than 1/``HOT_PARTS`` of the rows, with the number of parts to spread each over.
 
-    One pre-aggregated count serves the threshold and the filter; fewer than ``HOT_PARTS`` values
-    can pass it.
+    Written once; fewer than ``HOT_PARTS`` values can pass the threshold. Rows with a missing key are not counted as a key.
     """
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
-    return materialise(counts.where(F.col("_n") * HOT_PARTS > total).select(*keys), "hot-keys")
+    total = rows.count()
+    counts = rows.where(_known(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.where(F.col("_n") * HOT_PARTS > total)
+    return materialise(hot.select(*keys, F.ceil(F.col("_n") * HOT_PARTS / F.lit(max(total, 1))).cast("int").alias("_salts")), "hot-keys")
 
 
 def salted_left_join(
     rows: DataFrame, table: DataFrame, keys: Sequence[str], counted: DataFrame | None = None
 ) -> DataFrame:
-    """Left shuffle join that spreads NULL keys and hot keys over ``SALTS`` buckets.
+    """Left shuffle join in which no key meets more than about 1/``HOT_PARTS`` of the rows in one task.
 
-    The hot keys are few enough to broadcast to both sides. Only their rows of ``table`` are
-    repeated per salt. They are counted in ``counted`` (``rows`` unless given): a cheaper DataFrame
+    A hot key is spread over salts by its own count, and only its row of ``table`` is repeated, once for each salt. Rows with a
+    missing key match nothing: they are spread over ``HOT_PARTS`` salts. (Kept apart and added behind the join, they would
+    read the rows twice, and a chain of lookups would double with each.) The hot keys are few enough to
+    broadcast to both sides. They are counted in ``counted`` (``rows`` unless given): a cheaper DataFrame
     with the same keys, such as the source the rows were derived from.
     """
     keys = list(keys)
-    hot = F.broadcast(hot_keys(rows if counted is None else counted, keys).withColumn("_hot", F.lit(True)))
-    unknown = F.lit(False)
-    for k in keys:
-        unknown = unknown | F.col(k).isNull()
-    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]), F.lit(SALTS)).cast("int")
-    salted_rows = (
-        rows.join(hot, keys, "left")
-        .withColumn("_salt", F.when(F.col("_hot") | unknown, spread).otherwise(F.lit(0)))
-        .drop("_hot")
-    )
-    salted_table = (
-        table.join(hot, keys, "left")
-        .withColumn(
-            "_salt",
-            F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))),
-        )
-        .drop("_hot")
-    )
+    hot = F.broadcast(hot_keys(rows if counted is None else counted, keys))
+    salts = F.when(_known(keys), F.coalesce("_salts", F.lit(1))).otherwise(F.lit(HOT_PARTS))
+    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]), salts).cast("int")
+    salted_rows = rows.join(hot, keys, "left").withColumn("_salt", spread).drop("_salts")
+    repeats = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    salted_table = table.join(hot, keys, "left").withColumn("_salt", F.explode(repeats)).drop("_salts")
     return salted_rows.join(salted_table, [*keys, "_salt"], "left").drop("_salt")
 
 
@@ -79,22 +77,34 @@ def resolve(
     alias: str | None = None,
     small: bool | None = None,
     counted: DataFrame | None = None,
+    at: Column | None = None,
 ) -> DataFrame:
     """Add the surrogate key of ``dim`` to ``rows``; NULL and unknown keys get ``default``.
 
-    ``small`` says whether the dimension fits a broadcast. Left out, its rows are counted; beyond
-    the limit the join shuffles with salted hot keys, so neither size nor skew decides the result.
+    ``small`` says whether the dimension fits a broadcast. Left out, its keys are measured; beyond
+    the limit its distinct keys are written and measured, and beyond that the join shuffles with salted hot keys, so neither
+    size nor skew decides the result.
     ``default=None`` keeps NULL for unresolved rows. ``counted`` may name a cheaper DataFrame with
-    the columns of ``row_keys`` to find hot keys in.
+    the columns of ``row_keys`` to find hot keys in. With ``at``, a date of the rows, the version of a member that holds then is
+    taken (see ``versions.version_table``); a member's versions travel together, so the join stays one on equal keys.
     """
     names = [f"_k{i}" for i in range(len(row_keys))]
-    table = lookup_table(dim, dict(zip(names, dim_keys)), surrogate).withColumnRenamed(surrogate, "_sk")
+    if at is None:
+        table = lookup_table(dim, dict(zip(names, dim_keys)), surrogate).withColumnRenamed(surrogate, "_sk")
+    else:
+        table = version_table(dim, dict(zip(names, dim_keys)), surrogate)
     keyed = rows.withColumns(dict(zip(names, row_keys)))
-    if fits_broadcast(dim) if small is None else small:
+    if small is None:
+        small = fits_broadcast(dim.select(*[expr.alias(n) for n, expr in zip(names, dim_keys)], surrogate))
+        if not small:
+            table = materialise(table, "lookup")
+            small = fits_broadcast(table)
+    if small:
         joined = keyed.join(F.broadcast(table), names, "left")
     else:
         if counted is not None:
             counted = counted.select(*[expr.alias(name) for name, expr in zip(names, row_keys)])
         joined = salted_left_join(keyed, table, names, counted)
-    key = F.col("_sk") if default is None else F.coalesce("_sk", F.lit(default))
-    return joined.withColumn(alias or surrogate, key.cast("int")).drop(*names, "_sk")
+    found = F.col("_sk") if at is None else version_at(F.col("_versions"), at)
+    key = found if default is None else F.coalesce(found, F.lit(default))
+    return joined.withColumn(alias or surrogate, key.cast("int")).drop(*names, "_sk", "_versions")

@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caremart.operators.quality import duplicates, length_rules, not_null_rules, orphans, violation_counts
+from caremart.operators.quality import (
+    ForeignKey,
+    length_rules,
+    not_null_rules,
+    stacked_duplicates,
+    stacked_orphans,
+    violation_counts,
+)
 
 # Primary keys, and the other unique column.
 PRIMARY_KEYS = {
@@ -124,19 +132,26 @@ def _labelled(counts: DataFrame, table: str) -> DataFrame:
     return counts.select(F.lit(table).alias("table_name"), "rule", F.col("violations").cast("long").alias("violations"))
 
 
-def _keys_report(df: DataFrame, table: str, column: str) -> DataFrame:
-    repeated = duplicates(df, [column]).agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("violations"))
-    return _labelled(repeated.withColumn("rule", F.lit(f"{column} unique")), table)
+def foreign_keys(tables: Iterable[str]) -> list[ForeignKey]:
+    """The declared foreign keys between the given tables."""
+    names = set(tables)
+    return [
+        ForeignKey(child, column, parent, PRIMARY_KEYS[parent])
+        for child, columns in FOREIGN_KEYS.items() for column, parent in columns.items() if {child, parent} <= names
+    ]
 
 
-def _orphan_report(tables: dict[str, DataFrame], table: str, column: str, parent: str) -> DataFrame:
-    lost = orphans(tables[table], column, tables[parent], PRIMARY_KEYS[parent])
-    counted = lost.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("violations"))
-    return _labelled(counted.withColumn("rule", F.lit(f"{column} in {parent}")), table)
+def unique_columns(tables: Iterable[str]) -> list[tuple[str, str]]:
+    """(table, column) of the declared primary keys and other unique columns of the given tables."""
+    names = set(tables)
+    return [(t, c) for keys in (PRIMARY_KEYS, UNIQUE_COLUMNS) for t, c in keys.items() if t in names]
 
 
 def quality_report(tables: dict[str, DataFrame], uniqueness: bool = True) -> DataFrame:
-    """(table_name, rule, violations) for every declared constraint of the given tables."""
+    """(table_name, rule, violations) for every declared constraint of the given tables.
+
+    Row rules are one aggregate per table, all foreign keys one anti join, and all unique columns one aggregate.
+    """
     parts = []
     for table, df in tables.items():
         rules = {
@@ -146,11 +161,12 @@ def quality_report(tables: dict[str, DataFrame], uniqueness: bool = True) -> Dat
         }
         if rules:
             parts.append(_labelled(violation_counts(df, rules), table))
-        if uniqueness and table in PRIMARY_KEYS:
-            parts.append(_keys_report(df, table, PRIMARY_KEYS[table]))
-        if table in UNIQUE_COLUMNS:
-            parts.append(_keys_report(df, table, UNIQUE_COLUMNS[table]))
-        for column, parent in FOREIGN_KEYS.get(table, {}).items():
-            if parent in tables:
-                parts.append(_orphan_report(tables, table, column, parent))
+    if unique := uniqueness and unique_columns(tables):
+        repeated = stacked_duplicates(tables, unique)
+        parts.append(repeated.select("table_name", F.concat("column", F.lit(" unique")).alias("rule"), "violations"))
+    if keys := foreign_keys(tables):
+        parent = F.create_map(*[F.lit(x) for k in keys for x in (f"{k.child}.{k.column}", k.parent)])
+        lost = stacked_orphans(tables, keys)
+        rule = F.concat("column", F.lit(" in "), parent[F.concat_ws(".", "child", "column")])
+        parts.append(lost.select(F.col("child").alias("table_name"), rule.alias("rule"), "violations"))
     return reduce(DataFrame.unionByName, parts)

@@ -195,7 +195,8 @@ def pathology_vocabulary(consultations: DataFrame, stays: DataFrame) -> DataFram
 def dim_pathologie(consultations: DataFrame, stays: DataFrame, settings: LoadSettings = LoadSettings()) -> DataFrame:
     """Default pathology and the vocabulary of consultations and stays."""
     keyed = dense_key(
-        pathology_vocabulary(consultations, stays), ["place", "libelle"], "pathologie_sk", AFTER_DEFAULT
+        pathology_vocabulary(consultations, stays).select("libelle", "place.*"), ["origin", POSITION, "libelle"], "pathologie_sk",
+        AFTER_DEFAULT
     )
     members = _project(
         keyed,

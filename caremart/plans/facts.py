@@ -27,6 +27,14 @@ from caremart.session import together
 
 Dims = dict[str, DataFrame]
 
+# The dimensions that each fact looks up, besides the calendar.
+FACT_DIMENSIONS = {
+    "faits_accueil": ("dim_patient", "dim_service", "dim_gravite", "dim_decision", "dim_motif"),
+    "faits_consultation": ("dim_patient", "dim_service", "dim_pathologie", "dim_medecin"),
+    "faits_hospitalisation": ("dim_patient", "dim_service", "dim_pathologie", "dim_issue", "dim_lit", "dim_admission"),
+    "faits_maternite": ("dim_patient", "dim_accouchement", "dim_complication", "dim_grossesse", "dim_nouveaune"),
+}
+
 # Fixed value: stand-in for a missing consultation length, in minutes.
 DEFAULT_CONSULTATION_MINUTES = 15
 
@@ -37,13 +45,15 @@ class FactOptions:
 
     ``unknown_key`` is given to unresolved keys. ``strip_rows`` also trims the text of the fact
     side, which the default leaves as it is. ``strict_beds`` resolves beds in strict mode, where
-    the default gives every stay the unknown bed.
+    the default gives every stay the unknown bed. ``as_of`` takes, of a versioned member, the version that held on the
+    date of the event.
     """
 
     mode: str = LENIENT
     unknown_key: int = DEFAULT_KEY
     strip_rows: bool = False
     strict_beds: bool = False
+    as_of: bool = False
     settings: LoadSettings = field(default_factory=LoadSettings)
 
     @property
@@ -81,6 +91,13 @@ def _dated(events: DataFrame, source: str, options: FactOptions, drop_unknown: b
     return dated.fillna({"temps_sk": options.unknown_key})
 
 
+def _event_day(events: DataFrame, dims: Dims, table: str, options: FactOptions) -> Column | None:
+    """The day as of which a member's version is looked up, ``None`` for dimensions without versions."""
+    if not options.as_of or "date_debut_validite" not in dims[table].columns:
+        return None
+    return F.to_date(next(c for c in EVENT_DATES.values() if c in events.columns))
+
+
 def _resolve(
     events: DataFrame, dims: Dims, table: str, surrogate: str, columns: Sequence[str], row_keys: Sequence[Column],
     dim_keys: Sequence[Column], options: FactOptions,
@@ -88,7 +105,8 @@ def _resolve(
     """One lookup; an absent source column or dimension gives every row the unknown key."""
     if table not in dims or any(c not in events.columns for c in columns):
         return events.withColumn(surrogate, F.lit(options.unknown_key))
-    return resolve(events, dims[table], surrogate, row_keys, dim_keys, default=options.unknown_key)
+    day = _event_day(events, dims, table, options)
+    return resolve(events, dims[table], surrogate, row_keys, dim_keys, default=options.unknown_key, at=day)
 
 
 def _named(events: DataFrame, dims: Dims, table: str, surrogate: str, column: str, dim_column: str,
@@ -107,8 +125,9 @@ def _with_patient(events: DataFrame, source: DataFrame, dims: Dims, options: Fac
     pseudonym = F.upper(strip(F.col(PSEUDONYM)))
     member = F.upper(strip(F.col("id_patient_anonyme")))
     default = None if options.strict else options.unknown_key
+    day = _event_day(events, dims, "dim_patient", options)
     found = resolve(
-        events, dims["dim_patient"], "patient_sk", [pseudonym], [member], default=default, counted=source
+        events, dims["dim_patient"], "patient_sk", [pseudonym], [member], default=default, counted=source, at=day
     )
     return found.where(F.col("patient_sk").isNotNull()) if options.strict else found
 
@@ -267,19 +286,22 @@ def fact_births(births: DataFrame, dims: Dims, options: FactOptions = FactOption
     return _numbered(fact, "id_accouchement") if options.strict else fact
 
 
+#: Builder and event source of each fact table.
+FACTS = {
+    "faits_accueil": (fact_visits, "urgence"),
+    "faits_consultation": (fact_consultations, "consultation"),
+    "faits_hospitalisation": (fact_stays, "hospitalisation"),
+    "faits_maternite": (fact_births, "maternite"),
+}
+
+
 def build_facts(
-    sources: dict[str, DataFrame], dims: Dims, options: FactOptions = FactOptions()
+    sources: dict[str, DataFrame], dims: Dims, options: FactOptions = FactOptions(), tables: Sequence[str] = tuple(FACTS)
 ) -> dict[str, DataFrame]:
-    """The four fact tables from standardised sources and written dimensions."""
-    builders = {
-        "faits_accueil": (fact_visits, "urgence"),
-        "faits_consultation": (fact_consultations, "consultation"),
-        "faits_hospitalisation": (fact_stays, "hospitalisation"),
-        "faits_maternite": (fact_births, "maternite"),
-    }
+    """The fact tables from standardised sources and written dimensions."""
 
     def build(table: str) -> DataFrame:
-        builder, source = builders[table]
+        builder, source = FACTS[table]
         return builder(sources[source], dims, options)
 
-    return together(build, builders)
+    return together(build, tables)

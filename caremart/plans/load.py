@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from caremart.plans.dims import build_dimensions
-from caremart.plans.facts import FactOptions, build_facts
+from caremart.plans.facts import FACT_DIMENSIONS, FACTS, FactOptions, build_facts
 from caremart.plans.forecast import (
     HORIZON,
     alert_rows,
@@ -16,32 +18,38 @@ from caremart.plans.forecast import (
     observed_occupancy,
     service_series,
 )
+from caremart.plans.members import MEMBERS, added_members, versioned_members
 from caremart.plans.settings import LoadSettings
-from caremart.plans.standardise import EVENT_DATES, LENIENT, STRICT, date_rejects, standardise
+from caremart.plans.standardise import (
+    EVENT_DATES,
+    LENIENT,
+    STRICT,
+    parsed_events,
+    rejected_dates,
+    standardise_events,
+    standardise_patients,
+    standardised,
+)
 from caremart.session import materialise, together
 from caremart.sources.delimited import EXTRACT_FILES, number_rows, rejected_rows, scan_extracts
-from caremart.sources.tables import (
-    ALERT_TABLE,
-    FORECAST_TABLE,
-    read_table,
-    write_fact,
-    write_run,
-    write_table,
-)
+from caremart.sources.snapshots import Load, Snapshot, begin_load, newest_snapshot, open_snapshot, write_run
+from caremart.sources.tables import ALERT_TABLE, FORECAST_TABLE
 
 REJECTS_TABLE = "rejets_dates"
 ROW_REJECTS_TABLE = "lignes_rejetees"
 
+#: Gap-free sequences that strict loads add to their facts.
+SEQUENCES = ("id_consultation", "id_accouchement")
+
 
-@dataclass(frozen=True)
 class Warehouse:
-    """A warehouse folder; tables are read lazily."""
+    """The newest complete run of a warehouse folder, or the run ``run_id``, fixed when it is opened; tables are read lazily."""
 
-    spark: SparkSession
-    root: str
+    def __init__(self, spark: SparkSession, root: str, run_id: str | None = None):
+        self.snapshot = open_snapshot(spark, root, run_id)
 
     def table(self, name: str, *columns: str) -> DataFrame:
-        return read_table(self.spark, self.root, name, columns or None)
+        return self.snapshot.table(name, *columns)
 
 
 def load_warehouse(
@@ -52,19 +60,28 @@ def load_warehouse(
     mode: str = LENIENT,
     files: dict[str, str] = EXTRACT_FILES,
     options: FactOptions | None = None,
+    run_id: str | None = None,
+    extract: str | None = None,
+    append: bool = False,
+    versions: bool = False,
 ) -> dict[str, int]:
-    """Read the five extracts and replace all warehouse tables; returns rows per table.
+    """Read the five extracts into a new run of the warehouse; returns the rows written per table.
 
-    Every table is overwritten as a whole, so a repeated load gives the same warehouse. Dimensions
-    are written before the facts that use them and are read back with their true sizes. Rows with more
-    fields than their header go to a table of rejected rows, by source.
+    Readers see the run once all its tables are complete, and the run before until then. Rows with more
+    fields than their header go to a table of rejected rows, by source. See ``load_sources`` for the ways to load.
     """
+    load = begin_load(spark, root, run_id, extract)
     stored = scan_extracts(spark, folder, files)
-    rejected = together(
-        lambda name: write_table(rejected_rows(stored[name]), f"{root}/{ROW_REJECTS_TABLE}", name, "overwrite"), stored)
+    before = newest_snapshot(spark, root) if append else None
+    for name in stored:
+        load.write(rejected_rows(stored[name]), f"{ROW_REJECTS_TABLE}/{name}", behind=_kept(before, load, f"{ROW_REJECTS_TABLE}/{name}"))
     sources = together(lambda name: number_rows(stored[name], name), stored)
-    rows = load_sources(spark, sources, root, settings, mode, options)
-    return rows | {f"{ROW_REJECTS_TABLE}/{name}": n for name, n in rejected.items()}
+    return load_sources(spark, sources, root, settings, mode, options, append=append, versions=versions, load=load)
+
+
+def _kept(before: Snapshot | None, load: Load, name: str) -> tuple:
+    """The folders of a table that stay when the load's extract is added, or added once more."""
+    return () if before is None else before.without(load.extract, [name]).parts.get(name, ())
 
 
 def load_sources(
@@ -74,29 +91,63 @@ def load_sources(
     settings: LoadSettings = LoadSettings(),
     mode: str = LENIENT,
     options: FactOptions | None = None,
+    run_id: str | None = None,
+    extract: str | None = None,
+    append: bool = False,
+    versions: bool = False,
+    only: Sequence[str] = tuple(FACTS),
+    load: Load | None = None,
 ) -> dict[str, int]:
-    """``load_warehouse`` from sources already read."""
-    options = replace(options or FactOptions(), mode=mode, settings=settings)
-    lazy = standardise(sources, mode)
-    # Parsed once: the dimensions and facts read the typed columns they need.
-    typed = together(lambda name: materialise(lazy[name], f"typed-{name}"), lazy)
+    """``load_warehouse`` from sources already read, or of the facts named in ``only`` with the dimensions they look up. A load goes one of these ways:
+
+    * By default every table is replaced, so a repeated load gives the same warehouse.
+    * ``append`` keeps what is stored. Members that are not stored yet are added behind the highest key, known ones keep theirs, and the facts
+      of ``extract`` (the run's id unless named) are added with ids that go on. If that extract was loaded before, its facts are
+      replaced, and as its members are known by then, the result is the same.
+    * ``versions`` keeps members and their history: a changed member gets a new version from ``settings.run_date`` on, and facts
+      point at the version of their date. Without ``append`` the facts are replaced.
+    """
+    load = load or begin_load(spark, root, run_id, extract)
+    before = newest_snapshot(spark, root) if append or versions else None
+    options = replace(options or FactOptions(), mode=mode, settings=settings, as_of=versions)
+    # Parsed once: dimensions, facts and rejects read the typed columns they need. Other sources give single columns to a few dimensions.
+    events = [FACTS[fact][1] for fact in only]
+    parsed = together(lambda name: materialise(parsed_events(sources[name], name, mode), f"parsed-{name}"), events)
+    typed = {name: standardised(parsed[name], name, mode) if name in parsed else standardise_events(sources[name], name, mode)
+             for name in EVENT_DATES}
+    typed["patient"] = materialise(standardise_patients(sources["patient"]), "typed-patient")
 
     def store_dimension(df: DataFrame, name: str) -> DataFrame:
+        spec = MEMBERS[name]
         casts = {"id_patient_anonyme": "varchar(128)"} if name == "dim_patient" else None
-        rows[name] = write_table(df, root, name, "overwrite", casts)
-        return read_table(spark, root, name)
-
-    def write_rejects(source: str) -> int:
-        rejected = date_rejects(sources[source], source, mode)
-        return write_table(rejected, f"{root}/{REJECTS_TABLE}", source, "overwrite")
-
-    rows: dict[str, int] = {}
-    dims = build_dimensions(typed, settings, store=store_dimension, strip_service=mode != STRICT)
-    facts = build_facts(typed, dims, options)
-    rows.update(together(lambda name: write_fact(facts[name], root, name, "overwrite"), facts))
-    rejects = together(write_rejects, EVENT_DATES)
-    rows.update({f"{REJECTS_TABLE}/{source}": n for source, n in rejects.items()})
-    return rows
+        if before is None or name not in before.parts:
+            return load.write(df, name, spec.surrogate, casts)
+        stored, loads = before.table(name), len(before.parts[name])
+        incoming = materialise(df, f"incoming-{name}")
+        if versions and spec.versioned:
+            return load.write(versioned_members(stored, incoming, name, settings.run_date, loads), name, spec.surrogate, casts)
+        fresh = added_members(stored, incoming, name, before.highest(name), loads)
+        return load.write(fresh, name, spec.surrogate, casts, behind=before.parts[name])
+
+    def write_fact(name: str) -> None:
+        behind = _kept(before, load, name) if append else ()
+        fact = facts[name]
+        if behind:
+            last, rows = max(p.highest or 0 for p in behind), sum(p.rows for p in behind)
+            fact = fact.withColumns({"id_fait": F.col("id_fait") + last, **{c: F.col(c) + rows for c in SEQUENCES if c in fact.columns}})
+        load.write(fact, name, "id_fait", by_year=True, behind=behind)
+
+    def write_rejects(source: str) -> None:
+        name = f"{REJECTS_TABLE}/{source}"
+        load.write(rejected_dates(parsed[source], source), name, behind=_kept(before, load, name) if append else ())
+
+    wanted = None if len(only) == len(FACTS) else {"dim_temps", *(d for fact in only for d in FACT_DIMENSIONS[fact])}
+    dims = build_dimensions(typed, settings, wanted, store=store_dimension, strip_service=mode != STRICT)
+    facts = build_facts(typed, dims, options, only)
+    together(write_fact, facts)
+    together(write_rejects, parsed)
+    load.list_run()
+    return {name: sum(p.rows for p in parts if p.folder == load.run_id) for name, parts in load.parts.items()}
 
 
 def load_forecast(

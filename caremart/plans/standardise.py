@@ -2,28 +2,28 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caremart.functions import (
     age_band,
     extract_number,
     parse_date,
-    parse_date_or,
     parse_date_strict,
     pseudonymise,
     strip,
     title_case,
     to_number,
 )
+from caremart.functions.dates import FALLBACK_DATE
 
 LENIENT = "lenient"
 STRICT = "strict"
 
 PATIENT_ID = "ID_Patient"
 PSEUDONYM = "ID_Patient_Anonyme"
+#: Text of a date that could not be read.
+UNREAD_DATE = "_date_illisible"
 
 # Event date column of each source.
 EVENT_DATES = {
@@ -42,12 +42,6 @@ NUMERIC = {
 }
 
 
-def _date_parser(source: str, mode: str) -> Callable[[Column], Column]:
-    if mode == STRICT:
-        return parse_date_strict
-    return parse_date if source == "urgence" else parse_date_or
-
-
 def standardise_patients(patients: DataFrame) -> DataFrame:
     """Identifier, name, sex, age, band and body measures, without a shuffle."""
     typed = patients.withColumns(
@@ -64,21 +58,47 @@ def standardise_patients(patients: DataFrame) -> DataFrame:
     return typed.withColumn("Tranche_Age", age_band(F.col("Age")))
 
 
-def standardise_events(events: DataFrame, source: str, mode: str = LENIENT) -> DataFrame:
-    """Parsed event date, pseudonym and numeric columns of one event source.
+def parsed_events(events: DataFrame, source: str, mode: str = LENIENT) -> DataFrame:
+    """One event source with its date as read (NULL if unreadable), pseudonym and numbers, and the text of an unreadable date.
 
-    Visits with an unreadable date are dropped; the other sources keep the stand-in date
-    (lenient) or NULL (strict).
+    The date is parsed once for both the value and the reject: write this, and derive ``standardised`` and ``rejected_dates``.
     """
     date = EVENT_DATES[source]
-    typed = events.withColumns(
+    parse = parse_date_strict if mode == STRICT else parse_date
+    typed = events.withColumn(UNREAD_DATE, F.col(date)).withColumns(
         {
-            date: _date_parser(source, mode)(F.col(date)),
+            date: parse(F.col(date)),
             PSEUDONYM: pseudonymise(F.col(PATIENT_ID)),
             **{c: to_number(F.col(c)) for c in NUMERIC[source] if c in events.columns},
         }
     )
-    return typed.where(F.col(date).isNotNull()) if source == "urgence" else typed
+    # A step of its own, so that the parsed column is used and not its expression.
+    unread = F.col(date).isNull() & (strip(F.col(UNREAD_DATE)) != "")
+    return typed.withColumn(UNREAD_DATE, F.when(unread, F.col(UNREAD_DATE)))
+
+
+def standardised(parsed: DataFrame, source: str, mode: str = LENIENT) -> DataFrame:
+    """The rows of ``parsed_events`` that facts and dimensions use.
+
+    Visits with an unreadable date are dropped; the other sources keep the stand-in date
+    (lenient) or NULL (strict).
+    """
+    date = EVENT_DATES[source]
+    rows = parsed.drop(UNREAD_DATE)
+    if source == "urgence":
+        return rows.where(F.col(date).isNotNull())
+    return rows if mode == STRICT else rows.withColumn(date, F.coalesce(date, F.lit(FALLBACK_DATE).cast("timestamp")))
+
+
+def rejected_dates(parsed: DataFrame, source: str) -> DataFrame:
+    """Rows of ``parsed_events`` whose date text is present and unreadable, with the text, to be written beside the output."""
+    keep = [c for c in ("src_row", PATIENT_ID) if c in parsed.columns]
+    return parsed.where(F.col(UNREAD_DATE).isNotNull()).select(F.lit(source).alias("source"), *keep, F.col(UNREAD_DATE).alias("date_text"))
+
+
+def standardise_events(events: DataFrame, source: str, mode: str = LENIENT) -> DataFrame:
+    """Parsed event date, pseudonym and numeric columns of one event source, in one plan."""
+    return standardised(parsed_events(events, source, mode), source, mode)
 
 
 def standardise(sources: dict[str, DataFrame], mode: str = LENIENT) -> dict[str, DataFrame]:
@@ -88,10 +108,5 @@ def standardise(sources: dict[str, DataFrame], mode: str = LENIENT) -> dict[str,
 
 
 def date_rejects(events: DataFrame, source: str, mode: str = LENIENT) -> DataFrame:
-    """Rows whose date text is present and unreadable, with the text, to be written beside the output."""
-    text = F.col(EVENT_DATES[source])
-    parsed = parse_date_strict(text) if mode == STRICT else parse_date(text)
-    keep = [c for c in ("src_row", PATIENT_ID) if c in events.columns]
-    return events.where((strip(text) != "") & parsed.isNull()).select(
-        F.lit(source).alias("source"), *keep, text.alias("date_text")
-    )
+    """``rejected_dates`` of a raw source."""
+    return rejected_dates(parsed_events(events, source, mode), source)

@@ -9,8 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from caremart.sources.tables import spread_small_scan
-
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 # Keys that spread the rows of a table evenly.
@@ -22,14 +20,20 @@ SPREAD = {
 }
 
 
+#: Number of written forms of a date below.
+DATE_FORMS = 25
+
+
 def _date_text(day: str, form: str, years: int) -> str:
-    """The day written in one of nine forms chosen by ``form``, shifted by whole ``years``.
+    """The day written in one of ``DATE_FORMS`` forms chosen by ``form``, shifted by whole ``years``.
 
     28 years keep weekdays and leap days in place.
     """
     y = f"CAST(year({day}) + {years} AS STRING)"
     m, d = f"CAST(month({day}) AS STRING)", f"CAST(day({day}) AS STRING)"
     mm, dd = f"lpad({m}, 2, '0')", f"lpad({d}, 2, '0')"
+    name = f"substr('JanFebMarAprMayJunJulAugSepOctNovDec', 3 * month({day}) - 2, 3)"
+    th = f"CASE WHEN day({day}) IN (1, 21, 31) THEN 'st' WHEN day({day}) IN (2, 22) THEN 'nd' WHEN day({day}) IN (3, 23) THEN 'rd' ELSE 'th' END"
     return f"""CASE {form}
         WHEN 0 THEN {y} || '-' || {mm} || '-' || {dd} || ' 08:55:00'
         WHEN 1 THEN {dd} || '/' || {mm} || '/' || {y} || ' 08:55'
@@ -39,7 +43,23 @@ def _date_text(day: str, form: str, years: int) -> str:
         WHEN 5 THEN {mm} || '/' || {dd} || '/' || {y}
         WHEN 6 THEN {y} || '-' || {mm} || '-' || {dd} || 'T08:55:00'
         WHEN 7 THEN ' ' || {dd} || '-' || {mm} || '-' || {y} || ' 08:55:00 '
-        ELSE CASE WHEN {d} = '7' THEN NULL ELSE 'garbage ' || {y} END END"""
+        WHEN 8 THEN {dd} || '/' || {mm} || '/' || {y} || ' 08:55:10.250000'
+        WHEN 9 THEN {dd} || '/' || {mm} || '/' || {y} || ' 08:55+02:00'
+        WHEN 10 THEN {dd} || ' ' || {mm} || ' ' || {y}
+        WHEN 11 THEN {y} || ' ' || {mm} || ' ' || {dd}
+        WHEN 12 THEN {name} || '-' || {dd} || '-' || {y}
+        WHEN 13 THEN {y} || '-' || {name} || '-' || {dd}
+        WHEN 14 THEN {d} || {th} || ' ' || {name} || ' ' || {y}
+        WHEN 15 THEN {dd} || '/' || {mm} || '/' || {y} || ' 8h55'
+        WHEN 16 THEN '08:55 ' || {dd} || '/' || {mm} || '/' || {y}
+        WHEN 17 THEN {y} || '.' || {mm} || '.' || {dd}
+        WHEN 18 THEN {mm} || '/' || {dd} || '/' || {y} || ' 08:55 PM'
+        WHEN 19 THEN {name} || ' ' || {d} || ', ' || {y} || ' 10:00'
+        WHEN 20 THEN {mm} || '/' || {y}
+        WHEN 21 THEN {y} || {mm} || {dd} || ' 0855'
+        WHEN 22 THEN {dd} || '-' || {name} || '-' || substr({y}, 3, 2)
+        WHEN 23 THEN {y} || '-' || {mm} || '-' || {dd} || 'T01:55:00Z'
+        ELSE CASE WHEN {d} = '7' THEN NULL WHEN {d} = '8' THEN {y} || '-' || {mm} || '-' || {dd} || ' 8' ELSE 'garbage ' || {y} END END"""
 
 
 PATIENTS = """
@@ -70,7 +90,7 @@ VISITS = f"""
       CASE WHEN o_orderkey % 31 = 0 THEN NULL
            WHEN o_orderkey % 31 = 1 THEN ' P' || CAST(o_custkey AS STRING) || ' '
            ELSE 'P' || CAST(o_custkey AS STRING) END AS ID_Patient,
-      {_date_text('o_orderdate', 'o_orderkey % 9', 28)} AS Date_Arrivee,
+      {_date_text('o_orderdate', f'o_orderkey % {DATE_FORMS}', 28)} AS Date_Arrivee,
       CASE WHEN o_orderkey % 41 = 0 THEN NULL WHEN o_orderkey % 41 = 1 THEN 'x'
            ELSE substr(o_orderpriority, 1, 1) END AS Niveau_Urgence,
       CASE o_orderkey % 4 WHEN 0 THEN 'Ambulance' WHEN 1 THEN 'À pied' WHEN 2 THEN 'Véhicule privé'
@@ -89,7 +109,7 @@ VISITS = f"""
 CONSULTATIONS = f"""
     SELECT event_id AS src_row,
       CASE WHEN event_id % 43 = 0 THEN NULL ELSE 'P' || CAST(user_id AS STRING) END AS ID_Patient,
-      {_date_text('ts', 'event_id % 9', 0)} AS Date_Consultation,
+      {_date_text('ts', f'event_id % {DATE_FORMS}', 0)} AS Date_Consultation,
       CASE WHEN event_id % 37 = 0 THEN NULL ELSE 'Patho ' || regexp_extract(props, '[0-9]+', 0) END AS Pathologie,
       CASE user_id % 7 WHEN 0 THEN NULL
            WHEN 1 THEN 'Dr Jean Ilunga wa Ilunga Kalombo Mutombo ' || CAST(user_id AS STRING)
@@ -105,7 +125,7 @@ CONSULTATIONS = f"""
 STAYS = f"""
     SELECT l_orderkey * 8 + l_linenumber AS src_row,
       CASE WHEN l_partkey % 23 = 0 THEN NULL ELSE 'P' || CAST(l_partkey AS STRING) END AS ID_Patient,
-      {_date_text('l_shipdate', 'l_suppkey % 9', 28)} AS Date_Admission,
+      {_date_text('l_shipdate', f'(l_suppkey + l_linenumber) % {DATE_FORMS}', 28)} AS Date_Admission,
       CASE l_suppkey % 11 WHEN 3 THEN NULL WHEN 4 THEN 'SERVICE ' || l_returnflag || l_linestatus
            WHEN 5 THEN 'Service ' || l_returnflag || l_linestatus || ' '
            ELSE 'Service ' || l_returnflag || l_linestatus END AS Service_Affectation,
@@ -122,7 +142,7 @@ STAYS = f"""
 BIRTHS = f"""
     SELECT o_orderkey AS src_row,
       CASE WHEN o_orderkey % 47 = 0 THEN NULL ELSE 'P' || CAST(o_custkey AS STRING) END AS ID_Patient,
-      {_date_text('o_orderdate', '(o_orderkey + 3) % 9', 28)} AS Date_Accouchement,
+      {_date_text('o_orderdate', f'(o_orderkey + 3) % {DATE_FORMS}', 28)} AS Date_Accouchement,
       CASE o_orderstatus WHEN 'F' THEN CASE WHEN o_orderkey % 5 = 0 THEN 'CÉSARIENNE' ELSE 'Césarienne' END
            WHEN 'O' THEN ' Normal ' ELSE NULL END AS Type_Accouchement,
       CASE WHEN o_orderkey % 29 = 0 THEN NULL ELSE CAST(28 + o_orderkey % 14 AS STRING) END AS Age_Gestationnel,
@@ -188,10 +208,12 @@ class Fixtures:
         return self.spark.sql(text, **used)
 
     def source(self, name: str) -> DataFrame:
-        """A hospital source. Its text is costly to parse, so a small table is spread first."""
-        text = SOURCES[name]
+        """A hospital source. Its text is costly to parse, so a table of few files is spread first."""
+        text, cores = SOURCES[name], self.spark.sparkContext.defaultParallelism
         used = {t: self.table(t) for t in TABLES if "{" + t + "}" in text}
-        spread = {t: spread_small_scan(df, *SPREAD[t]) if t in SPREAD else df for t, df in used.items()}
+        spread = {
+            t: df.repartition(cores, *SPREAD[t]) if t in SPREAD and len(df.inputFiles()) < cores else df for t, df in used.items()
+        }
         return self.spark.sql(text, **spread)
 
     def sources(self) -> dict[str, DataFrame]:

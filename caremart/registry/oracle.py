@@ -6,6 +6,7 @@ named CTEs; a query takes the ones it needs.
 
 from __future__ import annotations
 
+import math
 import re
 
 from caremart.registry import fixtures as fx
@@ -15,7 +16,11 @@ RUN_DATE = "DATE '2024-06-30'"
 # Written forms in the order they are tried.
 _LENIENT = ("%Y-%m-%d %H:%M:%S", "%Y-%m-%d %H:%M", "%Y-%m-%d", "%d/%m/%Y %H:%M:%S", "%d/%m/%Y %H:%M", "%d/%m/%Y",
             "%d-%m-%Y %H:%M:%S", "%d-%m-%Y %H:%M", "%d-%m-%Y", "%m/%d/%Y %H:%M:%S", "%m/%d/%Y %H:%M", "%m/%d/%Y",
-            "%Y%m%d", "%d%m%Y", "%Y-%m-%dT%H:%M:%S")
+            "%Y%m%d", "%d%m%Y")
+# Other written forms, month first where a text leaves it open.
+_TOLERANT = ("%Y-%m-%dT%H:%M:%S", "%m/%d/%Y %H:%M:%S.%f", "%d/%m/%Y %H:%M:%S.%f", "%m/%d/%Y %H:%M", "%d/%m/%Y %H:%M", "%m %d %Y",
+             "%d %m %Y", "%Y %m %d", "%b-%d-%Y", "%Y-%b-%d", "%d %b %Y", "%Y.%m.%d", "%m/%d/%Y %I:%M %p", "%d/%m/%Y %I:%M %p",
+             "%b %d, %Y %H:%M", "%m/%Y", "%Y%m%d %H%M", "%d-%b-%y")
 _STRICT = ("%Y-%m-%d %H:%M:%S", "%Y-%m-%d", "%d/%m/%Y %H:%M", "%d/%m/%Y", "%d-%m-%Y %H:%M", "%d-%m-%Y")
 
 
@@ -24,7 +29,11 @@ def strip(x: str) -> str:
 
 
 def lenient(x: str) -> str:
-    tries = [f"try_strptime({strip(x)}, '{form}')" for form in _LENIENT]
+    spoken = strip(x)
+    for shape, said in ((r"^(\d{1,2}:\d{2}) (.*)$", r"\2 \1"), (r"(\d)h(\d\d)$", r"\1:\2"), (r"^(\d{1,2})(st|nd|rd|th) ", r"\1 "),
+                        (r"(:\d\d)(Z|[+-]\d\d:\d\d)$", r"\1")):
+        spoken = f"regexp_replace({spoken}, '{shape}', '{said}')"
+    tries = [f"try_strptime({strip(x)}, '{form}')" for form in _LENIENT] + [f"try_strptime({spoken}, '{form}')" for form in _TOLERANT]
     return "coalesce(" + ", ".join(f"CASE WHEN year({t}) BETWEEN 2020 AND 2030 THEN {t} END" for t in tries) + ")"
 
 
@@ -59,6 +68,24 @@ def band(x: str) -> str:
             f"ELSE '60 ans et +' END")
 
 
+def bucket(buckets: int, *keys: str) -> str:
+    """The seeded number of some keys."""
+    text = ", ".join(f"coalesce(CAST({k} AS VARCHAR), '')" for k in keys)
+    return f"(CAST('0x' || substr(md5(concat_ws('|', {text}, '0')), 1, 8) AS BIGINT) % {buckets})"
+
+
+def seeded_distance(*keys: str) -> str:
+    return f"round(1 + {bucket(1901, *keys)} / 100, 2)"
+
+
+def seeded_capacity(*keys: str) -> str:
+    return f"CAST(10 + {bucket(50, *keys)} AS INTEGER)"
+
+
+def seeded_sex(*keys: str) -> str:
+    return f"(['M', 'F'])[{bucket(2, *keys)} + 1]"
+
+
 def _validity(active: bool = True, version: bool = True) -> str:
     parts = [f"{RUN_DATE} AS date_debut_validite", "CAST(NULL AS DATE) AS date_fin_validite"]
     parts += ["true AS est_actif"] if active else []
@@ -107,6 +134,14 @@ CTES: dict[str, str] = {
     "calendar": """
         SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS temps_sk, CAST(d AS DATE) AS date_complete
         FROM range(TIMESTAMP '2024-01-01', TIMESTAMP '2027-01-01', INTERVAL 1 DAY) r(d)""",
+    "dim_temps": """
+        SELECT temps_sk, date_complete, CAST(day(date_complete) AS INTEGER) AS jour,
+          CAST(month(date_complete) AS INTEGER) AS mois, CAST(quarter(date_complete) AS INTEGER) AS trimestre,
+          CAST(year(date_complete) AS INTEGER) AS annee, CAST(week(date_complete) AS INTEGER) AS semaine,
+          dayname(date_complete) AS jour_semaine,
+          CASE WHEN isodow(date_complete) >= 6 THEN 'Weekend' ELSE 'Ouvrable' END AS type_jour, 0 AS heure,
+          'Matin' AS periode_journee
+        FROM calendar""",
     "dim_patient": f"""
         SELECT CAST(row_number() OVER (ORDER BY src_row) AS INTEGER) AS patient_sk,
           ID_Patient_Anonyme AS id_patient_anonyme, coalesce(Sexe, 'Inconnu') AS sexe,
@@ -117,13 +152,15 @@ CTES: dict[str, str] = {
         WHERE nth = 1""",
     "dim_geographie": f"""
         SELECT geographie_sk, CAST(src_row AS VARCHAR) AS id_localisation, Quartier AS quartier, Commune AS commune,
-          'Lubumbashi' AS ville, CAST(NULL AS VARCHAR) AS zone_sante
+          'Lubumbashi' AS ville, CAST(NULL AS VARCHAR) AS zone_sante,
+          {seeded_distance('Commune', 'Quartier')} AS distance_hopital
         FROM ({_first_seen('raw_patient', ['Commune', 'Quartier'], ['Commune', 'Quartier'], 'geographie_sk')})""",
     "dim_service": f"""
         SELECT 1 AS service_sk, 'SRV-DEF' AS id_service, 'Service par défaut' AS nom_service,
-          'Général' AS type_service, {_validity()}
+          'Général' AS type_service, 10 AS capacite_lits, {_validity()}
         UNION ALL
-        SELECT service_sk, printf('SRV%03d', service_sk - 1), Service_Affectation, 'Hospitalisation', {_validity()}
+        SELECT service_sk, printf('SRV%03d', service_sk - 1), Service_Affectation, 'Hospitalisation',
+          {seeded_capacity('Service_Affectation')}, {_validity()}
         FROM ({_first_seen('raw_hospitalisation', ['Service_Affectation'], ['Service_Affectation'], 'service_sk', 2)})
         """,
     "vocabulary": """
@@ -199,7 +236,9 @@ CTES: dict[str, str] = {
         FROM ({_first_seen('std_maternite', ['Age_Gestationnel', 'Nb_Grossesses', 'Antecedents_Obstetricaux'],
                            ['Age_Gestationnel', 'Nb_Grossesses', 'Antecedents_Obstetricaux'], 'grossesse_sk')})""",
     "dim_nouveaune": f"""
-        SELECT bebe_sk, printf('B-%03d', src_row) AS code_bebe, Poids_Nouveau_Ne AS poids_naissance,
+        SELECT bebe_sk, printf('B-%03d', src_row) AS code_bebe,
+          {seeded_sex('Poids_Nouveau_Ne', 'Taille_Naissance', 'Score_Apgar', 'Statut_Bebe')} AS sexe_bebe,
+          Poids_Nouveau_Ne AS poids_naissance,
           Taille_Naissance AS taille_naissance, {truncated('Score_Apgar')} AS score_apgar, Statut_Bebe AS statut_bebe,
           {_validity()}
         FROM ({_first_seen('std_maternite', ['Poids_Nouveau_Ne', 'Taille_Naissance', 'Score_Apgar', 'Statut_Bebe'],
@@ -268,7 +307,7 @@ def _consultations(std: str, join: str) -> str:
 
 def _stays(std: str, patient: str, beds: bool) -> str:
     return f"""
-        SELECT c.temps_sk, coalesce(p.sk, 1) AS patient_sk, coalesce(s.sk, 1) AS service_sk,
+        SELECT src_row + 1 AS id_fait, c.temps_sk, coalesce(p.sk, 1) AS patient_sk, coalesce(s.sk, 1) AS service_sk,
           coalesce(h.sk, 1) AS pathologie_sk, 1 AS geographie_sk, 1 AS contexte_sk,
           {'coalesce(l.sk, 1)' if beds else '1'} AS lit_sk, coalesce(a.sk, 1) AS admission_sk,
           coalesce(i.sk, 1) AS issue_sk, 1 AS nb_hospitalisations,
@@ -361,21 +400,96 @@ CTES.update({
 })
 
 
-def query(final: str) -> str:
-    """``final`` behind the CTEs it needs, directly or through others, in definition-safe order."""
+def _solved(source: str, size: int) -> str:
+    """``rows`` of normal equations, each with its right side last, after elimination column by column."""
+    return f"""
+        SELECT service_sk, 0 AS step, eqs FROM {source}
+        UNION ALL
+        SELECT service_sk, step + 1, list_transform(eqs, lambda r, i: CASE WHEN i = step + 1
+            THEN list_transform(r, lambda x: x / eqs[step + 1][step + 1])
+            ELSE list_transform(r, lambda x, j: x - r[step + 1] / eqs[step + 1][step + 1] * eqs[step + 1][j]) END)
+        FROM {source}_solved WHERE step < {size}"""
+
+
+_LAGS = range(1, 6)
+_TERMS = [f"{f}(day * {2 * math.pi * k / period!r})" for period, order in ((365.25, 10), (7.0, 3)) for k in range(1, order + 1)
+          for f in ("sin", "cos")]
+_DESIGN = "[1.0::DOUBLE, (day - origin) / span, " + ", ".join(_TERMS) + "]"
+_RECURSIVE = {"ar_fit_solved", "ar_ahead", "wave_fit_solved"}
+CTES.update({
+    "ar_steps": "SELECT *, " + ", ".join(f"lag(dz, {k}) OVER w AS z{k}" for k in _LAGS) + """
+        FROM (SELECT service_sk, d, rate, rate - lag(rate) OVER (PARTITION BY service_sk ORDER BY d) AS dz FROM series)
+        WINDOW w AS (PARTITION BY service_sk ORDER BY d)""",
+    "ar_fit": "SELECT service_sk, [" + ", ".join(
+        "[" + ", ".join(f"sum(z{i} * {f'z{j}' if j else 'dz'}) FILTER (z5 IS NOT NULL)" for j in (*_LAGS, 0)) + "]" for i in _LAGS)
+        + "] AS eqs, arg_max([dz, z1, z2, z3, z4], d) AS recent, arg_max(rate, d) AS newest FROM ar_steps GROUP BY service_sk",
+    "ar_fit_solved": _solved("ar_fit", 5),
+    "ar_ahead": """
+        SELECT service_sk, 0 AS k, recent AS held, newest AS level, [r[6] FOR r IN s.eqs] AS weights
+        FROM ar_fit f JOIN ar_fit_solved s USING (service_sk) WHERE step = 5
+        UNION ALL
+        SELECT service_sk, k + 1, list_prepend(list_inner_product(weights, held), held[1:4]), level + list_inner_product(weights, held), weights
+        FROM ar_ahead WHERE k < 30""",
+    "wave_days": """
+        SELECT *, max(day) OVER (PARTITION BY service_sk) AS last_day, min(day) OVER (PARTITION BY service_sk) AS origin,
+          max(abs(rate)) OVER (PARTITION BY service_sk) AS scale,
+          greatest(max(day) OVER (PARTITION BY service_sk) - min(day) OVER (PARTITION BY service_sk), 1.0) AS span
+        FROM (SELECT service_sk, rate, CAST(d - DATE '1970-01-01' AS DOUBLE) AS day FROM series)""",
+    "wave_design": f"SELECT *, rate / scale AS y, {_DESIGN} AS x FROM wave_days",
+    "wave_noise": """
+        SELECT service_sk, any_value(last_day) AS last_day, any_value(origin) AS origin, any_value(scale) AS scale, any_value(span) AS span,
+          count(*) AS n, sum(y * y) AS yy, power(greatest(sqrt(greatest(regr_syy(y, x[2]) - power(regr_sxy(y, x[2]), 2) / regr_sxx(y, x[2]), 0)
+            / count(*)), 1e-3) / 10, 2) AS penalty
+        FROM wave_design GROUP BY service_sk""",
+    "wave_sums": """
+        SELECT service_sk, i, j, sum(x[i] * CASE WHEN j = 29 THEN y ELSE x[j] END) AS g
+        FROM wave_design, range(1, 29) a(i), range(1, 30) b(j) GROUP BY ALL""",
+    "wave_rows": "SELECT service_sk, i, list(g ORDER BY j) AS r FROM wave_sums GROUP BY ALL",
+    "wave_fit": """
+        SELECT service_sk, list(list_transform(r, lambda v, j: CASE WHEN j = i AND i > 2 THEN v + penalty ELSE v END) ORDER BY i) AS eqs
+        FROM wave_rows JOIN wave_noise USING (service_sk) GROUP BY service_sk""",
+    "wave_fit_solved": _solved("wave_fit", 28),
+    "wave_weights": """
+        SELECT n.*, [r[29] FOR r IN s.eqs] AS weights, plain.eqs AS plain
+        FROM wave_noise n JOIN wave_fit_solved s ON n.service_sk = s.service_sk AND s.step = 28
+        JOIN (SELECT service_sk, list(r ORDER BY i) AS eqs FROM wave_rows GROUP BY service_sk) plain ON plain.service_sk = n.service_sk""",
+    "wave_spread": """
+        SELECT *, 1.2815515655446004 * scale * sqrt(greatest((yy - 2 * list_inner_product(weights, [r[29] FOR r IN plain])
+            + list_inner_product(weights, [list_inner_product(r[1:28], weights) FOR r IN plain])) / n
+            - power((plain[1][29] - list_inner_product(plain[1][1:28], weights)) / n, 2), 0)) AS spread
+        FROM wave_weights""",
+    "wave_model": f"""
+        SELECT service_sk, k, list_inner_product(weights, {_DESIGN}) * scale AS seasonal, spread
+        FROM (SELECT w.*, CAST(r.k AS INTEGER) AS k, last_day + r.k AS day FROM wave_spread w, range(1, 31) r(k))""",
+    "whole_models": """
+        SELECT l.service_sk, l.k, l.d, l.capacity, greatest(0, least(1, (a.level + w.seasonal + l.linear) / 3)) AS rate,
+          w.seasonal - w.spread AS lower, w.seasonal + w.spread AS upper
+        FROM linear l JOIN ar_ahead a ON a.service_sk = l.service_sk AND a.k = l.k
+        JOIN wave_model w ON w.service_sk = l.service_sk AND w.k = l.k""",
+})
+
+
+def query(final: str, ctes: dict[str, str] | None = None, stored: bool = False) -> str:
+    """``final`` behind the steps it needs (of ``ctes``, all unless given), directly or through others, in definition-safe order."""
+    ctes = CTES if ctes is None else ctes
     order: list[str] = []
 
     def need(text: str) -> None:
-        for name in CTES:
+        for name in ctes:
             if name not in order and re.search(rf"\b{name}\b", text):
-                need_of = CTES[name]
                 order_guard = set(order)
-                need(re.sub(rf"\b{name}\b", "", need_of))
+                need(re.sub(rf"\b{name}\b", "", ctes[name]))
                 if name not in order_guard and name not in order:
                     order.append(name)
 
     need(final)
     if not order:
         return final
-    steps = ",\n".join(f"{name} AS ({CTES[name]})" for name in order)
-    return f"WITH {steps}\n{final}"
+    steps = ",\n".join(f"{name} AS {'MATERIALIZED ' if stored else ''}({ctes[name]})" for name in order)
+    return f"WITH {'RECURSIVE ' if _RECURSIVE & set(order) else ''}{steps}\n{final}"
+
+
+def strict_query(final: str) -> str:
+    """``query`` over strictly parsed sources: ``std_`` names stand for the strict ones."""
+    strict = {f"std_{name}": CTES[f"strict_{name}"] for name in ("urgence", "consultation", "hospitalisation", "maternite")}
+    return query(final, CTES | strict)

@@ -5,20 +5,21 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import caremart.functions as fn
 from caremart.operators import keys, lookup, quality, series, versions
-from caremart.plans import checks, dims, facts, forecast, marts, standardise
+from caremart.plans import checks, dims, facts, forecast, load, marts, standardise
 from caremart.plans.settings import LoadSettings
 from caremart.registry import fixtures as fx
 from caremart.registry import oracle as sql
 from caremart.registry.fixtures import Fixtures
 from caremart.session import materialise, scratch_dir
-from caremart.sources import delimited, tables
+from caremart.sources import delimited, snapshots, tables
 
 SETTINGS = LoadSettings(run_date=dt.date(2024, 6, 30))
 
@@ -34,7 +35,7 @@ REGISTRY: dict[str, Registered] = {}
 
 def register(oracle: str | None = None) -> Callable[[Callable[[Fixtures], DataFrame]], Callable[[Fixtures], DataFrame]]:
     def add(run: Callable[[Fixtures], DataFrame]) -> Callable[[Fixtures], DataFrame]:
-        REGISTRY[run.__name__] = Registered(run, sql.query(oracle) if oracle else None)
+        REGISTRY[run.__name__] = Registered(run, (oracle if oracle.startswith("WITH") else sql.query(oracle)) if oracle else None)
         return run
 
     return add
@@ -266,12 +267,12 @@ def dim_patient(f: Fixtures) -> DataFrame:
 
 @register("SELECT * FROM dim_geographie")
 def dim_geographie(f: Fixtures) -> DataFrame:
-    return dims.dim_geographie(f.source("patient"), SETTINGS).drop("distance_hopital")
+    return dims.dim_geographie(f.source("patient"), SETTINGS)
 
 
 @register("SELECT * FROM dim_service")
 def dim_service(f: Fixtures) -> DataFrame:
-    return dims.dim_service(f.source("hospitalisation"), SETTINGS).drop("capacite_lits")
+    return dims.dim_service(f.source("hospitalisation"), SETTINGS)
 
 
 @register("SELECT * FROM dim_pathologie")
@@ -316,6 +317,14 @@ def snowflake_lookup(f: Fixtures) -> DataFrame:
     return dims.dim_lit(stays, dims.dim_service(stays, SETTINGS), SETTINGS)
 
 
+@register(sql.query("SELECT * FROM dim_lit", sql.CTES | {
+    "by_service": "SELECT lower(nom_service) AS name, max(service_sk) AS sk FROM dim_service GROUP BY 1"}))
+def snowflake_lookup_untrimmed(f: Fixtures) -> DataFrame:
+    """Beds with the key of their service, names compared as they are written."""
+    stays = f.source("hospitalisation")
+    return dims.dim_lit(stays, dims.dim_service(stays, SETTINGS), SETTINGS, strip_service=False)
+
+
 @register("SELECT * FROM dim_admission")
 def dim_admission(f: Fixtures) -> DataFrame:
     return dims.dim_admission(f.source("hospitalisation"))
@@ -333,7 +342,7 @@ def dim_grossesse(f: Fixtures) -> DataFrame:
 
 @register("SELECT * FROM dim_nouveaune")
 def dim_nouveaune(f: Fixtures) -> DataFrame:
-    return dims.dim_nouveaune(_events(f, "maternite"), SETTINGS).drop("sexe_bebe")
+    return dims.dim_nouveaune(_events(f, "maternite"), SETTINGS)
 
 
 @register("SELECT * FROM dim_complication")
@@ -341,21 +350,17 @@ def dim_complication(f: Fixtures) -> DataFrame:
     return dims.dim_complication(f.source("maternite"))
 
 
-@register("SELECT c_custkey, c_name FROM customer")
+@register(f"SELECT c_custkey, {sql.seeded_distance('c_name')} AS distance, {sql.seeded_capacity('c_name', 'c_nationkey')} AS capacity, "
+          f"{sql.seeded_sex('c_name', 'c_acctbal')} AS sex FROM customer")
 def seeded_attributes(f: Fixtures) -> DataFrame:
-    """Customers whose seeded attributes are in range and equal after a repartition."""
-    key = F.col("c_name")
-    attributes = [
-        fn.seeded_uniform(1, 20, key).alias("distance"),
-        fn.seeded_integer(10, 60, key).alias("capacity"),
-        fn.seeded_choice(("M", "F"), key).alias("sex"),
-    ]
-    customers = f.table("customer").select("c_custkey", "c_name")
-    once = customers.select("*", *attributes)
-    again = customers.repartition("c_custkey").select("c_custkey", *attributes)
-    same = once.join(again, ["c_custkey", "distance", "capacity", "sex"], "left_semi")
-    inside = F.col("distance").between(1, 20) & F.col("capacity").between(10, 59) & F.col("sex").isin("M", "F")
-    return same.where(inside).select("c_custkey", "c_name")
+    """Distance, capacity and sex from one, two and a numeric key."""
+    name = F.col("c_name")
+    return f.table("customer").select(
+        "c_custkey",
+        fn.seeded_uniform(1, 20, name).alias("distance"),
+        fn.seeded_integer(10, 60, name, F.col("c_nationkey")).alias("capacity"),
+        fn.seeded_choice(("M", "F"), name, F.col("c_acctbal")).alias("sex"),
+    )
 
 
 # ---- lookups ---------------------------------------------------------------------------------
@@ -365,8 +370,8 @@ _ORDER_PATIENT = "SELECT v.src_row, coalesce(p.sk, 1) AS patient_sk FROM std_urg
 
 
 def _patient_keys(f: Fixtures, small: bool | None) -> DataFrame:
-    visits = _events(f, "urgence").select("src_row", "ID_Patient_Anonyme")
-    members = dims.dim_patient(standardise.standardise_patients(f.source("patient")), SETTINGS)
+    visits = materialise(_events(f, "urgence").select("src_row", "ID_Patient_Anonyme"), "visits")
+    members = materialise(dims.dim_patient(standardise.standardise_patients(f.source("patient")), SETTINGS), "dim_patient")
     return lookup.resolve(
         visits, members, "patient_sk", [F.upper("ID_Patient_Anonyme")], [F.upper("id_patient_anonyme")], small=small
     ).select("src_row", "patient_sk")
@@ -423,17 +428,11 @@ def lookup_composite_key(f: Fixtures) -> DataFrame:
 
 # ---- facts -----------------------------------------------------------------------------------
 
-FACT_DIMENSIONS = {
-    "urgence": ("dim_patient", "dim_service", "dim_gravite", "dim_decision", "dim_motif"),
-    "consultation": ("dim_patient", "dim_service", "dim_pathologie", "dim_medecin"),
-    "hospitalisation": ("dim_patient", "dim_service", "dim_pathologie", "dim_issue", "dim_lit", "dim_admission"),
-    "maternite": ("dim_patient", "dim_accouchement", "dim_complication", "dim_grossesse", "dim_nouveaune"),
-}
 _BUILD = {
-    "urgence": facts.fact_visits,
-    "consultation": facts.fact_consultations,
-    "hospitalisation": facts.fact_stays,
-    "maternite": facts.fact_births,
+    "urgence": ("faits_accueil", facts.fact_visits),
+    "consultation": ("faits_consultation", facts.fact_consultations),
+    "hospitalisation": ("faits_hospitalisation", facts.fact_stays),
+    "maternite": ("faits_maternite", facts.fact_births),
 }
 
 
@@ -443,9 +442,11 @@ def _fact(f: Fixtures, name: str, **options) -> DataFrame:
     # Parsed once; the other event sources only give untouched text columns to the dimensions.
     typed = f.sources()
     typed["patient"] = standardise.standardise_patients(typed["patient"])
-    typed[name] = materialise(standardise.standardise_events(typed[name], name, chosen.mode), f"typed-{name}")
-    members = dims.build_dimensions(typed, SETTINGS, FACT_DIMENSIONS[name])
-    return _BUILD[name](typed[name], members, chosen)
+    parsed = materialise(standardise.parsed_events(typed[name], name, chosen.mode), f"parsed-{name}")
+    typed[name] = standardise.standardised(parsed, name, chosen.mode)
+    table, build = _BUILD[name]
+    members = dims.build_dimensions(typed, SETTINGS, facts.FACT_DIMENSIONS[table])
+    return build(typed[name], members, chosen)
 
 
 @register("SELECT * FROM fact_visits")
@@ -460,8 +461,7 @@ def fact_consultations(f: Fixtures) -> DataFrame:
 
 @register("SELECT * FROM fact_stays")
 def fact_stays(f: Fixtures) -> DataFrame:
-    """Row ids are left out: the driver's line items have no unique row key."""
-    return _fact(f, "hospitalisation").drop("id_fait")
+    return _fact(f, "hospitalisation")
 
 
 @register("SELECT * FROM fact_births")
@@ -475,39 +475,21 @@ def fact_visits_unknown_member(f: Fixtures) -> DataFrame:
     return _fact(f, "urgence", unknown_key=-1, strip_rows=True)
 
 
-def _register_strict() -> None:
-    """Strict facts: the dimensions are built from strictly parsed sources."""
-    swap = {f"std_{name}": f"strict_{name}" for name in ("urgence", "consultation", "hospitalisation", "maternite")}
-    lenient = dict(sql.CTES)
-    try:
-        for old, new in swap.items():
-            sql.CTES[old] = lenient[new]
-        finals = {
-            "fact_visits_strict": ("urgence", sql._visits("std_urgence", "")),
-            "fact_consultations_strict": (
-                "consultation",
-                "SELECT *, row_number() OVER (ORDER BY id_fait) AS id_consultation FROM "
-                f"({sql._consultations('std_consultation', '')})",
-            ),
-            "fact_stays_strict": ("hospitalisation", sql._stays("std_hospitalisation", "", beds=False)),
-            "fact_births_strict": (
-                "maternite",
-                "SELECT *, row_number() OVER (ORDER BY id_fait) AS id_accouchement FROM "
-                f"({sql._births('std_maternite', '', clamp=False)})",
-            ),
-        }
-        for name, (source, final) in finals.items():
-            def run(f: Fixtures, source: str = source) -> DataFrame:
-                fact = _fact(f, source, mode=standardise.STRICT)
-                return fact.drop("id_fait") if source == "hospitalisation" else fact
-
-            REGISTRY[name] = Registered(run, sql.query(final))
-    finally:
-        sql.CTES.clear()
-        sql.CTES.update(lenient)
-
-
-_register_strict()
+_STRICT = {
+    "fact_visits_strict": ("urgence", sql._visits("std_urgence", "")),
+    "fact_consultations_strict": (
+        "consultation",
+        f"SELECT *, row_number() OVER (ORDER BY id_fait) AS id_consultation FROM ({sql._consultations('std_consultation', '')})",
+    ),
+    "fact_stays_strict": ("hospitalisation", sql._stays("std_hospitalisation", "", beds=False)),
+    "fact_births_strict": (
+        "maternite",
+        f"SELECT *, row_number() OVER (ORDER BY id_fait) AS id_accouchement FROM ({sql._births('std_maternite', '', clamp=False)})",
+    ),
+}
+for _name, (_source, _final) in _STRICT.items():
+    # Strict facts: the dimensions are built from strictly parsed sources.
+    REGISTRY[_name] = Registered(lambda f, source=_source: _fact(f, source, mode=standardise.STRICT), sql.strict_query(_final))
 
 
 # ---- data quality ----------------------------------------------------------------------------
@@ -552,62 +534,56 @@ def dq_defaults(f: Fixtures) -> DataFrame:
     return quality.fill_declared_defaults(rows, {"Medecin": "Inconnu", **checks.DEFAULTS["dim_patient"]})
 
 
-def _rule(table: str, rule: str, condition: str) -> str:
-    return f"SELECT '{table}' AS table_name, '{rule}' AS rule, count(*) AS violations FROM {table} WHERE {condition}"
+_FACT_STEPS = {"faits_accueil": "fact_visits", "faits_consultation": "fact_consultations", "faits_hospitalisation": "fact_stays",
+               "faits_maternite": "fact_births"}
+_VALUE_RULES = {"dim_patient": ("sexe in (M, F)", "sexe NOT IN ('M', 'F')"),
+                "dim_gravite": ("niveau_urgence between 1 and 5", "niveau_urgence NOT BETWEEN 1 AND 5"),
+                "dim_nouveaune": ("sexe_bebe in (M, F)", "sexe_bebe NOT IN ('M', 'F')")}
 
 
 def _quality_oracle() -> str:
     parts = []
-    for table in ("dim_patient", "dim_medecin", "dim_decision"):
-        parts += [_rule(table, f"{c} not null", f"{c} IS NULL") for c in checks.NOT_NULL[table]]
-        parts += [_rule(table, f"{c} length <= {n}", f"length({c}) > {n}") for c, n in checks.WIDTHS[table].items()]
-        parts.append(f"SELECT '{table}' AS table_name, '{checks.PRIMARY_KEYS[table]} unique' AS rule, "
-                     "CAST(0 AS BIGINT) AS violations")
-    parts.append(_rule("dim_patient", "sexe in (M, F)", "sexe NOT IN ('M', 'F')"))
-    parts.append("SELECT 'dim_temps' AS table_name, 'date_complete unique' AS rule, CAST(0 AS BIGINT) AS violations")
-    parts.append("SELECT 'dim_temps', 'temps_sk unique', 0")
-    parts.append("SELECT 'dim_temps', 'date_complete not null', 0")
-    parts += [f"SELECT 'dim_temps', '{c} length <= 20', 0" for c in checks.WIDTHS["dim_temps"]]
-    fact = "faits_consultation"
-    parts += [f"SELECT '{fact}', '{c} not null', 0" for c in checks.NOT_NULL[fact]]
-    parts.append(f"SELECT '{fact}', 'id_fait unique', 0")
-    for column, parent in (("temps_sk", "calendar"), ("patient_sk", "dim_patient"), ("medecin_sk", "dim_medecin"),
-                           ("decision_sk", "dim_decision")):
-        named = "dim_temps" if parent == "calendar" else parent
-        parts.append(f"SELECT '{fact}' AS table_name, '{column} in {named}' AS rule, count(*) AS violations "
-                     f"FROM fact_consultations WHERE {column} NOT IN (SELECT {column} FROM {parent})")
-    return " UNION ALL ".join(parts)
+    for table in tables.WAREHOUSE_TABLES:
+        step = _FACT_STEPS.get(table, table)
+        broken = [(f"{c} not null", f"{c} IS NULL") for c in checks.NOT_NULL[table]]
+        broken += [(f"{c} length <= {n}", f"length({c}) > {n}") for c, n in checks.WIDTHS.get(table, {}).items()]
+        broken += [_VALUE_RULES[table]] if table in _VALUE_RULES else []
+        rules = ", ".join(f"{{'rule': '{rule}', 'violations': count(*) FILTER ({condition})}}" for rule, condition in broken)
+        parts.append(f"SELECT '{table}' AS table_name, unnest([{rules}], recursive := true) FROM {step}")
+        unique = [checks.PRIMARY_KEYS[table], *([checks.UNIQUE_COLUMNS[table]] if table in checks.UNIQUE_COLUMNS else [])]
+        parts += [f"SELECT '{table}', '{c} unique', CAST(coalesce(sum(n), 0) AS BIGINT) FROM (SELECT count(*) AS n FROM {step} "
+                  f"WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)" for c in unique]
+        parts += [f"SELECT '{table}', '{c} in {parent}', count(*) FROM {step} "
+                  f"WHERE {c} NOT IN (SELECT {checks.PRIMARY_KEYS[parent]} FROM {parent})"
+                  for c, parent in checks.FOREIGN_KEYS.get(table, {}).items()]
+    return sql.query(" UNION ALL ".join(parts), stored=True)
 
 
 @register(_quality_oracle())
 def quality_report(f: Fixtures) -> DataFrame:
-    """Every declared constraint of three dimensions, the calendar and the consultation facts."""
-    typed = f.sources()
-    typed["patient"] = standardise.standardise_patients(typed["patient"])
-    for name in ("consultation", "urgence"):
-        typed[name] = materialise(_events(f, name), f"typed-{name}")
-    wanted = {*FACT_DIMENSIONS["consultation"], "dim_decision", "dim_temps"}
-    members = dims.build_dimensions(typed, SETTINGS, wanted)
-    fact = facts.fact_consultations(typed["consultation"], members, facts.FactOptions(settings=SETTINGS))
-    checked = {t: members[t] for t in ("dim_patient", "dim_medecin", "dim_decision", "dim_temps")}
-    # Written once: each rule then scans only its own column.
-    return checks.quality_report({**checked, "faits_consultation": materialise(fact, "faits_consultation")})
+    """Every declared constraint of the 21 tables of a loaded warehouse."""
+    root = f"{scratch_dir(f.spark)}/caremart/warehouse-{uuid.uuid4().hex}"
+    load.load_sources(f.spark, f.sources(), root, SETTINGS, run_id="2024-06-30")
+    warehouse = load.Warehouse(f.spark, root)
+    return checks.quality_report({t: warehouse.table(t) for t in tables.WAREHOUSE_TABLES})
 
 
 # ---- daily series and forecast ---------------------------------------------------------------
 
 def _services(f: Fixtures) -> DataFrame:
-    return f.select(fx.SERVICES)
+    """A table over all events, written once for the lookup and the star join."""
+    return materialise(f.select(fx.SERVICES), "services")
 
 
 def _history(f: Fixtures, text: str = fx.OCCUPANCY) -> DataFrame:
     """Stays of each service as facts joined to the calendar and the services."""
-    return forecast.occupancy_history(_stay_facts(f, text), dims.dim_temps(f.spark, SETTINGS), _services(f))
+    services = _services(f)
+    return forecast.occupancy_history(_stay_facts(f, services, text), dims.dim_temps(f.spark, SETTINGS), services)
 
 
-def _stay_facts(f: Fixtures, text: str = fx.OCCUPANCY) -> DataFrame:
+def _stay_facts(f: Fixtures, services: DataFrame, text: str = fx.OCCUPANCY) -> DataFrame:
     stays = f.select(text)
-    keyed = lookup.resolve(stays, _services(f), "service_sk", [F.col("event_type")], [F.col("nom_service")])
+    keyed = lookup.resolve(stays, services, "service_sk", [F.col("event_type")], [F.col("nom_service")])
     return keyed.select(
         "event_id", fn.date_key(F.col("d")).alias("temps_sk"), "service_sk", F.col("beds").alias("nb_lits_occupes")
     )
@@ -619,8 +595,9 @@ def _rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
 
 
 def _series(f: Fixtures) -> DataFrame:
-    observed = forecast.observed_occupancy(_stay_facts(f), dims.dim_temps(f.spark, SETTINGS), _services(f))
-    return forecast.service_series(observed)
+    services = _services(f)
+    observed = forecast.observed_occupancy(_stay_facts(f, services), dims.dim_temps(f.spark, SETTINGS), services)
+    return materialise(forecast.service_series(observed), "series")
 
 
 @register("SELECT d AS date_complete, event_type AS nom_service, service_sk, beds AS nb_lits_occupes, capacite_lits, "
@@ -638,7 +615,8 @@ def daily_mean(f: Fixtures) -> DataFrame:
           "round(sum(beds) + 1e-9, 6) AS beds, avg(CAST(capacite_lits AS DOUBLE)) AS capacity "
           "FROM occupancy WHERE capacite_lits > 0 GROUP BY ALL")
 def daily_sum(f: Fixtures) -> DataFrame:
-    observed = forecast.observed_occupancy(_stay_facts(f), dims.dim_temps(f.spark, SETTINGS), _services(f), "sum")
+    services = _services(f)
+    observed = forecast.observed_occupancy(_stay_facts(f, services), dims.dim_temps(f.spark, SETTINGS), services, "sum")
     return _rounded(observed, "rate", "beds")
 
 
@@ -677,25 +655,31 @@ def linear_forecast(f: Fixtures) -> DataFrame:
     return _rounded(forecast.linear_forecast(_series(f)), "linear")
 
 
-@register()
+@register("SELECT service_sk, CAST(k AS INTEGER) AS k, round(level + 1e-9, 6) AS ar FROM ar_ahead WHERE k > 0")
 def ar_forecast(f: Fixtures) -> DataFrame:
-    return forecast.ar_forecast(_series(f))
+    return _rounded(forecast.ar_forecast(_series(f)), "ar")
 
 
-@register()
+@register("SELECT service_sk, k, round(seasonal + 1e-9, 6) AS seasonal, round(seasonal - spread + 1e-9, 6) AS lower, "
+          "round(seasonal + spread + 1e-9, 6) AS upper FROM wave_model")
 def seasonal_forecast(f: Fixtures) -> DataFrame:
-    return forecast.seasonal_forecast(_series(f))
+    return _rounded(forecast.seasonal_forecast(_series(f)), "seasonal", "lower", "upper")
 
 
-@register()
+@register("""
+    SELECT d AS date_prevision, service_sk, round(rate * 100 + 1e-9, 4) AS occupation_predite,
+      CAST(trunc(rate * capacity) AS INTEGER) AS nb_lits_occupes_predits, round(lower * 100 + 1e-9, 4) AS intervalle_inf,
+      round(upper * 100 + 1e-9, 4) AS intervalle_sup, 'Ensemble' AS modele, k AS horizon_jours
+    FROM whole_models""")
 def ensemble_forecast(f: Fixtures) -> DataFrame:
     """The whole forecast: three models of every service, combined."""
-    return forecast.forecast_rows(forecast.combined_forecast(materialise(_series(f), "series")))
+    rows = forecast.forecast_rows(forecast.combined_forecast(_series(f)))
+    return _rounded(rows, "occupation_predite", "intervalle_inf", "intervalle_sup", digits=4)
 
 
 def _stand_ins(f: Fixtures) -> DataFrame:
     """Forecast days with model values derived from the trend, missing by rule."""
-    daily_series = materialise(_series(f), "series")
+    daily_series = _series(f)
     days = forecast.horizon_frame(daily_series).join(forecast.linear_forecast(daily_series), ["service_sk", "k"])
     k, y = F.col("k"), F.col("linear")
     return days.select(
@@ -777,6 +761,84 @@ def scd2_merge(f: Fixtures) -> DataFrame:
     )
 
 
+_COMPOSITE_CURRENT = """
+    SELECT CAST(c_custkey + 1 AS INT) AS sk, c_nationkey AS nation, CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE c_name END AS name,
+      CASE WHEN c_custkey % 13 = 0 THEN CAST(c_custkey AS STRING) ELSE c_mktsegment END AS segment,
+      CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE c_acctbal END AS balance, 'C' || CAST(c_custkey AS STRING) AS code,
+      CAST('2024-01-01' AS DATE) AS date_debut_validite, CAST(NULL AS DATE) AS date_fin_validite, true AS est_actif, 1 AS version_ligne
+    FROM {customer} WHERE c_custkey % 10 <> 3"""
+
+
+def _composite_incoming(day: int) -> str:
+    """The extract as it came first, and as it was corrected on the same day."""
+    corrected = "WHEN c_custkey % 5 = 0 THEN c_acctbal + 5 " if day else ""
+    return f"""
+    SELECT c_nationkey AS nation, CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE c_name END AS name,
+      CASE WHEN c_custkey % 13 = 0 THEN CAST(c_custkey AS STRING) ELSE c_mktsegment END AS segment,
+      CASE WHEN c_custkey % 9 = 0 THEN NULL {corrected}WHEN c_custkey % 7 = 0 THEN c_acctbal + 1 ELSE c_acctbal END AS balance,
+      'N' || CAST(c_custkey AS STRING) AS code
+    FROM {{customer}} WHERE c_custkey % 10 <> 4"""
+
+
+@register(f"""
+    WITH cur AS ({fx.in_duckdb(_COMPOSITE_CURRENT)}), one AS ({fx.in_duckdb(_composite_incoming(0))}),
+    two AS ({fx.in_duckdb(_composite_incoming(1))}),
+    held AS (SELECT t.*, o.balance AS first_balance, c.sk AS old_sk, c.balance AS old_balance, c.code AS old_code,
+        c.sk IS NULL AS fresh, c.sk IS NOT NULL AND c.balance IS DISTINCT FROM o.balance AS by_one
+      FROM two t JOIN one o ON t.nation = o.nation AND t.segment = o.segment AND t.name IS NOT DISTINCT FROM o.name
+      LEFT JOIN cur c ON t.nation = c.nation AND t.segment = c.segment AND t.name IS NOT DISTINCT FROM c.name),
+    judged AS (SELECT *, NOT fresh AND NOT by_one AND old_balance IS DISTINCT FROM balance AS by_two FROM held),
+    top AS (SELECT max(sk) AS top FROM cur),
+    opened_one AS (SELECT *, top + row_number() OVER (ORDER BY nation NULLS FIRST, name NULLS FIRST, segment NULLS FIRST) AS sk
+      FROM judged, top WHERE fresh OR by_one),
+    opened_two AS (SELECT *, (SELECT max(sk) FROM opened_one)
+        + row_number() OVER (ORDER BY nation NULLS FIRST, name NULLS FIRST, segment NULLS FIRST) AS sk
+      FROM judged WHERE by_two)
+    SELECT c.sk, c.nation, c.name, c.segment, c.balance, c.code, c.date_debut_validite,
+      CASE WHEN j.old_sk IS NULL THEN c.date_fin_validite ELSE {sql.RUN_DATE} END AS date_fin_validite, j.old_sk IS NULL AS est_actif, 1 AS version_ligne
+    FROM cur c LEFT JOIN (SELECT old_sk FROM judged WHERE by_one OR by_two) j ON c.sk = j.old_sk
+    UNION ALL
+    SELECT CAST(sk AS INTEGER), nation, name, segment, balance, CASE WHEN fresh THEN code ELSE old_code END, {sql.RUN_DATE}, CAST(NULL AS DATE), true,
+      CASE WHEN fresh THEN 1 ELSE 2 END
+    FROM (SELECT sk, nation, name, segment, balance, code, old_code, fresh FROM opened_one UNION ALL
+          SELECT sk, nation, name, segment, balance, code, old_code, fresh FROM opened_two)""")
+def scd2_merge_composite(f: Fixtures) -> DataFrame:
+    """Members by three columns, one of them missing at times: an extract, its correction of the same day, and the correction once more."""
+    merged = f.select(_COMPOSITE_CURRENT)
+    for day in (0, 1, 1):
+        merged = materialise(versions.merge_versions(
+            merged, f.select(_composite_incoming(day)), "sk", ["nation", "name", "segment"], ["balance"], SETTINGS.run_date, ["code"]), "merged")
+    return merged
+
+
+_HISTORY = """
+    SELECT CAST(c_custkey * 4 + v AS INT) AS sk, ' ' || c_name AS name, date_add(CAST('2024-01-01' AS DATE), 400 * v) AS date_debut_validite,
+      CASE WHEN v < c_custkey % 4 THEN date_add(CAST('2024-01-01' AS DATE), 400 * v + 400) END AS date_fin_validite
+    FROM (SELECT c_custkey, c_name, explode(sequence(0, CAST(c_custkey % 4 AS INT))) AS v FROM {customer})"""
+
+
+@register("""
+    SELECT o_orderkey, coalesce(sk, 1) AS member_sk
+    FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 17 <> 0 THEN c_name END AS name,
+            CASE WHEN o_orderkey % 19 <> 0 THEN CAST(o_orderdate AS DATE) + 10227 END AS day FROM orders JOIN customer ON o_custkey = c_custkey) e
+    LEFT JOIN (SELECT CAST(c_custkey * 4 + v AS INTEGER) AS sk, c_name AS member,
+            CASE WHEN v = 0 THEN DATE '0001-01-01' ELSE CAST('2024-01-01' AS DATE) + CAST(400 * v AS INTEGER) END AS since,
+            CASE WHEN v < c_custkey % 4 THEN CAST('2024-01-01' AS DATE) + CAST(400 * v + 400 AS INTEGER) ELSE DATE '9999-12-31' END AS until
+          FROM customer, range(0, 4) r(v) WHERE v <= c_custkey % 4) m
+      ON name = member AND ((day >= since AND day < until) OR (day IS NULL AND until = DATE '9999-12-31'))""")
+def fact_as_of(f: Fixtures) -> DataFrame:
+    """Orders with the version of their customer that held on their day; missing days take the open version."""
+    orders, customers = f.table("orders"), f.table("customer")
+    events = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).select(
+        "o_orderkey",
+        F.when(F.col("o_orderkey") % 17 != 0, F.col("c_name")).alias("name"),
+        F.when(F.col("o_orderkey") % 19 != 0, F.date_add(F.to_date("o_orderdate"), 10227)).alias("day"),
+    )
+    history = materialise(f.select(_HISTORY), "history")
+    found = lookup.resolve(events, history, "sk", [F.col("name")], [fn.strip(F.col("name"))], alias="member_sk", at=F.col("day"))
+    return found.select("o_orderkey", "member_sk")
+
+
 def _kpi(fact: str, measures: str) -> str:
     return (f"SELECT CAST(temps_sk // 10000 AS INTEGER) AS annee, CAST(temps_sk // 100 % 100 AS INTEGER) AS mois, "
             f"service_sk, {measures} FROM {fact} GROUP BY 1, 2, 3")
@@ -922,12 +984,102 @@ def replaced_run(f: Fixtures) -> DataFrame:
     combined = materialise(forecast.combine(_stand_ins(f)), "combined")
     rows, alarms = forecast.forecast_rows(combined), forecast.alert_rows(combined)
     stale = {tables.FORECAST_TABLE: rows.where("horizon_jours = 1"), tables.ALERT_TABLE: alarms}
-    tables.write_run(stale, root, "2024-06-29")
-    tables.write_run({tables.FORECAST_TABLE: rows, tables.ALERT_TABLE: alarms}, root, "2024-06-30")
-    newest = tables.latest_run(f.spark, root, tables.FORECAST_TABLE)
+    snapshots.write_run(stale, root, "2024-06-29")
+    snapshots.write_run({tables.FORECAST_TABLE: rows, tables.ALERT_TABLE: alarms}, root, "2024-06-30")
+    newest = snapshots.latest_run(f.spark, root, tables.FORECAST_TABLE)
     return _rounded(newest, "occupation_predite", "intervalle_inf", "intervalle_sup")
 
 
+def _root(f: Fixtures, name: str) -> str:
+    return f"{scratch_dir(f.spark)}/caremart/{name}-{uuid.uuid4().hex}"
+
+
+_SUMS = {t: f"CAST(sum({checks.PRIMARY_KEYS[t]}) AS BIGINT)" for t in tables.WAREHOUSE_TABLES}
+
+
+@register(sql.query(" UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS n_rows, {_SUMS[t]} AS keys FROM {_FACT_STEPS.get(t, t)}" for t in tables.WAREHOUSE_TABLES), stored=True))
+def replaced_warehouse(f: Fixtures) -> DataFrame:
+    """Rows and keys of the 21 tables of the newest whole run: an older one has a single fact, and a newer load ended before it was complete."""
+    root, sources = _root(f, "replaced"), f.sources()
+    load.load_sources(f.spark, sources, root, SETTINGS, run_id="2024-06-29", only=["faits_accueil"])
+    load.load_sources(f.spark, sources, root, SETTINGS, run_id="2024-06-30")
+    broken = snapshots.begin_load(f.spark, root, "2024-07-01")
+    for table in ("dim_patient", "faits_accueil"):
+        broken.write(load.Warehouse(f.spark, root).table(table).limit(1), table)
+    warehouse = load.Warehouse(f.spark, root)
+    parts = [
+        warehouse.table(t).agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("n_rows"),
+                               F.sum(F.col(checks.PRIMARY_KEYS[t]).cast("long")).alias("keys")) for t in tables.WAREHOUSE_TABLES]
+    return reduce(DataFrame.unionByName, parts).select("table_name", "n_rows", "keys")
+
+
+def _appended(column: str, first: int, order: str = "place") -> str:
+    """Members of a text column of the visits, numbered extract by extract, with the extract that first had them."""
+    return (f"SELECT lower({sql.strip('name')}) AS name, place[1] AS since, {first - 1} + row_number() OVER (ORDER BY {order}) AS sk FROM "
+            f"(SELECT {column} AS name, min((part, src_row)) AS place FROM visits WHERE {column} IS NOT NULL GROUP BY 1)")
+
+
+def _known(name: str, value: str) -> str:
+    return f"coalesce((SELECT max(m.sk) FROM {name} m WHERE m.name = {value} AND m.since <= v.part), 1)"
+
+
+@register(sql.query(f"""
+    SELECT CASE WHEN v.part = 1 THEN src_row + 1 ELSE src_row + 1 + (SELECT max(src_row) + 1 FROM dated WHERE part = 1) END AS id_fait,
+      CAST(strftime(Date_Arrivee, '%Y%m%d') AS INTEGER) AS temps_sk,
+      CAST({_known('patients', 'upper(v.pseudonym)')} AS INTEGER) AS patient_sk,
+      CAST(coalesce((SELECT max(s.sk) FROM by_service s WHERE s.name = lower(v.Service)), 1) AS INTEGER) AS service_sk,
+      CAST({_known('levels', 'trunc(v.Niveau_Urgence)')} AS INTEGER) AS gravite_sk,
+      CAST({_known('motifs', 'lower(v.Motif_Consultation)')} AS INTEGER) AS motif_sk,
+      CAST({_known('decisions', 'lower(v.Decision_Medicale)')} AS INTEGER) AS decision_sk
+    FROM dated v""", sql.CTES | {
+        "visits": "SELECT *, CASE WHEN src_row % 3 = 1 THEN 2 ELSE 1 END AS part FROM std_urgence",
+        "dated": "SELECT * FROM visits WHERE Date_Arrivee BETWEEN TIMESTAMP '2024-01-01' AND TIMESTAMP '2026-12-31 23:59:59'",
+        "motifs": _appended("Motif_Consultation", 1),
+        "decisions": _appended("Decision_Medicale", 2),
+        "levels": "SELECT level AS name, since, 1 + row_number() OVER (ORDER BY since, level) AS sk FROM "
+                  "(SELECT trunc(Niveau_Urgence) AS level, min(part) AS since FROM visits WHERE Niveau_Urgence IS NOT NULL GROUP BY 1)",
+        "patients": "SELECT upper(name) AS name, place[1] AS since, row_number() OVER (ORDER BY place) AS sk FROM "
+                    "(SELECT ID_Patient_Anonyme AS name, min((CASE WHEN src_row % 2 = 0 THEN 1 ELSE 2 END, src_row)) AS place "
+                    "FROM std_patient GROUP BY 1)",
+    }))
+def appended_load(f: Fixtures) -> DataFrame:
+    """Visits of two extracts, the second of which was loaded twice: members keep their keys, facts are added once."""
+    root, sources = _root(f, "appended"), f.sources()
+    patients, visits = sources["patient"], sources["urgence"]
+    early = {**sources, "patient": patients.where("src_row % 2 = 0"), "urgence": visits.where("src_row % 3 <> 1")}
+    late = {**sources, "urgence": visits.where("src_row % 3 = 1")}
+    for run_id, extract, given in (("1", "may", early), ("2", "june", late), ("3", "june", late)):
+        load.load_sources(f.spark, given, root, SETTINGS, run_id=run_id, extract=extract, append=True, only=["faits_accueil"])
+    return load.Warehouse(f.spark, root).table(
+        "faits_accueil", "id_fait", "temps_sk", "patient_sk", "service_sk", "gravite_sk", "motif_sk", "decision_sk")
+
+
+@register(f"""
+    SELECT patient_sk, id_patient_anonyme, age, date_debut_validite, CASE WHEN changed THEN DATE '2024-07-31' END AS date_fin_validite,
+      NOT changed AS est_actif, 1 AS version_ligne
+    FROM (SELECT *, coalesce(old_age IS NOT NULL, false) AS changed FROM dim_patient LEFT JOIN older USING (patient_sk))
+    UNION ALL
+    SELECT CAST((SELECT max(patient_sk) FROM dim_patient) + row_number() OVER (ORDER BY id_patient_anonyme NULLS FIRST) AS INTEGER),
+      id_patient_anonyme, age + 1, DATE '2024-07-31', CAST(NULL AS DATE), true, 2
+    FROM dim_patient JOIN older USING (patient_sk)""".replace(
+        "older USING", "(SELECT patient_sk, age AS old_age FROM dim_patient WHERE patient_sk % 7 = 0 AND age BETWEEN 0 AND 98) o USING"))
+def versioned_load(f: Fixtures) -> DataFrame:
+    """Patients after a second load in which some have aged by a year, and after that load once more."""
+    root, sources = _root(f, "versioned"), f.sources()
+    load.load_sources(f.spark, sources, root, SETTINGS, run_id="1", versions=True, only=["faits_accueil"])
+    first = load.Warehouse(f.spark, root).table("dim_patient", "patient_sk", "id_patient_anonyme", "age")
+    aged = first.where("patient_sk % 7 = 0 AND age BETWEEN 0 AND 98").select(F.col("id_patient_anonyme").alias("p"), (F.col("age") + 1).alias("a"))
+    patients = sources["patient"].join(
+        materialise(aged, "aged"), F.coalesce(fn.pseudonymise(F.col("ID_Patient")), F.lit("")) == F.coalesce("p", F.lit("")), "left")
+    older = patients.withColumn("Age", F.coalesce(F.col("a").cast("string"), F.col("Age"))).drop("p", "a")
+    later = replace(SETTINGS, run_date=dt.date(2024, 7, 31))
+    for run_id in ("2", "3"):
+        load.load_sources(f.spark, {**sources, "patient": older}, root, later, run_id=run_id, versions=True, only=["faits_accueil"])
+    return load.Warehouse(f.spark, root).table(
+        "dim_patient", "patient_sk", "id_patient_anonyme", "age", "date_debut_validite", "date_fin_validite", "est_actif", "version_ligne")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         name: (lambda spark, sf_dir, run=entry.run: run(Fixtures(spark, sf_dir))) for name, entry in REGISTRY.items()

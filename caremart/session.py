@@ -11,13 +11,14 @@ from contextlib import contextmanager
 from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Independent tables written at the same time; their small jobs share the cluster.
 CONCURRENT_WRITES = 6
 
-#: Dimensions up to this many rows are broadcast; larger ones take the salted shuffle join.
-#: A lookup row is a short key and a 4-byte number, so the build side stays below ~100 MB.
+#: Tables up to this many rows and bytes of text are broadcast; larger ones take the salted shuffle join.
 BROADCAST_ROW_LIMIT = 500_000
+BROADCAST_BYTE_LIMIT = 64_000_000
 
 
 def build_session(app_name: str = "caremart", master: str | None = None, **conf: str) -> SparkSession:
@@ -94,9 +95,12 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> bool:
-    """Whether ``df`` has at most ``limit`` rows (footer counts only, for a written table)."""
-    return df.count() <= limit
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether ``df`` is within ``BROADCAST_ROW_LIMIT`` and, in its text columns, ``BROADCAST_BYTE_LIMIT``: one scan of it."""
+    texts = [F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)) for c, kind in df.dtypes if kind in ("string", "binary")]
+    size = F.sum(sum(texts, F.lit(0).cast("long")))
+    rows, text = df.agg(F.count(F.lit(1)), F.coalesce(size, F.lit(0))).first()
+    return rows <= BROADCAST_ROW_LIMIT and text <= BROADCAST_BYTE_LIMIT
 
 
 Item = TypeVar("Item")

@@ -11,28 +11,43 @@ from caremart.sources.delimited import (
     scan_extracts,
     stage_source,
 )
-from caremart.sources.tables import (
+from caremart.sources.snapshots import (
+    Snapshot,
+    begin_load,
     empty_warehouse,
-    jdbc_options,
     latest_run,
+    newest_snapshot,
+    open_snapshot,
+    write_run,
+)
+from caremart.sources.tables import (
+    JdbcSplit,
+    jdbc_options,
+    measured_split,
+    ranges_of,
     read_jdbc,
     read_query,
     read_table,
-    spread_small_scan,
     write_fact,
     write_jdbc,
-    write_run,
     write_table,
 )
 
 __all__ = [
     "FileKind",
+    "JdbcSplit",
+    "Snapshot",
+    "begin_load",
     "detect_delimiter",
     "empty_warehouse",
     "file_kinds",
     "jdbc_options",
     "latest_run",
+    "measured_split",
+    "newest_snapshot",
     "number_rows",
+    "open_snapshot",
+    "ranges_of",
     "read_delimited",
     "read_extracts",
     "read_jdbc",
@@ -40,7 +55,6 @@ __all__ = [
     "read_table",
     "rejected_rows",
     "scan_extracts",
-    "spread_small_scan",
     "stage_source",
     "write_fact",
     "write_jdbc",

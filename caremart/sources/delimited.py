@@ -14,7 +14,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from caremart.functions.text import as_missing
 from caremart.operators.keys import POSITION
-from caremart.session import materialise, together
+from caremart.session import BROADCAST_ROW_LIMIT, materialise, together
 
 # Separators considered, in order of preference.
 DELIMITERS = (",", ";", "\t", "|", ":")
@@ -34,6 +34,9 @@ LATIN1 = "ISO-8859-1"
 # Where a scanned row comes from; together they give its place in the source.
 ORIGIN = ("_src_file", "_src_block", "_src_id")
 
+# monotonically_increasing_id() keeps the task in the bits above 33 and the row below.
+_ROW_BITS = 33
+
 # Text of a row with more fields than the header, NULL for every other row.
 REJECT = "_src_reject"
 
@@ -166,8 +169,8 @@ def number_rows(stored: DataFrame, label: str, position: str = POSITION) -> Data
 
     Spark packs file blocks into tasks by size, so the running id alone is not in file order. The
     id of a row relative to its block, shifted by the rows of all earlier blocks, is its row
-    number, without sorting the data. Later plans read only the columns they use and aggregate a
-    plain number.
+    number, without sorting the data. The running id tells the task that read a row, and within it the block: the
+    index has a row for each task with the first id and the shift of its blocks, and is looked up by the task's number.
     """
     file, block, rid = ORIGIN
     blocks = stored.groupBy(file, block).agg(F.count(F.lit(1)).alias("_n"), F.min(rid).alias("_first"))
@@ -177,19 +180,24 @@ def number_rows(stored: DataFrame, label: str, position: str = POSITION) -> Data
         file, F.coalesce(F.sum("_n").over(Window.orderBy(file).rowsBetween(*earlier)), F.lit(0)).alias("_file_base")
     )
     within = Window.partitionBy(file).orderBy(block).rowsBetween(*earlier)
+    # The windows see one row per file, and one per block of a file, never the data.
+    shift = F.struct((-F.col("_first")).alias("_first"), (F.col("_file_base") + F.col("_block_base") - F.col("_first")).alias("_shift"))
     index = (
         blocks.withColumn("_block_base", F.coalesce(F.sum("_n").over(within), F.lit(0)))
         .join(files, file)
-        .select(file, block, (F.col("_file_base") + F.col("_block_base") - F.col("_first")).alias("_shift"))
+        .groupBy(F.shiftright("_first", _ROW_BITS).alias("_task"))
+        .agg(F.array_sort(F.collect_list(shift)).alias("_blocks"))
     )
-    # The windows above see one row per file, and one per block of a file, never the data.
-    # One row per file block. Written, so Catalyst knows its size and broadcasts only if it fits.
+    # One row per task of the scan, with its blocks from the last one on.
     index = materialise(index, f"blocks-{label}")
+    index = F.broadcast(index) if (index.agg(F.sum(F.size("_blocks"))).first()[0] or 0) <= BROADCAST_ROW_LIMIT else index
+    own = F.filter("_blocks", lambda b: -b["_first"] <= F.col(rid))
     return (
         stored.where(F.col(REJECT).isNull())
-        .join(index, [file, block], "left")
-        .withColumn(position, F.col(rid) + F.col("_shift"))
-        .drop(*ORIGIN, REJECT, "_shift")
+        .withColumn("_task", F.shiftright(rid, _ROW_BITS))
+        .join(index, "_task", "left")
+        .withColumn(position, F.col(rid) + F.get(own, 0)["_shift"])
+        .drop(*ORIGIN, REJECT, "_task", "_blocks")
     )
 
 

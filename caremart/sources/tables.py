@@ -1,12 +1,13 @@
-"""Warehouse tables: scans, appends, refreshes, relational connectors, replaceable runs."""
+"""Warehouse tables: scans, writes, relational connectors."""
 
 from __future__ import annotations
 
+import datetime as dt
 import logging
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 log = logging.getLogger(__name__)
@@ -30,26 +31,11 @@ def read_table(spark: SparkSession, root: str, name: str, columns: Sequence[str]
     return table.select(*columns) if columns else table
 
 
-def spread_small_scan(table: DataFrame, *keys: str) -> DataFrame:
-    """Spread a table over the cores by key when its files give fewer splits than there are cores.
-
-    One row group is one task; costly parsing of a small table would run on one core. A table with
-    enough splits is left alone.
-    """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores, *keys) if table.rdd.getNumPartitions() < cores else table
-
-
 def read_query(spark: SparkSession, query: str, **tables: DataFrame) -> DataFrame:
     """The result of a SQL query; ``{name}`` in the text stands for a given DataFrame."""
     return spark.sql(query, **tables)
 
 
-def _observed(df: DataFrame, label: str) -> tuple[DataFrame, Observation]:
-    seen = Observation(f"rows_{label}")
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
-
-
 def write_table(
     df: DataFrame,
     root: str,
@@ -59,84 +45,101 @@ def write_table(
     partition_by: Sequence[str] = (),
 ) -> int:
     """Write a table and return its row count, observed by the write itself (no second scan)."""
+    return write_measured(df, root, name, mode, casts, partition_by)[0]
+
+
+def write_measured(
+    df: DataFrame,
+    root: str,
+    name: str,
+    mode: str = "append",
+    casts: Mapping[str, str] | None = None,
+    partition_by: Sequence[str] = (),
+    key: str | None = None,
+) -> tuple[int, int | None]:
+    """``write_table`` that returns (rows, highest value of ``key``), both observed by the write itself."""
     df = df.withColumns({c: F.col(c).cast(t) for c, t in (casts or {}).items()})
-    counted, seen = _observed(df, name)
+    seen = Observation(f"rows_{name}")
+    highest = F.max(F.col(key) if key else F.lit(None)).cast("long")
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"), highest.alias("highest"))
     counted.write.mode(mode).partitionBy(*partition_by).parquet(f"{root}/{name}")
     rows = seen.get["rows"]
     log.info("%s: %d rows", name, rows)
-    return rows
+    return rows, seen.get["highest"]
 
 
-def write_fact(df: DataFrame, root: str, name: str, mode: str = "append", day_key: str = "temps_sk") -> int:
-    """Write a fact table partitioned by year, so that date filters prune files."""
-    return write_table(
-        df.withColumn("annee", F.floor(F.col(day_key) / 10000).cast("int")), root, name, mode, partition_by=["annee"]
-    )
+def with_year(fact: DataFrame, day_key: str = "temps_sk") -> DataFrame:
+    """A fact with the year of its date key, by which it is partitioned."""
+    return fact.withColumn("annee", F.floor(F.col(day_key) / 10000).cast("int"))
 
 
-def empty_warehouse(spark: SparkSession, root: str, tables: Iterable[str] = WAREHOUSE_TABLES) -> list[str]:
-    """Replace every table by an empty one of the same schema; tables that fail are logged and returned."""
-    skipped = []
-    for name in tables:
-        path = f"{root}/{name}"
-        try:
-            schema = spark.read.parquet(path).schema
-            spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
-        except AnalysisException as reason:
-            log.warning("table %s not emptied: %s", name, reason.getCondition())
-            skipped.append(name)
-    return skipped
+def write_fact(df: DataFrame, root: str, name: str, mode: str = "append", day_key: str = "temps_sk") -> int:
+    """Write a fact table partitioned by year, so that date filters prune files."""
+    return write_table(with_year(df, day_key), root, name, mode, partition_by=["annee"])
 
 
 def jdbc_options(
-    url: str, table: str, driver: str | None = None, batch_rows: int = 10_000, connections: int = 8, **extra: str
+    url: str,
+    table: str,
+    driver: str | None = None,
+    batch_rows: int = 10_000,
+    connections: int = 8,
+    split: JdbcSplit | None = None,
+    **extra: str,
 ) -> dict[str, str]:
-    """Connector options for a relational warehouse: batched inserts over a bounded set of connections."""
+    """Connector options for a relational warehouse: batched inserts, and with ``split`` reads, over a bounded set of connections."""
     options = {"url": url, "dbtable": table, "batchsize": str(batch_rows), "numPartitions": str(connections)}
     if driver:
         options["driver"] = driver
+    if split:
+        options |= {"partitionColumn": split.column, "lowerBound": str(split.low), "upperBound": str(split.high)}
     return {**options, **extra}
 
 
-def read_jdbc(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
-    """A relational table or query; filters and columns are pushed to the server."""
-    return spark.read.format("jdbc").options(**options).load()
+@dataclass(frozen=True)
+class JdbcSplit:
+    """A numeric, date or timestamp column and the bounds between which its values are dealt to the connections.
 
+    Rows outside the bounds are read too, by the first and the last connection.
+    """
 
-def write_jdbc(df: DataFrame, options: Mapping[str, str], mode: str = "append") -> None:
-    """Insert into a relational table; ``overwrite`` empties it and keeps its definition."""
-    df.write.format("jdbc").options(**options, truncate="true").mode(mode).save()
+    column: str
+    low: object
+    high: object
+
+
+def measured_split(spark: SparkSession, options: Mapping[str, str], column: str) -> JdbcSplit | None:
+    """The split of a relational table by the extremes of a column, asked from the server; ``None`` for an empty table."""
+    asked = {**options, "dbtable": f"(SELECT MIN({column}) AS low, MAX({column}) AS high FROM {options['dbtable']} t) ends"}
+    ends = spark.read.format("jdbc").options(**asked).load().first()
+    return None if ends is None or ends[0] is None else JdbcSplit(column, ends[0], ends[1])
 
 
-def _is_listed(spark: SparkSession, root: str, run_id: str) -> bool:
-    try:
-        runs = spark.read.schema("run_id string").parquet(f"{root}/complete_runs")
-    except AnalysisException as reason:
-        if reason.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return False
-    return not runs.where(F.col("run_id") == run_id).isEmpty()
+def _sql_literal(value: object) -> str:
+    return "'" + str(value).replace("'", "''") + "'" if isinstance(value, (str, dt.date)) else str(value)
 
 
-def write_run(tables: Mapping[str, DataFrame], root: str, run_id: str) -> dict[str, int]:
-    """Write several outputs as one run; readers see all of them or none.
+def ranges_of(column: str, bounds: Sequence[object]) -> list[str]:
+    """Conditions that part a table at the ascending ``bounds`` of any comparable column, NULLs with the first part: one read each."""
+    if not bounds:
+        return ["1 = 1"]
+    text = [_sql_literal(b) for b in bounds]
+    inner = [f"{column} >= {a} AND {column} < {b}" for a, b in zip(text, text[1:])]
+    return [f"{column} < {text[0]} OR {column} IS NULL", *inner, f"{column} >= {text[-1]}"]
 
-    The run is listed only after every table is written, and a listed run is never changed: its id
-    is refused. ``run_id`` must sort after earlier runs (a timestamp does).
+
+def read_jdbc(spark: SparkSession, options: Mapping[str, str], conditions: Sequence[str] = ()) -> DataFrame:
+    """A relational table or query; filters and columns are pushed to the server.
+
+    The read is split by the options' ``partitionColumn`` or into one part for each of ``conditions``, which together
+    must cover every row once (see ``ranges_of``).
     """
-    spark = next(iter(tables.values())).sparkSession
-    if _is_listed(spark, root, run_id):
-        raise ValueError(f"run {run_id} is complete under {root}")
-    rows = {name: write_table(df, f"{root}/run_id={run_id}", name, mode="overwrite") for name, df in tables.items()}
-    listed = spark.range(1).select(F.lit(run_id).alias("run_id"))
-    listed.write.mode("append").parquet(f"{root}/complete_runs")
-    return rows
-
-
-def latest_run(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A table of the newest complete run."""
-    newest: Column = F.max("run_id").alias("run_id")
-    run_id = spark.read.schema("run_id string").parquet(f"{root}/complete_runs").agg(newest).first()["run_id"]
-    if run_id is None:
-        raise LookupError(f"no complete run under {root}")
-    return spark.read.parquet(f"{root}/run_id={run_id}/{name}")
+    if not conditions:
+        return spark.read.format("jdbc").options(**options).load()
+    kept = {k: v for k, v in options.items() if k not in ("url", "dbtable", "partitionColumn", "lowerBound", "upperBound", "numPartitions")}
+    return spark.read.jdbc(options["url"], options["dbtable"], predicates=list(conditions), properties=kept)
+
+
+def write_jdbc(df: DataFrame, options: Mapping[str, str], mode: str = "append") -> None:
+    """Insert into a relational table; ``overwrite`` empties it and keeps its definition."""
+    df.write.format("jdbc").options(**options, truncate="true").mode(mode).save()

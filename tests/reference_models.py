@@ -1,4 +1,4 @@
-"""Numeric fits of one daily series (numpy only), run inside grouped maps."""
+"""The forecast models by numpy, which the library's native ones are held against."""
 
 from __future__ import annotations
 

@@ -168,6 +168,14 @@ def test_tolerant_dates_keep_the_local_time(spark):
         "2026-05-31T01:55:00+02:00": "2026-05-31 01:55", "2026-05-31 23:55:00-0500": "2026-05-31 23:55",
         "2026-05-31T00:55:00.250Z": "2026-05-31 00:55", "2026-05-31 12:05 am": "2026-05-31 00:05", "2026-05-31 12:05 PM": "2026-05-31 12:05",
         "31 Program": None, "2026-13-40 08:55 PM": None,
+        "31/05/2026 08:55:00.123": "2026-05-31 08:55", "31/05/2026 08:55+02:00": "2026-05-31 08:55", "31 05 2026": "2026-05-31 00:00",
+        "2026 05 31": "2026-05-31 00:00", "May-31-2026": "2026-05-31 00:00", "2026-May-31": "2026-05-31 00:00",
+        "31st May 2026": "2026-05-31 00:00", "May 31st, 2026": "2026-05-31 00:00", "31/05/2026 8h55": "2026-05-31 08:55",
+        "08:55 31/05/2026": "2026-05-31 08:55", "2026-05-31 8": None, "2026-05-31 08:55:00.5": "2026-05-31 08:55", "3152026": "2026-05-31 00:00", "1052026": "2026-05-10 00:00",
+        # Day first only where the form is a plain one; otherwise the month comes first unless it cannot.
+        "05/03/2026": "2026-03-05 00:00", "05/03/2026 08:55": "2026-03-05 08:55", "05/03/2026 08:55 AM": "2026-05-03 08:55",
+        "05/03/2026T08:55": "2026-05-03 08:55", "05.03.2026": "2026-05-03 00:00", "05 03 2026": "2026-05-03 00:00",
+        "2026-5-3 8:5:9": "2026-05-03 08:05", "2026": "2026-01-01 00:00", "th" * 40 + "x": None, "31/05/2026 25:00": None,
     }
     df = spark.createDataFrame([(k,) for k in said], "t string")
     rows = df.select("t", F.date_format(fn.parse_date(F.col("t")), "yyyy-MM-dd HH:mm").alias("d")).collect()

@@ -14,12 +14,16 @@ from caremart.plans.standardise import STRICT
 from caremart.session import materialise
 from caremart.sources import (
     FileKind,
+    JdbcSplit,
+    begin_load,
     detect_delimiter,
     empty_warehouse,
     file_kinds,
     jdbc_options,
     latest_run,
     number_rows,
+    open_snapshot,
+    ranges_of,
     read_delimited,
     read_extracts,
     rejected_rows,
@@ -283,10 +287,12 @@ def test_forecast_of_a_warehouse(spark, tmp_path):
     root = str(tmp_path)
     days = [dt.date(2024, 1, 1) + dt.timedelta(days=i) for i in range(40)]
     stays = [(int(d.strftime("%Y%m%d")), sk, 1) for d in days for sk in (2, 3) for _ in range(8 if sk == 2 else 2)]
-    spark.createDataFrame(stays, "temps_sk int, service_sk int, nb_lits_occupes int").write.parquet(f"{root}/faits_hospitalisation")
-    spark.createDataFrame([(int(d.strftime("%Y%m%d")), d) for d in days], "temps_sk int, date_complete date").write.parquet(f"{root}/dim_temps")
     services = [(2, "Plein", 10), (3, "Calme", 10), (4, "Fermé", 0)]
-    spark.createDataFrame(services, "service_sk int, nom_service string, capacite_lits int").write.parquet(f"{root}/dim_service")
+    write_run({
+        "faits_hospitalisation": spark.createDataFrame(stays, "temps_sk int, service_sk int, nb_lits_occupes int"),
+        "dim_temps": spark.createDataFrame([(int(d.strftime("%Y%m%d")), d) for d in days], "temps_sk int, date_complete date"),
+        "dim_service": spark.createDataFrame(services, "service_sk int, nom_service string, capacite_lits int"),
+    }, root, "1")
 
     assert load_forecast(spark, root, "2024-02-10") == {FORECAST_TABLE: 60, ALERT_TABLE: 0}
     assert load_forecast(spark, root, "2024-02-11", how="sum") == {FORECAST_TABLE: 60, ALERT_TABLE: 30}
@@ -301,7 +307,7 @@ def test_unfinished_run_stays_invisible(spark, tmp_path):
     root = str(tmp_path)
     first, second = spark.range(1), spark.range(2)
     write_run({"a": first}, root, "1")
-    second.write.parquet(f"{root}/run_id=2/a")
+    begin_load(spark, root, "2").write(second, "a")
     assert latest_run(spark, root, "a").count() == 1
     write_run({"a": second}, root, "3")
     assert latest_run(spark, root, "a").count() == 2
@@ -309,16 +315,130 @@ def test_unfinished_run_stays_invisible(spark, tmp_path):
 
 def test_emptying_skips_what_is_absent(spark, tmp_path):
     root = str(tmp_path)
-    spark.range(3).write.parquet(f"{root}/dim_motif")
-    skipped = empty_warehouse(spark, root)
+    write_run({"dim_motif": spark.range(3), "other": spark.range(2)}, root, "1")
+    skipped = empty_warehouse(spark, root, run_id="2")
     assert set(skipped) == set(WAREHOUSE_TABLES) - {"dim_motif"}
-    assert spark.read.parquet(f"{root}/dim_motif").count() == 0
+    emptied = open_snapshot(spark, root)
+    assert emptied.table("dim_motif").count() == 0 and emptied.table("other").count() == 2
+    assert open_snapshot(spark, root, "1").table("dim_motif").count() == 3
 
 
 def test_connector_options():
     options = jdbc_options("jdbc:sqlserver://host;databaseName=dw", "dim_temps", batch_rows=500, user="u")
     assert options == {"url": "jdbc:sqlserver://host;databaseName=dw", "dbtable": "dim_temps", "batchsize": "500",
                        "numPartitions": "8", "user": "u"}
+    split = jdbc_options("jdbc:x", "faits_accueil", connections=4, split=JdbcSplit("temps_sk", 20240101, 20261231))
+    assert {k: split[k] for k in ("numPartitions", "partitionColumn", "lowerBound", "upperBound")} == {
+        "numPartitions": "4", "partitionColumn": "temps_sk", "lowerBound": "20240101", "upperBound": "20261231"}
+
+
+def test_ranges_cover_every_value_once(spark):
+    values = [None, "a", "it's", "m", "z", "zz"]
+    df = spark.createDataFrame([(v,) for v in values], "k string")
+    parts = ranges_of("k", ["it's", "z"])
+    assert len(parts) == 3 and [df.where(c).count() for c in parts] == [2, 2, 2]
+    assert ranges_of("k", []) == ["1 = 1"] and ranges_of("d", [dt.date(2024, 1, 1)]) == ["d < '2024-01-01' OR d IS NULL", "d >= '2024-01-01'"]
+
+
+def test_a_load_that_fails_leaves_the_old_run_readable(spark, folder, tmp_path, monkeypatch):
+    """The third fact fails: dimensions and two facts are written by then, and none of them is seen."""
+    from caremart.plans import facts
+
+    root = str(tmp_path)
+    load_warehouse(spark, folder, root, SETTINGS, run_id="1")
+
+    def fails(*_):
+        raise RuntimeError("no stays today")
+
+    monkeypatch.setitem(facts.FACTS, "faits_hospitalisation", (fails, "hospitalisation"))
+    later = LoadSettings(run_date=dt.date(2026, 7, 1), zone_sante="Nord")
+    with pytest.raises(RuntimeError, match="no stays today"):
+        load_warehouse(spark, folder, root, later, run_id="2")
+    warehouse = Warehouse(spark, root)
+    assert warehouse.snapshot.run_id == "1"
+    assert {r[0] for r in warehouse.table("dim_geographie", "zone_sante").distinct().collect()} == {"Centre"}
+    assert warehouse.table("faits_hospitalisation").count() == 3
+    monkeypatch.undo()
+    load_warehouse(spark, folder, root, later, run_id="2")
+    assert {r[0] for r in Warehouse(spark, root).table("dim_geographie", "zone_sante").distinct().collect()} == {"Nord"}
+    assert warehouse.table("dim_geographie").where("zone_sante = 'Centre'").count() == 3, "an open run does not change"
+
+
+def test_an_empty_fact_is_readable(spark, folder, tmp_path):
+    sources = read_extracts(spark, folder)
+    sources["urgence"] = sources["urgence"].where("false")
+    from caremart.plans.load import load_sources
+
+    load_sources(spark, sources, str(tmp_path), SETTINGS, only=["faits_accueil"])
+    assert Warehouse(spark, str(tmp_path)).table("faits_accueil", "id_fait", "annee").collect() == []
+
+
+NEW_VISITS = """ID_Patient,Date_Arrivee,Niveau_Urgence,Motif_Consultation,Decision_Medicale,Service,Temps_Attente_Tri,Temps_Attente_Orientation
+P7,2026-06-02,4,Chute,Transfert,Pédiatrie,1,2
+P1,2026-06-03,2,Brûlure,Retour,Chirurgie,3,4
+"""
+
+
+def _more_visits(folder, tmp_path):
+    for name, (text, encoding) in FILES.items():
+        more = {"source_urgences.csv": NEW_VISITS, "registre_patients_unique.csv": PATIENTS.replace("jean-paul d'arc; m;34", "jean-paul d'arc; m;35") + "P7;neuf;M;7;;;;;Kenya;Luapula\n"}
+        (tmp_path / name).write_bytes(more.get(name, text).encode(encoding))
+    return str(tmp_path)
+
+
+def test_appending_adds_members_and_facts_once(spark, folder, tmp_path):
+    root, more = str(tmp_path / "dw"), _more_visits(folder, tmp_path)
+    load_warehouse(spark, folder, root, SETTINGS, run_id="1", extract="may")
+    first = Warehouse(spark, root)
+    rows = load_warehouse(spark, more, root, SETTINGS, run_id="2", extract="june", append=True)
+    assert rows["dim_patient"] == 1 and rows["faits_accueil"] == 2 and rows["dim_temps"] == 0
+    second = Warehouse(spark, root)
+    load_warehouse(spark, more, root, SETTINGS, run_id="3", extract="june", append=True)
+    third = Warehouse(spark, root)
+    for table in WAREHOUSE_TABLES:
+        if table in second.snapshot.parts:
+            a, b = second.table(table), third.table(table)
+            assert a.count() == b.count() and a.exceptAll(b).isEmpty(), table
+            assert first.table(table).exceptAll(a).isEmpty(), f"{table} lost rows"
+    names = ["id_fait", "temps_sk", "patient_sk", "gravite_sk", "motif_sk", "decision_sk"]
+    assert column(third.table("faits_accueil"), "id_fait", *names)[3:] == [(5, 20260602, 5, 5, 3, 5), (6, 20260603, 1, 2, 5, 4)]
+    motifs = column(third.table("dim_motif"), "motif_sk", "code_motif", "libelle_motif")
+    assert motifs[-1] == ("M005", "Brûlure")
+    assert third.table("faits_maternite").count() == 6 and third.table("faits_maternite").select("id_fait").distinct().count() == 6
+
+
+def test_versions_follow_the_date_of_the_event(spark, folder, tmp_path):
+    root, more = str(tmp_path / "dw"), _more_visits(folder, tmp_path)
+    load_warehouse(spark, folder, root, SETTINGS, run_id="1", versions=True)
+    later = LoadSettings(run_date=dt.date(2026, 6, 3), zone_sante="Centre")
+    load_warehouse(spark, more, root, later, run_id="2", versions=True)
+    once = Warehouse(spark, root)
+    load_warehouse(spark, more, root, later, run_id="3", versions=True)
+    again = Warehouse(spark, root)
+    for table in ("dim_patient", "dim_medecin", "dim_lit", "faits_accueil", "faits_consultation"):
+        assert once.table(table).count() == again.table(table).count() and once.table(table).exceptAll(again.table(table)).isEmpty(), table
+    patients = column(again.table("dim_patient"), "patient_sk", "patient_sk", "age", "date_fin_validite", "est_actif", "version_ligne")
+    assert patients[0] == (1, 34, dt.date(2026, 6, 3), False, 1)
+    new = {(r.age, r.version_ligne): r.patient_sk for r in again.table("dim_patient").where("patient_sk > 4").collect()}
+    assert set(new) == {(35, 2), (7, 1)}
+    # P1 was seen on the day its new version opened; its consultation was before.
+    visits = {r.temps_sk: r.patient_sk for r in again.table("faits_accueil").collect()}
+    assert visits == {20260602: new[7, 1], 20260603: new[35, 2]}
+    assert {r.id_fait: r.patient_sk for r in again.table("faits_consultation").collect()} == {1: 1, 2: 2, 3: 1}
+
+
+def test_numbering_rows_does_not_move_the_source(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("a;b\n" + "".join(f"v{i};x\n" for i in range(500)))
+    plan = stage_source(read_delimited(spark, str(tmp_path), with_origin=True), "still")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+
+
+def test_dates_are_parsed_once_for_value_and_reject(spark):
+    from caremart.plans.standardise import parsed_events
+
+    events = spark.createDataFrame([("P1", "2026-05-31")], "ID_Patient string, Date_Admission string")
+    plan = parsed_events(events, "hospitalisation")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("0000-00-00T0:00:00,") == 1
 
 
 def test_a_listed_run_is_refused(spark, tmp_path):

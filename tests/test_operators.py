@@ -3,9 +3,10 @@ import random
 
 import numpy as np
 import pytest
+import reference_models as models
 from pyspark.sql import functions as F
 
-from caremart.functions import models
+from caremart.functions import linear
 from caremart.operators import keys, lookup, quality, series, versions
 from caremart.plans import forecast
 
@@ -17,6 +18,36 @@ def test_dense_key_equals_global_order(spark):
     assert [r.sk for r in sorted(numbered, key=lambda r: r.p)] == list(range(2, 5002))
 
 
+@pytest.mark.parametrize("order", [["p"], ["v", "p"], ["d", "v"]])
+def test_dense_key_over_many_ranges(spark, monkeypatch, order):
+    monkeypatch.setattr(keys, "ROWS_PER_RANGE", 300)
+    monkeypatch.setattr(keys, "BOUND_SAMPLE", 200)
+    day = dt.date(2024, 1, 1)
+    rows = [(i * 7919 % 10007, f"v{i % 50}-{i}" if i % 9 else f"w{i}", day + dt.timedelta(days=i % 17) if i % 5 else None) for i in range(5000)]
+    df = spark.createDataFrame(rows, "p long, v string, d date").repartition(13)
+    numbered = keys.dense_key(df, order, "sk").collect()
+    least = lambda x: (x is not None, x if x is not None else day)
+    place = {"p": lambda r: r.p, "v": lambda r: r.v, "d": lambda r: least(r.d)}
+    assert [r.sk for r in sorted(numbered, key=lambda r: [place[o](r) for o in order])] == list(range(1, 5001))
+
+
+def test_dense_key_computes_its_input_once(spark, monkeypatch):
+    monkeypatch.setattr(keys, "ROWS_PER_RANGE", 700)
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(5000).mapInArrow(counted, "id long")
+    written = []
+    store = keys.materialise
+    monkeypatch.setattr(keys, "materialise", lambda df, name: written.append(name) or store(df, name))
+    assert keys.dense_key(df, ["id"], "sk").where("sk <> id + 1").count() == 0
+    assert seen.value == 5000 and written == ["sk"]
+
+
 def test_dense_key_of_nothing(spark):
     empty = spark.createDataFrame([], "p long, v string")
     assert keys.dense_key(empty, ["p"], "sk").count() == 0
@@ -66,12 +97,39 @@ def test_salted_join_spreads_hot_and_missing_keys(spark):
     )
     table = spark.createDataFrame([("hot", 5)], "k string, v int")
     joined = lookup.salted_left_join(fact, table, ["k"])
-    plan = joined._jdf.queryExecution().toString()
-    assert "_salt" in plan
     counted = joined.groupBy("v").count().collect()
     assert {r.v: r["count"] for r in counted} == {5: 6667, None: 13333}
 
 
+def test_a_key_of_half_the_rows_fills_no_task(spark):
+    rows = 40_000
+    fact = spark.range(rows).select("id", F.when(F.col("id") % 2 == 0, F.lit("hot")).when(F.col("id") % 10 == 1, F.lit(None)).otherwise(
+        F.col("id").cast("string")).alias("k"))
+    table = spark.range(rows).select(F.col("id").cast("string").alias("k"), F.col("id").alias("v")).union(
+        spark.createDataFrame([("hot", -1)], "k string, v long"))
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "40", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        joined = lookup.salted_left_join(fact, table, ["k"])
+        dealt = joined.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.sum("count")).first()
+        assert dealt[1] == rows and dealt[0] <= 1.5 * rows / 40
+        assert joined.where("k = 'hot' AND v = -1").count() == rows // 2
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_a_lookup_of_long_texts_is_not_broadcast(spark, monkeypatch):
+    from caremart import session
+
+    dim = spark.createDataFrame([(1, "x" * 50), (2, "y" * 50)], "sk int, name string")
+    assert session.fits_broadcast(dim)
+    monkeypatch.setattr(session, "BROADCAST_BYTE_LIMIT", 99)
+    assert not session.fits_broadcast(dim)
+
+
 def test_lookup_without_default_keeps_null(spark):
     fact = spark.createDataFrame([(1, "a"), (2, "z"), (3, None)], "i int, k string")
     dim = spark.createDataFrame([(4, "a")], "sk int, k string")
@@ -87,6 +145,12 @@ def test_quality_checks(spark):
     assert broken == {(1, "sexe in (M, F)"), (2, "sexe not null")}
     assert {r.rule: r.violations for r in quality.violation_counts(df, rules).collect()} == {
         "sexe in (M, F)": 1, "sexe not null": 1}
+    tables = {"child": df, "other": spark.createDataFrame([(3, 9), (None, 1)], "id long, up long"), "up": spark.createDataFrame([(1,), (9,)], "pk int")}
+    keys_ = [quality.ForeignKey("child", "id", "up", "pk"), quality.ForeignKey("other", "id", "up", "pk"), quality.ForeignKey("other", "up", "up", "pk")]
+    assert {(r.child, r.column): r.violations for r in quality.stacked_orphans(tables, keys_).collect()} == {
+        ("child", "id"): 1, ("other", "id"): 1, ("other", "up"): 0}
+    assert {(r.table_name, r.column): r.violations for r in quality.stacked_duplicates(tables, [("child", "id"), ("up", "pk")]).collect()} == {
+        ("child", "id"): 2, ("up", "pk"): 0}
     parent = spark.createDataFrame([(1,)], "pk int")
     assert [(r.value, r.n_rows) for r in quality.orphans(df, "id", parent, "pk").collect()] == [(2, 1)]
     filled = quality.fill_declared_defaults(df, {"sexe": "F", "est_actif": True}).collect()
@@ -137,18 +201,43 @@ def test_linear_equals_polyfit(spark):
     assert [r.linear for r in got] == pytest.approx(intercept + slope * np.arange(40, 70), abs=1e-9)
 
 
-def test_seasonal_fit_finds_a_weekly_wave():
-    days = np.arange(19723, 19723 + 400)
-    wave = 0.5 + 0.2 * np.sin(2 * np.pi * days / 7)
-    ahead, lower, upper = models.fit_seasonal(days, wave, 30)
-    future = np.arange(days[-1] + 1, days[-1] + 31)
-    assert ahead == pytest.approx(0.5 + 0.2 * np.sin(2 * np.pi * future / 7), abs=0.02)
-    assert (lower <= ahead).all() and (ahead <= upper).all()
+def test_solving_equals_numpy(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(40, 6))
+    x[:, 4] = 0
+    gram, target = x.T @ x, x.T @ rng.normal(size=40)
+    df = spark.createDataFrame([(gram.tolist(), target.tolist())], "g array<array<double>>, t array<double>")
+    got = np.array(df.select(linear.solve(F.col("g"), F.col("t"))).first()[0])
+    keep = [0, 1, 2, 3, 5]
+    assert got[4] == 0 and got[keep] == pytest.approx(np.linalg.solve(gram[np.ix_(keep, keep)], target[keep]), abs=1e-10)
+
+
+@pytest.mark.parametrize("n", [45, 400])
+def test_seasonal_equals_ridge_regression(spark, n):
+    rng = np.random.default_rng(n)
+    start = dt.date(2024, 1, 1)
+    days = np.arange(n) + (start - dt.date(1970, 1, 1)).days
+    y = 0.5 + 0.2 * np.sin(2 * np.pi * days / 7) + 0.0005 * np.arange(n) + 0.03 * rng.normal(size=n)
+    ahead, lower, upper = models.fit_seasonal(days, y, 30)
+    got = forecast.seasonal_forecast(_series_frame(spark, y, start)).orderBy("k").collect()
+    assert [r.seasonal for r in got] == pytest.approx(ahead, abs=1e-7)
+    assert [r.lower for r in got] == pytest.approx(lower, abs=1e-7) and [r.upper for r in got] == pytest.approx(upper, abs=1e-7)
+
+
+def test_autoregression_equals_the_reference_fit(spark):
+    rng = np.random.default_rng(9)
+    y = 0.5 + 0.05 * rng.normal(size=90)
+    got = forecast.ar_forecast(_series_frame(spark, y)).orderBy("k").collect()
+    assert [r.ar for r in got] == pytest.approx(models.fit_autoregressive(y, 30), abs=1e-9)
 
 
-def test_models_without_data_give_nothing():
-    assert np.isnan(models.fit_autoregressive(np.array([1.0, 2.0]), 3)).all()
-    assert all(np.isnan(part).all() for part in models.fit_seasonal(np.array([1]), np.array([1.0]), 3))
+def test_models_without_data_give_nothing(spark):
+    short = _series_frame(spark, [0.5, 0.6, 0.5, 0.4, 0.5, 0.6])
+    assert [r.ar for r in forecast.ar_forecast(short, 3).collect()] == [None] * 3
+    one = _series_frame(spark, [0.5])
+    assert [tuple(r) for r in forecast.seasonal_forecast(one, 2).orderBy("k").collect()] == [(2, 1, None, None, None), (2, 2, None, None, None)]
+    gap = _series_frame(spark, [0.5] * 40).withColumn("rate", F.when(F.dayofmonth("d") != 3, F.col("rate")))
+    assert gap.count() == 40 and [r.ar for r in forecast.ar_forecast(gap, 2).collect()] == [None] * 2
 
 
 def test_constant_series_stays_level(spark):
@@ -192,3 +281,10 @@ def test_versions(spark):
     assert rows[3].est_actif and rows[3].version_ligne == 1 and rows[4].est_actif
     assert (rows[5].nk, rows[5].attr, rows[5].version_ligne, rows[5].date_debut_validite) == ("a", "w", 3, today)
     assert (rows[6].nk, rows[6].version_ligne, rows[6].est_actif) == ("n", 1, True)
+
+
+def test_one_active_row_per_member(spark):
+    rows = [(1, "a", None, True), (2, "a", None, True), (3, None, None, True), (4, "b", dt.date(2024, 1, 1), False), (5, "b", None, True)]
+    current = spark.createDataFrame(rows, "sk int, nk string, date_fin_validite date, est_actif boolean")
+    got = {r.sk: (r.date_fin_validite, r.est_actif) for r in versions.one_active(current, "sk", "nk", dt.date(2024, 6, 30)).collect()}
+    assert got == {1: (dt.date(2024, 6, 30), False), 2: (None, True), 3: (None, True), 4: (dt.date(2024, 1, 1), False), 5: (None, True)}
