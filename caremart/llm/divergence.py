@@ -43,7 +43,7 @@ from caremart.session import materialise
 
 SCALE = 1_000_000_000
 #: Terms and bytes of a shard, about.
-SHARD_TERMS, SHARD_BYTES = 65_536, 1_000_000
+SHARD_TERMS, SHARD_BYTES = 16_384, 250_000
 #: Bytes of shards that are broadcast at once, about.
 BROADCAST_BYTES = 16_000_000
 #: Bytes of dense slots that a task of the second pass holds.
