@@ -3,12 +3,13 @@
 Public vocabularies measure each text by its words: characters and letters per token under a byte-fallback vocabulary, letters per token under
 a byte-level one, the share of tokens that are single bytes for want of a better one, and the entropy of its tokens. Text of the kind a language's other texts are
 made of splits into tokens as those do; runs of symbols, shouting, keyboard noise, encoded data and repeated words do not. A text
-is kept if each measure lies in the band of its language, taken at its own length: ``len_class`` is the doubling of the number of tokens.
+is kept if each measure lies in the band of its language, taken at its own length: ``len_class`` is the doubling of the number of words.
 
 Bands are quartiles widened by ``WIDTH`` times their distance (at least the measure's ``spread``), over all documents that pass the base rules. They come
 from histograms with bins of fixed width, which are added up by aggregation. A language that holds more than a thousandth of all documents
 has bands of its own (so fewer than a thousand have); others, and lengths with under ``MIN_GROUP`` documents, take those of
-their main script, and then those of all documents. Where even these are missing, only the base rules decide.
+their main script, then those of all documents of the length, and then those of all documents. Where even these are missing, only the
+base rules decide.
 
 Tokens are taken word by word: words recur, so the tokens of a word are computed once per worker and kept in a bounded table.
 
@@ -45,6 +46,8 @@ SLICE = 2_000_000
 LANGUAGE_PARTS = 1000
 #: Documents that make a band.
 MIN_GROUP = 200
+#: Stands for all lengths together.
+ANY_LENGTH = -1
 #: Distances between the quartiles that a band reaches beyond them.
 WIDTH = 3.0
 #: Bin and least distance between the quartiles of each measure.
@@ -273,7 +276,7 @@ def measured(docs: DataFrame, pieces: str, ranks: str, pattern: str, id_col: str
         "letters_per_piece": per_token("n_letters", "n_pieces"),
         "letters_per_rank": per_token("n_letters", "n_ranks"),
         "fallback_share": per_token("n_fallback", "n_pieces"),
-        "len_class": F.floor(F.log2(F.greatest("n_pieces", F.lit(1)))).cast("int"),
+        "len_class": F.floor(F.log2(F.greatest("n_words", F.lit(1)))).cast("int"),
         "base_failed": failed,
     })
 
@@ -292,9 +295,10 @@ def bands(rows: DataFrame, width: float = WIDTH, min_group: int = MIN_GROUP) ->
     bins = F.array(*[F.struct(F.lit(m).alias("measure"), F.floor(F.col(m) / bin_).alias("bin")) for m, (bin_, _) in MEASURES.items()])
     fine = rows.where(~F.col("base_failed")).select("own", "shared", "len_class", F.explode(bins).alias("b")).where("b.bin IS NOT NULL").groupBy(
         "own", "shared", "len_class", "b.measure", "b.bin").agg(F.count(F.lit(1)).alias("n"))
-    scopes = F.array_compact(F.array("own", "shared", F.lit("all")))
-    held = fine.select(F.explode(scopes).alias("scope"), "len_class", "measure", "bin", "n").groupBy(
-        "scope", "len_class", "measure", "bin").agg(F.sum("n").alias("n"))
+    at_length = F.transform(F.array_compact(F.array("own", "shared", F.lit("all"))), lambda s: F.struct(s.alias("scope"), F.col("len_class")))
+    scopes = F.concat(at_length, F.array(F.struct(F.lit("all").alias("scope"), F.lit(ANY_LENGTH).alias("len_class"))))
+    held = fine.select(F.explode(scopes).alias("s"), "measure", "bin", "n").groupBy("s.scope", "s.len_class", "measure", "bin").agg(
+        F.sum("n").alias("n"))
     group = Window.partitionBy("scope", "len_class", "measure")
     below = F.sum("n").over(group.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0))
     placed = held.withColumns({"below": below, "whole": F.sum("n").over(group)}).where(F.col("whole") >= min_group)
@@ -315,15 +319,17 @@ def judged(docs: DataFrame, pieces: str, ranks: str, pattern: str, id_col: str =
     rows = _scopes(materialise(measured(docs, pieces, ranks, pattern, id_col, text, lang), "fertility"))
     limits = materialise(bands(rows, width, min_group), "bands")
     ends = [f"{m}_{e}" for m in MEASURES for e in ("low", "high")]
-    for name, scope in (("a", F.col("own")), ("b", F.col("shared")), ("c", F.lit("all"))):
+    own = F.col("len_class")
+    asked = {"a": (F.col("own"), own), "b": (F.col("shared"), own), "c": (F.lit("all"), own), "d": (F.lit("all"), F.lit(ANY_LENGTH))}
+    for name, (scope, length) in asked.items():
         near = limits.select(F.col("scope").alias("_scope"), F.col("len_class").alias("_class"), F.struct(*ends).alias(name))
         # One row for each scope and doubling.
-        rows = rows.join(F.broadcast(near), (F.col("_scope") == scope) & (F.col("_class") == F.col("len_class")), "left").drop("_scope", "_class")
-    rows = rows.withColumn("band", F.coalesce("a", "b", "c"))
+        rows = rows.join(F.broadcast(near), (F.col("_scope") == scope) & (F.col("_class") == length), "left").drop("_scope", "_class")
+    rows = rows.withColumn("band", F.coalesce(*asked))
     broken = [_broken(m, F.col("band")) for m in MEASURES]
     out = rows.withColumn("outside", F.array_compact(F.array(*broken)))
     kept = ~F.col("base_failed") & (F.col("n_pieces") > 0) & (F.size("outside") == 0)
-    return out.withColumn("kept", kept).drop("own", "shared", "a", "b", "c", "band")
+    return out.withColumn("kept", kept).drop("own", "shared", "band", *asked)
 
 
 def _broken(measure: str, band: Column) -> Column:
