@@ -5,10 +5,9 @@ where the lines are read and merged by the aggregation, so a line on a third of
 Lines whose estimate is near the threshold get an exact distinct count; those clearly above or below do not. Lines that
 reach the threshold are boilerplate and leave every document, whichever page had them first.
 
-Copies of a page must not make its lines boilerplate. ``dedup`` counts sites over one text of each group of copies (equal texts, and
-texts that share ``COPY`` of the larger one's characters in widespread lines), on one site; every line that still reaches the
-threshold leaves every document, however little is left. ``flagged`` counts all documents and leaves one as it is if boilerplate is more
-than ``max_share`` of its characters, as the SQL of op1 has it.
+Copies of a page must not make its lines boilerplate: sites are counted over one text of each group of copies (equal texts, and
+texts that share ``COPY`` of the larger one's characters in widespread lines), on one site. Every line that still reaches the
+threshold leaves every document, however little is left.
 
 Lines are compared without leading and trailing spaces, tabs and carriage returns, and only if ``min_chars`` or more remain. They
 are known by a 64-bit hash.
@@ -23,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from caremart.llm.rows import whole_row
 from caremart.session import materialise
 
 #: Size of a sketch (2^12 registers) and its relative standard error.
@@ -43,11 +43,6 @@ def _hashes(docs: DataFrame, text: str, min_chars: int, *others: Column) -> Data
     return lines.where(F.length(bare) >= min_chars).select(*names, F.xxhash64(bare).alias("line"))
 
 
-def boilerplate(docs: DataFrame, min_sites: int, min_chars: int, text: str = "text", site: str = "source") -> DataFrame:
-    """(line): hashes of the lines on ``min_sites`` sites or more."""
-    return _widespread(_hashes(docs.where(F.col(site).isNotNull()), text, min_chars, F.col(site).cast("string").alias("site")), min_sites)
-
-
 def _widespread(seen: DataFrame, min_sites: int) -> DataFrame:
     """(line): the lines of ``seen`` (site, line) on ``min_sites`` sites or more."""
     margin = 1 + 4 * ERROR * min_sites
@@ -59,29 +54,28 @@ def _widespread(seen: DataFrame, min_sites: int) -> DataFrame:
     return materialise(certain.union(exact.where(F.col("n") >= min_sites).select("line")), "boilerplate")
 
 
-def boilerplate_beside_copies(docs: DataFrame, min_sites: int, min_chars: int, max_share: float, text: str = "text",
-                              site: str = "source") -> DataFrame:
+def boilerplate(docs: DataFrame, min_sites: int, min_chars: int, suspect_share: float, text: str = "text", site: str = "source") -> DataFrame:
     """(line): hashes of the lines on ``min_sites`` sites or more, copies of a text counted as one text on one site.
 
-    Equal texts are one by their 64-bit hash. Texts with more than ``max_share`` of their characters in lines that are widespread
-    among those are held against one other: of the texts that have a line, the one with the smallest hash is its centre,
+    Equal texts are one by their MD5. Texts with more than ``suspect_share`` of their characters in lines that are widespread
+    among those are held against one other: of the texts that have a line, the one with the smallest digest is its centre,
     and the centre of most of a text's characters is what it may be a copy of.
     """
     body = F.col(text)
     counted = F.filter(F.transform(F.split(body, "\n", -1), _bare), lambda x: F.length(x) >= min_chars)
     page = docs.where(F.col(site).isNotNull() & body.isNotNull()).select(
-        F.xxhash64(body).alias("page"), F.col(site).cast("string").alias("site"), F.length(body).alias("size"),
+        F.unhex(F.md5(body)).alias("page"), F.col(site).cast("string").alias("site"), F.length(body).alias("size"),
         F.transform(counted, lambda x: F.struct(F.xxhash64(x).alias("line"), F.length(x).alias("n"))).alias("lines"))
     # Which site stands for a group of equal texts differs from group to group.
-    least = F.min(F.struct(F.xxhash64("site", "page").alias("h"), "site", "size", "lines")).alias("p")
+    least = F.min(F.struct(F.md5(F.concat("site", F.lit("|"), F.lower(F.hex("page")))).alias("h"), "site", "size", "lines")).alias("p")
     pages = materialise(page.groupBy("page").agg(least).select("page", "p.site", "p.size", "p.lines"), "pages")
     first = _widespread(pages.select("site", F.explode("lines.line").alias("line")), min_sites)
     hits = pages.select("page", "size", F.explode("lines").alias("l")).select("page", "size", "l.*").join(first, "line").groupBy(
         "page", "size", "line").agg(F.sum("n").alias("n"))
     hits = materialise(hits, "hits")
-    mostly = hits.groupBy("page", "size").agg(F.sum("n").alias("n")).where(F.col("n") > max_share * F.col("size")).select("page")
+    mostly = hits.groupBy("page", "size").agg(F.sum("n").alias("n")).where(F.col("n") > suspect_share * F.col("size")).select("page")
     hits = materialise(hits.join(mostly, "page", "left_semi"), "mostly")
-    centres = hits.groupBy("line").agg(F.min(F.struct(F.xxhash64("page").alias("h"), "page"))["page"].alias("centre"))
+    centres = hits.groupBy("line").agg(F.min("page").alias("centre"))
     likely = hits.join(centres, "line").where("page <> centre").groupBy("page", "centre").agg(F.sum("n").alias("n")).groupBy("page").agg(
         F.max(F.struct("n", "centre"))["centre"].alias("centre"))
     other = hits.select(F.col("page").alias("centre"), "line", F.col("size").alias("other_size"), F.col("n").alias("other_n"))
@@ -92,23 +86,23 @@ def boilerplate_beside_copies(docs: DataFrame, min_sites: int, min_chars: int, m
     return _widespread(alone.select("site", F.explode("lines.line").alias("line")), min_sites)
 
 
-def flagged(docs: DataFrame, min_sites: int, min_chars: int, max_share: float, id_col: str = "doc_id",
+def flagged(docs: DataFrame, min_sites: int = 10, min_chars: int = 10, suspect_share: float = 0.5, id_col: str = "doc_id",
             text: str = "text", site: str = "source") -> DataFrame:
     """(row, n_lines, n_removed, clean_text): ``row`` holds all columns of the document."""
-    return _cut(docs, boilerplate(docs, min_sites, min_chars, text, site), min_chars, max_share, id_col, text)
+    return _cut(docs, boilerplate(docs, min_sites, min_chars, suspect_share, text, site), min_chars, id_col, text)
 
 
-def _cut(docs: DataFrame, widespread: DataFrame, min_chars: int, max_share: float, id_col: str, text: str) -> DataFrame:
+def _cut(docs: DataFrame, widespread: DataFrame, min_chars: int, id_col: str, text: str) -> DataFrame:
     bad = _hashes(docs, text, min_chars, F.col(id_col).alias("id")).join(widespread, "line").groupBy("id").agg(
         F.collect_set("line").alias("bad"))
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.col(id_col).alias("own_id"))
+    rows = docs.select(whole_row(docs), F.col(id_col).alias("own_id"))
     body = F.col("row")[text]
     lines = F.split(body, "\n", -1)
     keep = lambda x: (F.length(_bare(x)) < min_chars) | ~F.array_contains(F.col("bad"), F.xxhash64(_bare(x)))
     joined = rows.join(bad, F.col("own_id").eqNullSafe(F.col("id")), "left").select(
         "row", F.when(F.col("bad").isNotNull(), F.filter(lines, keep)).alias("left_over"))
     kept_text = F.array_join("left_over", "\n")
-    cut = F.col("left_over").isNotNull() & (F.length(kept_text) >= F.length(body) * (1 - max_share))
+    cut = F.col("left_over").isNotNull()
     return joined.select(
         "row",
         F.when(body.isNull(), 0).otherwise(F.size(lines)).alias("n_lines"),
@@ -117,10 +111,9 @@ def _cut(docs: DataFrame, widespread: DataFrame, min_chars: int, max_share: floa
     )
 
 
-def dedup(docs: DataFrame, min_sites: int = 10, min_chars: int = 10, max_share: float = 0.5, id_col: str = "doc_id",
+def dedup(docs: DataFrame, min_sites: int = 10, min_chars: int = 10, suspect_share: float = 0.5, id_col: str = "doc_id",
           text: str = "text", site: str = "source") -> DataFrame:
     """``docs`` with the boilerplate lines gone from their texts; same rows, same columns."""
-    widespread = boilerplate_beside_copies(docs, min_sites, min_chars, max_share, text, site)
-    out = _cut(docs, widespread, min_chars, 1, id_col, text)
+    out = flagged(docs, min_sites, min_chars, suspect_share, id_col, text, site)
     return out.select(*[
         F.col("clean_text").alias(text) if c == text else F.col("row")[c].alias(c) for c in docs.columns])

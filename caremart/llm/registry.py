@@ -29,7 +29,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines that stand on ten sites or more."""
-    out = lines.flagged(table(spark, sf_dir, "documents"), min_sites=10, min_chars=10, max_share=0.5)
+    out = lines.flagged(table(spark, sf_dir, "documents"), min_sites=10, min_chars=10, suspect_share=0.5)
     return out.select("row.doc_id", "n_lines", "n_removed", F.col("clean_text").alias("text"))
 
 
@@ -127,16 +127,26 @@ def queries() -> dict[str, Query]:
 
 
 _OP1 = """
-WITH bare AS (SELECT source, trim(unnest(string_split(text, chr(10))), ' ' || chr(9) || chr(13)) AS line FROM documents),
-wide AS (SELECT line FROM bare WHERE length(line) >= 10 GROUP BY line HAVING count(DISTINCT source) >= 10),
+WITH pages AS (SELECT text, arg_min(source, md5(source || '|' || md5(text))) AS site FROM documents
+    WHERE source IS NOT NULL AND text IS NOT NULL GROUP BY text),
+bare AS (SELECT text, site, trim(unnest(string_split(text, chr(10))), ' ' || chr(9) || chr(13)) AS line FROM pages),
+counted AS (SELECT * FROM bare WHERE length(line) >= 10),
+often AS (SELECT line FROM counted GROUP BY line HAVING count(DISTINCT site) >= 10),
+hits AS (SELECT text, line, sum(length(line)) AS n FROM counted SEMI JOIN often USING (line) GROUP BY ALL),
+mostly AS (SELECT text FROM hits GROUP BY text HAVING sum(n) > 0.5 * length(text)),
+held AS (SELECT * FROM hits SEMI JOIN mostly USING (text)),
+centres AS (SELECT line, arg_min(text, md5(text)) AS centre FROM held GROUP BY line),
+shared AS (SELECT text, centre, sum(n) AS n FROM held JOIN centres USING (line) WHERE text <> centre GROUP BY ALL),
+likely AS (SELECT text, arg_max(centre, (n, md5(centre))) AS centre FROM shared GROUP BY text),
+copies AS (SELECT h.text FROM held h JOIN likely l ON h.text = l.text JOIN held o ON o.text = l.centre AND o.line = h.line
+    GROUP BY h.text, l.centre HAVING sum(least(h.n, o.n)) >= 0.8 * greatest(length(h.text), length(l.centre))),
+wide AS (SELECT line FROM counted ANTI JOIN copies USING (text) GROUP BY line HAVING count(DISTINCT site) >= 10),
 bad AS (SELECT coalesce(list(line), []) AS bad FROM wide),
 cut AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines, list_filter(string_split(text, chr(10)),
-        lambda x: NOT list_contains(bad, trim(x, ' ' || chr(9) || chr(13)))) AS kept FROM documents, bad),
-judged AS (SELECT *, length(array_to_string(kept, chr(10))) >= length(text) * 0.5 AS cuts FROM cut)
-SELECT doc_id, CAST(coalesce(len(lines), 0) AS INTEGER) AS n_lines,
-       CAST(CASE WHEN cuts THEN len(lines) - len(kept) ELSE 0 END AS INTEGER) AS n_removed,
-       CASE WHEN cuts THEN array_to_string(kept, chr(10)) ELSE text END AS text
-FROM judged
+        lambda x: NOT list_contains(bad, trim(x, ' ' || chr(9) || chr(13)))) AS kept FROM documents, bad)
+SELECT doc_id, CAST(coalesce(len(lines), 0) AS INTEGER) AS n_lines, CAST(coalesce(len(lines) - len(kept), 0) AS INTEGER) AS n_removed,
+       array_to_string(kept, chr(10)) AS text
+FROM cut
 """
 
 _OP3 = r"""

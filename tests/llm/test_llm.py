@@ -35,7 +35,7 @@ def _plain(df):
 
 
 def test_lines(docs):
-    out = lines.dedup(docs, min_sites=10, min_chars=10, max_share=0.9)
+    out = lines.dedup(docs, min_sites=10, min_chars=10, suspect_share=0.9)
     assert out.columns == docs.columns and out.count() == docs.count()
     got = {r.doc_id: r.text for r in out.where("doc_id >= 20").collect()}
     assert got == {20 + k: f"own text number {k}" for k in range(12)}
