@@ -10,8 +10,9 @@ input partition; only digests that occur twice meet their occurrences again, in
 
 Texts are cut as bytes; a cut that would fall inside a character moves to the character's end, so every chunk is valid UTF-8.
 
-Defined results: a null or empty text has no chunk and stays as it is. Rows that share an id are one document written twice:
-equal rows stay once each as they are, since a chunk is compared by (id, place). Rows with a null id come back untouched and
+Defined results: a null or empty text has no chunk and stays as it is. Rows that share an id and their text are one document written
+twice: they stay as they are, since a chunk is compared by id and place. Unlike texts under one id are documents of their own, ordered by a hash of
+the text: each is cut by its own spans. Rows with a null id come back untouched and
 give no chunk. An empty table gives no rows. Other columns are ignored.
 """
 
@@ -26,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caremart.llm.common import mix64, text_slices, utf8_buffers
+from caremart.llm.rows import ids_of_unlike_texts
 from caremart.session import materialise
 
 LEAST, MOST, BITS, WINDOW = 32, 256, 5, 16
@@ -67,8 +69,8 @@ def chunk_ends(raw: np.ndarray, gear: np.ndarray) -> list[int]:
     return ends
 
 
-def chunks(docs: DataFrame, id_col: str, text: str) -> DataFrame:
-    """(doc_id, start, size, high, low): every chunk with its digest."""
+def chunks(rows: DataFrame) -> DataFrame:
+    """(doc_id, tag, start, size, high, low): every chunk with its digest. ``tag`` tells unlike texts under one id apart, 0 for all others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gear = _gear()
@@ -89,25 +91,33 @@ def chunks(docs: DataFrame, id_col: str, text: str) -> DataFrame:
                 counts = np.diff([0, *rows])
                 digest = np.frombuffer(bytes(digests), "<i8").reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").take(pa.array(np.repeat(np.arange(len(part)), counts))), pa.array(starts, pa.int32()),
-                     pa.array(sizes, pa.int32()), pa.array(digest[:, 0]), pa.array(digest[:, 1])],
-                    ["doc_id", "start", "size", "high", "low"])
+                    [*(part.column(c).take(pa.array(np.repeat(np.arange(len(part)), counts))) for c in ("doc_id", "tag")),
+                     pa.array(starts, pa.int32()), pa.array(sizes, pa.int32()), pa.array(digest[:, 0]), pa.array(digest[:, 1])],
+                    ["doc_id", "tag", "start", "size", "high", "low"])
 
-    rows = docs.where(F.col(id_col).isNotNull() & (F.length(F.col(text)) > 0)).select(
-        F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, start int, size int, high long, low long")
+    return rows.where(F.col("doc_id").isNotNull() & (F.length("text") > 0)).mapInArrow(
+        run, "doc_id long, tag long, start int, size int, high long, low long")
 
 
-def removed_spans(docs: DataFrame, min_run: int, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, spans): byte ranges [start, end) that repeat earlier chunks, for documents that have any."""
-    pieces = materialise(chunks(docs, id_col, text), "chunks")
-    place = F.struct("doc_id", "start")
+def tagged(docs: DataFrame, id_col: str, text: str) -> DataFrame:
+    """(doc_id, text, tag) of all rows."""
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"))
+    shared = ids_of_unlike_texts(rows.where("id IS NOT NULL")).select("id", F.lit(True).alias("unlike"))
+    # Mostly no row, so the texts don't move.
+    tag = F.when(F.col("unlike"), F.coalesce(F.xxhash64("text"), F.lit(0))).otherwise(F.lit(0)).cast("long")
+    return rows.join(shared, "id", "left").select(F.col("id").alias("doc_id"), "text", tag.alias("tag"))
+
+
+def removed_spans(rows: DataFrame, min_run: int) -> DataFrame:
+    """(doc_id, tag, spans): byte ranges [start, end) that repeat earlier chunks, for the texts of ``tagged`` rows that have any."""
+    pieces = materialise(chunks(rows), "chunks")
+    place = F.struct("doc_id", "tag", "start")
     repeated = pieces.groupBy("high", "low").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last")
     later = pieces.join(repeated.select("high", "low", "first"), ["high", "low"]).where(place > F.col("first")).select(
-        "doc_id", F.struct("start", (F.col("start") + F.col("size")).alias("end")).alias("span"))
-    # A document's own chunks; equal rows of one id give equal spans, hence the set.
-    own = later.groupBy("doc_id").agg(F.array_sort(F.collect_set("span")).alias("spans"))
-    return own.select("doc_id", F.filter(_runs(F.col("spans")), lambda s: s["end"] - s["start"] >= min_run).alias("spans")).where(
+        "doc_id", "tag", F.struct("start", (F.col("start") + F.col("size")).alias("end")).alias("span"))
+    # A text's own chunks; equal rows of one id give equal spans, hence the set.
+    own = later.groupBy("doc_id", "tag").agg(F.array_sort(F.collect_set("span")).alias("spans"))
+    return own.select("doc_id", "tag", F.filter(_runs(F.col("spans")), lambda s: s["end"] - s["start"] >= min_run).alias("spans")).where(
         F.size("spans") > 0)
 
 
@@ -122,9 +132,8 @@ def _runs(spans: F.Column) -> F.Column:
 
 def dedup(docs: DataFrame, min_run: int = LEAST, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, spans, text) for every row; ``text`` without the removed bytes."""
-    spans = removed_spans(docs, min_run, id_col, text).withColumnRenamed("doc_id", "id")
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
-    joined = rows.join(spans, F.col("doc_id").cast("long") == F.col("id"), "left")
+    rows = tagged(docs, id_col, text)
+    joined = rows.join(removed_spans(rows, min_run), ["doc_id", "tag"], "left")
     body = F.encode("text", "UTF-8")
     size = F.coalesce(F.octet_length("text"), F.lit(0))
     none = F.array().cast("array<struct<start:int,end:int>>")
