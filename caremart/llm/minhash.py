@@ -14,8 +14,8 @@ shares. Components come from the links in rounds (:func:`caremart.llm.common.com
 
 Words are what stands between white space bytes, A-Z in lower case; a shingle is ``words`` words in a row, a shorter text one shingle.
 
-Defined results: a null or empty text, or one without words, has no shingles and links with nothing. Rows that
-share an id count as one document: its first row by (number of shingles, digest). Rows with a null id link with nothing and are kept.
+Defined results: a null or empty text, or one without words, has no shingles and links with nothing. For ``near_duplicates`` rows that
+share an id count as one document: its first row by (number of shingles, digest); ``without_copies`` keeps unlike texts apart. Rows with a null id link with nothing and are kept.
 An empty table gives no rows. Other columns are ignored, or kept by ``without_copies``.
 """
 
@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caremart.llm.common import components, mix64, text_slices, utf8_buffers
+from caremart.llm.rows import text_keys, whole_row
 from caremart.session import materialise
 
 HASHES, ROWS = 80, 5
@@ -283,9 +284,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
 
 
 def without_copies(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each group, in one row; same columns. Rows without an id stay."""
-    kept = clusters(docs, words, percent, id_col, text).where("component = id").select(F.col("id").alias("kept_id"))
-    own = docs.where(F.col(id_col).isNotNull())
-    row = F.struct(*[own[c] for c in own.columns]).alias("row")
-    stay = own.select(own[id_col].cast("long").alias("kept_id"), row).join(kept, "kept_id", "left_semi").dropDuplicates(["kept_id"])
+    """One document of each group, in one row; same columns. Rows without an id stay.
+
+    Rows under one id are one document only if their texts are equal; unlike texts are compared and kept each for itself.
+    """
+    own = docs.where(F.col(id_col).isNotNull()).select(whole_row(docs))
+    keyed = text_keys(own.select("row", F.col("row")[id_col].cast("long").alias("id"), F.col("row")[text].alias("text")))
+    kept = clusters(keyed.select("key", "text"), words, percent, "key", "text").where("component = id").select(F.col("id").alias("key"))
+    stay = keyed.select("key", "row").join(kept, "key", "left_semi").dropDuplicates(["key"])
     return stay.select("row.*").unionByName(docs.where(F.col(id_col).isNull()))

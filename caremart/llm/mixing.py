@@ -24,6 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from caremart.llm.rows import whole_row
 from caremart.session import materialise
 
 TOKEN = "[^\\x20\\x09-\\x0D]+"
@@ -140,7 +141,7 @@ def readings(docs: DataFrame, mix: Mix = Mix(), id_col: str = "doc_id", text: st
     """(row, block, epoch, block_key): one row for each reading of a document, epochs from 0."""
     sources = plan(docs, mix, id_col, text, source).withColumnRenamed("source", "s")
     rows = docs.select(
-        F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.col(source).cast("string").alias("source"),
+        whole_row(docs), F.col(source).cast("string").alias("source"),
         _digits(_id_text(id_col)).alias("digits"))
     placed = rows.join(sources, F.col("source").eqNullSafe(F.col("s"))).select(
         "row", "source", (F.col("digits") % F.col("blocks")).alias("block"), "epochs", "bar")
