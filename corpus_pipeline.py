@@ -22,7 +22,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines on ten sites or more leave the texts."""
-    return lines.dedup(docs, min_sites=10, min_chars=10, max_share=0.5)
+    return lines.dedup(docs, min_sites=10, min_chars=10, suspect_share=0.5)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
