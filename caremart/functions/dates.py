@@ -1,8 +1,8 @@
 """Dates in many written forms, and date keys.
 
 Trying formatter after formatter costs one caught exception per failed form and row. Here the digits of a text are masked once;
-the common forms are told apart by comparing the mask with a few constants, put into ISO order by position and cast, all in
-generated code. Only a text that no mask fits goes through patterns.
+the common forms are told apart by looking the mask up in sets of constants, put into ISO order by position and cast, without
+a pattern. Only a text that no mask fits goes through patterns.
 """
 
 from __future__ import annotations
@@ -34,11 +34,19 @@ def _masks(dates: tuple[str, ...], joints: tuple[str, ...], clocks: tuple[str, .
 
 
 _ISO_MASKS = _masks(("0000-00-00", "0000-0-00", "0000-00-0", "0000-0-0"), (" ", "T"), _EXACT_CLOCKS)
+# A time with an offset is read as the local time that is written: the day must not move.
+_ZONED_MASKS = [f"0000-00-00T00:00:00{zone}" for zone in ("Z", "+00:00", "-00:00", "+0000", "-0000")]
+_YEAR_FIRST_MASKS = _masks(tuple(f"0000{sep}00{sep}00" for sep in "/. "), (" ",), _CLOCKS)
 _DAY_FIRST_MASKS = [
     m for sep in "/-"
     for m in _masks(tuple(f"{d}{sep}{m}{sep}0000" for d, m in product(("00", "0"), repeat=2)), (" ",), _CLOCKS)
 ]
-_COMPACT_MASK = "00000000"
+# Not the plain forms: the month comes first where the text leaves it open.
+_MONTH_FIRST_MASKS = [f"00{sep}00{sep}0000{end}" for sep, end in (
+    ("/", " 00:00:00.000"), ("/", " 00:00:00.000000"), ("-", " 00:00:00.000"), ("-", " 00:00:00.000000"), ("/", "T00:00:00"), ("-", "T00:00:00"),
+    (".", ""), (".", " 00:00"), (".", " 00:00:00"), (" ", ""), (" ", " 00:00"), (" ", " 00:00:00"))]
+_MONTH_FIRST_ZONED = [f"00/00/0000 00:00{zone}" for zone in ("Z", "+00:00", "-00:00", "+0000", "-0000")]
+_COMPACT_MASK, _COMPACT_TIME_MASK, _MONTH_MASK = "00000000", "00000000 0000", "00/0000"
 
 # ---- other forms, by pattern, in lower case ------------------------------------------------------------------------------------
 
@@ -96,19 +104,38 @@ def _as_timestamp(iso: Column, years: Years) -> Column:
     return F.when(F.substring(iso, 1, 4).between(low, high), iso.try_cast("timestamp"))
 
 
-def _day_first(text: Column, years: Years) -> Column:
-    """Day, month and year with equal separators, read in this order and else month first."""
+def _joined(*parts: Column) -> Column:
+    """Year, month and day as an ISO date, with what follows."""
+    year, month, day, *rest = parts
+    return F.concat(year, F.lit("-"), month, F.lit("-"), day, *rest)
+
+
+def _by_mask(text: Column, mask: Column) -> tuple[Column, Column]:
+    """The first and the second reading of a text of a common form, in ISO order; NULL for other texts."""
+    cut = lambda at, n: F.substring(text, at, n)
+    # Two fields and a year between equal separators, with or without zeros.
     parts = F.translate(text, "/", "-")
     one, two = F.substring_index(parts, "-", 1), F.substring_index(F.substring_index(parts, "-", 2), "-", -1)
     rest = F.substring_index(parts, "-", -1)
     year, time = F.substring(rest, 1, 4), F.substring(rest, 5, 99)
-    return F.coalesce(*[_as_timestamp(F.concat(year, F.lit("-"), month, F.lit("-"), day, time), years) for month, day in ((two, one), (one, two))])
-
-
-def _compact(text: Column, years: Years) -> Column:
-    """Eight digits, year first and else day first."""
-    cut = lambda *places: F.concat_ws("-", *[F.substring(text, a, n) for a, n in places])
-    return F.coalesce(_as_timestamp(cut((1, 4), (5, 2), (7, 2)), years), _as_timestamp(cut((5, 4), (3, 2), (1, 2)), years))
+    first = (
+        F.when(mask.isin(_ISO_MASKS), text)
+        .when(mask.isin(_DAY_FIRST_MASKS), _joined(year, two, one, time))
+        .when(mask == _COMPACT_MASK, _joined(cut(1, 4), cut(5, 2), cut(7, 2)))
+        .when(mask.isin(_ZONED_MASKS), cut(1, 19))
+        .when(mask.isin(_YEAR_FIRST_MASKS), _joined(cut(1, 4), cut(6, 2), cut(9, 99)))
+        .when(mask.isin(_MONTH_FIRST_MASKS), _joined(cut(7, 4), cut(1, 2), cut(4, 2), cut(11, 99)))
+        .when(mask.isin(_MONTH_FIRST_ZONED), _joined(cut(7, 4), cut(1, 2), cut(4, 2), cut(11, 6)))
+        .when(mask == _COMPACT_TIME_MASK, _joined(cut(1, 4), cut(5, 2), cut(7, 3), cut(10, 2), F.lit(":"), cut(12, 2)))
+        .when(mask == _MONTH_MASK, _joined(cut(4, 4), cut(1, 2), F.lit("1")))
+    )
+    second = (
+        F.when(mask.isin(_DAY_FIRST_MASKS), _joined(year, one, two, time))
+        .when(mask == _COMPACT_MASK, _joined(cut(5, 4), cut(3, 2), cut(1, 2)))
+        .when(mask.isin(_MONTH_FIRST_MASKS), _joined(cut(7, 4), cut(4, 2), cut(1, 2), cut(11, 99)))
+        .when(mask.isin(_MONTH_FIRST_ZONED), _joined(cut(7, 4), cut(4, 2), cut(1, 2), cut(11, 6)))
+    )
+    return first, second
 
 
 def _named_iso(text: Column, shape: str, groups: tuple[int, int, int, int]) -> Column:
@@ -122,7 +149,11 @@ def _named_iso(text: Column, shape: str, groups: tuple[int, int, int, int]) -> C
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once. A lambda is interpreted, which keeps its patterns out of the generated code."""
+    """``body`` of a value that is computed once.
+
+    Written out, each use would repeat the expression, and the generated method would outgrow what the virtual machine compiles. A
+    lambda is interpreted, step by step of a short chain.
+    """
     return F.get(F.transform(F.array(value), body), 0)
 
 
@@ -169,14 +200,16 @@ def parse_date(text: Column, years: Years = PLAUSIBLE_YEARS) -> Column:
     A reading outside the window does not end the search, the next one is tried. A time with an offset is read as the local
     time that is written: the day must not move.
     """
-    trimmed = strip(text)
-    mask = F.translate(trimmed, "123456789", "000000000")
-    return (
-        F.when(mask.isin(_ISO_MASKS), _as_timestamp(trimmed, years))
-        .when(mask.isin(_DAY_FIRST_MASKS), _day_first(trimmed, years))
-        .when(mask == _COMPACT_MASK, _compact(trimmed, years))
-        .otherwise(_by_pattern(trimmed, years))
-    )
+
+    def of_trimmed(trimmed: Column) -> Column:
+        mask = F.translate(trimmed, "123456789", "000000000")
+        return _let(mask, lambda m: of_mask(trimmed, *_by_mask(trimmed, m)))
+
+    def of_mask(trimmed: Column, first: Column, second: Column) -> Column:
+        common = lambda iso: F.coalesce(_as_timestamp(iso, years), _let(second, lambda other: _as_timestamp(other, years)))
+        return _let(first, lambda iso: F.when(iso.isNotNull(), common(iso)).otherwise(_by_pattern(trimmed, years)))
+
+    return _let(strip(text), of_trimmed)
 
 
 def parse_date_or(text: Column, default: dt.date = FALLBACK_DATE, years: Years = PLAUSIBLE_YEARS) -> Column:

@@ -151,7 +151,9 @@ def patients_standardised(f: Fixtures) -> DataFrame:
 
 
 def _events(f: Fixtures, name: str, mode: str = standardise.LENIENT) -> DataFrame:
-    return standardise.standardise_events(f.source(name), name, mode)
+    """A standardised event source. Visits are written with their parsed date, so that the filter on it does not parse again."""
+    parsed = standardise.parsed_events(f.source(name), name, mode)
+    return standardise.standardised(materialise(parsed, f"parsed-{name}") if name == "urgence" else parsed, name, mode)
 
 
 def _events_with_pseudonym(f: Fixtures, name: str, mode: str = standardise.LENIENT) -> DataFrame:
@@ -370,7 +372,8 @@ _ORDER_PATIENT = "SELECT v.src_row, coalesce(p.sk, 1) AS patient_sk FROM std_urg
 
 
 def _patient_keys(f: Fixtures, small: bool | None) -> DataFrame:
-    visits = materialise(_events(f, "urgence").select("src_row", "ID_Patient_Anonyme"), "visits")
+    parsed = standardise.parsed_events(f.source("urgence"), "urgence").select("src_row", "ID_Patient_Anonyme", "Date_Arrivee")
+    visits = materialise(parsed, "visits").where("Date_Arrivee IS NOT NULL").drop("Date_Arrivee")
     members = materialise(dims.dim_patient(standardise.standardise_patients(f.source("patient")), SETTINGS), "dim_patient")
     return lookup.resolve(
         visits, members, "patient_sk", [F.upper("ID_Patient_Anonyme")], [F.upper("id_patient_anonyme")], small=small
