@@ -38,6 +38,8 @@ HASHES, ROWS = 80, 5
 BANDS = 2 * HASHES // ROWS
 #: Members of a band that one task compares at a time, and up to which a plain join compares them.
 BLOCK, SMALL = 1024, 8
+#: Bytes of text that a task hashes at a time.
+SLICE = 4_000_000
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -115,13 +117,13 @@ def _apart(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.insert(raw, at[1:], 0x20)
 
 
-def signatures(docs: DataFrame, words: int, id_col: str, text: str) -> DataFrame:
+def signatures(docs: DataFrame, words: int, id_col: str, text: str, slice_bytes: int = SLICE) -> DataFrame:
     """(id, n, high, low, bands, signs): size and digest of the set, band keys, and the low byte of each signature value."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         functions, band = _functions(), np.arange(BANDS, dtype=np.uint64)
         for batch in batches:
-            for part in text_slices(batch, "text"):
+            for part in text_slices(batch, "text", slice_bytes):
                 n, digests, bands, signs = [], bytearray(), [], []
                 for own in _sets(part, words):
                     n.append(len(own))
@@ -144,12 +146,12 @@ def signatures(docs: DataFrame, words: int, id_col: str, text: str) -> DataFrame
     return _texts(docs, id_col, text).mapInArrow(run, "id long, n long, high long, low long, bands array<long>, signs binary")
 
 
-def _full_sets(docs: DataFrame, wanted: DataFrame, words: int, id_col: str, text: str) -> DataFrame:
+def _full_sets(docs: DataFrame, wanted: DataFrame, words: int, id_col: str, text: str, slice_bytes: int = SLICE) -> DataFrame:
     """(id, n, high, low, own): the sorted shingle hashes of the wanted documents (id, n, high, low)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text_slices(batch, "text"):
+            for part in text_slices(batch, "text", slice_bytes):
                 sets = list(_sets(part, words))
                 digest = np.frombuffer(b"".join(xxhash.xxh3_128_digest(s.tobytes()) for s in sets), "<i8").reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays(
@@ -216,9 +218,10 @@ def _linked_in_cell(percent: int):
     return links
 
 
-def clusters(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def clusters(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text: str = "text",
+             slice_bytes: int = SLICE) -> DataFrame:
     """(id, n_shingles, component): one row an id; component is the smallest id that links reach."""
-    every = materialise(signatures(docs, words, id_col, text), "signatures")
+    every = materialise(signatures(docs, words, id_col, text, slice_bytes), "signatures")
     one = every.groupBy("id").agg(F.min(F.struct("n", "high", "low")).alias("s")).select("id", "s.*")
     classes = one.where("n > 0").groupBy("n", "high", "low").agg(F.min("id").alias("rep"))
     members = materialise(one.join(classes, ["n", "high", "low"], "left").select("id", "n", "high", "low", "rep"), "members")
@@ -227,7 +230,7 @@ def clusters(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "
     shared = banded.groupBy("band").agg(F.count("*").alias("c"), F.min(F.struct("id", "n")).alias("low"), F.max(F.struct("id", "n")).alias("high")).where("c > 1")
     active = materialise(banded.join(shared, "band"), "bands")
     wanted = members.join(active.select("id").distinct(), "id", "left_semi").select("id", "high", "low")
-    sets = materialise(_full_sets(docs, wanted, words, id_col, text), "sets")
+    sets = materialise(_full_sets(docs, wanted, words, id_col, text, slice_bytes), "sets")
 
     def roots(links: DataFrame) -> DataFrame:
         return materialise(components(links).select(F.col("node").alias("id"), F.col("component").alias("root")), "roots")
@@ -290,6 +293,7 @@ def without_copies(docs: DataFrame, words: int = 5, percent: int = 80, id_col: s
     """
     own = docs.where(F.col(id_col).isNotNull()).select(whole_row(docs))
     keyed = text_keys(own.select("row", F.col("row")[id_col].cast("long").alias("id"), F.col("row")[text].alias("text")))
-    kept = clusters(keyed.select("key", "text"), words, percent, "key", "text").where("component = id").select(F.col("id").alias("key"))
+    # Smaller slices: behind other stages the workers hold their tables still.
+    kept = clusters(keyed.select("key", "text"), words, percent, "key", "text", SLICE // 4).where("component = id").select(F.col("id").alias("key"))
     stay = keyed.select("key", "row").join(kept, "key", "left_semi").dropDuplicates(["key"])
     return stay.select("row.*").unionByName(docs.where(F.col(id_col).isNull()))
