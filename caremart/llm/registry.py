@@ -188,6 +188,24 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 FROM scored QUALIFY rank <= 5
 """
 
+_OP6 = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents),
+said AS (SELECT DISTINCT doc_id, CASE WHEN len(w) < 4 THEN array_to_string(w, ' ')
+    ELSE concat_ws(' ', w[k], w[k + 1], w[k + 2], w[k + 3]) END AS shingle
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS k FROM d WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM said GROUP BY doc_id),
+held AS (SELECT doc_id, n, shingle FROM said JOIN sizes USING (doc_id) SEMI JOIN
+    (SELECT shingle FROM said GROUP BY shingle HAVING count(*) > 1) AS twice USING (shingle)),
+link AS (SELECT a.doc_id AS a, b.doc_id AS b FROM held a JOIN held b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+    GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 80 * (any_value(a.n) + any_value(b.n) - count(*))),
+reach AS (SELECT doc_id AS node, doc_id AS other FROM d UNION SELECT r.node, l.b FROM reach r JOIN link l ON r.other = l.a),
+least_of AS (SELECT node, min(other) AS component_id FROM reach GROUP BY node)
+SELECT node AS doc_id, coalesce(n, 0) AS n_shingles, component_id, component_id = node AS kept
+FROM least_of LEFT JOIN sizes ON doc_id = node
+"""
+
 _OP8 = """
 WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings),
 usable AS (SELECT * FROM v WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(x) > 0
@@ -202,6 +220,22 @@ SELECT node AS vec_id, coalesce(n, 0) AS n_links, component_id, component_id = n
 FROM least_of LEFT JOIN degree ON a = node
 """
 
+_OP10 = """
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS body FROM documents),
+starts AS (SELECT doc_id, k, body[k:k + 49] AS w FROM (SELECT doc_id, body, unnest(range(1, octet_length(body) - 48)) AS k FROM d)),
+again AS (SELECT doc_id, k FROM starts JOIN (SELECT w, min(doc_id) AS first FROM starts GROUP BY w HAVING count(DISTINCT doc_id) > 1) USING (w)
+    WHERE doc_id > first),
+heads AS (SELECT doc_id, k, coalesce(k > 50 + lag(k) OVER (PARTITION BY doc_id ORDER BY k), true) AS head FROM again),
+spans AS (SELECT doc_id, min(k) AS a, max(k) + 49 AS b FROM (
+    SELECT doc_id, k, sum(CAST(head AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY k) AS span FROM heads) GROUP BY doc_id, span),
+edges AS (SELECT doc_id, list([a, b] ORDER BY a) AS cut, sum(b - a + 1) AS n_removed FROM spans GROUP BY doc_id),
+rest AS (SELECT d.doc_id, hex(body) AS digits, octet_length(body) AS n, coalesce(cut, []) AS cut, coalesce(n_removed, 0) AS n_removed
+    FROM d LEFT JOIN edges USING (doc_id))
+SELECT doc_id, n AS n_bytes, CAST(n_removed AS BIGINT) AS n_removed, len(cut) AS n_spans,
+    sha256(unhex(array_to_string(list_transform(range(0, len(cut) + 1), lambda i: digits[
+        CASE WHEN i = 0 THEN 1 ELSE 2 * cut[i][2] + 1 END:CASE WHEN i = len(cut) THEN 2 * n ELSE 2 * cut[i + 1][1] - 2 END]), ''))) AS kept_sha256
+FROM rest
+"""
 
 _OP11 = r"""
 WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
@@ -263,4 +297,5 @@ FROM (SELECT * FROM pairs UNION ALL SELECT * FROM over) QUALIFY part = 'pair' OR
 
 def oracle_sql() -> dict[str, str]:
     return {"op11_filter_interaction": _OP11, "op12_source_divergence": _OP12,
-            "op1_line_dedup": _OP1, "op3_source_mixing": _OP3, "op4_exact_topk": _OP4, "op8_embedding_near_dedup": _OP8}
+            "op1_line_dedup": _OP1, "op3_source_mixing": _OP3, "op4_exact_topk": _OP4,
+            "op6_minmax_near_dedup": _OP6, "op8_embedding_near_dedup": _OP8, "op10_suffix_dedup": _OP10}
