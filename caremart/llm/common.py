@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 
 from caremart.session import materialise
 
-_ROUNDS = 60
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
@@ -64,10 +62,10 @@ def components(edges: DataFrame) -> DataFrame:
     labels = materialise(
         edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct().withColumn("root", F.col("node")),
         "labels")
-    for number in range(_ROUNDS):
-        if edges.isEmpty():
-            break
+    number = 0
+    while not edges.isEmpty():
         both = edges.union(edges.select("b", "a"))
+        number += 1
         rank = lambda c, k=number: F.struct(F.xxhash64(c, F.lit(k)).alias("h"), c.alias("v"))
         hooked = both.groupBy(F.col("a").alias("x")).agg(F.min(rank(F.col("b"))).alias("best")).select(
             "x", F.least(rank(F.col("x")), "best")["v"].alias("p"))
@@ -81,7 +79,5 @@ def components(edges: DataFrame) -> DataFrame:
             edges.join(jump.select(F.col("x").alias("a"), F.col("q").alias("c")), "a")
             .join(jump.select(F.col("x").alias("b"), F.col("q").alias("d")), "b")
             .where("c <> d").select(F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b")).distinct(), "edges")
-    else:
-        raise RuntimeError("components did not settle")
     smallest = labels.groupBy("root").agg(F.min("node").alias("component"))
     return labels.join(smallest, "root").select("node", "component")

@@ -4,11 +4,14 @@ Every vector is described by its ``LIST`` nearest of a few hundred reference poi
 (label, reference point) hold the vectors that name the point; two vectors are candidates if they share at
 least ``SHARED`` points, and each candidate pair is verified once by its cosine in double precision, in the list of their
 smallest shared point. Lists longer than ``BLOCK`` are cut into a grid of blocks, so no task holds a whole hot list.
-A task never emits pairs: it emits, per vector, the number of its links and a spanning forest of the links.
+A task never emits pairs: it emits, per vector, the number of its links and one edge to its component in the cell.
 
-The reference points come from a bounded sample: ``sqrt(rows)`` vectors, 64 at least and ``MAX_PIVOTS`` at most, those with the
+Equal vectors of a label are linked with each other and with the same others, so they stand as one class: the smallest id is indexed
+with the number of its copies, and the members get their counts and component from it.
+
+The reference points come from a bounded sample: ``sqrt(classes)`` vectors, 64 at least and ``MAX_PIVOTS`` at most, those with the
 smallest hash of their id. Of points within a cosine of ``APART`` only the first stays: a group of near copies, whatever its share of
-the rows, has one point, so its members name the same points and its lists are verified whole. All rows are indexed. Recall
+the rows, has one point, so its members name the same points and its lists are verified whole. All classes are indexed. Recall
 against brute force is measured in tests/llm.
 
 Defined results: a vector that is null, empty, zero or holds a null or non-finite component, or whose label
@@ -35,7 +38,7 @@ APART = 0.9
 
 
 def _described(vectors: DataFrame, pivots: np.ndarray) -> DataFrame:
-    """(id, label, unit, near): the unit vector and the ordered nearest reference points."""
+    """(id, label, copies, unit, near): the unit vector and the ordered nearest reference points."""
     shared = vectors.sparkSession.sparkContext.broadcast(pivots)
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -50,9 +53,9 @@ def _described(vectors: DataFrame, pivots: np.ndarray) -> DataFrame:
                 scores = x[:, :width] @ refs[:, :width].T
                 order = np.argsort(-scores, axis=1, kind="stable")[:, :LIST].astype(np.int32)
                 yield pd.DataFrame({"id": same["id"].to_numpy(), "label": same["label"].to_numpy(),
-                                    "unit": list(x), "near": list(order)})
+                                    "copies": same["copies"].to_numpy(), "unit": list(x), "near": list(order)})
 
-    return vectors.mapInPandas(describe, "id long, label string, unit array<double>, near array<int>")
+    return vectors.mapInPandas(describe, "id long, label string, copies long, unit array<double>, near array<int>")
 
 
 def _spread(sample: list[list[float]]) -> np.ndarray:
@@ -68,24 +71,28 @@ def _spread(sample: list[list[float]]) -> np.ndarray:
     return points[:kept]
 
 
+def _joined(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The smallest place in the component of each place, once the places ``i`` and ``j`` are joined."""
+    while True:
+        apart = root[i] != root[j]
+        i, j = i[apart], j[apart]
+        if not len(i):
+            return root
+        np.minimum.at(root, np.maximum(root[i], root[j]), np.minimum(root[i], root[j]))
+        while (root != root[root]).any():
+            root = root[root]
+
+
 def _linked(threshold: float, needed: int):
-    """Links of one cell of a list: counts per vector and a spanning forest. Candidates share ``needed`` points."""
+    """Links of one cell of a list: counts per class, and an edge from each to its component. Candidates share ``needed`` points."""
 
     def links(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         _, pivot, first, second = key
-        ids, near = pdf["id"].to_numpy(), np.stack(pdf["near"].to_list())
+        ids, copies, near = pdf["id"].to_numpy(), pdf["copies"].to_numpy(), np.stack(pdf["near"].to_list())
         block, sizes = pdf["block"].to_numpy(), pdf["unit"].map(len).to_numpy()
-        counts, edges = np.zeros(len(ids), np.int64), []
-        parent = np.arange(len(ids))
+        counts, root = np.zeros(len(ids), np.int64), np.arange(len(ids))
         points = np.unique(near)
         named, below = _named(near, points), int(np.searchsorted(points, pivot))
-
-        def find(i: int) -> int:
-            while parent[i] != i:
-                parent[i] = parent[parent[i]]
-                i = parent[i]
-            return i
-
         for length in np.unique(sizes):
             rows = np.flatnonzero(sizes == length)
             a, b = rows[block[rows] == first], rows[block[rows] == second]
@@ -98,21 +105,21 @@ def _linked(threshold: float, needed: int):
                 if first == second:
                     candidate &= ids[own][:, None] < ids[b][None, :]
                 u = np.stack(pdf["unit"].iloc[own].to_list())
-                i, j = np.nonzero(candidate & (u @ x.T >= threshold - 1e-6))
-                exact = np.einsum("ij,ij->i", u[i], x[j]) >= threshold
-                i, j = own[i[exact]], b[j[exact]]
-                np.add.at(counts, i, 1)
-                np.add.at(counts, j, 1)
-                for s, t in zip(i.tolist(), j.tolist(), strict=True):
-                    s, t = find(s), find(t)
-                    if s != t:
-                        parent[s] = t
-                        edges.append((ids[s], ids[t]))
-        linked = np.flatnonzero(counts)
+                cosine = u @ x.T
+                linked = candidate & (cosine >= threshold + 1e-9)
+                # The order in which a product adds up decides nothing: what is this close is added in one order.
+                i, j = np.nonzero(candidate & (np.abs(cosine - threshold) < 1e-9))
+                linked[i, j] = np.einsum("ij,ij->i", u[i], x[j]) >= threshold
+                i, j = np.nonzero(linked)
+                i, j = own[i], b[j]
+                np.add.at(counts, i, copies[j])
+                np.add.at(counts, j, copies[i])
+                root = _joined(root, i, j)
+        linked, members = np.flatnonzero(counts), np.flatnonzero(root != np.arange(len(root)))
         return pd.DataFrame({
-            "a": np.concatenate([ids[linked], np.array([e[0] for e in edges], np.int64)]),
-            "b": np.concatenate([ids[linked], np.array([e[1] for e in edges], np.int64)]),
-            "links": np.concatenate([counts[linked], np.zeros(len(edges), np.int64)]),
+            "a": np.concatenate([ids[linked], ids[members]]),
+            "b": np.concatenate([ids[linked], ids[root[members]]]),
+            "links": np.concatenate([counts[linked], np.zeros(len(members), np.int64)]),
         })
 
     return links
@@ -125,6 +132,19 @@ def _named(near: np.ndarray, points: np.ndarray) -> np.ndarray:
     return out
 
 
+def _classes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(a row (id, label, vector, copies) for equal vectors of a label, with their smallest id; (id, class, copies, hot) of those with copies)."""
+    classes = materialise(rows.groupBy("label", "vector").agg(F.min("id").alias("id"), F.count("*").alias("copies")), "classes")
+    several = classes.where("copies > 1").select("label", "vector", F.col("id").alias("class"), "copies")
+    total = classes.agg(F.sum("copies")).first()[0] or 0
+    # Fewer than a thousand classes hold more than a thousandth of the rows each; they are broadcast, so no task gets a whole class.
+    hot = several.where(F.col("copies") * 1000 > total)
+    key = ["label", "vector"]
+    known = rows.join(F.broadcast(hot), key).select("id", "class", "copies", F.lit(True).alias("hot"))
+    rest = rows.join(F.broadcast(hot.select(*key)), key, "left_anti").join(several.where(F.col("copies") * 1000 <= total), key)
+    return classes, materialise(known.unionByName(rest.select("id", "class", "copies", F.lit(False).alias("hot"))), "members")
+
+
 def near_duplicates(vectors: DataFrame, threshold: float = 0.98, id_col: str = "vec_id",
                     vector_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every id of the table."""
@@ -134,29 +154,34 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, id_col: str = "
     rows = materialise(rows.groupBy("id").agg(F.min(F.struct("label", "vector")).alias("r")).select("id", "r.*"), "vectors")
     usable = F.col("label").isNotNull() & (F.size("vector") > 0) & F.forall(
         "vector", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf")))) & F.exists("vector", lambda v: v != 0)
-    usable_rows = rows.where(usable)
-    wanted = min(MAX_PIVOTS, max(64, int(usable_rows.count() ** 0.5)))
+    classes, members = _classes(rows.where(usable))
+    wanted = min(MAX_PIVOTS, max(64, int(classes.count() ** 0.5)))
     # At most MAX_PIVOTS vectors, whatever the table's size.
-    sample = [r.vector for r in usable_rows.orderBy(F.xxhash64("id"), "id").limit(wanted).collect()]
+    sample = [r.vector for r in classes.orderBy(F.xxhash64("id"), "id").limit(wanted).collect()]
     if not sample:
         return rows.select(F.col("id").alias("vec_id"), F.lit(0).cast("long").alias("n_links"),
                            F.col("id").alias("component_id"), F.lit(True).alias("kept"))
     pivots = _spread(sample)
-    described = materialise(_described(usable_rows, pivots), "described")
-    lists = described.select("id", "label", "unit", "near", F.explode("near").alias("pivot"))
+    described = materialise(_described(classes, pivots), "described")
+    lists = described.select("id", "copies", "label", "unit", "near", F.explode("near").alias("pivot"))
     sizes = lists.groupBy("label", "pivot").agg(F.count("*").alias("n")).where("n > 1").withColumn(
         "blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
     sizes = materialise(sizes, "sizes")
     placed = lists.join(sizes, ["label", "pivot"]).withColumn(
         "block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     cells = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "id", "unit", "near", "label", "pivot", "block",
+        "id", "copies", "unit", "near", "label", "pivot", "block",
         F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"))
     found = materialise(cells.groupBy("label", "pivot", "first", "second").applyInPandas(
         _linked(threshold, min(SHARED, len(pivots))), "a long, b long, links long"), "links")
     counts = found.where("a = b").groupBy(F.col("a").alias("id")).agg(F.sum("links").alias("n_links"))
     groups = components(found.where("a <> b").select("a", "b")).withColumnRenamed("node", "id")
-    component = F.coalesce("component", "id")
-    return rows.select("id").join(counts, "id", "left").join(groups, "id", "left").select(
-        F.col("id").alias("vec_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+    of_class = counts.join(groups, "id", "full").withColumnRenamed("id", "own")
+    placed = rows.select("id").join(members, "id", "left").withColumn("own", F.coalesce("class", "id"))
+    few = of_class.join(F.broadcast(members.where("hot").select(F.col("class").alias("own")).distinct()), "own", "left_semi")
+    placed = placed.where("hot").join(F.broadcast(few), "own", "left").unionByName(
+        placed.where("NOT coalesce(hot, false)").join(of_class, "own", "left"))
+    component = F.coalesce("component", "own")
+    return placed.select(
+        F.col("id").alias("vec_id"), (F.coalesce("n_links", F.lit(0)) + F.coalesce("copies", F.lit(1)) - 1).cast("long").alias("n_links"),
         component.alias("component_id"), (component == F.col("id")).alias("kept"))

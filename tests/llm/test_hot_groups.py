@@ -43,3 +43,20 @@ def test_tables_that_are_near_copies_throughout(spark, near):
     want = _links(x, 0.98)
     got = pivots.near_duplicates(_vectors(spark, x)).toPandas().sort_values("vec_id")["n_links"].to_numpy()
     assert want.min() > 0 and (got == want).all()
+
+
+@pytest.mark.parametrize("n", [3_000, 12_000])
+def test_equal_vectors_are_one_class(spark, n):
+    """A third of the rows holds one vector, a third small groups of copies; one near copy of the large group."""
+    rng = np.random.default_rng(n)
+    x = np.concatenate([np.repeat(rng.standard_normal((1, 16)), n // 3, axis=0), np.repeat(rng.standard_normal((n // 12, 16)), 4, axis=0),
+                        rng.standard_normal((n // 3, 16))])
+    x[-1] = x[0] + 1e-3
+    order = rng.permutation(n)
+    want = _links(x[order], 0.98)
+    out = pivots.near_duplicates(_vectors(spark, x[order])).toPandas().sort_values("vec_id")
+    got = out["n_links"].to_numpy()
+    assert (got <= want).all() and got.sum() >= 0.99 * want.sum()
+    hot = np.flatnonzero((order < n // 3) | (order == n - 1))
+    assert (got[hot] == want[hot]).all() and (out["component_id"].to_numpy()[hot] == hot.min()).all()
+    assert out["kept"].to_numpy()[hot].sum() == 1
