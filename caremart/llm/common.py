@@ -50,6 +50,19 @@ def binaries(values: list[bytes] | np.ndarray) -> pa.Array:
     return pa.array(values, pa.binary())
 
 
+def frequent(groups: DataFrame, copies: str, total: int) -> DataFrame:
+    """The groups with over a thousandth of all rows: fewer than a thousand."""
+    return groups.where(F.col(copies) * 1000 > total)
+
+
+def joined(rows: DataFrame, values: DataFrame, keys: list[str], hot: DataFrame) -> DataFrame:
+    """``rows`` left-joined with ``values`` (one row a key). The values of the ``frequent`` keys in ``hot`` are broadcast, so
+    that the rows of none of them meet in one task."""
+    few = F.broadcast(hot.select(*keys).distinct())
+    there = rows.join(few, keys, "left_semi").join(F.broadcast(values.join(few, keys, "left_semi")), keys, "left")
+    return there.unionByName(rows.join(few, keys, "left_anti").join(values, keys, "left"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node that ``edges`` (a, b: long) reach, for every node of an edge.
 

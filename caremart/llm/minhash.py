@@ -8,7 +8,8 @@ with a probability of about 3 in a million.
 Groups never become pairs. Documents with equal sets are one class with one representative. A document is first tested against the
 smallest pivot of its bands, then against the largest; whoever is linked needs no further test inside its component. What is
 still apart in a band after that is compared across components: bands of at most ``SMALL`` members by a join, larger ones in a grid of blocks of
-about ``BLOCK`` members that are given their full sets and emit a spanning forest of links. There, compact signatures rule out most
+about ``BLOCK`` members that are given their full sets and emit a spanning forest of links; blocks of the band's largest component do not
+meet each other. There, compact signatures rule out most
 pairs (the estimate must lie six standard errors below the threshold), and each pair is looked at in the first band that it
 shares. Components come from the links in rounds (:func:`caremart.llm.common.components`).
 
@@ -30,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caremart.llm.common import components, mix64, text_slices, utf8_buffers
+from caremart.llm.common import components, frequent, joined, mix64, text_slices, utf8_buffers
 from caremart.llm.rows import text_keys, whole_row
 from caremart.session import materialise
 
@@ -222,9 +223,13 @@ def clusters(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "
              slice_bytes: int = SLICE) -> DataFrame:
     """(id, n_shingles, component): one row an id; component is the smallest id that links reach."""
     every = materialise(signatures(docs, words, id_col, text, slice_bytes), "signatures")
-    one = every.groupBy("id").agg(F.min(F.struct("n", "high", "low")).alias("s")).select("id", "s.*")
-    classes = one.where("n > 0").groupBy("n", "high", "low").agg(F.min("id").alias("rep"))
-    members = materialise(one.join(classes, ["n", "high", "low"], "left").select("id", "n", "high", "low", "rep"), "members")
+    one = materialise(every.groupBy("id").agg(F.min(F.struct("n", "high", "low")).alias("s")).select("id", "s.*"), "one-set")
+    equal = ["n", "high", "low"]
+    classes = one.where("n > 0").groupBy(*equal).agg(F.min("id").alias("rep"), F.count("*").alias("copies")).where("copies > 1")
+    classes = materialise(classes, "classes")
+    hot = frequent(classes, "copies", one.count())
+    members = joined(one, classes, equal, hot).withColumn("rep", F.when(F.col("n") > 0, F.coalesce("rep", "id")))
+    members = materialise(members.select("id", "n", "high", "low", "rep"), "members")
     reps = every.join(members.where("id = rep").select("id", "n", "high", "low"), ["id", "n", "high", "low"], "left_semi").dropDuplicates(["id"])
     banded = reps.select("id", "n", F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.count("*").alias("c"), F.min(F.struct("id", "n")).alias("low"), F.max(F.struct("id", "n")).alias("high")).where("c > 1")
@@ -245,10 +250,10 @@ def clusters(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "
     farthest = star("high").groupBy("id").agg(F.max(F.struct("b", "a")).alias("p")).select("p.a", "p.b").distinct()
     apart = _apart_pairs(farthest, roots(links))
     links = links.union(materialise(_confirmed(apart, sets, percent), "links"))
-    small, large = _remaining(active, roots(links), every, sets, percent)
+    small, large = _remaining(active, roots(links), reps, sets, percent)
     links = links.union(materialise(_confirmed(small, sets, percent), "links")).union(materialise(large, "links"))
     root = roots(links).withColumnRenamed("id", "rep")
-    return members.join(root, "rep", "left").select(
+    return joined(members, root, ["rep"], hot).select(
         "id", F.col("n").alias("n_shingles"), F.coalesce("root", "rep", "id").alias("component"))
 
 
@@ -258,7 +263,7 @@ def _apart_pairs(pairs: DataFrame, root: DataFrame) -> DataFrame:
         F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
 
 
-def _remaining(active: DataFrame, root: DataFrame, every: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+def _remaining(active: DataFrame, root: DataFrame, reps: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """(pairs of small bands to confirm, links of large bands) between members that lie in different components."""
     placed = active.select("band", "id", "n", "c").join(root, "id", "left").withColumn("root", F.coalesce("root", "id"))
     mixed = placed.groupBy("band").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("band")
@@ -267,10 +272,18 @@ def _remaining(active: DataFrame, root: DataFrame, every: DataFrame, sets: DataF
     side = lambda x: few.select("band", F.col("id").alias(x), F.col("n").alias("n" + x), F.col("root").alias("r" + x))
     pairs = side("a").join(side("b"), "band").where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb"))).where(
         _alike("na", "nb", percent)).select("a", "b").distinct()
-    known = every.select("id", "n", "signs", "bands").dropDuplicates(["id", "n"]).join(sets, "id")
-    many = left.where(F.col("c") > SMALL).join(known, ["id", "n"]).withColumn("blocks", F.ceil(F.col("c") / BLOCK).cast("int"))
-    cells = many.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+    known = reps.select("id", "n", "signs", "bands").join(sets, "id")
+    many = left.where(F.col("c") > SMALL)
+    # Members of one component need no comparison: those of a band's largest component meet only the blocks of the others.
+    parts = many.groupBy("band", "root").agg(F.count("*").alias("m"))
+    parts = parts.groupBy("band").agg(F.max(F.struct("m", "root")).alias("core"), F.sum("m").alias("m"))
+    parts = materialise(parts.select("band", F.col("core.root").alias("core"), F.ceil((F.col("m") - F.col("core.m")) / BLOCK).cast("int").alias("outer"),
+                                     F.ceil(F.col("core.m") / BLOCK).cast("int").alias("inner")), "parts")
+    spread = F.xxhash64("id")
+    placed = many.join(parts, "band").withColumn("block", F.when(
+        F.col("root") == F.col("core"), F.col("outer") + F.pmod(spread, F.col("inner"))).otherwise(F.pmod(spread, F.col("outer"))).cast("int"))
+    last = F.when(F.col("root") == F.col("core"), F.col("outer")).otherwise(F.col("outer") + F.col("inner")) - 1
+    cells = placed.join(known, ["id", "n"]).withColumn("other", F.explode(F.sequence(F.lit(0), last))).select(
         "band", "id", "n", "root", "signs", "bands", "own", "block", F.least("block", "other").alias("first"),
         F.greatest("block", "other").alias("second"))
     return pairs, cells.groupBy("band", "first", "second").applyInPandas(_linked_in_cell(percent), "a long, b long")

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caremart.llm.common import components
+from caremart.llm.common import components, frequent, joined
 from caremart.session import materialise
 
 MAX_PIVOTS, LIST, SHARED, BLOCK = 4096, 8, 2, 1024
@@ -132,17 +132,14 @@ def _named(near: np.ndarray, points: np.ndarray) -> np.ndarray:
     return out
 
 
-def _classes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(a row (id, label, vector, copies) for equal vectors of a label, with their smallest id; (id, class, copies, hot) of those with copies)."""
+def _classes(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(a row (id, label, vector, copies) for equal vectors of a label, with their smallest id; (id, class, copies) of each
+    row with copies; the frequent classes)."""
     classes = materialise(rows.groupBy("label", "vector").agg(F.min("id").alias("id"), F.count("*").alias("copies")), "classes")
     several = classes.where("copies > 1").select("label", "vector", F.col("id").alias("class"), "copies")
-    total = classes.agg(F.sum("copies")).first()[0] or 0
-    # Fewer than a thousand classes hold more than a thousandth of the rows each; they are broadcast, so no task gets a whole class.
-    hot = several.where(F.col("copies") * 1000 > total)
-    key = ["label", "vector"]
-    known = rows.join(F.broadcast(hot), key).select("id", "class", "copies", F.lit(True).alias("hot"))
-    rest = rows.join(F.broadcast(hot.select(*key)), key, "left_anti").join(several.where(F.col("copies") * 1000 <= total), key)
-    return classes, materialise(known.unionByName(rest.select("id", "class", "copies", F.lit(False).alias("hot"))), "members")
+    hot = frequent(several, "copies", classes.agg(F.sum("copies")).first()[0] or 0)
+    members = joined(rows, several, ["label", "vector"], hot).where("copies IS NOT NULL").select("id", "class", "copies")
+    return classes, materialise(members, "members"), hot
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = 0.98, id_col: str = "vec_id",
@@ -154,7 +151,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, id_col: str = "
     rows = materialise(rows.groupBy("id").agg(F.min(F.struct("label", "vector")).alias("r")).select("id", "r.*"), "vectors")
     usable = F.col("label").isNotNull() & (F.size("vector") > 0) & F.forall(
         "vector", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf")))) & F.exists("vector", lambda v: v != 0)
-    classes, members = _classes(rows.where(usable))
+    classes, members, hot = _classes(rows.where(usable))
     wanted = min(MAX_PIVOTS, max(64, int(classes.count() ** 0.5)))
     # At most MAX_PIVOTS vectors, whatever the table's size.
     sample = [r.vector for r in classes.orderBy(F.xxhash64("id"), "id").limit(wanted).collect()]
@@ -178,9 +175,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, id_col: str = "
     groups = components(found.where("a <> b").select("a", "b")).withColumnRenamed("node", "id")
     of_class = counts.join(groups, "id", "full").withColumnRenamed("id", "own")
     placed = rows.select("id").join(members, "id", "left").withColumn("own", F.coalesce("class", "id"))
-    few = of_class.join(F.broadcast(members.where("hot").select(F.col("class").alias("own")).distinct()), "own", "left_semi")
-    placed = placed.where("hot").join(F.broadcast(few), "own", "left").unionByName(
-        placed.where("NOT coalesce(hot, false)").join(of_class, "own", "left"))
+    placed = joined(placed, of_class, ["own"], hot.select(F.col("class").alias("own")))
     component = F.coalesce("component", "own")
     return placed.select(
         F.col("id").alias("vec_id"), (F.coalesce("n_links", F.lit(0)) + F.coalesce("copies", F.lit(1)) - 1).cast("long").alias("n_links"),

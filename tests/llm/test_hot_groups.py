@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
-from caremart.llm import pivots
+from caremart.llm import minhash, pivots
 
 
 def _links(x, threshold):
@@ -60,3 +60,40 @@ def test_equal_vectors_are_one_class(spark, n):
     hot = np.flatnonzero((order < n // 3) | (order == n - 1))
     assert (got[hot] == want[hot]).all() and (out["component_id"].to_numpy()[hot] == hot.min()).all()
     assert out["kept"].to_numpy()[hot].sum() == 1
+
+
+def _components(sets, percent):
+    """The smallest id that links reach, by brute force."""
+    of = dict.fromkeys(sets)
+    for start in sorted(sets):
+        if of[start] is None:
+            todo = [start]
+            while todo:
+                a = todo.pop()
+                of[a] = start
+                todo += [b for b in sets if of[b] is None and sets[a] and sets[b]
+                         and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
+    return of
+
+
+@pytest.mark.parametrize("block", [16, 1024])
+def test_large_bands_with_several_components(spark, monkeypatch, block):
+    """250 variants of a text around the threshold, some far off, and a third of all rows equal."""
+    monkeypatch.setattr(minhash, "SMALL", 2)
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    rng = np.random.default_rng(5)
+    base = [f"w{k}" for k in range(120)]
+    texts = []
+    for k in range(250):
+        own = list(base)
+        for at in rng.choice(120, int(rng.integers(0, 9)), replace=False):
+            own[at] = f"x{k}y{at}"
+        texts.append(" ".join(own))
+    texts += [" ".join(base)] * 125
+    ids = rng.permutation(len(texts)).tolist()
+    sets = {i: {tuple(t.split()[k:k + 4]) for k in range(117)} for i, t in zip(ids, texts, strict=True)}
+    want = _components(sets, 80)
+    assert 2 < len(set(want.values())) < 250
+    docs = spark.createDataFrame(list(zip(ids, texts, strict=True)), "doc_id long, text string").repartition(8)
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs, words=4, percent=80).collect()}
+    assert got == want
