@@ -67,12 +67,12 @@ def _components(sets, percent):
     of = dict.fromkeys(sets)
     for start in sorted(sets):
         if of[start] is None:
-            todo = [start]
+            of[start], todo = start, [start]
             while todo:
                 a = todo.pop()
-                of[a] = start
-                todo += [b for b in sets if of[b] is None and sets[a] and sets[b]
-                         and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
+                near = [b for b in sets if of[b] is None and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
+                of.update(dict.fromkeys(near, start))
+                todo += near
     return of
 
 
