@@ -5,6 +5,7 @@ from caremart.functions.dates import (
     parse_date,
     parse_date_or,
     parse_date_strict,
+    with_parsed_date,
 )
 from caremart.functions.numbers import (
     clamp_unit,
@@ -43,6 +44,7 @@ __all__ = [
     "parse_date",
     "parse_date_or",
     "parse_date_strict",
+    "with_parsed_date",
     "prefixed_code",
     "pseudonymise",
     "round_half_even",

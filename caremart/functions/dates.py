@@ -2,7 +2,8 @@
 
 Trying formatter after formatter costs one caught exception per failed form and row. Here the digits of a text are masked once;
 the common forms are told apart by looking the mask up in sets of constants, put into ISO order by position and cast, without
-a pattern. Only a text that no mask fits goes through patterns.
+a pattern. Only a text that no mask fits goes through patterns. ``with_parsed_date`` gives text and mask columns of their own, which
+lets Spark compile all but the patterns; ``parse_date`` is the same reading as one expression, which is interpreted.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ import datetime as dt
 from collections.abc import Callable
 from itertools import product
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caremart.functions.text import strip
@@ -37,9 +38,10 @@ _ISO_MASKS = _masks(("0000-00-00", "0000-0-00", "0000-00-0", "0000-0-0"), (" ",
 # A time with an offset is read as the local time that is written: the day must not move.
 _ZONED_MASKS = [f"0000-00-00T00:00:00{zone}" for zone in ("Z", "+00:00", "-00:00", "+0000", "-0000")]
 _YEAR_FIRST_MASKS = _masks(tuple(f"0000{sep}00{sep}00" for sep in "/. "), (" ",), _CLOCKS)
+# (digits of the first field, digits of the second field, masks)
 _DAY_FIRST_MASKS = [
-    m for sep in "/-"
-    for m in _masks(tuple(f"{d}{sep}{m}{sep}0000" for d, m in product(("00", "0"), repeat=2)), (" ",), _CLOCKS)
+    (a, b, [m for sep in "/-" for m in _masks((f"{'0' * a}{sep}{'0' * b}{sep}0000",), (" ",), _CLOCKS)])
+    for a, b in product((2, 1), repeat=2)
 ]
 # Not the plain forms: the month comes first where the text leaves it open.
 _MONTH_FIRST_MASKS = [f"00{sep}00{sep}0000{end}" for sep, end in (
@@ -97,11 +99,15 @@ _STRICT_DAY_FIRST = (r"^(\d{1,2})([-/])(\d{1,2})\2(\d{4})( \d{1,2}:\d{1,2})?$",
 
 
 def _as_timestamp(iso: Column, years: Years) -> Column:
-    """The timestamp of a text in ISO order, NULL if it is no date or outside the years."""
-    if years is None:
-        return iso.try_cast("timestamp")
-    low, high = (f"{y:04d}" for y in years)
-    return F.when(F.substring(iso, 1, 4).between(low, high), iso.try_cast("timestamp"))
+    """The timestamp of a text in ISO order, NULL if it is no date or outside the years.
+
+    A month beyond 12 is seen before the cast, which would come to the same NULL by way of a caught exception.
+    """
+    real = (F.substring(iso, 7, 1) == "-") | (F.substring(iso, 6, 2) <= "12")
+    if years is not None:
+        low, high = (f"{y:04d}" for y in years)
+        real = F.substring(iso, 1, 4).between(low, high) & real
+    return F.when(real, iso.try_cast("timestamp"))
 
 
 def _joined(*parts: Column) -> Column:
@@ -113,14 +119,19 @@ def _joined(*parts: Column) -> Column:
 def _by_mask(text: Column, mask: Column) -> tuple[Column, Column]:
     """The first and the second reading of a text of a common form, in ISO order; NULL for other texts."""
     cut = lambda at, n: F.substring(text, at, n)
-    # Two fields and a year between equal separators, with or without zeros.
-    parts = F.translate(text, "/", "-")
-    one, two = F.substring_index(parts, "-", 1), F.substring_index(F.substring_index(parts, "-", 2), "-", -1)
-    rest = F.substring_index(parts, "-", -1)
-    year, time = F.substring(rest, 1, 4), F.substring(rest, 5, 99)
+
+    def fields(a: int, b: int) -> tuple[Column, ...]:
+        """Two fields of ``a`` and ``b`` digits, the year and the time behind them."""
+        return cut(1, a), cut(a + 2, b), cut(a + b + 3, 4), cut(a + b + 7, 99)
+
+    def two_fields(chain: Column, day_first: bool) -> Column:
+        for a, b, masks in _DAY_FIRST_MASKS:
+            one, two, year, time = fields(a, b)
+            chain = chain.when(mask.isin(masks), _joined(year, *((two, one) if day_first else (one, two)), time))
+        return chain
+
     first = (
-        F.when(mask.isin(_ISO_MASKS), text)
-        .when(mask.isin(_DAY_FIRST_MASKS), _joined(year, two, one, time))
+        two_fields(F.when(mask.isin(_ISO_MASKS), text), True)
         .when(mask == _COMPACT_MASK, _joined(cut(1, 4), cut(5, 2), cut(7, 2)))
         .when(mask.isin(_ZONED_MASKS), cut(1, 19))
         .when(mask.isin(_YEAR_FIRST_MASKS), _joined(cut(1, 4), cut(6, 2), cut(9, 99)))
@@ -130,24 +141,13 @@ def _by_mask(text: Column, mask: Column) -> tuple[Column, Column]:
         .when(mask == _MONTH_MASK, _joined(cut(4, 4), cut(1, 2), F.lit("1")))
     )
     second = (
-        F.when(mask.isin(_DAY_FIRST_MASKS), _joined(year, one, two, time))
-        .when(mask == _COMPACT_MASK, _joined(cut(5, 4), cut(3, 2), cut(1, 2)))
+        two_fields(F.when(mask == _COMPACT_MASK, _joined(cut(5, 4), cut(3, 2), cut(1, 2))), False)
         .when(mask.isin(_MONTH_FIRST_MASKS), _joined(cut(7, 4), cut(4, 2), cut(1, 2), cut(11, 99)))
         .when(mask.isin(_MONTH_FIRST_ZONED), _joined(cut(7, 4), cut(4, 2), cut(1, 2), cut(11, 6)))
     )
     return first, second
 
 
-def _named_iso(text: Column, shape: str, groups: tuple[int, int, int, int]) -> Column:
-    """ISO order of a text with a month name."""
-    year, month, day, time = (F.regexp_extract(text, shape, g) for g in groups)
-    place = F.position(F.substring(month, 1, 3), F.lit("".join(_MONTH_NAMES)))
-    century = F.when(F.length(year) == 2, F.lit("20")).otherwise(F.lit(""))
-    first = F.when(F.length(day).isin(1, 2), day).otherwise(F.lit("1"))
-    clock = F.when(F.contains(time, F.lit(":")), time).otherwise(F.lit(""))
-    return F.concat(century, year, F.lit("-"), F.floor((place + 2) / 3).cast("string"), F.lit("-"), first, F.lit(" "), clock)
-
-
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once.
 
@@ -157,6 +157,21 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
+def _named_iso(text: Column, shape: str, groups: tuple[int, int, int, int]) -> Column:
+    """ISO order of a text with a month name, by one run of its shape."""
+
+    def put(parts: Column) -> Column:
+        year, month, day, time = (F.get(parts, n) for n in range(4))
+        place = F.position(F.substring(month, 1, 3), F.lit("".join(_MONTH_NAMES)))
+        century = F.when(F.length(year) == 2, F.lit("20")).otherwise(F.lit(""))
+        first = F.when(F.length(day).isin(1, 2), day).otherwise(F.lit("1"))
+        clock = F.when(F.contains(time, F.lit(":")), time).otherwise(F.lit(""))
+        return F.concat(century, year, F.lit("-"), F.floor((place + 2) / 3).cast("string"), F.lit("-"), first, F.lit(" "), clock)
+
+    # No shape has a bar in it.
+    return _let(F.split(F.regexp_replace(text, shape, "|".join(f"${g}" for g in groups)), r"\|"), put)
+
+
 def _iso_reading(text: Column, plain: Column, nth: int) -> Column:
     """The first or second reading of a text in ISO order, by the first shape that fits and has one; NULL if none does."""
     chain = F.when(plain & text.rlike(_PLAIN[0]), F.regexp_replace(text, _PLAIN[0], _PLAIN[1][nth]))
@@ -165,10 +180,15 @@ def _iso_reading(text: Column, plain: Column, nth: int) -> Column:
             chain = chain.when(text.rlike(shape), F.regexp_replace(text, shape, readings[nth]))
     shape, reading = _RUN_TOGETHER[nth]
     chain = chain.when(text.rlike(shape), F.regexp_replace(text, shape, reading))
-    if nth == 0:
-        for shape, groups in _NAMED_SHAPES:
-            chain = chain.when(text.rlike(shape), _named_iso(text, shape, groups))
-    return chain
+    # Every month name has one of these letters, and no other shape does.
+    named = text.rlike("[aeou]")
+    if nth:
+        return F.when(~named, chain)
+    (shape, groups), *others = _NAMED_SHAPES
+    by_name = F.when(text.rlike(shape), _named_iso(text, shape, groups))
+    for shape, groups in others:
+        by_name = by_name.when(text.rlike(shape), _named_iso(text, shape, groups))
+    return F.when(named, by_name).otherwise(chain)
 
 
 def _by_pattern(text: Column, years: Years) -> Column:
@@ -183,15 +203,32 @@ def _by_pattern(text: Column, years: Years) -> Column:
         half = F.right(blanks, F.lit(2))
         whole = F.when(half.isin("am", "pm"), F.regexp_replace(blanks, " ?[ap]m$", "")).otherwise(blanks)
         # "8h55" is a time, and a time may come first.
-        spoken = F.regexp_replace(whole, r"(\d)h(\d\d)", "$1:$2")
-        turned = F.regexp_replace(spoken, rf"^{_CLOCK} (.*\d)$", "$2 $1")
+        spoken = F.when(F.contains(whole, F.lit("h")), F.regexp_replace(whole, r"(\d)h(\d\d)", "$1:$2")).otherwise(whole)
+        turned = lambda t: F.when(t.rlike(r"^\d\d?:"), F.regexp_replace(t, rf"^{_CLOCK} (.*\d)$", "$2 $1")).otherwise(t)
         # Hours above 12 say the half of the day themselves.
         hour = F.regexp_extract(whole, r"(\d{1,2})[:h]\d\d(?::\d\d)?$", 1).try_cast("int")
         shift = F.when((half == "pm") & (hour < 12), F.expr("INTERVAL 12 HOURS")).when(
             (half == "am") & (hour == 12), F.expr("INTERVAL -12 HOURS")).otherwise(F.expr("INTERVAL 0 HOURS"))
-        return _let(turned, lambda t: read(blanks, t)) + shift
+        found = _let(spoken, lambda said: _let(turned(said), lambda t: read(blanks, t)))
+        return F.when(half.isin("am", "pm"), found + shift).otherwise(found)
+
+    # Mostly there is nothing but single blanks.
+    plain = F.when(text.rlike(r"(?U)[^\S ]|  "), F.regexp_replace(text, r"(?U)\s+", " ")).otherwise(text)
+    return F.when(text.rlike(_WORDS), _let(F.lower(plain), of_blanks))
+
+
+#: Columns of ``with_parsed_date`` on the way.
+_ON_THE_WAY = ("_date_texte", "_date_masque", "_date_iso")
+
 
-    return F.when(text.rlike(_WORDS), _let(F.lower(F.regexp_replace(text, r"(?U)\s+", " ")), of_blanks))
+def _mask(trimmed: Column) -> Column:
+    return F.translate(trimmed, "123456789", "000000000")
+
+
+def _reading(trimmed: Column, first: Column, second: Column, years: Years) -> Column:
+    """The date of a trimmed text, given its readings by mask."""
+    common = F.coalesce(_as_timestamp(first, years), _let(second, lambda other: _as_timestamp(other, years)))
+    return F.when(first.isNotNull(), common).otherwise(_by_pattern(trimmed, years))
 
 
 def parse_date(text: Column, years: Years = PLAUSIBLE_YEARS) -> Column:
@@ -201,15 +238,23 @@ def parse_date(text: Column, years: Years = PLAUSIBLE_YEARS) -> Column:
     time that is written: the day must not move.
     """
 
-    def of_trimmed(trimmed: Column) -> Column:
-        mask = F.translate(trimmed, "123456789", "000000000")
-        return _let(mask, lambda m: of_mask(trimmed, *_by_mask(trimmed, m)))
+    def of_readings(trimmed: Column, first: Column, second: Column) -> Column:
+        return _let(first, lambda iso: _reading(trimmed, iso, second, years))
+
+    return _let(strip(text), lambda trimmed: _let(_mask(trimmed), lambda mask: of_readings(trimmed, *_by_mask(trimmed, mask))))
 
-    def of_mask(trimmed: Column, first: Column, second: Column) -> Column:
-        common = lambda iso: F.coalesce(_as_timestamp(iso, years), _let(second, lambda other: _as_timestamp(other, years)))
-        return _let(first, lambda iso: F.when(iso.isNotNull(), common(iso)).otherwise(_by_pattern(trimmed, years)))
 
-    return _let(strip(text), of_trimmed)
+def with_parsed_date(df: DataFrame, column: str, years: Years = PLAUSIBLE_YEARS) -> DataFrame:
+    """``df`` with the text of ``column`` replaced by its ``parse_date``.
+
+    The trimmed text, its mask and its first reading are columns on the way, each computed once. The lambdas of the last
+    step keep it out of whole-stage code, whose one method would outgrow what the virtual machine compiles; Spark splits that step into small methods.
+    """
+    text, mask, first = (F.col(c) for c in _ON_THE_WAY)
+    masked = df.withColumn(_ON_THE_WAY[0], strip(F.col(column))).withColumn(_ON_THE_WAY[1], _mask(text))
+    one, other = _by_mask(text, mask)
+    read = masked.withColumn(_ON_THE_WAY[2], one)
+    return read.withColumn(column, _reading(text, first, other, years)).drop(*_ON_THE_WAY)
 
 
 def parse_date_or(text: Column, default: dt.date = FALLBACK_DATE, years: Years = PLAUSIBLE_YEARS) -> Column:

@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from caremart.functions import (
     age_band,
     extract_number,
-    parse_date,
     parse_date_strict,
     pseudonymise,
     strip,
     title_case,
     to_number,
+    with_parsed_date,
 )
 from caremart.functions.dates import FALLBACK_DATE
 
@@ -64,10 +64,10 @@ def parsed_events(events: DataFrame, source: str, mode: str = LENIENT) -> DataFr
     The date is parsed once for both the value and the reject: write this, and derive ``standardised`` and ``rejected_dates``.
     """
     date = EVENT_DATES[source]
-    parse = parse_date_strict if mode == STRICT else parse_date
-    typed = events.withColumn(UNREAD_DATE, F.col(date)).withColumns(
+    kept = events.withColumn(UNREAD_DATE, F.col(date))
+    dated = kept.withColumn(date, parse_date_strict(F.col(date))) if mode == STRICT else with_parsed_date(kept, date)
+    typed = dated.withColumns(
         {
-            date: parse(F.col(date)),
             PSEUDONYM: pseudonymise(F.col(PATIENT_ID)),
             **{c: to_number(F.col(c)) for c in NUMERIC[source] if c in events.columns},
         }

@@ -7,6 +7,8 @@ padding, missing keys, unknown members) follow from the keys.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
@@ -192,6 +194,14 @@ SOURCES = {
 }
 
 
+def _compiled(text: str) -> str:
+    """The same derivation for Spark, the form of a date passed through a lambda.
+
+    Lambdas stay out of whole-stage code, whose one method would outgrow with the date forms what the virtual machine compiles.
+    """
+    return re.sub(r"CASE (\S.*)\n(\s+WHEN 0 )", r"CASE get(transform(array(\1), k -> k), 0)\n\2", text)
+
+
 class Fixtures:
     """Driver tables of one folder and the sources derived from them."""
 
@@ -208,11 +218,11 @@ class Fixtures:
         return self.spark.sql(text, **used)
 
     def source(self, name: str) -> DataFrame:
-        """A hospital source. Its text is costly to parse, so a table of few files is spread first."""
-        text, cores = SOURCES[name], self.spark.sparkContext.defaultParallelism
+        """A hospital source. Its text is costly to parse, so a table that is read in few parts is spread first."""
+        text, cores = _compiled(SOURCES[name]), self.spark.sparkContext.defaultParallelism
         used = {t: self.table(t) for t in TABLES if "{" + t + "}" in text}
         spread = {
-            t: df.repartition(cores, *SPREAD[t]) if t in SPREAD and len(df.inputFiles()) < cores else df for t, df in used.items()
+            t: df.repartition(cores, *SPREAD[t]) if t in SPREAD and df.rdd.getNumPartitions() < cores else df for t, df in used.items()
         }
         return self.spark.sql(text, **spread)
 

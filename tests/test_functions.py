@@ -180,3 +180,23 @@ def test_tolerant_dates_keep_the_local_time(spark):
     df = spark.createDataFrame([(k,) for k in said], "t string")
     rows = df.select("t", F.date_format(fn.parse_date(F.col("t")), "yyyy-MM-dd HH:mm").alias("d")).collect()
     assert {r.t: r.d for r in rows} == said
+
+
+def test_a_date_column_is_read_as_the_expression_reads_it(spark):
+    texts = [*LENIENT, "31/13/2026", "13/13/2026 08:55", "May 3, 2026\t10:00", "3rd of May 2026", "8h55 31/05/2026", "12/31/2026 12:10 am", "Wed 7", None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, v string")
+    staged = fn.with_parsed_date(df, "v").orderBy("i").collect()
+    assert staged == df.withColumn("v", fn.parse_date(F.col("v"))).orderBy("i").collect()
+    assert {t: r.v for t, r in zip(texts, staged) if t in LENIENT} == LENIENT
+
+
+def test_date_forms_of_a_source_stay_out_of_whole_stage_code(spark, tmp_path):
+    from caremart.registry import fixtures
+
+    rows = [(k, k * 3, k % 31, k % 7 + 1, D(1997, 1 + k % 12, 1 + k % 28)) for k in range(200)]
+    lines = spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_shipdate timestamp")
+    lines.selectExpr("*", "'A' AS l_returnflag", "'O' AS l_linestatus", "2.0D AS l_quantity").write.parquet(f"{tmp_path}/lineitem.parquet")
+    f = fixtures.Fixtures(spark, str(tmp_path))
+    source = f.source("hospitalisation")
+    assert "lambdafunction" in source._jdf.queryExecution().optimizedPlan().toString()
+    assert source.orderBy("src_row").collect() == f.select(fixtures.STAYS).orderBy("src_row").collect()
