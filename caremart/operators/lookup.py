@@ -9,6 +9,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from caremart.operators.keys import POSITION
 from caremart.operators.versions import version_at, version_table
 from caremart.session import fits_broadcast, materialise
 
@@ -57,13 +58,20 @@ def salted_left_join(
     broadcast to both sides. They are counted in ``counted`` (``rows`` unless given): a cheaper DataFrame
     with the same keys, such as the source the rows were derived from.
     """
-    keys = list(keys)
-    hot = F.broadcast(hot_keys(rows if counted is None else counted, keys))
+    keys, columns = list(keys), rows.columns
+    counted, by = rows if counted is None else counted, keys
+    if all(dict(df.dtypes)[k] == "string" for df in (rows, table, counted) for k in keys):
+        # Texts are counted and told hot by a hash of 8 bytes; texts that share one are only spread alike.
+        by, mark = ["_mark"], F.when(_known(keys), F.xxhash64(*keys))
+        rows, table, counted = (df.withColumn("_mark", mark) for df in (rows, table, counted))
+    hot = F.broadcast(hot_keys(counted, by))
     salts = F.when(_known(keys), F.coalesce("_salts", F.lit(1))).otherwise(F.lit(HOT_PARTS))
-    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]), salts).cast("int")
-    salted_rows = rows.join(hot, keys, "left").withColumn("_salt", spread).drop("_salts")
+    # A row's number tells it apart; other columns would be read only to be hashed.
+    told = [POSITION] if POSITION in columns else columns
+    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in told]), salts).cast("int")
+    salted_rows = rows.join(hot, by, "left").withColumn("_salt", spread).drop("_salts", "_mark")
     repeats = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
-    salted_table = table.join(hot, keys, "left").withColumn("_salt", F.explode(repeats)).drop("_salts")
+    salted_table = table.join(hot, by, "left").withColumn("_salt", F.explode(repeats)).drop("_salts", "_mark")
     return salted_rows.join(salted_table, [*keys, "_salt"], "left").drop("_salt")
 
 

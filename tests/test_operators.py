@@ -288,3 +288,12 @@ def test_one_active_row_per_member(spark):
     current = spark.createDataFrame(rows, "sk int, nk string, date_fin_validite date, est_actif boolean")
     got = {r.sk: (r.date_fin_validite, r.est_actif) for r in versions.one_active(current, "sk", "nk", dt.date(2024, 6, 30)).collect()}
     assert got == {1: (dt.date(2024, 6, 30), False), 2: (None, True), 3: (None, True), 4: (dt.date(2024, 1, 1), False), 5: (None, True)}
+
+
+def test_a_salted_lookup_reads_no_column_only_to_spread_rows(spark, tmp_path):
+    spark.range(3000).selectExpr("id AS src_row", "if(id % 2 = 0, 'hot', string(id)) AS k", "string(id) AS unused").write.parquet(f"{tmp_path}/rows")
+    rows = spark.read.parquet(f"{tmp_path}/rows")
+    table = spark.createDataFrame([("hot", -1), ("7", 7)], "k string, v long")
+    found = lookup.salted_left_join(rows, table, ["k"]).select("src_row", "v")
+    assert "unused" not in found._jdf.queryExecution().executedPlan().toString()
+    assert {r.src_row: r.v for r in found.collect()} == {i: -1 if i % 2 == 0 else 7 if i == 7 else None for i in range(3000)}
