@@ -20,6 +20,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -76,8 +77,9 @@ class _Words(dict):
         return ids
 
 
+@lru_cache(maxsize=2)
 def encoder(path: str, end_id: int) -> tuple[Callable[[str | None], np.ndarray], str]:
-    """(text to ids with ``end_id`` last, dtype of the ids)."""
+    """(text to ids with ``end_id`` last, dtype of the ids): kept by the process, with the words it knows, for its later tasks."""
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
@@ -121,9 +123,11 @@ def hilbert(points: np.ndarray, bits: int) -> np.ndarray:
     return key
 
 
+@lru_cache(maxsize=1)
 def _projection() -> np.ndarray:
     table = np.random.default_rng(20_240_501).standard_normal((FEATURES, DIMS))
-    return (table - table.mean(axis=0)).astype(np.float32)
+    # As doubles, so that no document casts them again.
+    return (table - table.mean(axis=0)).astype(np.float32).astype(np.float64)
 
 
 def curve_keys(ids: list[np.ndarray]) -> np.ndarray:

@@ -169,3 +169,8 @@ def test_suffixes_of_very_long_texts(spark):
     got = suffixes.dedup(spark.createDataFrame(texts, "doc_id long, text string"), 50).collect()
     assert max(len(t) for _, t in texts) > 2 * suffixes.SLICE
     assert {r.doc_id: hashlib.sha256(r.kept).hexdigest() for r in got} == want
+
+
+def test_a_process_keeps_its_encoder():
+    first, second = (packing.encoder(tokenizer_path(), 1)[0] for _ in range(2))
+    assert first is second
