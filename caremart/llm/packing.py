@@ -7,8 +7,8 @@ sequences have no padding at all, and the rest at the very end is cut at powers
 
 Token ids are computed once, kept as 16- or 32-bit numbers in a written table, and meet their places by a join on the row's number.
 
-Tokenizing: words recur, so each distinct word is given to the tokenizer's model once per worker and its ids are kept (a bounded
-table). That path is taken for texts of common Latin characters only, and only if the tokenizer file declares the steps that the
+Tokenizing: words recur, so each distinct word is given to the tokenizer's model once per worker and its ids are kept, as are those of
+each run of words and marks between white space (bounded tables). That path is taken for texts of common Latin characters only, and only if the tokenizer file declares the steps that the
 path takes (lower case, splitting by a pattern, bytes as characters); any other text goes to the tokenizer whole. tests/llm holds both against the tokenizer.
 
 Defined results: a null or empty text is its end id alone. A row is a document even if its id
@@ -34,6 +34,8 @@ from caremart.session import materialise
 DIMS, BITS, FEATURES = 4, 8, 1024
 #: Distinct words a worker keeps.
 KEPT_WORDS = 400_000
+#: Runs between white space that a worker keeps, none longer than so many characters.
+KEPT_RUNS, LONGEST_KEPT_RUN = 200_000, 64
 RANGES_PER_PARTITION = 4
 
 #: Characters for which the pattern below splits as the tokenizer file declares: printable ASCII and white space,
@@ -77,6 +79,21 @@ class _Words(dict):
         return ids
 
 
+class _Runs(dict):
+    """Token ids of the text between two white spaces as bytes, looked up or put together from its pieces, none of which has white space."""
+
+    def __init__(self, words: _Words):
+        super().__init__()
+        self.words = words
+
+    def __missing__(self, run: str) -> bytes:
+        ids = b"".join(map(self.words.__getitem__, _PIECES.findall(run)))
+        # The frequent ones come early; a full table stays.
+        if len(self) < KEPT_RUNS and len(run) <= LONGEST_KEPT_RUN:
+            self[run] = ids
+        return ids
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str, end_id: int) -> tuple[Callable[[str | None], np.ndarray], str]:
     """(text to ids with ``end_id`` last, dtype of the ids): kept by the process, with the words it knows, for its later tasks."""
@@ -84,7 +101,7 @@ def encoder(path: str, end_id: int) -> tuple[Callable[[str | None], np.ndarray],
 
     tokenizer = Tokenizer.from_file(path)
     dtype = "<u2" if tokenizer.get_vocab_size() < 65536 and end_id < 65536 else "<u4"
-    words, end = _Words(tokenizer, dtype), np.array([end_id], dtype).tobytes()
+    runs, end = _Runs(_Words(tokenizer, dtype)), np.array([end_id], dtype).tobytes()
     by_words = _by_words(tokenizer)
     specials = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
 
@@ -93,7 +110,8 @@ def encoder(path: str, end_id: int) -> tuple[Callable[[str | None], np.ndarray],
             return np.frombuffer(end, dtype)
         if not by_words or _UNSAFE.search(text) or any(s in text for s in specials):
             return np.array(tokenizer.encode(text, add_special_tokens=False).ids + [end_id], dtype)
-        return np.frombuffer(b"".join(chain(map(words.__getitem__, _PIECES.findall(text.lower())), [end])), dtype)
+        # The safe characters that split() parts at are those that the pattern parts at.
+        return np.frombuffer(b"".join(chain(map(runs.__getitem__, text.lower().split()), [end])), dtype)
 
     return encode, dtype
 

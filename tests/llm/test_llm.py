@@ -174,3 +174,17 @@ def test_suffixes_of_very_long_texts(spark):
 def test_a_process_keeps_its_encoder():
     first, second = (packing.encoder(tokenizer_path(), 1)[0] for _ in range(2))
     assert first is second
+
+
+def test_a_run_between_white_space_is_put_together_once(monkeypatch):
+    class Counted(dict):
+        def __missing__(self, piece):
+            asked.append(piece)
+            return piece.encode()
+
+    asked = []
+    monkeypatch.setattr(packing, "KEPT_RUNS", 1)
+    runs = packing._Runs(Counted())
+    assert [runs["don't,"], runs["don't,"], runs["b2"], runs["b2"]] == [b"don't,", b"don't,", b"b2", b"b2"]
+    # The second run finds the table full.
+    assert asked == ["don", "'t", ",", "b", "2", "b", "2"]
