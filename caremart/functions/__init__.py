@@ -27,6 +27,7 @@ from caremart.functions.text import (
     pseudonymise,
     severity_class,
     strip,
+    stripped,
     title_case,
 )
 
@@ -53,6 +54,7 @@ __all__ = [
     "seeded_uniform",
     "severity_class",
     "strip",
+    "stripped",
     "title_case",
     "to_number",
     "truncate_int",

@@ -15,7 +15,7 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caremart.functions.text import strip
+from caremart.functions.text import strip, stripped
 
 # Years a lenient parse may yield, and the date that stands in for an unreadable one.
 PLAUSIBLE_YEARS = (2020, 2030)
@@ -213,8 +213,9 @@ def _by_pattern(text: Column, years: Years) -> Column:
         return F.when(half.isin("am", "pm"), found + shift).otherwise(found)
 
     # Mostly there is nothing but single blanks.
-    plain = F.when(text.rlike(r"(?U)[^\S ]|  "), F.regexp_replace(text, r"(?U)\s+", " ")).otherwise(text)
-    return F.when(text.rlike(_WORDS), _let(F.lower(plain), of_blanks))
+    single = F.when(
+        text.rlike(r"(?U)[^\S ]|  "), _let(F.lower(F.regexp_replace(text, r"(?U)\s+", " ")), lambda t: t)).otherwise(F.lower(text))
+    return F.when(text.rlike(_WORDS), _let(single, of_blanks))
 
 
 #: Columns of ``with_parsed_date`` on the way.
@@ -251,7 +252,7 @@ def with_parsed_date(df: DataFrame, column: str, years: Years = PLAUSIBLE_YEARS)
     step keep it out of whole-stage code, whose one method would outgrow what the virtual machine compiles; Spark splits that step into small methods.
     """
     text, mask, first = (F.col(c) for c in _ON_THE_WAY)
-    masked = df.withColumn(_ON_THE_WAY[0], strip(F.col(column))).withColumn(_ON_THE_WAY[1], _mask(text))
+    masked = df.withColumn(_ON_THE_WAY[0], stripped(F.col(column))).withColumn(_ON_THE_WAY[1], _mask(text))
     one, other = _by_mask(text, mask)
     read = masked.withColumn(_ON_THE_WAY[2], one)
     return read.withColumn(column, _reading(text, first, other, years)).drop(*_ON_THE_WAY)

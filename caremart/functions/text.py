@@ -37,9 +37,18 @@ def strip(col: Column) -> Column:
     return F.trim(col, F.lit(WHITE_SPACE))
 
 
+def stripped(col: Column) -> Column:
+    """``strip`` of a plain column, which is named several times.
+
+    ``strip`` looks each character up among all white space. A text between two visible ASCII characters has none at its ends, which a few comparisons tell.
+    """
+    visible = lambda c: (c >= "!") & (c < "\x7f")
+    return F.when(visible(col) & visible(F.substring(col, -1, 1)), col).otherwise(strip(col))
+
+
 def pseudonymise(col: Column) -> Column:
     """SHA-256 hex of the trimmed text; NULL when missing or blank."""
-    text = strip(col)
+    text = stripped(col)
     return F.when(text != "", F.sha2(text, 256))
 
 

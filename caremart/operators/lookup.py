@@ -16,6 +16,9 @@ from caremart.session import fits_broadcast, materialise
 #: Key given to rows whose natural key is unknown.
 DEFAULT_KEY = 1
 
+#: Parts into which all keys are hashed to find the few that may be hot.
+COUNTED_PARTS = 1 << 16
+
 #: A key is hot when it holds more than 1/HOT_PARTS of the rows, so fewer than HOT_PARTS are. Each is spread over
 #: so many salts that none holds more than that share.
 HOT_PARTS = 1000
@@ -40,9 +43,15 @@ def hot_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """(keys, _salts): the keys that hold more than 1/``HOT_PARTS`` of the rows, with the number of parts to spread each over.
 
     Written once; fewer than ``HOT_PARTS`` values can pass the threshold. Rows with a missing key are not counted as a key.
+    First the rows of ``COUNTED_PARTS`` parts of all keys are counted, a small table in each task. A hot key makes its part pass
+    the threshold too, so single keys are counted in the parts that do, of which there are fewer than ``HOT_PARTS``.
     """
-    total = rows.count()
-    counts = rows.where(_known(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    part = F.when(_known(keys), F.pmod(F.xxhash64(*keys), F.lit(COUNTED_PARTS)))
+    sizes = materialise(rows.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n")), "key-parts")
+    total = sizes.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    crowded = sizes.where(F.col("_part").isNotNull() & (F.col("_n") * HOT_PARTS > total)).select("_part")
+    candidates = rows.withColumn("_part", part).join(F.broadcast(crowded), "_part", "left_semi")
+    counts = candidates.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     hot = counts.where(F.col("_n") * HOT_PARTS > total)
     return materialise(hot.select(*keys, F.ceil(F.col("_n") * HOT_PARTS / F.lit(max(total, 1))).cast("int").alias("_salts")), "hot-keys")
 

@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caremart.functions import caesarean_flag, clamp_weight, complication_flag, date_key, strip, truncate_int
+from caremart.functions import caesarean_flag, clamp_weight, complication_flag, date_key, strip, stripped, truncate_int
 from caremart.operators.keys import POSITION, dense_key
 from caremart.operators.lookup import DEFAULT_KEY, resolve
 from caremart.plans.settings import LoadSettings
@@ -122,8 +122,8 @@ def _with_patient(events: DataFrame, source: DataFrame, dims: Dims, options: Fac
     Resolved last, so that a shuffle moves the other keys as numbers instead of text. Hot patients
     are counted in the source, without the lookups before.
     """
-    pseudonym = F.upper(strip(F.col(PSEUDONYM)))
-    member = F.upper(strip(F.col("id_patient_anonyme")))
+    pseudonym = F.upper(stripped(F.col(PSEUDONYM)))
+    member = F.upper(stripped(F.col("id_patient_anonyme")))
     default = None if options.strict else options.unknown_key
     day = _event_day(events, dims, "dim_patient", options)
     found = resolve(

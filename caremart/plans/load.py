@@ -23,9 +23,11 @@ from caremart.plans.settings import LoadSettings
 from caremart.plans.standardise import (
     EVENT_DATES,
     LENIENT,
+    PATIENT_ID,
     STRICT,
     parsed_events,
     rejected_dates,
+    rejects_identified,
     standardise_events,
     standardise_patients,
     standardised,
@@ -112,8 +114,9 @@ def load_sources(
     options = replace(options or FactOptions(), mode=mode, settings=settings, as_of=versions)
     # Parsed once: dimensions, facts and rejects read the typed columns they need. Other sources give single columns to a few dimensions.
     events = [FACTS[fact][1] for fact in only]
-    parsed = together(lambda name: materialise(parsed_events(sources[name], name, mode), f"parsed-{name}"), events)
-    typed = {name: standardised(parsed[name], name, mode) if name in parsed else standardise_events(sources[name], name, mode)
+    # The identifier behind a pseudonym is read for rejects alone.
+    parsed = together(lambda name: materialise(rejects_identified(parsed_events(sources[name], name, mode)), f"parsed-{name}"), events)
+    typed = {name: standardised(parsed[name].drop(PATIENT_ID), name, mode) if name in parsed else standardise_events(sources[name], name, mode)
              for name in EVENT_DATES}
     typed["patient"] = materialise(standardise_patients(sources["patient"]), "typed-patient")
 

@@ -90,6 +90,13 @@ def standardised(parsed: DataFrame, source: str, mode: str = LENIENT) -> DataFra
     return rows if mode == STRICT else rows.withColumn(date, F.coalesce(date, F.lit(FALLBACK_DATE).cast("timestamp")))
 
 
+def rejects_identified(parsed: DataFrame) -> DataFrame:
+    """``parsed_events`` with the identifier of the patient left to the rows of ``rejected_dates`` alone."""
+    if PATIENT_ID not in parsed.columns:
+        return parsed
+    return parsed.withColumn(PATIENT_ID, F.when(F.col(UNREAD_DATE).isNotNull(), F.col(PATIENT_ID)))
+
+
 def rejected_dates(parsed: DataFrame, source: str) -> DataFrame:
     """Rows of ``parsed_events`` whose date text is present and unreadable, with the text, to be written beside the output."""
     keep = [c for c in ("src_row", PATIENT_ID) if c in parsed.columns]

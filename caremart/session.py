@@ -54,31 +54,37 @@ def scratch_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
-#: The session setting by which a query's shuffle files go when it ends, and the writes that hold it now.
-_FREES_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Session settings of writes to the scratch area, and the writes that hold them now. A query's shuffle files go when it ends; times are
+#: written as whole numbers, which costs less than the old form of 12 bytes and lets a scan skip by them.
+_OF_WRITES = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+}
 _holding = 0
-_held_by_user: str | None = None
+_held_by_user: dict[str, str | None] = {}
 _hold = threading.Lock()
 
 
 @contextmanager
-def _shuffles_freed(spark: SparkSession) -> Iterator[None]:
-    """Shuffle files of queries that start inside are removed as each ends; the session's own setting comes back after."""
+def _write_settings(spark: SparkSession) -> Iterator[None]:
+    """Queries that start inside have the settings of scratch writes; the session's own come back after."""
     global _holding, _held_by_user
     with _hold:
         if not _holding:
-            _held_by_user = spark.conf.get(_FREES_SHUFFLES, None)
-            spark.conf.set(_FREES_SHUFFLES, "true")
+            _held_by_user = {key: spark.conf.get(key, None) for key in _OF_WRITES}
+            for key, value in _OF_WRITES.items():
+                spark.conf.set(key, value)
         _holding += 1
     try:
         yield
     finally:
         with _hold:
             _holding -= 1
-            if not _holding and _held_by_user is None:
-                spark.conf.unset(_FREES_SHUFFLES)
-            elif not _holding:
-                spark.conf.set(_FREES_SHUFFLES, _held_by_user)
+            for key, value in _held_by_user.items() if not _holding else ():
+                if value is None:
+                    spark.conf.unset(key)
+                else:
+                    spark.conf.set(key, value)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
@@ -90,7 +96,7 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/caremart/{label}-{uuid.uuid4().hex}"
-    with _shuffles_freed(spark):
+    with _write_settings(spark):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

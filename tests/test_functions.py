@@ -200,3 +200,10 @@ def test_date_forms_of_a_source_stay_out_of_whole_stage_code(spark, tmp_path):
     source = f.source("hospitalisation")
     assert "lambdafunction" in source._jdf.queryExecution().optimizedPlan().toString()
     assert source.orderBy("src_row").collect() == f.select(fixtures.STAYS).orderBy("src_row").collect()
+
+
+def test_a_plain_column_is_stripped_like_any_text(spark):
+    texts = ["", None, "a", " a", "a ", " a", "a　", "é", " é ", "\x7f", "a\x85", "a b", "\t", "~a!", "é\x1f", " \n", "a\x7f"]
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    found = df.select(fn.stripped(F.col("v")).alias("fast"), fn.strip(F.col("v")).alias("slow")).collect()
+    assert [r.fast for r in found] == [r.slow for r in found] == [t.strip(" \t\n\x1f\x85\xa0　") if t is not None else None for t in texts]

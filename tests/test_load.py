@@ -447,3 +447,30 @@ def test_a_listed_run_is_refused(spark, tmp_path):
     with pytest.raises(ValueError, match="run a is complete"):
         write_run({"t": spark.range(9)}, root, "a")
     assert latest_run(spark, root, "t").count() == 3
+
+
+def test_scratch_tables_hold_times_as_whole_numbers(spark, tmp_path):
+    from pyarrow import dataset, parquet
+
+    setting = "spark.sql.parquet.outputTimestampType"
+    before = spark.conf.get(setting)
+    times = spark.sql("SELECT TIMESTAMP '2026-05-31 08:55:10.25' AS t UNION ALL SELECT NULL UNION ALL SELECT TIMESTAMP '0001-01-01 00:00:00'")
+    stored = materialise(times, "times")
+    (folder,) = {f.rsplit("/", 1)[0].removeprefix("file://") for f in stored.inputFiles()}
+    files = dataset.dataset(folder, format="parquet").files
+    assert {parquet.ParquetFile(f).schema.column(0).physical_type for f in files} == {"INT64"}
+    text = F.col("t").cast("string")
+    assert sorted(stored.select(text).collect(), key=str) == sorted(times.select(text).collect(), key=str)
+    assert spark.conf.get(setting) == before
+
+
+def test_identifiers_are_stored_for_rejects_alone(spark):
+    from caremart.plans.standardise import parsed_events, rejected_dates, rejects_identified
+
+    events = spark.createDataFrame(
+        [(1, "P1", "2026-05-31"), (2, "P2", "one day"), (3, None, "some day"), (4, "P4", None)], "src_row long, ID_Patient string, Date_Admission string")
+    parsed = parsed_events(events, "hospitalisation")
+    kept = rejects_identified(parsed)
+    assert {r.src_row: r.ID_Patient for r in kept.collect()} == {1: None, 2: "P2", 3: None, 4: None}
+    assert sorted(rejected_dates(kept, "hospitalisation").collect()) == sorted(rejected_dates(parsed, "hospitalisation").collect())
+    assert kept.where("ID_Patient_Anonyme IS NOT NULL").count() == 3

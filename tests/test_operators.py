@@ -297,3 +297,14 @@ def test_a_salted_lookup_reads_no_column_only_to_spread_rows(spark, tmp_path):
     found = lookup.salted_left_join(rows, table, ["k"]).select("src_row", "v")
     assert "unused" not in found._jdf.queryExecution().executedPlan().toString()
     assert {r.src_row: r.v for r in found.collect()} == {i: -1 if i % 2 == 0 else 7 if i == 7 else None for i in range(3000)}
+
+
+@pytest.mark.parametrize("parts", [1, 4, 1 << 16])
+def test_hot_keys_are_counted_in_crowded_parts_only(spark, monkeypatch, parts):
+    monkeypatch.setattr(lookup, "COUNTED_PARTS", parts)
+    key = F.when(F.col("id") % 10 < 3, F.lit("hot")).when(F.col("id") % 10 == 3, F.lit(None)).when(
+        F.col("id") % 500 == 4, F.lit("warm")).otherwise(F.col("id").cast("string"))
+    rows = spark.range(10_000).select(key.alias("k"))
+    # 3,000 and 20 of 10,000 rows; a thousandth is 10. Missing keys are no key, but count among the rows.
+    assert {(r.k, r._salts) for r in lookup.hot_keys(rows, ["k"]).collect()} == {("hot", 300), ("warm", 2)}
+    assert lookup.hot_keys(rows.limit(0), ["k"]).count() == 0
