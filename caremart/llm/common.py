@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +40,27 @@ def text_slices(batch: pa.RecordBatch, name: str, limit: int = 4_000_000) -> Ite
             yield batch.slice(a, b - a)
 
 
+_keepers: list[Callable] = []
+
+
+def kept_by_process(make: Callable) -> Callable:
+    """``make`` with its last results kept by the process for its later tasks, until a task of another operator calls ``release_kept``."""
+    keeper = lru_cache(maxsize=2)(make)
+    _keepers.append(keeper)
+    return keeper
+
+
+def release_kept() -> None:
+    """Drop what tasks of other operators left in this process: a worker serves all stages, and else holds their tables on."""
+    held = [keeper for keeper in _keepers if keeper.cache_info().currsize]
+    for keeper in held:
+        keeper.cache_clear()
+    if held:
+        # Freed memory goes back to the machine.
+        for pool in (pa.default_memory_pool(), pa.system_memory_pool()):
+            pool.release_unused()
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caremart.llm.common import components, frequent, joined, mix64, text_slices, utf8_buffers
+from caremart.llm.common import components, frequent, joined, mix64, release_kept, text_slices, utf8_buffers
 from caremart.llm.rows import text_keys, whole_row
 from caremart.session import materialise
 
@@ -122,6 +122,7 @@ def signatures(docs: DataFrame, words: int, id_col: str, text: str, slice_bytes:
     """(id, n, high, low, bands, signs): size and digest of the set, band keys, and the low byte of each signature value."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_kept()
         functions, band = _functions(), np.arange(BANDS, dtype=np.uint64)
         for batch in batches:
             for part in text_slices(batch, "text", slice_bytes):
@@ -151,6 +152,7 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, words: int, id_col: str, text
     """(id, n, high, low, own): the sorted shingle hashes of the wanted documents (id, n, high, low)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_kept()
         for batch in batches:
             for part in text_slices(batch, "text", slice_bytes):
                 sets = list(_sets(part, words))
@@ -168,6 +170,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets overlap enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_kept()
         for batch in batches:
             keep = []
             for left, right in zip(batch.column("left"), batch.column("right"), strict=True):
@@ -192,6 +195,7 @@ def _linked_in_cell(percent: int):
     needed = (level - 6 * (level * (1 - level) / (2 * HASHES)) ** 0.5) * 2 * HASHES
 
     def links(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        release_kept()
         band, first, second = key
         ids, n, block = pdf["id"].to_numpy(), pdf["n"].to_numpy(), pdf["block"].to_numpy()
         root = pdf["root"].to_numpy().copy()

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from caremart.llm.common import text_slices
+from caremart.llm.common import kept_by_process, text_slices
 from caremart.session import materialise
 
 DIMS, BITS, FEATURES = 4, 8, 1024
@@ -94,7 +94,7 @@ class _Runs(dict):
         return ids
 
 
-@lru_cache(maxsize=2)
+@kept_by_process
 def encoder(path: str, end_id: int) -> tuple[Callable[[str | None], np.ndarray], str]:
     """(text to ids with ``end_id`` last, dtype of the ids): kept by the process, with the words it knows, for its later tasks."""
     from tokenizers import Tokenizer

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caremart.llm.common import text_slices
+from caremart.llm.common import release_kept, text_slices
 from caremart.session import materialise
 
 PER_CLASS, STEPS, RATE, DECAY, BIAS = 3000, 200, 0.2, 1e-5, -8.0
@@ -128,6 +128,7 @@ def learn(docs: DataFrame, labels: DataFrame, usable: Column | None = None, id_c
     bag = texts.join(F.broadcast(sample), "id").select("text", "toxic", "id", F.lit(0).alias("all"))
 
     def train(pdf: pd.DataFrame) -> pd.DataFrame:
+        release_kept()
         return fit(pdf.sort_values(["id"], kind="stable"))
 
     rows = bag.groupBy("all").applyInPandas(train, "feature string, weight double").collect()
@@ -194,6 +195,7 @@ def _scorer(shared, sentence_bar: float):
     spans = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_kept()
         words = _Weights(shared.value)
         for batch in batches:
             for part in text_slices(batch, "text"):
@@ -215,6 +217,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame, bar: float = 0.7, id_col:
 
     @F.pandas_udf("double")
     def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        release_kept()
         words = _Weights(shared.value)
         for part in parts:
             yield pd.Series([noisy_or(sentence_scores(body, words, shared.value[""])) if shared.value else 0.0

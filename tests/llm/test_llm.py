@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+from types import SimpleNamespace
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -176,6 +178,17 @@ def test_a_process_keeps_its_encoder():
     assert first is second
 
 
+def test_tasks_of_other_operators_drop_the_kept_encoder():
+    row = {"id": 1, "n": 1, "block": 0, "root": 1, "signs": bytes(2 * minhash.HASHES), "bands": np.zeros(minhash.BANDS, np.int64), "own": bytes(8)}
+    for task in (
+        lambda: minhash._linked_in_cell(80)((0, 0, 0), pd.DataFrame([row])),
+        lambda: list(toxicity._scorer(SimpleNamespace(value={}), 0.5)(iter([]))),
+    ):
+        before = packing.encoder(tokenizer_path(), 1)[0]
+        task()
+        assert packing.encoder(tokenizer_path(), 1)[0] is not before
+
+
 def test_a_run_between_white_space_is_put_together_once(monkeypatch):
     class Counted(dict):
         def __missing__(self, piece):
