@@ -1070,12 +1070,14 @@ def appended_load(f: Fixtures) -> DataFrame:
 def versioned_load(f: Fixtures) -> DataFrame:
     """Patients after a second load in which some have aged by a year, and after that load once more."""
     root, sources = _root(f, "versioned"), f.sources()
+    # Three loads read these extracts: their rows are derived once.
+    sources |= {name: materialise(sources[name], f"extract-{name}") for name in ("urgence", "patient")}
     load.load_sources(f.spark, sources, root, SETTINGS, run_id="1", versions=True, only=["faits_accueil"])
     first = load.Warehouse(f.spark, root).table("dim_patient", "patient_sk", "id_patient_anonyme", "age")
     aged = first.where("patient_sk % 7 = 0 AND age BETWEEN 0 AND 98").select(F.col("id_patient_anonyme").alias("p"), (F.col("age") + 1).alias("a"))
     patients = sources["patient"].join(
         materialise(aged, "aged"), F.coalesce(fn.pseudonymise(F.col("ID_Patient")), F.lit("")) == F.coalesce("p", F.lit("")), "left")
-    older = patients.withColumn("Age", F.coalesce(F.col("a").cast("string"), F.col("Age"))).drop("p", "a")
+    older = materialise(patients.withColumn("Age", F.coalesce(F.col("a").cast("string"), F.col("Age"))).drop("p", "a"), "extract-older")
     later = replace(SETTINGS, run_date=dt.date(2024, 7, 31))
     for run_id in ("2", "3"):
         load.load_sources(f.spark, {**sources, "patient": older}, root, later, run_id=run_id, versions=True, only=["faits_accueil"])
