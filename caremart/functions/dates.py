@@ -245,17 +245,26 @@ def parse_date(text: Column, years: Years = PLAUSIBLE_YEARS) -> Column:
     return _let(strip(text), lambda trimmed: _let(_mask(trimmed), lambda mask: of_readings(trimmed, *_by_mask(trimmed, mask))))
 
 
+def _in_place(value: Column) -> Column:
+    """``value``, which no later condition is moved below.
+
+    To filter early, Spark copies into a condition all that its columns are computed from, a copy for each use on the way: a plan with a condition on a
+    date outgrew the driver. An expression that names its task stays where it is, and the condition above it.
+    """
+    return F.when(F.spark_partition_id() >= 0, value)
+
+
 def with_parsed_date(df: DataFrame, column: str, years: Years = PLAUSIBLE_YEARS) -> DataFrame:
     """``df`` with the text of ``column`` replaced by its ``parse_date``.
 
-    The trimmed text, its mask and its first reading are columns on the way, each computed once. The lambdas of the last
-    step keep it out of whole-stage code, whose one method would outgrow what the virtual machine compiles; Spark splits that step into small methods.
+    The trimmed text, its mask and its first reading are columns on the way, each computed once, also under a condition on the date. The lambdas of the
+    last step keep it out of whole-stage code, whose one method would outgrow what the virtual machine compiles; Spark splits that step into small methods.
     """
     text, mask, first = (F.col(c) for c in _ON_THE_WAY)
     masked = df.withColumn(_ON_THE_WAY[0], stripped(F.col(column))).withColumn(_ON_THE_WAY[1], _mask(text))
     one, other = _by_mask(text, mask)
     read = masked.withColumn(_ON_THE_WAY[2], one)
-    return read.withColumn(column, _reading(text, first, other, years)).drop(*_ON_THE_WAY)
+    return read.withColumn(column, _in_place(_reading(text, first, other, years))).drop(*_ON_THE_WAY)
 
 
 def parse_date_or(text: Column, default: dt.date = FALLBACK_DATE, years: Years = PLAUSIBLE_YEARS) -> Column:

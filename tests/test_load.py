@@ -474,3 +474,45 @@ def test_identifiers_are_stored_for_rejects_alone(spark):
     assert {r.src_row: r.ID_Patient for r in kept.collect()} == {1: None, 2: "P2", 3: None, 4: None}
     assert sorted(rejected_dates(kept, "hospitalisation").collect()) == sorted(rejected_dates(parsed, "hospitalisation").collect())
     assert kept.where("ID_Patient_Anonyme IS NOT NULL").count() == 3
+
+
+def _visit_sources(spark):
+    """The sources that the visit facts read, in rows of their own: three readable dates, an unreadable one, one missing, one outside the years."""
+    visits = [
+        (0, "P1", "2025-05-31", "2", "fever", "Home", "Ward", "3.7", "4"), (1, "P9", "01/06/2025 08:55", None, None, None, " ward", None, None),
+        (2, "P1", "one day", "2", "fever", "Home", "Ward", "1", "1"), (3, "P1", None, "2", "fever", "Home", "Ward", "1", "1"),
+        (4, "P1", "2019-01-01", "2", "fever", "Home", "Ward", "1", "1"), (5, "P2", "Jan 2, 2026", "3", "Fever ", "Stay", "Ward", "5", "6")]
+    texts = lambda names: ", ".join(f"{n} string" for n in names.split())
+    patient = "ID_Patient Nom_Complet Sexe Age Poids Taille Statut_Nutritionnel Antecedents_Medicaux Commune Quartier"
+    visit = "ID_Patient Date_Arrivee Niveau_Urgence Motif_Consultation Decision_Medicale Service Temps_Attente_Tri Temps_Attente_Orientation"
+    return {
+        "patient": spark.createDataFrame([(0, "P1", *[None] * 9), (1, "P2", *[None] * 9)], f"src_row long, {texts(patient)}"),
+        "urgence": spark.createDataFrame(visits, f"src_row long, {texts(visit)}"),
+        "consultation": spark.createDataFrame([], f"src_row long, {texts('ID_Patient')}"),
+        "hospitalisation": spark.createDataFrame([(0, "Ward")], "src_row long, Service_Affectation string"),
+        "maternite": spark.createDataFrame([], f"src_row long, {texts('ID_Patient')}"),
+    }
+
+
+_VISIT_KEYS = ("id_fait", "temps_sk", "patient_sk", "service_sk", "gravite_sk", "motif_sk", "decision_sk", "temps_attente_tri")
+
+
+@pytest.mark.parametrize("query, columns, want", [
+    ("fact_visits_unknown_member", _VISIT_KEYS, [(1, 20250531, 1, 2, 2, 2, 2, 3), (2, 20250601, -1, 2, -1, -1, -1, 0), (6, 20260102, 2, 2, 3, 2, 3, 5)]),
+])
+def test_the_filter_on_a_visits_date_does_not_copy_its_reading(spark, monkeypatch, query, columns, want):
+    from types import SimpleNamespace
+
+    from caremart.registry import queries
+
+    plans = {}
+
+    def seen(df, label):
+        plans[label] = df._jdf.queryExecution().optimizedPlan().toString()
+        return materialise(df, label)
+
+    monkeypatch.setattr(queries, "materialise", seen)
+    found = queries.REGISTRY[query].run(SimpleNamespace(spark=spark, sources=lambda: _visit_sources(spark)))
+    assert sorted(tuple(r) for r in found.select(*columns).collect()) == want
+    # The mask of the date is made in one place; each copy of its reading would make it again.
+    assert plans["typed-urgence"].count("translate(") == 1
