@@ -517,3 +517,11 @@ def test_the_filter_on_a_visits_date_does_not_copy_its_reading(spark, monkeypatc
     assert sorted(tuple(r) for r in found.select(*columns).collect()) == want
     # The mask of the date is made in one place; each copy of its reading would make it again.
     assert plans["typed-urgence"].count("translate(") == 1
+
+
+def test_the_search_for_rejects_does_not_copy_the_reading_of_a_date(spark):
+    from caremart.plans.standardise import date_rejects
+
+    found = date_rejects(_visit_sources(spark)["urgence"], "urgence")
+    assert sorted(tuple(r) for r in found.collect()) == [("urgence", 2, "P1", "one day"), ("urgence", 4, "P1", "2019-01-01")]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("translate(") == 1
