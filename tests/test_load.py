@@ -501,6 +501,7 @@ _VISIT_KEYS = ("id_fait", "temps_sk", "patient_sk", "service_sk", "gravite_sk",
     ("fact_visits_unknown_member", _VISIT_KEYS, [(1, 20250531, 1, 2, 2, 2, 2, 3), (2, 20250601, -1, 2, -1, -1, -1, 0), (6, 20260102, 2, 2, 3, 2, 3, 5)]),
     ("mart_kpis", ("annee", "mois", "service_sk", "arrivees", "attente_tri_moyenne"), [(2025, 5, 2, 1, 3.0), (2025, 6, 1, 1, 0.0), (2026, 1, 2, 1, 5.0)]),
     ("fact_partition_pruning", ("temps_sk", "nb_arrivees", "patient_sk", "annee"), [(20250531, 1, 1, 2025), (20250601, 1, 1, 2025)]),
+    ("fact_visits_lenient", _VISIT_KEYS, [(1, 20250531, 1, 2, 2, 2, 2, 3), (2, 20250601, 1, 1, 1, 1, 1, 0), (6, 20260102, 2, 2, 3, 1, 3, 5)]),
 ])
 def test_the_filter_on_a_visits_date_does_not_copy_its_reading(spark, monkeypatch, query, columns, want):
     from types import SimpleNamespace
